@@ -36,12 +36,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     end and loops are ignored; no edges give no rows. Nothing but two numbers a round
     reaches the driver; each round's edges are written to the shared folder.
     """
-    table = stash(
-        edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
-        if a != b
-        else edges,
-        "edges",
-    )
+    proper = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    table = stash(proper.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
     before = _signature(table)
     while before[0]:
         larger = stash(_large_star(table), "stars")

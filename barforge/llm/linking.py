@@ -1,22 +1,22 @@
 """Exact similarity classes from locality-sensitive buckets, without all pairs of a group.
 
 ``similarity_classes`` gets nodes (distinct texts, known by a 128-bit id) with bucket keys
-and returns the connected components of the graph that links two nodes of a common bucket
-whose Jaccard similarity reaches the threshold. Each pair of a bucket is either verified on
-full sets, or is inside one component already, or is ruled out by counting:
-
-1. Every member is verified against its bucket's least member, the hub. Counts, least
-   members and distinct pairs are aggregated before they are shuffled.
-2. In a bucket of at most ``few`` members, the pairs whose ends are still in different
-   components are verified one by one: at most ``few`` for a member.
-3. Larger buckets that still hold several components are joined into groups by shared
-   members, and each member x is compared with the group's least member h. A pair x, y that
-   reaches the threshold has |x & y| >= need(|x| + |y|), so either
-   (a) x and y share a shingle that is not in h: they meet in the bucket (h, shingle) and go
-       through the same steps again. That bucket lacks h, hence the descent ends; or
-   (b) x & y lies in h: then |x & y| <= min(|x & h|, |y & h|), which bounds |y| by
-       |x & h| * (1 + t) / t - |x| and |x| likewise. Those pairs are met by size and verified.
-   In a group of edited copies of one text, (a) has few members a shingle and (b) hardly any.
+and returns the connected components of the graph that links two nodes of a group whose
+Jaccard similarity, on full sets, reaches the threshold. Groups are nodes joined by common
+buckets; the pairs of a bucket are never written down, only each member with one other.
+
+A group of at most MOST_NODES nodes and MOST_SHINGLES shingles is settled by one task in
+memory, by counts of common shingles. In a larger group let H be its frequent shingles,
+those in more than RARE members. A pair x, y at the threshold t either
+
+(a) shares a shingle that is not in H, so it is met there among at most RARE members; or
+(b) has x & y inside H, so |x & y| <= min(|x & H|, |y & H|), and with
+    |x & y| >= t / (1 + t) (|x| + |y|) this bounds |y| by room(x) = (1 + t) / t |x & H| - |x|
+    and |x| by room(y): such pairs are met by size.
+
+Beforehand each member is verified against the member that has most of H; of (a) and (b)
+only pairs whose ends are in different components by then are verified. A large group of
+edited copies of one text is nearly settled by the first step, whatever its size.
 """
 
 from __future__ import annotations
@@ -31,140 +31,231 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import discard, respread, stash
 
-#: (ids of texts) -> (flat shingle hashes, offsets)
+#: texts -> (flat shingle hashes, offsets)
 Shingler = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
-VERIFIED = "a binary, b binary, linked boolean, size_a long, size_b long, met long, rest array<long>"
+MOST_NODES, MOST_SHINGLES, RARE = 512, 1 << 20, 64
+COLUMNS = 2048
 
 
-def _verifier(shingler: Shingler, num: int, den: int, least_agreement: int) -> Callable:
-    def sets_of(ids: list[bytes], texts: pa.ChunkedArray, known: dict[bytes, np.ndarray]) -> dict[bytes, np.ndarray]:
-        first = {k: i for i, k in enumerate(ids) if k not in known}
-        if not first:
-            return known
-        chosen = texts.take(pa.array(list(first.values())))
-        values, offsets = shingler(chosen)
-        return known | {k: np.unique(values[offsets[i] : offsets[i + 1]]) for i, k in enumerate(first)}
+def _reaches(met: np.ndarray, union: np.ndarray, num: int, den: int) -> np.ndarray:
+    return (met > 0) & (den * met >= num * union)
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                a, b = batch["a"].to_pylist(), batch["b"].to_pylist()
-                sig_a, sig_b = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(len(a), -1) for c in ("sig_a", "sig_b"))
-                close = (sig_a == sig_b).sum(axis=1) >= least_agreement
-                rests = batch["rests"].to_numpy(zero_copy_only=False)
-                needed = np.flatnonzero(close | rests)
-                part = batch.take(pa.array(needed))
-                known = sets_of([a[i] for i in needed], part["text_a"], {})
-                known = sets_of([b[i] for i in needed], part["text_b"], known)
-                linked, size_a, size_b, met, rest = [False] * len(a), [0] * len(a), [0] * len(a), [0] * len(a), [[]] * len(a)
-                for i in needed:
-                    x, y = known[a[i]], known[b[i]]
-                    same = len(np.intersect1d(x, y, assume_unique=True))
-                    size_a[i], size_b[i], met[i] = len(x), len(y), same
-                    linked[i] = same > 0 and den * same >= num * (len(x) + len(y) - same)
-                    if rests[i]:
-                        rest[i] = np.setdiff1d(x, y, assume_unique=True).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["a"], batch["b"], pa.array(linked), pa.array(size_a, pa.int64()), pa.array(size_b, pa.int64()), pa.array(met, pa.int64()), pa.array(rest, pa.list_(pa.int64()))],
-                    names=["a", "b", "linked", "size_a", "size_b", "met", "rest"],
-                )
-
-    return verify
-
-
-def similarity_classes(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingler: Shingler, num: int, den: int = 100, few: int = 16) -> DataFrame:
-    """(node, root) for each node that is linked with another one.
-
-    nodes: a stashed table (id binary, sig binary, keys array<long>), one row for each id;
-    ids are those of distinct texts. fetch: (id) -> (id, text), a row for each id.
-    Linked: ``den * |x & y| >= num * |x | y|`` on the sets that ``shingler`` makes, at least
-    one shingle in common. Signatures that agree in fewer places than a linked pair does
-    once in some hundred million are not verified. An empty table gives no rows.
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share, as products of blocks of a 0-1 matrix."""
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, place, counts = np.unique(values, return_inverse=True, return_counts=True)
+    shared = counts > 1
+    column = np.cumsum(shared) - 1
+    keep = shared[place]
+    owner, place = owner[keep], column[place[keep]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    met = np.zeros((len(sets), len(sets)), np.float64)
+    total = int(shared.sum())
+    for low in range(0, total, COLUMNS):
+        a, b = np.searchsorted(place, (low, low + COLUMNS))
+        block = np.zeros((len(sets), min(COLUMNS, total - low)), np.float32)
+        block[owner[a:b], place[a:b] - low] = 1
+        met += block @ block.T
+    return met.astype(np.int64)
+
+
+def roots_in_memory(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """For each set the first set of its component."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets], np.int64)
+    met = common_counts(sets)
+    linked = _reaches(met, size[:, None] + size[None, :] - met, num, den)
+    root = np.arange(n)
+    while True:
+        least = np.where(linked, root[None, :], n).min(axis=1)
+        new = np.minimum(root, least)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def signatures_meet(sigs: np.ndarray, t: float) -> np.ndarray:
+    """Which signatures agree with another one in as many places as linked texts do.
+
+    A linked pair falls six standard deviations short of its expectation less than once in
+    some hundred million, and only when it is near the threshold.
+    """
+    n, width = sigs.shape
+    least = t * width - 6 * (t * (1 - t) * width) ** 0.5
+    agree = np.zeros((n, n), np.uint8 if width < 256 else np.uint16)
+    for column in sigs.T:
+        agree += column[:, None] == column[None, :]
+    np.fill_diagonal(agree, 0)
+    return (agree >= max(least, 0)).any(axis=1) if n > 1 else np.zeros(n, bool)
+
+
+#: What ``marked`` tables hold: a row for each occurrence of a text.
+MARKED = "doc_id long, place int, id binary, h long, n_shingles long, sig binary, keys array<long>"
+
+
+def bucket_links(marked: DataFrame) -> DataFrame:
+    """(hi, lo): short ids that share a bucket, as stars within stretches of sorted rows.
+
+    Rows (key, short id) are dealt out by ranges of both, so a key with any number of rows
+    is spread over as many partitions as it fills and is never gathered. A stretch of equal
+    keys is linked to its first row; the stretches at a partition's two ends are linked with
+    those of the same key in other partitions.
+    """
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "a", "b"]
+        key0, first0, opening = None, None, True
+        for batch in batches:
+            key, h = batch["key"].to_numpy(), batch["h"].to_numpy()
+            if not len(key):
+                continue
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            new[0] = key[0] != key0
+            at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+            first = np.where(at < 0, 0 if first0 is None else first0, h[np.maximum(at, 0)])
+            if opening:
+                yield pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([h[0]]), pa.nulls(1, pa.int64())], names=names)
+                opening = False
+            real = first != h
+            real[1:] &= (h[1:] != h[:-1]) | new[1:]
+            a, b = h[real], first[real]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b)], names=names)
+            key0, first0 = key[-1], first[-1]
+        if not opening:
+            yield pa.RecordBatch.from_arrays([pa.array([key0]), pa.array([first0]), pa.nulls(1, pa.int64())], names=names)
+
+    rows = marked.select(F.explode("keys").alias("key"), "h")
+    sorted_rows = rows.repartitionByRange("key", "h").sortWithinPartitions("key", "h")
+    found = stash(sorted_rows.mapInArrow(stretches, "key long, a long, b long"), "stretches")
+    ends = found.filter("key is not null").select("key", "a")
+    least = ends.groupBy(*respread("key")).agg(F.min("a").alias("b")).select("key", "b")
+    across = ends.join(least, "key").filter("a <> b").select("a", "b")
+    return found.filter("key is null").select("a", "b").union(across).distinct()
+
+
+def similarity_classes(marked: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingler: Shingler, num: int, den: int = 100) -> DataFrame:
+    """(node, root) for texts that collide with another; a text is its own root if it is alone.
+
+    marked: a stashed table with MARKED's columns, where equal ids are equal texts, h is a
+    part of the id and texts without shingles have no keys. fetch: a table
+    (doc_id, place, id, ...) -> the same with ``text``, for each of its rows. Linked:
+    ``den * |x & y| >= num * |x | y|`` on the sets that ``shingler`` makes, with at least one
+    element in common. Two texts with the same h only share a group. An empty table gives
+    no rows.
+    """
+    groups = stash(components(bucket_links(marked), "a", "b").select(F.col("node").alias("h"), F.col("root").alias("g")), "groups")
+    one = F.min(F.struct("doc_id", "place", "n_shingles", "sig")).alias("v")
+    slim = marked.filter("size(keys) > 0").select("id", "h", "doc_id", "place", "n_shingles", "sig")
+    known = slim.join(groups, "h").groupBy("id", "g").agg(one).select("g", "id", "v.*")
+    known = stash(known, "known")
+    sums = known.groupBy(*respread("g")).agg(F.count("*").alias("n"), F.sum("n_shingles").alias("m"))
+    sums = sums.filter("n > 1").select("g", F.expr(f"n <= {MOST_NODES} and m <= {MOST_SHINGLES}").alias("small"))
+    texts = stash(fetch(known.join(sums, "g")), "texts")
+
+    def settled(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        close = np.flatnonzero(signatures_meet(sigs, num / den))
+        root = np.arange(table.num_rows)
+        if len(close):
+            values, offsets = shingler(table["text"].take(pa.array(close)))
+            sets = [np.unique(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            root[close] = close[roots_in_memory(sets, num, den)]
+        return pa.table({"node": table["id"], "root": table["id"].take(pa.array(root))})
+
+    small = texts.filter("small").select("g", "id", "text", "sig").groupBy("g").applyInArrow(settled, "node binary, root binary")
+    large = texts.filter("not small")
+    if large.isEmpty():
+        return small
+    return small.union(_large(large, shingler, num, den))
+
+
+def placed_classes(marked: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, n, first doc_id, first place) of the component of each text in a class.
+
+    classes: what similarity_classes returned, stashed. n counts occurrences, repeated rows
+    included; the first occurrence is that of least doc_id, nulls last, then least place.
     """
-    width = nodes.select(F.length("sig").alias("n")).limit(1).collect()
-    width = width[0].n if width else 0
-    t = num / den
-    spread = (max(t * (1 - t), 0.01) * width) ** 0.5
-    verify = _verifier(shingler, num, den, max(0, int(t * width - 6 * spread)))
-    bodies = edges = found = None
-
-    def verified(pairs: DataFrame, label: str) -> DataFrame:
-        left, right = (bodies.select(*(F.col(c).alias(f"{c}_{end}") for c in ("id", "text", "sig"))) for end in "ab")
-        rows = pairs.join(left, F.col("a") == F.col("id_a")).drop("id_a").join(right, F.col("b") == F.col("id_b")).drop("id_b")
-        return stash(rows.select("a", "b", "text_a", "text_b", "sig_a", "sig_b", "rests").mapInArrow(verify, VERIFIED), label)
-
-    def grown(more: DataFrame) -> None:
-        nonlocal edges, found
-        more = more.filter("linked").select("a", "b")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("first")
+    known = marked.filter("size(keys) > 0").groupBy("id").agg(F.count("*").alias("n"), first)
+    rooted = stash(known.join(classes, F.col("id") == F.col("node"), "left").select("id", "n", "first", F.coalesce("root", "id").alias("root")), "roots")
+    whole = rooted.groupBy(*respread("root")).agg(F.sum("n").alias("total"), F.min("first").alias("least")).select("root", "total", "least")
+    return rooted.select("id", "root").join(whole, "root").select("id", F.col("total").alias("n"), F.col("least.doc_id").alias("first_doc"), F.col("least.place").alias("first_place"))
+
+
+def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFrame:
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                values, offsets = shingler(batch["text"])
+                sets = [np.unique(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                borders = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+                flat = np.concatenate(sets).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([batch["g"], batch["id"], pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(flat))], names=["g", "id", "items"])
+
+    members = stash(texts.select("g", "id", "text").mapInArrow(shingled, "g binary, id binary, items array<long>"), "members")
+    items = members.select("g", "id", F.explode("items").alias("s"))
+    often = items.groupBy(*respread("g", "s")).agg(F.count("*").alias("n")).filter("n > 1").select("g", "s", "n")
+    often = stash(often, "often")
+    inside = items.join(often.filter(F.col("n") > RARE), ["g", "s"]).groupBy("g", "id").agg(F.count("*").alias("inside"))
+    counts = members.select("g", "id", F.size("items").cast("long").alias("size"))
+    counts = stash(counts.join(inside, ["g", "id"], "left").withColumn("inside", F.coalesce("inside", F.lit(0))), "counts")
+    found = edges = None
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch["items_a"], batch["items_b"]
+            keep = []
+            for i in range(batch.num_rows):
+                p, q = x[i].values.to_numpy(), y[i].values.to_numpy()
+                met = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(met > 0 and den * met >= num * (len(p) + len(q) - met))
+            yield pa.RecordBatch.from_arrays([batch["a"].filter(pa.array(keep)), batch["b"].filter(pa.array(keep))], names=["a", "b"])
+
+    def grown(pairs: DataFrame) -> None:
+        nonlocal found, edges
+        left, right = (members.select(F.col("id").alias(f"id_{e}"), F.col("items").alias(f"items_{e}")) for e in "ab")
+        rows = pairs.join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b")).select("a", "b", "items_a", "items_b")
+        more = stash(rows.mapInArrow(verify, "a binary, b binary"), "links")
         if more.isEmpty():
             return
         edges = more if edges is None else edges.union(more)
         found = stash(components(edges), "classes")
 
-    def placed(members: DataFrame) -> DataFrame:
-        """Members with the component that they are in so far."""
+    def placed(rows: DataFrame) -> DataFrame:
         if found is None:
-            return members.withColumn("comp", F.col("id"))
-        return members.join(found, F.col("id") == F.col("node"), "left").drop("node").withColumn("comp", F.coalesce("root", "id")).drop("root")
+            return rows.withColumn("comp", F.col("id"))
+        own = found.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        return rows.join(own, F.col("id") == F.col("_node"), "left").withColumn("comp", F.coalesce("_root", "id")).drop("_node", "_root")
 
-    buckets = nodes.select(F.explode("keys").alias("key"), "id")
-    while True:
-        # 1. every member against the hub of its bucket
-        now = placed(buckets)
-        stat = (
-            now.groupBy(*respread("key"))
-            .agg(F.min("id").alias("hub"), F.min_by("comp", "id").alias("hub_comp"), F.count("*").alias("n"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-            .filter("c1 <> c2")
-            .select("key", "hub", "hub_comp", "n")
-        )
-        met = stash(now.join(stat, "key").select("key", "id", "hub", "n", (F.col("comp") == F.col("hub_comp")).alias("settled")), "met")
-        if met.isEmpty():
-            break
-        if bodies is None:
-            sigs = nodes.select("id", "sig")
-            bodies = stash(fetch(met.select("id").distinct()).join(sigs, "id"), "texts")
-        star = met.filter("id <> hub and not settled").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-        grown(verified(star.withColumn("rests", F.lit(False)), "star"))
-
-        # 2. what is still apart in small buckets
-        now = placed(met.select("key", "id", "hub", "n"))
-        apart = now.groupBy(*respread("key")).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 <> c2").select("key")
-        now = stash(now.join(apart, "key"), "apart")
-        discard(met)
-        small = now.filter((F.col("n") <= few) & (F.col("id") != F.col("hub")))
-        x, y = (small.select("key", F.col("id").alias(i), F.col("comp").alias(c)) for i, c in (("a", "ca"), ("b", "cb")))
-        pairs = x.join(y, "key").filter("a < b and ca <> cb").select("a", "b").distinct()
-        grown(verified(pairs.withColumn("rests", F.lit(False)), "pairs"))
-
-        # 3. large buckets: what is not in the hub of the group
-        big = now.filter(F.col("n") > few).select("id", "hub").distinct()
-        if big.isEmpty():
-            break
-        group = stash(components(big.select(F.col("id").alias("a"), F.col("hub").alias("b"))), "groups")
-        group = stash(placed(group.select(F.col("node").alias("id"), F.col("root").alias("h"))), "groups")
-        several = group.groupBy(*respread("h")).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 <> c2").select("h")
-        against = verified(group.join(several, "h").filter("id <> h").select(F.col("id").alias("a"), F.col("h").alias("b"), F.lit(True).alias("rests")), "rests")
-        grown(against)
-        discard(now)
-
-        # (b) pairs whose common shingles all lie in the hub
-        room = F.floor((F.col("met") * (den + num)) / F.lit(float(num)) + 1e-9) - F.col("size_a")
-        sized = placed(against.select(F.col("a").alias("id"), F.col("b").alias("h"), F.col("size_a").alias("size"), room.cast("long").alias("room")))
-        sized = stash(sized.filter((F.col("size") > 0) & (F.col("room") * den >= F.col("size") * num)), "sized")
-        step = F.lit(1.02)
-        scale = lambda c: F.floor(F.log(c) / F.log(step)).cast("long")
-        low = F.greatest(F.ceil(F.col("size") * num / F.lit(float(den)) - 1e-9), F.lit(1)).cast("double")
-        high = F.least("room", "size").cast("double")
-        x = sized.filter(F.least("room", "size") >= low).select("h", F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("sa"), F.col("room").alias("ra"), F.explode(F.sequence(scale(low), scale(high))).alias("bin"))
-        y = sized.select("h", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("sb"), F.col("room").alias("rb"), scale(F.col("size").cast("double")).alias("bin"))
-        pairs = x.join(y, ["h", "bin"]).filter("ca <> cb and sb <= ra and sa <= rb and sb <= sa and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        grown(verified(pairs.withColumn("rests", F.lit(False)), "within"))
-        discard(sized)
-
-        # (a) pairs that share a shingle beyond the hub: smaller buckets, the same way again
-        buckets = against.select("b", F.explode("rest").alias("s"), F.col("a").alias("id")).select(F.xxhash64("b", "s").alias("key"), "id")
-    if found is None:
-        return nodes.select(F.col("id").alias("node"), F.col("id").alias("root")).limit(0)
-    return found
+    # each member against the one that has most of the frequent shingles, and the next most
+    top = counts.groupBy(*respread("g")).agg(F.max(F.struct("inside", F.col("size") * -1, "id")).alias("m")).select("g", F.col("m.id").alias("b"))
+    grown(counts.join(top, "g").filter("id <> b").select(F.col("id").alias("a"), "b"))
+
+    # (b) by size: common shingles that are all frequent
+    room = F.floor(F.col("inside") * (den + num) / F.lit(float(num)) + 1e-9).cast("long") - F.col("size")
+    sized = stash(placed(counts.withColumn("room", room).filter(F.col("room") * den >= F.col("size") * num)), "sized")
+    several = sized.groupBy(*respread("g")).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 <> c2").select("g")
+    sized = stash(sized.join(several, "g"), "sized")
+    scale = lambda c: F.floor(F.log(c.cast("double")) / float(np.log(1.02))).cast("long")
+    low = F.greatest(F.ceil(F.col("size") * num / F.lit(float(den)) - 1e-9).cast("long"), F.lit(1).cast("long"))
+    high = F.least("room", "size")
+    x = sized.filter(high >= low).select("g", F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("sa"), F.col("room").alias("ra"), F.explode(F.sequence(scale(low), scale(high))).alias("bin"))
+    y = sized.select("g", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("sb"), F.col("room").alias("rb"), scale(F.col("size")).alias("bin"))
+    met = x.join(y, ["g", "bin"]).filter("ca <> cb and sb <= ra and sa <= rb and sb <= sa and a <> b")
+    grown(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    # (a) by a shingle that at most RARE members have
+    rare = placed(items.join(often.filter(F.col("n") <= RARE), ["g", "s"]).select("g", "s", "id"))
+    several = rare.groupBy(*respread("g", "s")).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 <> c2").select("g", "s")
+    rare = stash(rare.join(several, ["g", "s"]), "rare")
+    x, y = (rare.select("g", "s", F.col("id").alias(i), F.col("comp").alias(c)) for i, c in (("a", "ca"), ("b", "cb")))
+    grown(x.join(y, ["g", "s"]).filter("a < b and ca <> cb").select("a", "b").distinct())
+    return placed(texts.select("id")).select(F.col("id").alias("node"), F.col("comp").alias("root"))

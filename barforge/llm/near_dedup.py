@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import similarity_classes
-from .shared import respread, stash
+from .linking import MARKED, placed_classes, similarity_classes
+from .shared import stash
 from .words import MinHash, distinct_counts, list_column, shingles, slices, word_hashes
 
 WIDTH = 5
-#: 16 bands of 4 minima: a pair at similarity 0.85 is missed by all bands seven times in a million.
+#: 16 bands of 4 minima: a pair at similarity 0.85 is missed by all bands seven times in a
+#: million, one at 0.8 twice in ten thousand.
 BANDS, ROWS = 16, 4
 
 
@@ -23,58 +24,52 @@ def word_shingler(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return shingles(*word_hashes(texts), WIDTH)
 
 
-def signatures(rows: DataFrame, carried: str, text: str, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
-    """``carried`` columns, n_shingles, sig (a byte of each minimum) and keys of each row's ``text``."""
-    family = MinHash(bands, per_band)
-    names = [c.split()[0] for c in carried.split(",")]
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low, high in slices(whole[text]):
-                batch = whole.slice(low, high - low)
-                values, offsets = word_shingler(batch[text])
-                minima, has = family.minima(values, offsets), np.diff(offsets) > 0
-                sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(bands * per_band), len(batch), [None, pa.py_buffer((minima & 0xFF).astype(np.uint8).tobytes())])
-                columns = [batch[c] for c in names] + [pa.array(distinct_counts(values, offsets)), sig.cast(pa.binary()), list_column(family.keys(minima), has)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_shingles", "sig", "keys"])
-
-    return rows.mapInArrow(made, f"{carried}, n_shingles long, sig binary, keys array<long>")
+def signed(texts: pa.Array, family: MinHash) -> list[pa.Array]:
+    """The columns n_shingles, sig (a byte of each minimum) and keys of whole texts."""
+    values, offsets = word_shingler(texts)
+    minima, has = family.minima(values, offsets), np.diff(offsets) > 0
+    width = minima.shape[1]
+    sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(texts), [None, pa.py_buffer((minima & 0xFF).astype(np.uint8).tobytes())])
+    return [pa.array(distinct_counts(values, offsets)), sig.cast(pa.binary()), list_column(family.keys(minima), has)]
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """Components of documents linked by Jaccard similarity of their 5-word shingle sets.
 
-    docs: doc_id long, text string; other columns are ignored. Words are what lies between
-    white space (0x20, 0x09-0x0D) with A-Z lower-cased; a text of one to four words has its
-    whole sequence as its one shingle. Two documents are linked if
+    docs: doc_id, text; other columns are ignored. Words are what lies between white space
+    (0x20, 0x09-0x0D) with A-Z lower-cased; a text of one to four words has its whole
+    sequence as its one shingle. Two documents are linked if
     ``den * |intersection| >= num * |union|`` on full sets, after MinHash banding found them
     and their signatures agree well enough.
 
     Returns a row for each input row: doc_id, n_shingles, component_id (the least doc_id
     reachable over links, itself included), kept (doc_id = component_id). Null, empty and
-    blank texts have no shingles and are alone. Rows that repeat a doc_id count as one
-    document if their texts are equal; with different texts each row stands for itself, and
-    a shared doc_id does not link them. A null doc_id gets the least non-null doc_id of its
-    component, or null, and is not kept. An empty table gives no rows.
+    blank texts have no shingles and are alone. Nodes are texts, so rows with equal texts
+    are linked, and a doc_id repeated with different texts does not link them. A null doc_id
+    gets the least non-null doc_id of its component, or null, and is not kept. An empty table
+    gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("id"), "text")
-    marked = stash(signatures(rows, "doc_id long, id binary", "text"), "minhash")
-    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sig", "keys")).alias("v")
-    classes = marked.filter("n_shingles > 0").groupBy("id").agg(one).select("id", "v.doc_id", "v.sig", "v.keys")
-    nodes = stash(classes, "classes")
-
-    def fetch(ids: DataFrame) -> DataFrame:
-        wanted = ids.join(nodes.select("id", F.col("doc_id").alias("_rep")), "id")
-        texts = rows.join(wanted.withColumnRenamed("id", "_id"), F.col("doc_id").eqNullSafe(F.col("_rep")) & (F.col("id") == F.col("_id")))
-        return texts.select("id", "text").dropDuplicates(["id"])
-
-    linked = stash(similarity_classes(nodes, fetch, word_shingler, num, den), "linked")
-    # exact copies share an id; a class of one id still has its least doc_id
-    rooted = nodes.select("id", "doc_id").join(linked, F.col("id") == F.col("node"), "left").select("id", "doc_id", F.coalesce("root", "id").alias("root"))
-    rooted = stash(rooted, "roots")
-    least = rooted.groupBy(*respread("root")).agg(F.min("doc_id").alias("component_id")).select("root", "component_id")
-    named = stash(rooted.select("id", "root").join(least, "root").select("id", "component_id"), "named")
-    out = marked.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("id")).alias("id"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("place"), F.md5(text).alias("hex"), F.col("text"))
+    rows = rows.select("doc_id", "place", F.unhex("hex").alias("id"), F.conv(F.substring("hex", 2, 15), 16, 10).cast("long").alias("h"), "text")
+    family = MinHash(BANDS, ROWS)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low, high in slices(whole["text"]):
+                batch = whole.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], *signed(batch["text"], family)], names=[c.split()[0] for c in MARKED.split(", ")])
+
+    marked = stash(rows.mapInArrow(made, MARKED), "minhash")
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        texts = rows.select(F.col("doc_id").alias("_doc"), F.col("id").alias("_id"), "text")
+        found = wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("id") == F.col("_id")))
+        return found.drop("_doc", "_id").dropDuplicates(["id"])
+
+    classes = stash(similarity_classes(marked, fetch, word_shingler, num, den), "linked")
+    named = stash(placed_classes(marked, classes).select("id", F.col("first_doc").alias("component_id")), "named")
+    out = marked.select("doc_id", "n_shingles", "id")
     full = out.filter("n_shingles > 0").join(named, "id").select("doc_id", "n_shingles", "component_id")
     empty = out.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.union(empty).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
