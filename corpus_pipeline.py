@@ -1,8 +1,68 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, packing."""
+"""The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir), where docs are the rows that the stage before it
+kept, and calls one operator. The first four return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barforge.llm.decontamination import without_leaks
+from barforge.llm.line_dedup import without_repeated_lines
+from barforge.llm.near_dedup import near_duplicates
+from barforge.llm.packing import pack
+from barforge.llm.quality_rules import keep_good
+from barforge.llm.shared import stash
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rules nor their host's verdict reject."""
+    return keep_good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that repeat an earlier one; documents of nothing else go."""
+    return without_repeated_lines(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies at a similarity of 0.8 or more."""
+    gone = near_duplicates(docs, 80, 100).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no passage of the benchmark."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document, with its sequence and place there."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near_copies),
+    ("decontamination", benchmark_free),
+    ("packing", packed),
+]
+
+#: No SQL: it has neither the tokenizer nor the packer. The tests hold the stages against
+#: brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stash(stage(spark, docs, sf_dir), name)
+    return docs
