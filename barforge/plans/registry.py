@@ -1,4 +1,6 @@
-"""Queries over the driver's tables and their SQL."""
+"""All queries by name and their SQL for DuckDB."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from barforge.plans.oracles import ORACLE_SQL
+from barforge.plans.queries import QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
