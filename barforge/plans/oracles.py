@@ -164,7 +164,7 @@ SELECT count(*) AS periods, round(arg_max(equity, time_ms), 8) AS final_equity,
   round(CASE WHEN stddev_samp(r) > 0 THEN avg(r) / stddev_samp(r) * sqrt(2190) END, 8) AS sharpe, round(count(*) FILTER (r > 0) / count(r), 8) AS win_rate,
   round(avg(period_return), 8) AS avg_period_return, round(avg(turnover), 8) AS avg_turnover FROM i""",
     "ema20": f"WITH {STRENGTH} SELECT symbol, ts_ms, {r8('close', 'ema20')} FROM a",
-    "true_range_atr": f"WITH {STRENGTH} SELECT symbol, ts_ms, {r8('prev_close', 'true_range', 'atr14_lag1')} FROM a",
+    "true_range_atr": f"WITH {STRENGTH} SELECT symbol, ts_ms, {r8('prev_close', 'true_range')}, round(atr14_lag1 / close, 8) AS atr_share FROM a",
     "symbol_factors": f"WITH {STRENGTH} SELECT symbol, ts_ms, {r8('ret', 'gap_atr', 'slope_atr')} FROM a",
     "benchmark_join": f"WITH {STRENGTH} SELECT symbol, ts_ms, {r8('ret', 'btc_ret', 'btc_gap_atr', 'btc_slope_atr')} FROM j",
     "overheat_flag": f"WITH {STRENGTH} SELECT symbol, ts_ms, {r8('rs_ret', 'rs_gap', 'rs_slope', 'overheat')}, is_overheated FROM o",
@@ -172,16 +172,16 @@ SELECT count(*) AS periods, round(arg_max(equity, time_ms), 8) AS final_equity,
     "strength_board": f"""WITH {WEEKS}, {LIQUID.format(n=8)}, {strength('l')}, tail AS (SELECT DISTINCT ts_ms FROM c ORDER BY ts_ms DESC LIMIT 30)
 SELECT symbol, ts_ms, '10080' AS tf, '1d' AS source_interval, round(close, 8) AS close, bar_count, {r8('rs_ret', 'rs_gap', 'rs_slope')}, is_overheated, strong_rank, weak_rank FROM c SEMI JOIN tail USING (ts_ms)""",
     "liquidity_universe": f"WITH {WEEKS}, {LIQUID.format(n=5)} SELECT symbol, ts_ms, {r8('open', 'high', 'low', 'close', 'volume', 'quote_volume')}, bar_count FROM l",
-    "source_tail": f"WITH {DAYS}, v AS (SELECT *, max(open_time_ms) OVER (PARTITION BY symbol) AS m FROM d) SELECT symbol, open_time_ms, round(close, 8) AS close FROM v WHERE open_time_ms >= m - (15 * 7 - 1) * 86400000",
+    "source_tail": f"WITH {DAYS}, v AS (SELECT *, max(open_time_ms) OVER (PARTITION BY symbol) AS m FROM d) SELECT symbol, open_time_ms, round(close, 8) AS close FROM v WHERE open_time_ms >= m - (15 * 7 - 1) * 86400000::BIGINT",
     "target_tail": f"WITH {WEEKS}, v AS (SELECT DISTINCT ts_ms FROM k ORDER BY ts_ms DESC LIMIT 12) SELECT symbol, ts_ms, {r8('open', 'high', 'low', 'close', 'volume', 'quote_volume')}, bar_count FROM k SEMI JOIN v USING (ts_ms)",
     "show_strong": shown("strong", 0.2),
     "show_weak": shown("weak", 0.5),
     "active_universe": "SELECT 'C' || c_custkey AS symbol FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 5 <> 0 AND c_custkey % 7 <> 0",
     "parse_stream_message": f"WITH {HOURS} SELECT {CANDLE}, open_time_ms // 3600000 % 4 <> 3 AS is_closed FROM h WHERE open_time_ms // 3600000 % 11 <> 0",
     "parse_rest_rows": f"WITH {HOURS} SELECT {CANDLE}, {DATE} FROM h",
-    "sync_plan": f"""WITH {STATES}, v AS (SELECT k.symbol, coalesce(st.last_open_time_ms + 60000, {NOW_MS} - 30 * 86400000) AS start_ms FROM k LEFT JOIN st ON k.symbol = st.symbol AND st.interval = '1m'),
+    "sync_plan": f"""WITH {STATES}, v AS (SELECT k.symbol, coalesce(st.last_open_time_ms + 60000, {NOW_MS} - 30 * 86400000::BIGINT) AS start_ms FROM k LEFT JOIN st ON k.symbol = st.symbol AND st.interval = '1m'),
 v2 AS (SELECT *, CASE WHEN start_ms <= {END} THEN greatest(0, {LAST_DAY} - start_ms // 86400000 + 1) ELSE 0 END::BIGINT AS archive_days FROM v),
-v3 AS (SELECT *, CASE WHEN archive_days > 0 THEN (start_ms // 86400000 + archive_days) * 86400000 ELSE start_ms END AS rest FROM v2)
+v3 AS (SELECT *, CASE WHEN archive_days > 0 THEN (start_ms // 86400000 + archive_days) * 86400000::BIGINT ELSE start_ms END AS rest FROM v2)
 SELECT symbol, start_ms, archive_days, CASE WHEN start_ms <= {END} AND rest <= {END} THEN (({END} - rest) // 60000 + 1 + 498) // 499 ELSE 0 END::BIGINT AS rest_batches FROM v3""",
     "inactive_checkpoints": f"WITH {STATES} SELECT symbol, interval, last_open_time_ms, CASE WHEN interval = '1m' AND c_custkey % 3 = 0 THEN 'inactive' ELSE status END AS status FROM st",
     "checkpoint_merge": f"""WITH {STATES} SELECT symbol, interval, CASE WHEN interval = '1m' AND length(symbol) % 2 = 0 THEN last_open_time_ms + 60000 ELSE last_open_time_ms END AS last_open_time_ms, status FROM st""",

@@ -206,7 +206,8 @@ def ema20(spark, sf_dir):
 
 
 def true_range_atr(spark, sf_dir):
-    return rounded(factors(spark, sf_dir), "symbol", "ts_ms", "prev_close", "true_range", "atr14_lag1")
+    own = factors(spark, sf_dir).withColumn("atr_share", F.col("atr14_lag1") / F.col("close"))
+    return rounded(own, "symbol", "ts_ms", "prev_close", "true_range", "atr_share")
 
 
 def symbol_factors(spark, sf_dir):
