@@ -61,7 +61,7 @@ def marked_lines(docs: DataFrame) -> DataFrame:
         values, offsets = char_shingles(lines)
         minima = family.minima(values, offsets)
         sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BANDS * ROWS), len(lines), [None, pa.py_buffer((minima & 0xFF).astype(np.uint8).tobytes())])
-        return [pa.array(np.diff(offsets)), sig.cast(pa.binary()), list_column(family.keys(minima), np.ones(len(lines), bool))]
+        return [pa.array(family.sketch(minima)), pa.array(np.diff(offsets)), sig.cast(pa.binary()), list_column(family.keys(minima), np.ones(len(lines), bool))]
 
     return marked_parts(docs, worded, sign, "lines", 2 << 20)
 

@@ -25,12 +25,12 @@ def word_shingler(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
 
 
 def signed(texts: pa.Array, family: MinHash) -> list[pa.Array]:
-    """The columns n_shingles, sig (a byte of each minimum) and keys of whole texts."""
+    """The columns sketch, n_shingles, sig (a byte of each minimum) and keys of whole texts."""
     values, offsets = word_shingler(texts)
     minima, has = family.minima(values, offsets), np.diff(offsets) > 0
     width = minima.shape[1]
     sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(texts), [None, pa.py_buffer((minima & 0xFF).astype(np.uint8).tobytes())])
-    return [pa.array(distinct_counts(values, offsets)), sig.cast(pa.binary()), list_column(family.keys(minima), has)]
+    return [pa.array(family.sketch(minima)), pa.array(distinct_counts(values, offsets)), sig.cast(pa.binary()), list_column(family.keys(minima), has)]
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:

@@ -117,6 +117,11 @@ class MinHash:
             i = k
         return out
 
+    def sketch(self, minima: np.ndarray) -> np.ndarray:
+        """64 bits of each row: four of each of 16 minima, of different bands as far as there are."""
+        chosen = minima.reshape(len(minima), self.bands, self.rows).transpose(0, 2, 1).reshape(len(minima), self.bands * self.rows)[:, :16]
+        return ((chosen & np.uint32(15)).astype(np.uint64) << (np.arange(chosen.shape[1], dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).astype(np.int64)
+
     def keys(self, minima: np.ndarray) -> np.ndarray:
         """A 64-bit key for each text and band."""
         n = len(minima)
