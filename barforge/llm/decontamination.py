@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 from .words import slices
 
 ANCHORS = 8
-WALKS, BANDS, SAMPLED = 4, 6, 6
+#: Of windows with an edit in every twentieth character nearly all agree in some band; of
+#: windows that only share the anchor one in some thirty does, and is verified in vain.
+WALKS, BANDS, SAMPLED = 4, 8, 4
 #: Share of an item's characters that may be edited.
 MOST_EDITS = 0.2
 #: Text of the items that one pass over the documents looks for.
 BLOCK_BYTES = 16 << 20
-WINDOWS = 4096
+#: Windows that wait for each other, and that are walked at once, those of like reach together.
+HELD, WINDOWS = 16_384, 2048
 EDGES = string.punctuation + string.whitespace + "«»“”„‘’…–—¿¡"
 
 
@@ -82,7 +85,8 @@ class Items:
         self.reach = np.array([len(w) for w in own], np.int64)
         rng = np.random.default_rng(seed)
         self.longest = int(self.reach.max(initial=1))
-        self.moves = rng.integers(0, 2, (WALKS, 2 * self.longest, 256), dtype=np.uint8)
+        self.moves = rng.integers(0, 2, (WALKS, 2 * self.longest, 256), dtype=np.uint8).astype(np.int64)
+        self.moves[:, :, 0] = 0  # a walk stays at its window's end
         shares = rng.random((WALKS, BANDS, SAMPLED))
         # a walk of 2 L steps passes a window of L characters on average
         self.places = (shares[None] * (2 * self.reach)[:, None, None, None]).astype(np.int32)
@@ -99,30 +103,32 @@ class Items:
             return " ".join(words[p : p + len(item) - a]).encode()
         return " ".join(words[max(0, p - a) : p + 1]).encode()[::-1]
 
-    def embedded(self, windows: list[bytes], walk: int) -> np.ndarray:
+    def embedded(self, windows: list[bytes], walk: int, steps: int) -> np.ndarray:
         n = len(windows)
-        width = max(1, max(map(len, windows)))
-        letters = np.zeros((n, width + 1), np.uint8)
-        for i, w in enumerate(windows):
-            letters[i, : len(w)] = np.frombuffer(w, np.uint8)
-        flat, base = letters.reshape(-1), np.arange(n) * (width + 1)
-        steps = min(2 * self.longest, self.moves.shape[1])
-        out, at = np.zeros((steps, n), np.uint8), np.zeros(n, np.int64)
+        width = 1 + max(map(len, windows))
+        flat = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in windows), np.uint8)
+        at = np.arange(n) * width
+        out = np.empty((steps, n), np.uint8)
         for j in range(steps):
-            c = flat[base + at]
-            out[j] = c
-            at += self.moves[walk, j][c]
-            np.minimum(at, width, out=at)
+            c = flat.take(at, out=out[j])
+            at += self.moves[walk, j].take(c)
         return out
 
     def sampled(self, windows: list[bytes], targets: np.ndarray) -> np.ndarray:
-        windows = [w[: self.reach[t]] for w, t in zip(windows, targets, strict=True)] if hasattr(self, "symbols") else windows
+        windows = [w[: self.reach[t]] for w, t in zip(windows, targets.tolist(), strict=True)]
+        steps = 2 * int(self.reach[targets].max(initial=1))
         row = np.arange(len(windows))[:, None, None]
-        return np.stack([self.embedded(windows, t)[self.places[targets, t], row] for t in range(WALKS)], axis=1)
+        return np.stack([self.embedded(windows, t, steps)[self.places[targets, t], row] for t in range(WALKS)], axis=1)
 
     def candidates(self, windows: list[bytes], targets: np.ndarray) -> np.ndarray:
         """Which windows agree with their target in all sampled places of some band."""
-        return (self.sampled(windows, targets) == self.symbols[targets]).all(axis=3).any(axis=(1, 2))
+        out = np.zeros(len(windows), bool)
+        order = np.argsort(self.reach[targets], kind="stable")
+        for low in range(0, len(order), WINDOWS):
+            own = order[low : low + WINDOWS]
+            found = self.sampled([windows[i] for i in own.tolist()], targets[own])
+            out[own] = (found == self.symbols[targets[own]]).all(axis=3).any(axis=(1, 2))
+        return out
 
     def distance(self, words: list[str], p: int, target: int) -> int | None:
         """Edits between the item and the text around the anchor, or None beyond the limit."""
@@ -179,7 +185,7 @@ class Items:
                 for t in self.of_word[own[p]]:
                     held.append((d, p, t))
                     windows.append(self.window(own, p, t))
-                    if len(held) >= WINDOWS:
+                    if len(held) >= HELD:
                         look()
                         lists[d] = own
         look()
