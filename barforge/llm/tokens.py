@@ -14,19 +14,34 @@ index. What a worker remembers is bounded by MOST_CHUNKS and forgotten beyond.
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 600_000
+MOST_CHUNKS = 1_000_000
 #: White space beyond single spaces and newlines, as a pattern over whole texts.
 ODD_SPACE = (
     r"[\t\r\f\v\x00\x1c-\x1f]|[ \n][ \n]|\A[ \n]|[ \n]\z|"
     r"[\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+#: Chunks of one word of Latin letters and the punctuation after it: two pre-tokens at most,
+#: whose spelling normalisation does not change but for case.
+PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies spell printable bytes as themselves, the others from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+LETTERS = byte_letters()
+
 
 class ChunkEncoder:
     def __init__(self, path: str) -> None:
@@ -36,18 +51,43 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.bytes_kind = (shape.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+        self.model = self.tokenizer.model
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
+        self.marks: dict[str, list[int]] = {}
         self.first, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.pool, self.filled = np.zeros(1 << 14, np.uint32), 0
 
     def library(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _word(self, word: str) -> list[int]:
+        """The library's merges of one pre-token."""
+        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(LETTERS))]
+
     def _learn(self, new: list[str]) -> None:
-        """Encode many chunks as one text and give each chunk the tokens that start in it."""
+        """Encode chunks: plain words by the library's model, others by the whole library.
+
+        The latter are encoded as one text, and each gets the tokens that start in it.
+        """
+        plain, ids, counts, others = [], [], [], []
+        for c in new:
+            m = PLAIN.fullmatch(c)
+            if m is None or (m[1] and not self.bytes_kind):
+                others.append(c)
+                continue
+            own = self._word(m[1] + m[2]) if self.bytes_kind else self._word(m[2].lower())
+            if m[3]:
+                if m[3] not in self.marks:
+                    self.marks[m[3]] = self._word(m[3])
+                own += self.marks[m[3]]
+            plain.append(c)
+            ids += own
+            counts.append(len(own))
+        self._store(plain, np.array(ids, np.uint32), np.array(counts, np.int64))
+        new = others
         for at in range(0, len(new), 4000):
             part = new[at : at + 4000]
             lone = [c for c in part if c == "\n"]
