@@ -34,7 +34,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     The two star operations alternate until the edges are stars around the roots, which
     takes a number of rounds logarithmic in the size of a component. Edges with a null
     end and loops are ignored; no edges give no rows. Nothing but two numbers a round
-    reaches the driver; each round's edges are written to the shared folder.
+    reaches the driver; each round's edges are written to the shared folder, and the last
+    ones go when the result is discarded.
     """
     proper = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     table = stash(proper.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
@@ -48,6 +49,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if now == before:
             break
         before = now
-    return table.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(
+    out = table.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(
         table.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
     )
+    out._barforge_path = table._barforge_path  # for discard(), once the result is stored
+    return out

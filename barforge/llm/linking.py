@@ -34,7 +34,7 @@ from .shared import discard, respread, stash
 #: texts -> (flat shingle hashes, offsets)
 Shingler = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
-MOST_NODES, MOST_SHINGLES, RARE = 512, 1 << 20, 64
+MOST_NODES, MOST_SHINGLES, RARE = 2048, 1 << 22, 64
 COLUMNS = 2048
 
 
@@ -53,21 +53,24 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     owner, place = owner[keep], column[place[keep]]
     order = np.argsort(place, kind="stable")
     owner, place = owner[order], place[order]
-    met = np.zeros((len(sets), len(sets)), np.float64)
+    met = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers, exact below 2**24
     total = int(shared.sum())
     for low in range(0, total, COLUMNS):
         a, b = np.searchsorted(place, (low, low + COLUMNS))
         block = np.zeros((len(sets), min(COLUMNS, total - low)), np.float32)
         block[owner[a:b], place[a:b] - low] = 1
         met += block @ block.T
-    return met.astype(np.int64)
+    return met.astype(np.int32)
 
 
 def roots_in_memory(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     """For each set the first set of its component."""
     size = np.array([len(s) for s in sets], np.int64)
     met = common_counts(sets)
-    return spanned(_reaches(met, size[:, None] + size[None, :] - met, num, den))
+    linked = np.empty(met.shape, bool)
+    for i, row in enumerate(met):
+        linked[i] = _reaches(row.astype(np.int64), size[i] + size - row, num, den)
+    return spanned(linked)
 
 
 def signatures_meet(sigs: np.ndarray, t: float) -> np.ndarray:
@@ -124,9 +127,9 @@ def stars(key: np.ndarray, h: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarra
 def spanned(linked: np.ndarray) -> np.ndarray:
     """For each row of a symmetric 0-1 matrix the first row of its component."""
     n = len(linked)
-    root = np.arange(n)
+    root = np.arange(n, dtype=np.int32)
     while True:
-        new = np.minimum(root, np.where(linked, root[None, :], n).min(axis=1))
+        new = np.minimum(root, np.where(linked, root[None, :], np.int32(n)).min(axis=1))
         new = new[new]
         if (new == root).all():
             return root
@@ -188,7 +191,9 @@ def bucket_links(marked: DataFrame) -> DataFrame:
     ends = found.filter("key is not null").select("key", "a")
     least = ends.groupBy(*respread("key")).agg(F.min("a").alias("b")).select("key", "b")
     across = ends.join(least, "key").filter("a <> b").select("a", "b")
-    return found.filter("key is null").select("a", "b").union(across).distinct()
+    out = found.filter("key is null").select("a", "b").union(across).distinct()
+    out._barforge_path = found._barforge_path
+    return out
 
 
 def similarity_classes(marked: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingler: Shingler, num: int, den: int = 100) -> DataFrame:
@@ -201,14 +206,20 @@ def similarity_classes(marked: DataFrame, fetch: Callable[[DataFrame], DataFrame
     element in common. Two texts with the same h only share a group. An empty table gives
     no rows.
     """
-    groups = stash(components(bucket_links(marked), "a", "b").select(F.col("node").alias("h"), F.col("root").alias("g")), "groups")
+    links = bucket_links(marked)
+    joined = components(links, "a", "b")
+    discard(links)
+    groups = stash(joined.select(F.col("node").alias("h"), F.col("root").alias("g")), "groups")
+    discard(joined)
     one = F.min(F.struct("doc_id", "place", "n_shingles", "sig")).alias("v")
     slim = marked.filter("size(keys) > 0").select("id", "h", "doc_id", "place", "n_shingles", "sig")
     known = slim.join(groups, "h").groupBy("id", "g").agg(one).select("g", "id", "v.*")
     known = stash(known, "known")
+    discard(groups)
     sums = known.groupBy(*respread("g")).agg(F.count("*").alias("n"), F.sum("n_shingles").alias("m"))
     sums = sums.filter("n > 1").select("g", F.expr(f"n <= {MOST_NODES} and m <= {MOST_SHINGLES}").alias("small"))
     texts = stash(fetch(known.join(sums, "g")), "texts")
+    discard(known)
 
     def settled(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,13 +45,19 @@ def stash(df: DataFrame, label: str) -> DataFrame:
 
 
 def discard(df: DataFrame | None) -> None:
-    """Delete a stashed table that nothing will read again."""
+    """Delete a stashed table that nothing will read again, and let go of finished shuffles.
+
+    Spark keeps the shuffle files of a finished query until the driver's JVM collects the
+    query's objects, which on a quiet driver may be never; iterations would pile them up.
+    """
     path = getattr(df, "_barforge_path", None)
     if path is None:
         return
     spark = df.sparkSession
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def respread(*keys: str):

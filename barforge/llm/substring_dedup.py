@@ -55,9 +55,15 @@ def fetch_parts(docs: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """From (doc_id, place, id) to the line at that place, if it is the text with that id."""
 
     def fetch(wanted: DataFrame) -> DataFrame:
+        # a document is joined and split once for all its lines
+        rest = [c for c in wanted.columns if c != "doc_id"]
+        lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*rest)).alias("_all"))
         whole = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"))
-        found = wanted.join(whole, F.col("doc_id").eqNullSafe(F.col("_doc")))
-        found = found.withColumn("text", F.get(F.split("_text", "\n", -1), F.col("place"))).drop("_doc", "_text")
+        found = lists.join(whole, F.col("doc_id").eqNullSafe(F.col("_doc")))
+        lines = F.array(F.split("_text", "\n", -1))
+        # bound by a lambda, the lines are not split again for each wanted one
+        each = F.element_at(F.transform(lines, lambda ls: F.transform("_all", lambda x: F.struct(x.alias("x"), F.get(ls, x["place"]).alias("text")))), 1)
+        found = found.select("doc_id", F.explode(each).alias("e")).select("doc_id", "e.x.*", "e.text")
         return found.filter(F.unhex(F.md5("text")) == F.col("id")).dropDuplicates(["id"])
 
     return fetch
