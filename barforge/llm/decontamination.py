@@ -23,10 +23,13 @@ from pyspark.sql import functions as F
 
 from .words import slices
 
-ANCHORS = 8
-#: Of windows with an edit in every twentieth character nearly all agree in some band; of
-#: windows that only share the anchor one in some thirty does, and is verified in vain.
-WALKS, BANDS, SAMPLED = 4, 8, 4
+#: An item's anchors are its ANCHORS rarest words and all words of at most COMMON items.
+#: Target: of passages of 15 words or more with edits scattered over characters, at least 95 in
+#: a hundred are found right up to MOST_EDITS, and 98 in a hundred up to three quarters of it.
+ANCHORS, COMMON = 8, 2
+#: A window of a passage agrees in some band with good odds at each anchor that is left; of
+#: windows that only share the anchor one in some eight does, and is mostly dismissed by pieces.
+WALKS, BANDS, SAMPLED = 4, 32, 4
 #: Share of an item's characters that may be edited.
 MOST_EDITS = 0.2
 #: Text of the items that one pass over the documents looks for.
@@ -65,6 +68,39 @@ def infix_distance(pattern: str, text: str) -> int:
     return best
 
 
+def least_distances(patterns: list[str], texts: list[str]) -> np.ndarray:
+    """A lower bound of ``infix_distance`` for each pattern and text, many at once.
+
+    A pattern is cut into pieces of up to 64 characters, whose own least distances add up to
+    no more than the whole's. Characters count as equal if their lowest bytes are.
+    """
+    cut = [[p[i : i + 64] for i in range(0, len(p), 64)] for p in patterns]
+    owner = np.repeat(np.arange(len(cut)), [len(x) for x in cut])
+    pieces = [x for own in cut for x in own]
+    codes = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) & 255 for x in texts]
+    grid = np.zeros((max(map(len, codes), default=0), len(texts)), np.intp)
+    for i, c in enumerate(codes):
+        grid[: len(c), i] = c
+    known = {x: i for i, x in enumerate(dict.fromkeys(pieces))}
+    at = np.zeros((len(known), 256), np.uint64)
+    for x, i in known.items():
+        c = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) & 255
+        np.bitwise_or.at(at[i], c, np.uint64(1) << np.arange(len(c), dtype=np.uint64))
+    flat, row = at.reshape(-1), np.array([known[x] for x in pieces], np.intp) * 256
+    score = np.array([len(x) for x in pieces], np.int64)
+    top, one = (score - 1).astype(np.uint64), np.uint64(1)
+    up, down, best = np.full(len(pieces), 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(len(pieces), np.uint64), score.copy()
+    for symbols in grid:
+        eq = flat[row + symbols[owner]]
+        d0 = (((eq & up) + up) ^ up) | eq | down
+        right, left = down | ~(d0 | up), up & d0
+        score += ((right >> top) & one).astype(np.int64) - ((left >> top) & one).astype(np.int64)
+        np.minimum(best, score, out=best)
+        right, left = right << one, left << one
+        up, down = left | ~(d0 | right), right & d0
+    return np.bincount(owner, best, len(patterns)).astype(np.int64)
+
+
 class Items:
     """The anchors of a block of items and what their windows' embeddings hold."""
 
@@ -77,7 +113,8 @@ class Items:
         self.targets: list[tuple[int, int]] = []  # item, place of the anchor
         self.of_word: dict[str, list[int]] = {}
         for k, words in enumerate(self.words):
-            chosen = sorted(range(len(words)), key=lambda a: (seen[words[a]], -len(words[a]), a))[:ANCHORS]
+            chosen = sorted(range(len(words)), key=lambda a: (seen[words[a]], -len(words[a]), a))
+            chosen = [a for n, a in enumerate(chosen) if n < ANCHORS or seen[words[a]] <= COMMON]
             for a in sorted(chosen):
                 self.of_word.setdefault(words[a], []).append(len(self.targets))
                 self.targets.append((k, a))
@@ -130,13 +167,23 @@ class Items:
             out[own] = (found == self.symbols[targets[own]]).all(axis=3).any(axis=(1, 2))
         return out
 
-    def distance(self, words: list[str], p: int, target: int) -> int | None:
-        """Edits between the item and the text around the anchor, or None beyond the limit."""
+    def around(self, words: list[str], p: int, target: int) -> str:
+        """The text around the anchor that may hold the item."""
         k, a = self.targets[target]
         n = len(self.words[k])
         slack = max(2, n // 5)
-        found = infix_distance(self.texts[k], " ".join(words[max(0, p - a - slack) : p - a + n + slack]))
-        return found if found <= self.most_edits * len(self.texts[k]) else None
+        return " ".join(words[max(0, p - a - slack) : p - a + n + slack])
+
+    def near(self, held: list[tuple[int, int, int]], lists: dict[int, list[str]]) -> Iterator[tuple[int, int, str]]:
+        """(text, item, stretch) for those of ``held`` that pieces of the item do not rule out."""
+        own = [(d, self.targets[t][0], self.around(lists[d], p, t)) for d, p, t in held]
+        own = sorted(dict.fromkeys(own), key=lambda x: len(x[2]))
+        for low in range(0, len(own), WINDOWS):
+            part = own[low : low + WINDOWS]
+            least = least_distances([self.texts[k] for _, k, _ in part], [text for _, _, text in part])
+            for x, n in zip(part, least.tolist(), strict=True):
+                if n <= self.most_edits * len(self.texts[x[1]]):
+                    yield x
 
     def scan(self, texts: pa.Array) -> list[dict[int, int]]:
         """For each text, item id -> least distance of the items found in it."""
@@ -160,13 +207,13 @@ class Items:
         def look() -> None:
             if held:
                 targets = np.array([t for _, _, t in held])
-                for i in np.flatnonzero(self.candidates(windows, targets)).tolist():
-                    d, p, t = held[i]
-                    item = self.ids[self.targets[t][0]]
+                chosen = [held[i] for i in np.flatnonzero(self.candidates(windows, targets)).tolist()]
+                for d, k, text in self.near(chosen, lists):
+                    item = self.ids[k]
                     if out[d].get(item) == 0:
                         continue
-                    found = self.distance(lists[d], p, t)
-                    if found is not None and found < out[d].get(item, 1 << 30):
+                    found = infix_distance(self.texts[k], text)
+                    if found <= self.most_edits * len(self.texts[k]) and found < out[d].get(item, 1 << 30):
                         out[d][item] = found
             held.clear()
             windows.clear()
