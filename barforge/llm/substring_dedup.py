@@ -1,4 +1,4 @@
-"""Paragraphs that repeat, exactly or nearly, by MinHash banding."""
+"""Paragraphs that repeat, exactly or nearly, by MinHash banding; passages that repeat anywhere."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .linking import MARKED, placed_classes, similarity_classes
 from .near_dedup import signed, word_shingler
+from .passages import repeated_passages
 from .shared import stash
 from .words import MinHash, slices
 
@@ -20,6 +21,8 @@ from .words import MinHash, slices
 BANDS, ROWS = 12, 3
 #: Paragraphs with fewer words are left alone: greetings, headings, notices.
 LEAST_WORDS = 30
+#: A passage of so many words is found wherever it begins, in lines of any length.
+LEAST_PASSAGE = 50
 
 
 def parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -77,17 +80,21 @@ def repeated_parts(docs: DataFrame, marked: DataFrame, classes: DataFrame) -> Da
     return out.select("doc_id", "place", "first_doc", "first_place", "n", kept.alias("kept"))
 
 
-def substring_dedup(docs: DataFrame, num: int = 80, den: int = 100, least_words: int = LEAST_WORDS) -> DataFrame:
-    """Paragraphs of at least ``least_words`` words that occur more than once, exactly or nearly.
+def substring_dedup(docs: DataFrame, num: int = 80, den: int = 100, least_words: int = LEAST_WORDS, least_passage: int = LEAST_PASSAGE) -> DataFrame:
+    """Paragraphs that occur more than once, exactly or nearly, and passages, word for word.
 
     docs: doc_id, text; other columns are ignored. A paragraph is what stands between
-    newlines. Two are linked if the Jaccard similarity of their 5-word shingle sets is at
+    newlines and has at least ``least_words`` words. Two are linked if the Jaccard similarity of their 5-word shingle sets is at
     least num / den, after banding and exact verification; a component's first occurrence,
     by doc_id and place, is kept and the others are to be removed.
 
     Returns a row for each occurrence in a component with several: doc_id, paragraph (place
     among the text's paragraphs, from 0), component_doc, component_paragraph (the kept
-    occurrence), occurrences, kept. Null and empty texts have no paragraphs; a null doc_id
+    occurrence), occurrences, kept; word, words and component_word are null there. Passages
+    of ``least_passage`` words or more have rows of their own (see repeated_passages), with
+    the first word's place among the text's words and their number: they may begin in the
+    middle of a line or go over several, short ones too. What only occurs in equal paragraphs
+    has no such row. Null and empty texts have no paragraphs; a null doc_id
     stands after all others; a row that repeats with its doc_id repeats its paragraphs, of
     which the kept ones are then marked in each copy. An empty table gives no rows.
     """
@@ -100,4 +107,6 @@ def substring_dedup(docs: DataFrame, num: int = 80, den: int = 100, least_words:
     marked = marked_parts(docs, long_enough, lambda lines: signed(lines, family), "paragraphs", 8 << 20)
     classes = stash(similarity_classes(marked, fetch_parts(docs), word_shingler, num, den), "linked")
     found = repeated_parts(docs, marked, classes)
-    return found.select("doc_id", F.col("place").alias("paragraph"), F.col("first_doc").alias("component_doc"), F.col("first_place").alias("component_paragraph"), F.col("n").alias("occurrences"), "kept")
+    none = (F.lit(None).cast("int").alias(c) for c in ("word", "words", "component_word"))
+    whole = found.select("doc_id", F.col("place").alias("paragraph"), F.col("first_doc").alias("component_doc"), F.col("first_place").alias("component_paragraph"), F.col("n").alias("occurrences"), "kept", *none)
+    return whole.union(repeated_passages(docs, least_passage, least_words))
