@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import similarity_classes
-from .shared import stash
+from .shared import stash, with_keys
 from .substring_dedup import fetch_parts, marked_parts, repeated_parts
 from .words import ODD, MinHash, list_column, mixed
 
@@ -90,15 +90,17 @@ def without_repeated_lines(docs: DataFrame, num: int = 80, den: int = 100) -> Da
     """``docs`` with all their columns, less the lines that line_dedup does not keep.
 
     n_chars, where there is such a column, is counted anew for texts that change. A document
-    of which no line is left goes; one that had none stays.
+    of which no line is left goes; one that had none stays. Rows with a null doc_id, or with
+    one that repeats, are documents of their own.
     """
-    gone = line_dedup(docs, num, den).filter("not kept").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("_gone"))
+    keyed = with_keys(docs)
+    gone = line_dedup(keyed.select(F.col("_key").alias("doc_id"), "text"), num, den).filter("not kept").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("_gone"))
     gone = stash(gone, "gone")
     # bound by a lambda, the text is split once for a row
     lines = F.array(F.split("text", "\n", -1))
     left = F.element_at(F.transform(lines, lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_gone")), lambda i: F.get(ls, i))), 1)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    both = docs.select(row, F.col("doc_id").cast("long").alias("_own"), "text").join(gone, F.col("_own").eqNullSafe(F.col("_doc")), "left")
+    both = keyed.select(row, "_key", "text").join(gone, F.col("_key") == F.col("_doc"), "left")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     both = both.select("_row", F.col("_gone").isNull().alias("_same"), text.alias("_text"))
     both = both.filter(F.col("_same") | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))

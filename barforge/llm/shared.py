@@ -70,5 +70,18 @@ def respread(*keys: str):
     return [*map(F.col, keys), F.xxhash64(*keys).alias("_spread")]
 
 
+def with_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with a column _key that is null in no row and the same in no two.
+
+    It is the doc_id where that is so already. Else rows are numbered in the order of doc_id,
+    nulls last, and written once, so that every reader sees the same numbers.
+    """
+    key = F.col("doc_id").cast("long")
+    if docs.select(key.alias("k")).groupBy("k").count().filter("k is null or count > 1").isEmpty():
+        return docs.withColumn("_key", key)
+    order = key.asc_nulls_last(), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    return stash(docs.orderBy(*order).withColumn("_key", F.monotonically_increasing_id()), "keys")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -17,7 +17,7 @@ from barforge.llm.line_dedup import without_repeated_lines
 from barforge.llm.near_dedup import near_duplicates
 from barforge.llm.packing import pack
 from barforge.llm.quality_rules import keep_good
-from barforge.llm.shared import stash
+from barforge.llm.shared import stash, with_keys
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,8 +34,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies at a similarity of 0.8 or more."""
-    gone = near_duplicates(docs, 80, 100).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    keyed = with_keys(docs)
+    gone = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), 80, 100).filter("not kept").select(F.col("doc_id").alias("_gone"))
+    return keyed.join(gone, F.col("_key") == F.col("_gone"), "left_anti").drop("_key")
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
