@@ -3,16 +3,16 @@
 The CGK random walk reads a string with one pointer: at step j it writes the character under
 the pointer and moves on if a random function of j and that character says so. Strings at
 small edit distance walk into step again, so their embeddings differ in few places, and
-samples of places agree with good odds. Walks must begin together: a window begins at a word
-that is an anchor of an item, and reads as far as the item reaches from there, forward for
-anchors in the item's first half, else backward, so that every window has at least half the
-item's size. An edit loses the anchors it touches; an item has several.
+samples of places agree with good odds. Walks must begin together: a window begins at eight
+bytes of the text that are an anchor of an item, and reads as far as the item reaches from
+there, forward for anchors in the item's first half, else backward, so that every window has
+at least half the item's size. An edit loses the anchors it touches; an item has several.
 """
 
 from __future__ import annotations
 
 import string
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,26 +21,50 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import slices
+from .words import ODD, slices
 
-#: An item's anchors are its ANCHORS rarest words and all words of at most COMMON items.
-#: Target: of passages of 15 words or more with edits scattered over characters, at least 95 in
-#: a hundred are found right up to MOST_EDITS, and 98 in a hundred up to three quarters of it.
-ANCHORS, COMMON = 8, 2
+#: An item's anchors: the ANCHORS runs of GRAM bytes that are least likely by the benchmark's own
+#: letters, begun at least APART bytes from each other. Items too short for three such runs have
+#: shorter ones. Target: of passages of 15 words or more with edits scattered over characters, at
+#: least 95 in a hundred are found right up to MOST_EDITS, 98 in a hundred up to three quarters.
+ANCHORS, GRAM, APART = 24, 8, 3
 #: A window of a passage agrees in some band with good odds at each anchor that is left; of
 #: windows that only share the anchor one in some eight does, and is mostly dismissed by pieces.
 WALKS, BANDS, SAMPLED = 4, 32, 4
+#: Steps of a walk before its random functions are used again.
+STEPS = 1024
 #: Share of an item's characters that may be edited.
 MOST_EDITS = 0.2
 #: Text of the items that one pass over the documents looks for.
-BLOCK_BYTES = 16 << 20
-#: Windows that wait for each other, and that are walked at once, those of like reach together.
-HELD, WINDOWS = 16_384, 2048
+BLOCK_BYTES = 4 << 20
+#: Anchors met that wait for each other, and windows walked at once, those of like reach together.
+HELD, WINDOWS = 1 << 15, 2048
+#: Bytes of stretches that are compared with their items at once.
+GRID = 1 << 21
 EDGES = string.punctuation + string.whitespace + "«»“”„‘’…–—¿¡"
 
 
-def plain(word: str) -> str:
-    return word.lower().strip(EDGES)
+def streams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts, lower-cased and without outer punctuation, each after a space.
+
+    One run of UTF-8 bytes, and where each text begins in it, with the end behind.
+    """
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    offsets = split.offsets.to_numpy().astype(np.int64)
+    coded = split.flatten().dictionary_encode()
+    words = pc.utf8_trim(pc.utf8_lower(coded.dictionary), characters=EDGES)
+    words = pc.if_else(pc.equal(words, ""), "", pc.binary_join_element_wise("", words, " "))
+    whole = words.take(coded.indices)
+    if not len(whole):
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    borders = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset : whole.offset + len(whole) + 1].astype(np.int64)
+    data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[borders[0] : borders[-1]]
+    return data, (borders - borders[0])[offsets - offsets[0]]
+
+
+def plain(text: str | None) -> str:
+    """A text's words as they are compared."""
+    return streams(pa.array([text], pa.string()))[0].tobytes().decode()[1:]
 
 
 def infix_distance(pattern: str, text: str) -> int:
@@ -78,7 +102,7 @@ def least_distances(patterns: list[str], texts: list[str]) -> np.ndarray:
     owner = np.repeat(np.arange(len(cut)), [len(x) for x in cut])
     pieces = [x for own in cut for x in own]
     codes = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) & 255 for x in texts]
-    grid = np.zeros((max(map(len, codes), default=0), len(texts)), np.intp)
+    grid = np.zeros((max(map(len, codes), default=0), len(texts)), np.uint8)
     for i, c in enumerate(codes):
         grid[: len(c), i] = c
     known = {x: i for i, x in enumerate(dict.fromkeys(pieces))}
@@ -101,141 +125,184 @@ def least_distances(patterns: list[str], texts: list[str]) -> np.ndarray:
     return np.bincount(owner, best, len(patterns)).astype(np.int64)
 
 
+def gram_sizes(length: int) -> int:
+    """Bytes of the anchors of an item of so many bytes."""
+    return GRAM if length >= 3 * GRAM else GRAM // 2 if length >= 3 * GRAM // 2 else 2
+
+
+def likelihoods(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By counts of all bytes, the logarithm of how likely each two are, and each after the two before it."""
+    if len(data) < 3:
+        return np.zeros(len(data)), np.zeros(len(data))
+    three = (data[:-2].astype(np.int64) << 16) | (data[1:-1].astype(np.int64) << 8) | data[2:]
+    _, of_three, n = np.unique(three, return_inverse=True, return_counts=True)
+    _, of_two, m = np.unique(three >> 8, return_inverse=True, return_counts=True)
+    return np.append(np.log(m[of_two] / len(three)), (0.0, 0.0)), np.append((0.0, 0.0), np.log(n[of_three] / m[of_two]))
+
+
+class Grams:
+    """Runs of ``size`` bytes, each with the anchors that it stands for."""
+
+    def __init__(self, size: int, grams: np.ndarray, targets: np.ndarray) -> None:
+        order = np.argsort(grams, kind="stable")
+        self.size, self.targets = size, targets[order]
+        self.known, self.first = np.unique(grams[order], return_index=True)
+        self.end = np.append(self.first[1:], len(grams))
+        self.bits = np.uint64(64 - min(24, 8 + max(8, int(len(self.known)).bit_length())))
+        self.table = np.zeros(1 << (64 - int(self.bits)), bool)
+        self.table[self.slots(self.known)] = True
+
+    def slots(self, grams: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (grams * ODD) >> self.bits
+
+    def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``data``, anchor) wherever the bytes of an anchor stand."""
+        raw, places, anchors = data.tobytes(), [], []
+        for j in range(min(self.size, max(0, len(data) - self.size + 1))):
+            grams = np.frombuffer(raw, f"<u{self.size}", (len(raw) - j) // self.size, j).astype(np.uint64, copy=False)
+            at = np.flatnonzero(self.table[self.slots(grams)])
+            k = np.minimum(np.searchsorted(self.known, grams[at]), len(self.known) - 1)
+            real = self.known[k] == grams[at]
+            at, k = at[real], k[real]
+            n = self.end[k] - self.first[k]
+            places.append(np.repeat(at * self.size + j, n))
+            begins = np.cumsum(n) - n
+            anchors.append(self.targets[np.repeat(self.first[k] - begins, n) + np.arange(n.sum())])
+        if not places:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate(places), np.concatenate(anchors)
+
+
 class Items:
-    """The anchors of a block of items and what their windows' embeddings hold."""
+    """The anchors of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str | None]], most_edits: float = MOST_EDITS, seed: int = 5) -> None:
+    def __init__(self, items: list[tuple[int | None, str | None]], most_edits: float = MOST_EDITS, seed: int = 5) -> None:
         self.most_edits = most_edits
+        self.data, self.begin = streams(pa.array([t for _, t in items], pa.string()))
         self.ids = [i for i, _ in items]
-        self.words = [[w for w in map(plain, (t or "").split()) if w] for _, t in items]
-        self.texts = [" ".join(w) for w in self.words]
-        seen = Counter(w for words in self.words for w in set(words))
-        self.targets: list[tuple[int, int]] = []  # item, place of the anchor
-        self.of_word: dict[str, list[int]] = {}
-        for k, words in enumerate(self.words):
-            chosen = sorted(range(len(words)), key=lambda a: (seen[words[a]], -len(words[a]), a))
-            chosen = [a for n, a in enumerate(chosen) if n < ANCHORS or seen[words[a]] <= COMMON]
-            for a in sorted(chosen):
-                self.of_word.setdefault(words[a], []).append(len(self.targets))
-                self.targets.append((k, a))
-        own = [self.window(self.words[k], a, t) for t, (k, a) in enumerate(self.targets)]
-        self.reach = np.array([len(w) for w in own], np.int64)
+        self.texts = [self.data[a:b].tobytes().decode()[1:] for a, b in zip(self.begin[:-1], self.begin[1:], strict=True)]
+        two, after = likelihoods(self.data)
+        upto = np.concatenate(([0.0], np.cumsum(after)))
+        item, offset, sizes, grams = [], [], [], []
+        for k, (a, b) in enumerate(zip(self.begin[:-1].tolist(), self.begin[1:].tolist(), strict=True)):
+            size = gram_sizes(b - a)
+            likely = two[a : b - size + 1] + upto[a + size : b + 1] - upto[a + 2 : b - size + 3]
+            barred = bytearray(b - a + 2 * APART)
+            chosen = 0
+            for o in np.argsort(likely, kind="stable").tolist():
+                if not barred[o] and chosen < ANCHORS:
+                    # from o - APART + 1 to o + APART - 1; what would be before the start is at the end
+                    for x in range(1 - APART, APART):
+                        barred[o + x] = 1
+                    chosen += 1
+                    item.append(k)
+                    offset.append(o)
+                    sizes.append(size)
+                    grams.append(int.from_bytes(self.data[a + o : a + o + size].tobytes(), "little"))
+        self.item, self.offset, self.size = (np.array(x, np.int64) for x in (item, offset, sizes))
+        grams = np.array(grams, np.uint64)
+        self.grams = [Grams(n, grams[self.size == n], np.flatnonzero(self.size == n)) for n in np.unique(self.size).tolist()]
+        length = np.diff(self.begin)[self.item]
+        self.backward = 2 * self.offset >= length
+        self.reach = np.where(self.backward, self.offset + self.size, length - self.offset)
         rng = np.random.default_rng(seed)
-        self.longest = int(self.reach.max(initial=1))
-        self.moves = rng.integers(0, 2, (WALKS, 2 * self.longest, 256), dtype=np.uint8).astype(np.int64)
+        self.moves = rng.integers(0, 2, (WALKS, STEPS, 256), dtype=np.uint8)
         self.moves[:, :, 0] = 0  # a walk stays at its window's end
-        shares = rng.random((WALKS, BANDS, SAMPLED))
+        self.shares = rng.random((WALKS, BANDS, SAMPLED))
+
+    def windows(self, data: np.ndarray, place: np.ndarray, target: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The bytes that walks from anchors at ``place`` read, a row each, zero beyond the text or the item."""
+        width = 1 + int(self.reach[target].max())
+        back = self.backward[target]
+        start = np.where(back, place + self.size[target] - 1, place)
+        at = start[:, None] + np.where(back, -1, 1)[:, None] * np.arange(width)
+        inside = (np.arange(width) < self.reach[target, None]) & (at >= low[:, None]) & (at < high[:, None])
+        return np.where(inside, data[np.where(inside, at, 0)], 0)
+
+    def sampled(self, windows: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """What the walks of each window have at the places that its anchor's bands sample."""
+        n, width = windows.shape
+        flat, row = windows.reshape(-1), np.arange(n)
+        steps = 2 * int(self.reach[target].max())
         # a walk of 2 L steps passes a window of L characters on average
-        self.places = (shares[None] * (2 * self.reach)[:, None, None, None]).astype(np.int32)
-        self.symbols = np.zeros((len(own), WALKS, BANDS, SAMPLED), np.uint8)
-        for low in range(0, len(own), WINDOWS):
-            which = np.arange(low, min(len(own), low + WINDOWS))
-            self.symbols[which] = self.sampled([own[t] for t in which], which)
-
-    def window(self, words: list[str], p: int, target: int) -> bytes:
-        """The string that the walk of a target reads if its anchor is word ``p`` of ``words``."""
-        k, a = self.targets[target]
-        item = self.words[k]
-        if 2 * a < len(item):
-            return " ".join(words[p : p + len(item) - a]).encode()
-        return " ".join(words[max(0, p - a) : p + 1]).encode()[::-1]
-
-    def embedded(self, windows: list[bytes], walk: int, steps: int) -> np.ndarray:
-        n = len(windows)
-        width = 1 + max(map(len, windows))
-        flat = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in windows), np.uint8)
-        at = np.arange(n) * width
-        out = np.empty((steps, n), np.uint8)
-        for j in range(steps):
-            c = flat.take(at, out=out[j])
-            at += self.moves[walk, j].take(c)
+        places = (self.shares[None] * (2 * self.reach[target])[:, None, None, None]).astype(np.int32)
+        out = np.empty((n, WALKS, BANDS, SAMPLED), np.uint8)
+        written = np.empty((steps, n), np.uint8)
+        for walk in range(WALKS):
+            at = row * width
+            for j in range(steps):
+                c = flat.take(at, out=written[j])
+                at += self.moves[walk, j % STEPS].take(c)
+            out[:, walk] = written[places[:, walk], row[:, None, None]]
         return out
 
-    def sampled(self, windows: list[bytes], targets: np.ndarray) -> np.ndarray:
-        windows = [w[: self.reach[t]] for w, t in zip(windows, targets.tolist(), strict=True)]
-        steps = 2 * int(self.reach[targets].max(initial=1))
-        row = np.arange(len(windows))[:, None, None]
-        return np.stack([self.embedded(windows, t, steps)[self.places[targets, t], row] for t in range(WALKS)], axis=1)
-
-    def candidates(self, windows: list[bytes], targets: np.ndarray) -> np.ndarray:
-        """Which windows agree with their target in all sampled places of some band."""
-        out = np.zeros(len(windows), bool)
-        order = np.argsort(self.reach[targets], kind="stable")
-        for low in range(0, len(order), WINDOWS):
-            own = order[low : low + WINDOWS]
-            found = self.sampled([windows[i] for i in own.tolist()], targets[own])
-            out[own] = (found == self.symbols[targets[own]]).all(axis=3).any(axis=(1, 2))
+    def candidates(self, data: np.ndarray, place: np.ndarray, target: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which windows agree with their item's own in all sampled places of some band."""
+        out = np.zeros(len(place), bool)
+        order = np.lexsort((target, self.reach[target]))
+        for at in range(0, len(order), WINDOWS):
+            own = order[at : at + WINDOWS]
+            distinct, known = np.unique(target[own], return_inverse=True)
+            items = self.item[distinct]
+            there = self.begin[items] + self.offset[distinct]
+            want = self.sampled(self.windows(self.data, there, distinct, self.begin[items], self.begin[items + 1]), distinct)
+            found = self.sampled(self.windows(data, place[own], target[own], low[own], high[own]), target[own])
+            out[own] = (found == want[known]).all(axis=3).any(axis=(1, 2))
         return out
 
-    def around(self, words: list[str], p: int, target: int) -> str:
-        """The text around the anchor that may hold the item."""
-        k, a = self.targets[target]
-        n = len(self.words[k])
-        slack = max(2, n // 5)
-        return " ".join(words[max(0, p - a - slack) : p - a + n + slack])
-
-    def near(self, held: list[tuple[int, int, int]], lists: dict[int, list[str]]) -> Iterator[tuple[int, int, str]]:
-        """(text, item, stretch) for those of ``held`` that pieces of the item do not rule out."""
-        own = [(d, self.targets[t][0], self.around(lists[d], p, t)) for d, p, t in held]
-        own = sorted(dict.fromkeys(own), key=lambda x: len(x[2]))
-        for low in range(0, len(own), WINDOWS):
-            part = own[low : low + WINDOWS]
-            least = least_distances([self.texts[k] for _, k, _ in part], [text for _, _, text in part])
-            for x, n in zip(part, least.tolist(), strict=True):
-                if n <= self.most_edits * len(self.texts[x[1]]):
-                    yield x
+    def stretches(self, place: np.ndarray, target: np.ndarray, low: np.ndarray, high: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, begin, end) of what may hold the item; overlapping ones as one."""
+        item = self.item[target]
+        length = self.begin[item + 1] - self.begin[item]
+        slack = (self.most_edits * length).astype(np.int64) + GRAM
+        begin = np.maximum(low, place - self.offset[target] - slack)
+        end = np.minimum(high, place - self.offset[target] + length + slack)
+        order = np.lexsort((begin, item, owner))
+        last: list[int] | None = None
+        for d, k, a, b in zip(*(x[order].tolist() for x in (owner, item, begin, end)), strict=True):
+            if last and last[:2] == [d, k] and a < last[3]:
+                last[3] = max(last[3], b)
+                continue
+            if last:
+                yield tuple(last)
+            last = [d, k, a, b]
+        if last:
+            yield tuple(last)
+
+    def verified(self, data: np.ndarray, found: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
+        """(text, item, distance) of those stretches that hold their item."""
+        found = sorted(found, key=lambda x: x[3] - x[2])
+        while found:
+            # the longest is as long as the shortest and a quarter more, and all together not above GRID
+            longest = 5 * (found[0][3] - found[0][2]) // 4 + 64
+            n = sum(1 for x in found[: max(1, GRID // longest)] if x[3] - x[2] <= longest)
+            part, found = found[:n], found[n:]
+            texts = [data[a:b].tobytes().decode("utf-8", "ignore") for _, _, a, b in part]
+            least = least_distances([self.texts[k] for _, k, _, _ in part], texts)
+            for (d, k, _, _), text, n in zip(part, texts, least.tolist(), strict=True):
+                most = self.most_edits * len(self.texts[k])
+                if n <= most and (exact := 0 if self.texts[k] in text else infix_distance(self.texts[k], text)) <= most:
+                    yield d, k, exact
 
     def scan(self, texts: pa.Array) -> list[dict[int, int]]:
-        """For each text, item id -> least distance of the items found in it."""
+        """For each text, place of an item in the block -> least distance of the items found in it."""
         out: list[dict[int, int]] = [{} for _ in range(len(texts))]
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        offsets = split.offsets.to_numpy().astype(np.int64)
-        offsets = offsets - offsets[0]
-        coded = split.flatten().dictionary_encode()
-        if not len(coded):
-            return out
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        words = [plain(w) for w in coded.dictionary.to_pylist()]
-        anchored = np.fromiter((w in self.of_word for w in words), bool, len(words))
-        real = np.fromiter(map(bool, words), bool, len(words))
-        hits = np.flatnonzero(anchored[codes])
-        owner = np.searchsorted(offsets, hits, side="right") - 1
-        held: list[tuple[int, int, int]] = []  # text, place of the anchor among its words, target
-        windows: list[bytes] = []
-        own: list[str] = []
-
-        def look() -> None:
-            if held:
-                targets = np.array([t for _, _, t in held])
-                chosen = [held[i] for i in np.flatnonzero(self.candidates(windows, targets)).tolist()]
-                for d, k, text in self.near(chosen, lists):
-                    item = self.ids[k]
-                    if out[d].get(item) == 0:
-                        continue
-                    found = infix_distance(self.texts[k], text)
-                    if found <= self.most_edits * len(self.texts[k]) and found < out[d].get(item, 1 << 30):
-                        out[d][item] = found
-            held.clear()
-            windows.clear()
-            lists.clear()
-
-        lists: dict[int, list[str]] = {}
-        for d in np.unique(owner).tolist():
-            low, high = offsets[d], offsets[d + 1]
-            part = codes[low:high]
-            solid = real[part]
-            rank = np.cumsum(solid) - 1
-            own = [words[c] for c in part[solid].tolist()]
-            lists[d] = own
-            for hit in hits[np.searchsorted(hits, low) : np.searchsorted(hits, high)].tolist():
-                p = int(rank[hit - low])
-                for t in self.of_word[own[p]]:
-                    held.append((d, p, t))
-                    windows.append(self.window(own, p, t))
-                    if len(held) >= HELD:
-                        look()
-                        lists[d] = own
-        look()
+        data, begin = streams(texts)
+        for grams in self.grams:
+            place, target = grams.hits(data)
+            owner = np.searchsorted(begin, place, side="right") - 1
+            low, high = begin[owner], begin[owner + 1]
+            whole = place + grams.size <= high
+            place, target, owner, low, high = (x[whole] for x in (place, target, owner, low, high))
+            order = np.argsort(owner, kind="stable")
+            place, target, owner, low, high = (x[order] for x in (place, target, owner, low, high))
+            for at in range(0, len(place), HELD):
+                own = slice(at, at + HELD)
+                chosen = at + np.flatnonzero(self.candidates(data, place[own], target[own], low[own], high[own]))
+                found = list(self.stretches(place[chosen], target[chosen], low[chosen], high[chosen], owner[chosen]))
+                for d, k, n in self.verified(data, found):
+                    out[d][k] = min(n, out[d].get(k, n))
         return out
 
 
@@ -246,7 +313,7 @@ def blocks(benchmark: DataFrame, most_edits: float) -> Iterator[Items]:
     n = -(-total // BLOCK_BYTES)
     for k in range(n):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield Items(sorted(((r.item_id, r.text) for r in own.collect() if r.item_id is not None)), most_edits)
+        yield Items(sorted(((r.item_id, r.text) for r in own.distinct().collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")), most_edits)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_EDITS) -> DataFrame:
@@ -257,8 +324,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_EDITS)
     some stretch of the text is within ``most_edits`` times its length of edits.
 
     Returns a row for each input row and item found: doc_id, item_id, distance. Null and
-    empty texts and items without words give none, nor do items with a null item_id; repeated
-    rows give repeated rows; empty tables give no rows.
+    empty texts and items without words give none; an item with a null item_id gives rows
+    with a null item_id, and items with the same id but different texts a row each; an item
+    that is repeated counts once, rows of docs that are repeated give repeated rows; empty
+    tables give no rows.
     """
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     out = None
@@ -268,7 +337,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_EDITS)
             for whole in batches:
                 for low, high in slices(whole["text"]):
                     batch = whole.slice(low, high - low)
-                    found = [(doc, item, n) for doc, items in zip(batch["doc_id"].to_pylist(), block.scan(batch["text"]), strict=True) for item, n in sorted(items.items())]
+                    found = [(doc, block.ids[k], n) for doc, items in zip(batch["doc_id"].to_pylist(), block.scan(batch["text"]), strict=True) for k, n in sorted(items.items())]
                     if found:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["doc_id", "item_id", "distance"])
 
