@@ -34,9 +34,18 @@ def dense_weights(signals: DataFrame) -> DataFrame:
 def turnover(signals: DataFrame, returns: DataFrame) -> DataFrame:
     """(time_ms, turnover): what is traded at each rebalance, at the time its return is due.
 
-    A rebalance that no bar follows has no such time and is left out.
+    A held weight is compared with the symbol's own at the rebalance before; one that is gone
+    at the next rebalance is sold there. So no grid of all symbols and times is made (see
+    dense_weights). A rebalance that no bar follows has no such time and is left out.
     """
-    traded = dense_weights(signals).groupBy(AT).agg(F.sum(F.abs(F.col("target_weight") - F.col("previous_weight"))).alias("turnover"))
+    along = Window.orderBy(AT)  # a row for each rebalance
+    times = signals.select(AT).distinct().select(F.col(AT).alias("_at"), F.lag(AT).over(along).alias("_before"), F.lead(AT).over(along).alias("_after"))
+    w = Window.partitionBy("symbol").orderBy(AT)
+    own = signals.join(times, F.col(AT) == F.col("_at")).withColumns({"_last": F.lag(AT).over(w), "_weight": F.lag("target_weight").over(w), "_next": F.lead(AT).over(w)})
+    before = F.when(F.col("_last") == F.col("_before"), F.col("_weight")).otherwise(0.0)
+    sold = F.when(~F.col("_next").eqNullSafe(F.col("_after")), F.struct(F.col("_after").alias("at"), F.abs("target_weight").alias("traded")))
+    moves = own.select(F.explode(F.array(F.struct(F.col(AT).alias("at"), F.abs(F.col("target_weight") - before).alias("traded")), sold)).alias("m")).filter("m.at is not null")
+    traded = moves.groupBy(F.col("m.at").alias(AT)).agg(F.sum("m.traded").alias("turnover"))
     due = returns.filter("return_time_ms is not null").groupBy(AT).agg(F.min("return_time_ms").alias("time_ms"))
     return traded.join(due, AT).groupBy("time_ms").agg(F.sum("turnover").alias("turnover"))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,11 +13,17 @@ from barforge.schema import KEY, VALUES
 
 
 def reject_reason(step_ms: int) -> Column:
-    """The first rule that a candle breaks, or null. NaN prices are rejected as invalid_ohlc."""
+    """The first rule that a candle breaks, or null.
+
+    A candle that lacks a key or a value breaks the first, missing_value: no rule after it
+    compares with null. NaN prices are rejected as invalid_ohlc.
+    """
     o, h, lo, c = (F.col(x) for x in ("open", "high", "low", "close"))
     prices = F.isnan(o) | F.isnan(h) | F.isnan(lo) | F.isnan(c)
+    missing = reduce(or_, (F.col(x).isNull() for x in (*KEY, *VALUES)))
     return (
-        F.when(F.col("close_time_ms") != F.col("open_time_ms") + (step_ms - 1), "invalid_close_time")
+        F.when(missing, "missing_value")
+        .when(F.col("close_time_ms") != F.col("open_time_ms") + (step_ms - 1), "invalid_close_time")
         .when(F.pmod("open_time_ms", F.lit(step_ms)) != 0, "misaligned_open_time")
         .when(prices | (h < F.greatest(o, c, lo)) | (lo > F.least(o, c, h)), "invalid_ohlc")
         .when((F.col("volume") < 0) | (F.col("quote_volume") < 0), "negative_volume")
@@ -88,6 +96,23 @@ def find_gaps(accepted: DataFrame, step_ms: int) -> DataFrame:
     return pairs.select("symbol", "interval", missing.alias("missing_open_time_ms"), "previous_open_time_ms", "next_open_time_ms")
 
 
+def contiguous_from(accepted: DataFrame, starts: DataFrame, step_ms: int) -> DataFrame:
+    """(symbol, interval, last_open_time_ms): how far candles reach without a gap from where they should begin.
+
+    starts: symbol, interval, start_ms, one row each; a null or missing start is the series'
+    first candle. A series whose first candle at or after its start is not the one expected
+    there, at the start moved up to the grid, has no row: its mark may not move. One exchange
+    by series; what comes before the start is dropped ahead of the sort.
+    """
+    step = F.lit(step_ms).cast("long")
+    w = Window.partitionBy("symbol", "interval").orderBy("open_time_ms")
+    own = accepted.select("symbol", "interval", "open_time_ms").join(starts.select("symbol", "interval", "start_ms"), ["symbol", "interval"], "left")
+    own = own.filter("start_ms is null or open_time_ms >= start_ms").distinct()
+    aligned = F.coalesce(F.col("start_ms") + F.pmod(-F.col("start_ms"), step), F.first("open_time_ms").over(w))
+    run = own.withColumn("_due", aligned + (F.row_number().over(w) - 1) * step).filter("open_time_ms = _due")
+    return run.groupBy("symbol", "interval").agg(F.max("open_time_ms").alias("last_open_time_ms"))
+
+
 def contiguous_mark(accepted: DataFrame, step_ms: int, strict: bool = False) -> DataFrame:
     """One row: the least over series of how far each reaches without a gap; null if empty.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.exprs import average_rank, ratio, rows_back, with_ema
-from barforge.functions.timeframes import interval_ms, source_interval, timeframe_ms
+from barforge.functions.timeframes import day_of, interval_ms, source_interval, timeframe_ms
 from barforge.operators.bars import resample
 
 SPAN, ATR, SLOPE = 20, 14, 3
@@ -71,29 +71,49 @@ def scored(rows: DataFrame) -> DataFrame:
     return out.withColumns({"strong_rank": average_rank(F.col("strong_score"), "ts_ms").cast("long"), "weak_rank": average_rank(F.col("weak_score"), "ts_ms").cast("long")})
 
 
-def recent_times(frame: DataFrame, n: int) -> DataFrame:
-    return frame.select("ts_ms").distinct().orderBy(F.desc("ts_ms")).limit(n)
+def recent_from(times: DataFrame, n: int) -> DataFrame:
+    """One row: the earliest (_from) of the last ``n`` distinct values of ts_ms."""
+    return times.groupBy("ts_ms").agg(F.lit(1)).orderBy(F.desc("ts_ms")).limit(n).agg(F.min("ts_ms").alias("_from"))
+
+
+def since(frame: DataFrame, start: DataFrame) -> DataFrame:
+    """Rows from the time in the one row of ``start`` on."""
+    return frame.join(F.broadcast(start), F.col("ts_ms") >= F.col("_from"), "left_semi")
 
 
 def _few(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= MOST_BROADCAST else table
 
 
-def target_tail(frame: DataFrame, tail_bars: int) -> DataFrame:
-    """Rows of the last ``tail_bars`` times of all symbols together."""
-    return frame.join(_few(recent_times(frame, tail_bars), tail_bars), "ts_ms", "left_semi")
+def target_tail(frame: DataFrame, tail_bars: int, times: DataFrame | None = None) -> DataFrame:
+    """Rows of the last ``tail_bars`` times of all symbols together.
+
+    times: a table that has the same times in ts_ms and costs less to evaluate.
+    """
+    return since(frame, recent_from(frame if times is None else times, tail_bars))
 
 
 def source_tail(candles: DataFrame, tf: str, interval: str, tail_bars: int, warmup_bars: int = 50) -> DataFrame:
-    """Each symbol's last candles, enough for ``tail_bars`` and ``warmup_bars`` bars of ``tf``."""
+    """Each symbol's last candles, enough for ``tail_bars`` and ``warmup_bars`` bars of ``tf``.
+
+    The latest open times are found first, by aggregates that are combined before their
+    shuffle; the earliest start of all then bounds the scan, and the starts, one for each
+    symbol, are broadcast if they are few. Candles are neither shuffled nor sorted.
+    """
     if tail_bars < 1:
         raise ValueError("tail_bars must be positive")
     if warmup_bars < 0:
         raise ValueError("warmup_bars must not be negative")
     step = interval_ms(interval)
     back = ((tail_bars + warmup_bars) * max(1, timeframe_ms(tf) // step) - 1) * step
-    latest = F.max("open_time_ms").over(Window.partitionBy("symbol"))
-    return candles.withColumn("_latest", latest).filter(F.col("open_time_ms") >= F.col("_latest") - back).drop("_latest")
+    starts = candles.groupBy(F.col("symbol").alias("_symbol")).agg((F.max("open_time_ms") - back).alias("_start"))
+    n, earliest = starts.agg(F.count("*"), F.min("_start")).first()
+    if earliest is None:
+        return candles.limit(0)
+    rows = candles.filter(F.col("open_time_ms") >= earliest)
+    if "date" in candles.columns:
+        rows = rows.filter(F.col("date") >= day_of(earliest).isoformat())
+    return rows.join(_few(starts, n), (F.col("symbol") == F.col("_symbol")) & (F.col("open_time_ms") >= F.col("_start"))).drop("_symbol", "_start")
 
 
 def liquid_universe(bars: DataFrame, benchmark: str, top: int, lookback_bars: int = 20) -> DataFrame:
@@ -102,7 +122,7 @@ def liquid_universe(bars: DataFrame, benchmark: str, top: int, lookback_bars: in
         raise ValueError("top must be positive")
     if lookback_bars < 1:
         raise ValueError("lookback_bars must be positive")
-    recent = bars.join(_few(recent_times(bars, lookback_bars), lookback_bars), "ts_ms", "left_semi").filter(F.col("symbol") != benchmark)
+    recent = since(bars, recent_from(bars, lookback_bars)).filter(F.col("symbol") != benchmark)
     volume = recent.groupBy("symbol").agg(F.sum("quote_volume").alias("v")).orderBy(F.desc("v"), "symbol").limit(top).select("symbol")
     kept = _few(volume.withColumnRenamed("symbol", "_kept"), top)
     own = bars.join(kept, F.col("symbol") == F.col("_kept"), "left")
@@ -119,7 +139,12 @@ def strength_frame(
         bars = liquid_universe(bars, benchmark, liquidity_top, liquidity_lookback_bars)
     joined = against_benchmark(symbol_factors(bars), benchmark).withColumns({"tf": F.lit(tf), "source_interval": F.lit(source or source_interval(tf))})
     out = scored(relative(joined, max_abs_gap_atr, max_ret))
-    return out if tail_bars is None else target_tail(out, tail_bars)
+    if tail_bars is None:
+        return out
+    # the board's times are those at which the benchmark and another symbol have a bar
+    is_benchmark = F.col("symbol") == benchmark
+    times = bars.groupBy("ts_ms").agg(F.bool_or(is_benchmark).alias("_b"), F.bool_or(~is_benchmark).alias("_o")).filter("_b and _o").select("ts_ms")
+    return target_tail(out, tail_bars, times)
 
 
 def in_order(board: DataFrame) -> DataFrame:
