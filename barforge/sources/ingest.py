@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import math
-import zipfile
 from collections.abc import Iterator
 from datetime import UTC, date, datetime, timedelta
 
@@ -15,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barforge.functions.timeframes import DAY, aligned_up, day_of, day_start, interval_ms, last_closed_open
 from barforge.schema import CONTRACT
+from barforge.sources.transport import archive_rows
 
 #: Places of a positional candle row: name and type.
 POSITIONS = [
@@ -35,21 +33,27 @@ def stored(rows: DataFrame) -> DataFrame:
 
 
 def parse_rows(payload: DataFrame, column: str = "payload") -> DataFrame:
-    """Positional JSON rows ``[open_time, "open", ...]`` beside symbol and interval."""
+    """Positional JSON rows ``[open_time, "open", ...]`` beside symbol and interval.
+
+    What is missing or no number becomes null, which validation rejects.
+    """
     values = F.from_json(column, "array<string>")
-    return stored(payload.select("symbol", "interval", *(F.get(values, i).cast(kind).alias(name) for i, (name, kind) in enumerate(POSITIONS))))
+    return stored(payload.select("symbol", "interval", *(F.get(values, i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(POSITIONS))))
 
 
 def parse_messages(messages: DataFrame, column: str = "value") -> DataFrame:
     """Streamed candle messages; others vanish. ``is_closed`` tells final candles.
 
-    Fields differ by case alone, so they are picked by path and not through a schema.
+    Fields differ by case alone, so objects are read as maps, each of them once. A field that
+    is missing or no number becomes null, which validation rejects.
     """
-    get = lambda path: F.get_json_object(column, f"$.data.{path}")
-    symbol = F.coalesce(F.nullif(get("s"), F.lit("")), get("k.s"))
-    rows = messages.filter(get("e") == "kline").select(
-        symbol.alias("symbol"), get("k.i").alias("interval"), *(get(f"k.{field}").cast(kind).alias(name) for name, (field, kind) in STREAMED.items()), get("k.x").cast("boolean").alias("is_closed")
-    )
+    opened = lambda c: F.from_json(c, "map<string,string>")
+    data = messages.select(opened(opened(column)["data"]).alias("d")).filter("d['e'] = 'kline'").withColumn("k", opened(F.col("d")["k"]))
+    symbol = F.coalesce(F.nullif(F.col("d")["s"], F.lit("")), F.col("k")["s"])
+    rows = data.select(
+        symbol.alias("symbol"), F.col("k")["i"].alias("interval"), *(F.col("k")[field].try_cast(kind).alias(name) for name, (field, kind) in STREAMED.items()),
+        F.coalesce(F.col("k")["x"].try_cast("boolean"), F.lit(False)).alias("is_closed"), F.col("d")["E"].try_cast("long").alias("event_time_ms"),
+    )
     return stored(rows)
 
 
@@ -87,9 +91,7 @@ def read_archives(spark: SparkSession, pattern: str) -> DataFrame:
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"], strict=True):
                 symbol, interval = path.rsplit("/", 1)[-1].split("-")[:2]
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    text = "".join(z.read(n).decode() for n in z.namelist() if n.endswith(".csv"))
-                rows = [r[: len(names)] for r in csv.reader(io.StringIO(text)) if r and r[0].strip().isdigit()]
+                rows = [r[: len(names)] for r in archive_rows(content)]
                 out = pd.DataFrame(rows, columns=names).astype({n: "int64" if k == "long" else "float64" for n, k in kinds.items()})
                 out.insert(0, "interval", interval)
                 out.insert(0, "symbol", symbol)
@@ -113,9 +115,7 @@ def sync_plan(universe: DataFrame, state: DataFrame, interval: str, bootstrap_da
     rows = rows.withColumn("archive_days", days.cast("long"))
     rest = F.when(F.col("archive_days") > 0, (F.expr(f"start_ms div {DAY}") + F.col("archive_days")) * DAY).otherwise(F.col("start_ms"))
     rows = rows.withColumn("_rest", rest)
-    missing = F.expr(f"({end} - _rest) div {step}") + 1
     batches = F.when(F.col("_open") & (F.col("_rest") <= end), F.expr(f"(({end} - _rest) div {step} + 1 + {limit - 1}) div {limit}")).otherwise(0)
-    del missing
     return rows.withColumn("rest_batches", batches.cast("long")).select("symbol", "start_ms", "archive_days", "rest_batches")
 
 
@@ -126,8 +126,22 @@ def mark_inactive(state: DataFrame, universe: DataFrame, interval: str) -> DataF
     return state.join(alive, "symbol", "left").withColumn("status", F.when(gone, "inactive").otherwise(F.col("status"))).select(*state.columns)
 
 
+def legacy_state(spark: SparkSession, path: str, interval: str) -> DataFrame:
+    """State kept as one JSON object ``{"SYMBOL|INTERVAL": {"last_open_time_ms": ..., "status": ...}}``.
+
+    Only the interval's entries are taken, as a later store is one for each interval.
+    """
+    entries = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,struct<last_open_time_ms:long,status:string>>")))
+    key = F.split("key", r"\|")
+    rows = entries.select(key[0].alias("symbol"), F.get(key, 1).alias("interval"), "value.last_open_time_ms", F.coalesce("value.status", F.lit("active")).alias("status"))
+    return rows.filter(F.col("interval") == interval)
+
+
 def merge_state(state: DataFrame, progress: DataFrame) -> DataFrame:
-    """Marks only move forward: the greater of both for each symbol and interval."""
+    """Marks only move forward: the greater of both for each symbol and interval.
+
+    A series of which ``progress`` says nothing keeps its status, inactive ones too.
+    """
     new = progress.select("symbol", "interval", F.col("last_open_time_ms").alias("_new"), F.col("status").alias("_status"))
     return state.join(new, ["symbol", "interval"], "full").select(
         "symbol", "interval", F.greatest("last_open_time_ms", "_new").alias("last_open_time_ms"), F.coalesce("_status", "status").alias("status")

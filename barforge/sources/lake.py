@@ -7,20 +7,28 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.functions.timeframes import DAY
-from barforge.operators.quality import clean
+from barforge.operators.quality import clean, find_gaps
 from barforge.schema import CANDLE, GAP, GAP_KEY, KEY
 
 PARTS = ["interval", "symbol", "date"]
+GAP_PARTS = ["interval", "symbol"]
+#: Where a table is while another takes its place.
+ASIDE = ".before"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that all executors share: below ``spark.checkpoint.dir`` where it is set."""
+    """A new folder that all executors share: below ``spark.checkpoint.dir`` where it is set.
+
+    Only where nothing is set and all runs on this machine (tests) it is a temporary one.
+    """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.barforge.scratch", None)
     if known is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="barforge-")
         spark.conf.set("spark.barforge.scratch", known)
     return f"{known.rstrip('/')}/lake-{uuid.uuid4().hex}"
@@ -32,7 +40,10 @@ def _path(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``; one that a broken ``replace`` had moved aside comes back."""
     fs, at = _path(spark, path)
+    if not fs.exists(at) and fs.exists(_path(spark, path + ASIDE)[1]):
+        fs.rename(_path(spark, path + ASIDE)[1], at)
     return fs.exists(at)
 
 
@@ -103,16 +114,23 @@ def upsert(rows: DataFrame, root: str, sequence: str | None = None, key: list[st
 
 
 def delete_keys(root: str, keys: DataFrame, key: list[str] = KEY, parts: list[str] = PARTS) -> None:
-    """Remove rows by key. A partition of which nothing is left keeps no files."""
+    """Remove rows by key. A partition of which nothing is left keeps no files.
+
+    Partitions with rows left are overwritten first, the others dropped then: a run that ends
+    in between has removed less, and nothing else, and can be repeated.
+    """
     spark = keys.sparkSession
     if not exists(spark, root):
         return
     old = spark.read.parquet(root)
-    touched = old.join(keys, key, "left_semi").select(*parts).distinct()
     staged = scratch(spark)
-    old.join(touched, parts, "left_semi").join(keys, key, "left_anti").write.parquet(staged)
-    drop_partitions(root, touched)
-    spark.read.schema(old.schema).parquet(staged).write.mode("append").partitionBy(*parts).parquet(root)
+    old.join(keys, key, "left_semi").select(*parts).distinct().write.parquet(staged)
+    touched = spark.read.schema(old.select(*parts).schema).parquet(staged)
+    left = old.join(touched, parts, "left_semi").join(keys, key, "left_anti")
+    emptied = touched.join(left.select(*parts).distinct(), parts, "left_anti").collect()  # partitions, not rows
+    _rewrite(left, root, parts)
+    if emptied:
+        drop_partitions(root, spark.createDataFrame(emptied, touched.schema))
     remove(spark, staged)
 
 
@@ -124,20 +142,32 @@ def drop_partitions(root: str, parts: DataFrame) -> None:
 
 
 def merge_gaps(gaps: DataFrame, path: str) -> None:
-    """Add gaps to the report, the last detection of each missing slot standing."""
-    spark = gaps.sparkSession
-    new = gaps.withColumns({"detected_at": F.current_timestamp(), "status": F.lit("open"), "reason": F.lit("missing_kline")}).withColumn("_v", F.lit(1))
-    if exists(spark, path):
-        new = new.unionByName(spark.read.schema(GAP).parquet(path).withColumn("_v", F.lit(0)))
-    _replace(keep_last(new, GAP_KEY, "_v").drop("_v"), path)
+    """Add gaps to the report, the last detection of each missing slot standing.
 
+    The report is partitioned by series, and only those of ``gaps`` are rewritten.
+    """
+    new = gaps.withColumns({"detected_at": F.current_timestamp(), "status": F.lit("open"), "reason": F.lit("missing_kline")})
+    upsert(new, path, key=GAP_KEY, parts=GAP_PARTS)
 
-def _replace(rows: DataFrame, path: str) -> None:
+
+def replace(rows: DataFrame, path: str, parts: list[str] | None = None) -> None:
+    """Put a table in the place of another that ``rows`` may read.
+
+    It is written beside it; then the old one is moved aside, the new one into its place, and
+    the old one deleted. Whenever that breaks off, one of the two is found whole by ``exists``.
+    """
     spark = rows.sparkSession
-    staged = scratch(spark)
-    rows.write.parquet(staged)
-    spark.read.schema(rows.schema).parquet(staged).write.mode("overwrite").parquet(path)
-    remove(spark, staged)
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    exists(spark, path)
+    write = rows.write.partitionBy(*parts) if parts else rows.write
+    write.parquet(beside)
+    fs, at = _path(spark, path)
+    aside = _path(spark, path + ASIDE)[1]
+    if fs.exists(at):
+        fs.delete(aside, True)
+        fs.rename(at, aside)
+    fs.rename(_path(spark, beside)[1], at)
+    fs.delete(aside, True)
 
 
 def without_days(gaps: DataFrame, days: DataFrame) -> DataFrame:
@@ -188,7 +218,7 @@ def renormalize(
             for path in (silver, quarantine):
                 drop_partitions(path, days)
             if exists(spark, gap_report):
-                _replace(without_days(spark.read.schema(GAP).parquet(gap_report), days), gap_report)
+                replace(without_days(spark.read.schema(GAP).parquet(gap_report), days), gap_report, GAP_PARTS)
     staged = scratch(spark)
     # the interval carries the day, so that gaps are those within a day, as ingestion has them
     daily = rows.withColumn("open_time", F.timestamp_millis("open_time_ms")).withColumn("seq", F.monotonically_increasing_id())
@@ -196,8 +226,6 @@ def renormalize(
     judged = spark.read.parquet(staged)
     accepted = judged.filter("verdict = 'accepted'").drop("verdict", "reason")
     per_day = accepted.withColumn("interval", F.concat_ws("|", "interval", "date"))
-    from barforge.operators.quality import find_gaps
-
     gaps = find_gaps(per_day, step_ms).withColumn("interval", F.split("interval", r"\|")[0])
     counts = judged.agg(
         F.count("*").alias("raw"), *(F.count_if(F.col("verdict") == v).alias(n) for v, n in (("accepted", "accepted"), ("rejected", "rejected"), ("conflict", "conflicts")))
@@ -222,23 +250,13 @@ def write_features(features: DataFrame, root: str, interval: str) -> None:
 
 
 def write_table(rows: DataFrame, path: str) -> int:
-    """Overwrite one table; nothing is written, and what is there stays, if there are no rows."""
+    """Put ``rows`` in the place of a table; nothing is written, and what is there stays, without rows."""
     spark = rows.sparkSession
     staged = scratch(spark)
     rows.write.parquet(staged)
     got = spark.read.schema(rows.schema).parquet(staged)
     n = got.count()
     if n:
-        got.write.mode("overwrite").parquet(path)
+        replace(got, path)
     remove(spark, staged)
     return n
-
-
-def latest_per_key(rows: DataFrame, key: list[str] = ["symbol"], order: str = "open_time_ms") -> DataFrame:  # noqa: B006
-    """The newest open candle of each key."""
-    return keep_last(rows, key, order)
-
-
-def first_by_key(rows: DataFrame, key: list[str], sequence: str) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(sequence)
-    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")

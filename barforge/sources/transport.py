@@ -1,16 +1,25 @@
-"""Thin transport: request weights, limiter, retries, paging and a batch data source.
+"""Thin transport: request weights, limiter, retries, paging, archives, and the data sources over them.
 
 Nothing here opens a connection by itself: what fetches is handed in.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 import json
+import os
 import time
+import uuid
+import zipfile
 from collections import deque
 from collections.abc import Callable, Iterator
+from datetime import date, timedelta
+from importlib import import_module
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+from barforge.functions.timeframes import day_of, day_start
 
 WINDOW = 60.0
 
@@ -61,77 +70,206 @@ def retried(call: Callable, attempts: int = 5, longest: float = 60.0, sleep: Cal
             sleep(e.after if e.after is not None else min(longest, 2.0**k))
 
 
-def pages(fetch: Callable[[int, int, int], list[list]], start_ms: int, end_ms: int, step_ms: int, limit: int) -> Iterator[list]:
-    """Rows from ``start_ms`` to ``end_ms``: until a page is empty, short or does not move on."""
+def paged(fetch: Callable[[int, int, int], list[list]], start_ms: int, end_ms: int, step_ms: int, limit: int) -> Iterator[list[list]]:
+    """Pages from ``start_ms`` to ``end_ms``: until one is empty, short or does not move on."""
     cursor = start_ms
     while cursor <= end_ms:
         rows = fetch(cursor, end_ms, limit)
-        yield from (r for r in rows if start_ms <= int(r[0]) <= end_ms)
+        if rows:
+            yield [r for r in rows if start_ms <= int(r[0]) <= end_ms]
         after = int(rows[-1][0]) + step_ms if rows else cursor
         if len(rows) < limit or after <= cursor:
             return
         cursor = after
 
 
-def first_archive_then_rest(days: list, archive: Callable, rest: Callable, start_ms: int, end_ms: int) -> Iterator[list]:
-    """Whole days from archives while there are any; from the first that fails on, by pages."""
-    at = start_ms
-    for day, day_end_ms in days:
+class ArchiveMissing(Exception):
+    """The exchange has no archive of that day (yet)."""
+
+
+def cached(fetch: Callable[[str, str, str], bytes], folder: str) -> Callable[[str, str, str], bytes]:
+    """``fetch`` of (symbol, interval, day) that keeps what it got as files below ``folder``.
+
+    A file is written beside its place and moved there, so a task that dies leaves no half one.
+    What is missing is not remembered: it may come.
+    """
+
+    def get(symbol: str, interval: str, day: str) -> bytes:
+        path = os.path.join(folder, symbol, interval, f"{symbol}-{interval}-{day}.zip")
+        if os.path.exists(path):
+            with open(path, "rb") as f:
+                return f.read()
+        content = fetch(symbol, interval, day)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        beside = f"{path}.{uuid.uuid4().hex}"
+        with open(beside, "wb") as f:
+            f.write(content)
+        os.replace(beside, path)
+        return content
+
+    return get
+
+
+def archive_rows(content: bytes) -> list[list[str]]:
+    """The candles of a daily archive: one CSV, with a header line or without."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        text = "".join(z.read(n).decode() for n in z.namelist() if n.endswith(".csv"))
+    return [r for r in csv.reader(io.StringIO(text)) if r and r[0].strip().isdigit()]
+
+
+def batches(symbol: str, interval: str, start_ms: int, end_ms: int, step_ms: int, limit: int, page: Callable, archive: Callable | None = None, cutoff: date | None = None) -> Iterator[list[list]]:
+    """What a symbol lacks from ``start_ms`` to ``end_ms``, in batches.
+
+    Whole days come from archives up to ``cutoff``; from the first day that has none, or that
+    fails, on by pages.
+    """
+    at, day = start_ms, day_of(start_ms)
+    while archive is not None and cutoff is not None and day <= cutoff and day_start(day) <= end_ms:
         try:
-            rows = archive(day)
-        except (FileNotFoundError, Transient):
+            rows = archive_rows(archive(symbol, interval, day.isoformat()))
+        except (ArchiveMissing, Transient, OSError):
             break
         yield [r for r in rows if start_ms <= int(r[0]) <= end_ms]
-        at = day_end_ms + 1
-    if at <= end_ms:
-        yield list(rest(at, end_ms))
+        day += timedelta(days=1)
+        at = day_start(day)
+    yield from paged(lambda a, b, n: page(symbol, interval, a, b, n), at, end_ms, step_ms, limit)
+
 
+def named(path: str) -> Callable:
+    """The function that ``module:function`` names."""
+    module, _, name = path.partition(":")
+    return getattr(import_module(module), name)
 
-class _Span(InputPartition):
-    def __init__(self, symbol: str, start: int, end: int) -> None:
-        self.symbol, self.start, self.end = symbol, start, end
 
+class _Symbols(InputPartition):
+    def __init__(self, plan: list[tuple[str, int]]) -> None:
+        self.plan = plan
 
-class CandlePages(DataSource):
-    """Positional rows by REST, a partition for each symbol and span of pages.
 
-    Options: fetch ("module:function" of (symbol, interval, start, end, limit) -> rows),
-    symbols (comma-separated), interval, step_ms, start_ms, end_ms, limit, pages_per_task.
+class MissingCandles(DataSource):
+    """Positional rows that symbols lack, archives first and then pages.
+
+    Options: plan (JSON list of [symbol, start_ms]), interval, step_ms, end_ms, limit, fetch
+    ("module:function" of (symbol, interval, start, end, limit) -> rows), archive (the same of
+    (symbol, interval, day) -> zip content, raising ArchiveMissing), cutoff (last day that
+    archives may have), cache (folder of archives), tasks, weight (a minute's units), attempts.
+
+    Symbols are dealt out to ``tasks`` partitions, each of which asks for one after the other
+    within its share of the weight: no more requests run at once than there are partitions,
+    and all together stay within the weight, on however many machines they run.
     """
 
     @classmethod
     def name(cls) -> str:
-        return "candle_pages"
+        return "missing_candles"
 
     def schema(self) -> str:
         return "symbol string, interval string, payload string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _PageReader(self.options)
+        return _MissingReader(self.options)
 
 
-class _PageReader(DataSourceReader):
+class _MissingReader(DataSourceReader):
     def __init__(self, options) -> None:
         self.o = dict(options)
+        self.tasks = max(1, int(self.o.get("tasks", 8)))
 
     def partitions(self) -> list[InputPartition]:
-        step, limit = int(self.o["step_ms"]), int(self.o.get("limit", 499))
-        start, end = int(self.o["start_ms"]), int(self.o["end_ms"])
-        span = step * limit * int(self.o.get("pages_per_task", 16))
-        return [_Span(s, at, min(end, at + span - 1)) for s in self.o["symbols"].split(",") for at in range(start, end + 1, span)]
+        plan = [(s, int(a)) for s, a in json.loads(self.o["plan"])]
+        return [_Symbols(plan[k :: self.tasks]) for k in range(self.tasks) if plan[k :: self.tasks]]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        from importlib import import_module
-
-        module, _, name = self.o["fetch"].partition(":")
-        fetch = getattr(import_module(module), name)
-        interval, step, limit = self.o["interval"], int(self.o["step_ms"]), int(self.o.get("limit", 499))
-        call = lambda a, b, n: retried(lambda: fetch(partition.symbol, interval, a, b, n))
-        for row in pages(call, partition.start, partition.end, step, limit):
-            yield partition.symbol, interval, json.dumps([str(x) for x in row])
+        interval, step, limit, end = self.o["interval"], int(self.o["step_ms"]), int(self.o.get("limit", 499)), int(self.o["end_ms"])
+        fetch, attempts = named(self.o["fetch"]), int(self.o.get("attempts", 5))
+        archive = named(self.o["archive"]) if self.o.get("archive") else None
+        if archive and self.o.get("cache"):
+            archive = cached(archive, self.o["cache"])
+        cutoff = date.fromisoformat(self.o["cutoff"]) if self.o.get("cutoff") else None
+        weight = request_weight(limit)
+        limiter = WeightLimiter(max(weight, int(self.o.get("weight", 900)) // self.tasks))
+
+        def page(*what) -> list[list]:
+            limiter.acquire(weight)
+            return fetch(*what)
+
+        for symbol, start in partition.plan:
+            tried = lambda *what: retried(lambda: page(*what), attempts)
+            for batch in batches(symbol, interval, start, end, step, limit, tried, archive, cutoff):
+                for row in batch:
+                    yield symbol, interval, json.dumps([str(x) for x in row])
 
 
 def stream_names(symbols: list[str], interval: str, per_connection: int = 200) -> list[str]:
     """Subscription paths, one for each connection."""
+    if per_connection < 1:
+        raise ValueError("per_connection must be at least 1")
     names = [f"{s.lower()}@kline_{interval}" for s in symbols]
     return ["/".join(names[i : i + per_connection]) for i in range(0, len(names), per_connection)]
+
+
+class _Shard(InputPartition):
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+
+class CandleMessages(DataSource):
+    """A stream of text messages (value) from sharded connections.
+
+    Options: connect ("module:function" of a subscription path -> iterator of messages, each a
+    text or an object), symbols (JSON list), interval, per_connection, batch_messages and
+    batch_seconds (a connection's part of a micro-batch ends at whichever comes first).
+
+    Each connection is a partition. It is kept open in its worker between micro-batches, and
+    opened anew where it ended, failed or another worker has taken over. Messages are not kept
+    by the exchange: what is lost meanwhile is what gap sync fetches (see streaming.resilient).
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "candle_messages"
+
+    def schema(self) -> str:
+        return "value string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
+        return _MessageReader(self.options)
+
+
+#: Open connections of this worker by subscription path.
+_connections: dict[str, Iterator] = {}
+
+
+class _MessageReader(DataSourceStreamReader):
+    def __init__(self, options) -> None:
+        self.o = dict(options)
+        self.batch = 0
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {"batch": 0}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        self.batch += 1
+        return {"batch": self.batch}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self.batch = max(self.batch, end["batch"])
+        return [_Shard(p) for p in stream_names(json.loads(self.o["symbols"]), self.o["interval"], int(self.o.get("per_connection", 200)))]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        until = time.monotonic() + float(self.o.get("batch_seconds", 0.5))
+        source = _connections.get(partition.path)
+        if source is None:
+            source = _connections[partition.path] = iter(named(self.o["connect"])(partition.path))
+        for _ in range(int(self.o.get("batch_messages", 100))):
+            try:
+                message = next(source)
+            except StopIteration:
+                _connections.pop(partition.path, None)
+                return
+            except BaseException:
+                _connections.pop(partition.path, None)
+                raise
+            yield (message if isinstance(message, str) else json.dumps(message),)
+            if time.monotonic() >= until:
+                return

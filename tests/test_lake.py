@@ -117,16 +117,8 @@ def test_transport():
     assert transport.retried(flaky, sleep=waits.append) == "ok" and waits == [7.0, 2.0]
     data = [[i * 10, "x"] for i in range(7)]
     fetch = lambda a, b, n: [r for r in data if a <= r[0] <= b][:n]
-    assert [r[0] for r in transport.pages(fetch, 10, 55, 10, 2)] == [10, 20, 30, 40, 50]
-    assert list(transport.pages(lambda a, b, n: [[0, "x"]] * n, 0, 50, 0, 2)) == [[0, "x"]] * 2
-
-    def archive(day):
-        if day == 2:
-            raise FileNotFoundError
-        return data[:3]
-
-    got = list(transport.first_archive_then_rest([(1, 29), (2, 59)], archive, lambda a, b: [("rest", a, b)], 0, 60))
-    assert got == [data[:3], [("rest", 30, 60)]]
+    assert [[r[0] for r in page] for page in transport.paged(fetch, 10, 55, 10, 2)] == [[10, 20], [30, 40], [50]]
+    assert list(transport.paged(lambda a, b, n: [[0, "x"]] * n, 0, 50, 0, 2)) == [[[0, "x"]] * 2]
     assert transport.stream_names(["AB", "C"], "1m", 1) == ["ab@kline_1m", "c@kline_1m"]
 
 
