@@ -6,33 +6,39 @@ is Spark's own checkpoint and never runs ahead of what is stored.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.operators.quality import clean
+from barforge.operators.quality import clean, contiguous_from
+from barforge.schema import KEY, STATE
 from barforge.sources.ingest import merge_state, parse_messages
-from barforge.sources.lake import exists, keep_last, merge_gaps, scratch, upsert
-from barforge.schema import STATE
+from barforge.sources.lake import exists, keep_last, merge_gaps, remove, replace, upsert
 
+Sink = Callable[[DataFrame, int], None]
 
-def _save(rows: DataFrame, path: str) -> None:
-    staged = scratch(rows.sparkSession)
-    rows.write.parquet(staged)
-    rows.sparkSession.read.schema(rows.schema).parquet(staged).write.mode("overwrite").parquet(path)
+
+def arrival(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``seq``, their order: the event's own time, where it has one, and then as read."""
+    at = F.coalesce("event_time_ms", F.lit(0)) if "event_time_ms" in rows.columns else F.lit(0)
+    order = F.shiftleft(at.cast("long"), 20) + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))
+    return rows.withColumn("seq", order).drop("event_time_ms")
 
 
 def candle_sink(
     silver: str, step_ms: int, raw: str | None = None, quarantine: str | None = None, gap_report: str | None = None, open_candles: str | None = None, state: str | None = None,
-) -> Callable[[DataFrame, int], None]:
+) -> Sink:
     """What each batch of parsed messages does: closed candles are cleaned and merged, the
-    newest open one of each symbol is kept apart, and marks of progress move forward."""
+    newest open one of each symbol is kept apart, and marks of progress move forward, each to
+    the last candle that follows without a gap the one after the mark."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumn("seq", F.monotonically_increasing_id()).persist()
+        rows = arrival(batch).persist()
         try:
             got = clean(rows.filter("is_closed").drop("is_closed"), step_ms)
             if raw:
@@ -46,22 +52,96 @@ def candle_sink(
                 now = rows.filter("not is_closed").drop("is_closed").withColumn("_v", F.lit(1))
                 if exists(spark, open_candles):
                     now = now.unionByName(spark.read.schema(now.drop("_v").schema).parquet(open_candles).withColumn("_v", F.lit(0)))
-                _save(keep_last(now, ["symbol", "interval"], ["open_time_ms", "_v", "seq"]).drop("_v"), open_candles)
+                # a row for each series
+                replace(keep_last(now, ["symbol", "interval"], ["open_time_ms", "_v", "seq"]).drop("_v"), open_candles)
             if state:
-                mark = got.accepted.groupBy("symbol", "interval").agg(F.max("open_time_ms").alias("last_open_time_ms")).withColumn("status", F.lit("active"))
                 before = spark.read.schema(STATE).parquet(state) if exists(spark, state) else spark.createDataFrame([], STATE)
-                _save(merge_state(before, mark), state)
+                due = before.select("symbol", "interval", (F.col("last_open_time_ms") + step_ms).alias("start_ms"))
+                marks = contiguous_from(got.accepted, due, step_ms).withColumn("status", F.lit("active"))
+                replace(merge_state(before, marks), state)
         finally:
             rows.unpersist()
 
     return sink
 
 
-def ingest(messages: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def buffered(sink: Sink, hot: str, most: int = 1000) -> Sink:
+    """Closed candles go to a hot table first, and through ``sink`` once it holds ``most`` rows.
+
+    The hot table is small, so that each batch is one quick write; readers lay it over the
+    lake (lake.overlay). It is emptied only after the sink has stored its rows; a run that
+    ends in between stores them again, which changes nothing. Open candles pass at once.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = arrival(batch).persist()
+        try:
+            new = rows.filter("is_closed").withColumn("_v", F.lit(1))
+            if exists(spark, hot):
+                new = new.unionByName(spark.read.schema(new.drop("_v").schema).parquet(hot).withColumn("_v", F.lit(0)))
+            replace(keep_last(new, KEY, ["_v", "seq"]).drop("_v"), hot)
+            opened = rows.filter("not is_closed").drop("seq")
+            if not opened.isEmpty():
+                sink(opened, batch_id)
+        finally:
+            rows.unpersist()
+        kept = spark.read.schema(rows.schema).parquet(hot)
+        if kept.count() >= most:
+            flush(spark, sink, hot, batch_id)
+
+    return write
+
+
+def flush(spark: SparkSession, sink: Sink, hot: str, batch_id: int = 0) -> None:
+    """Move what the hot table holds through ``sink``, as at the end of a stream."""
+    if exists(spark, hot):
+        sink(spark.read.parquet(hot).withColumnRenamed("seq", "event_time_ms").withColumn("event_time_ms", F.shiftright("event_time_ms", 20)), batch_id)
+        remove(spark, hot)
+
+
+def ingest(messages: DataFrame, sink: Sink, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Start storing a stream of text messages (column value)."""
     return parse_messages(messages).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "500 milliseconds"})).start()
 
 
+def resilient(
+    start: Callable[[], StreamingQuery], gap_sync: Callable[[], object] | None = None, at_start: bool = True, once: bool = False, delay_s: float = 5.0, most_restarts: int | None = None,
+    progress: Callable[[dict], None] | None = None, sleep: Callable[[float], None] = time.sleep, cancelled: Callable[[], bool] = lambda: False,
+) -> int:
+    """Run a stream until it is cancelled: fill gaps at the start and after each disconnection.
+
+    start: begins the query, anew after its source has ended or failed. gap_sync runs before
+    the first start (``at_start``) and after every end but a cancellation: an interrupt, or an
+    end when ``cancelled`` says so, as after query.stop(). ``once`` returns after the first end; else it reconnects after ``delay_s``,
+    ``most_restarts`` times at most, then the last failure is raised. Returns the ends seen.
+    """
+    if at_start and gap_sync:
+        gap_sync()
+    ends = 0
+    while True:
+        query, failure = start(), None
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as e:
+            failure = e
+        except BaseException:  # an interrupt is no disconnection
+            query.stop()
+            raise
+        if cancelled():
+            return ends
+        ends += 1
+        if progress:
+            progress({"ends": ends, "failed": failure is not None})
+        if gap_sync:
+            gap_sync()
+        if once or (most_restarts is not None and ends > most_restarts):
+            if failure and not once:
+                raise failure
+            return ends
+        sleep(delay_s)
+
+
 def windowed_bars(ticks: DataFrame, width: str, late: str = "1 hour") -> DataFrame:
     """Bars of event-time windows of (symbol, at, price, size, tie) ticks, late ones within ``late``."""
     order = F.struct("at", "tie")
@@ -74,13 +154,13 @@ def windowed_bars(ticks: DataFrame, width: str, late: str = "1 hour") -> DataFra
 
 
 def store_bars(bars: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Merge updated windows into one table, until the stream's present end."""
+    """Merge updated windows into a table partitioned by day, until the stream's present end.
+
+    Only days that a batch touches are read and rewritten.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.withColumn("_v", F.lit(1))
-        if exists(spark, path):
-            new = new.unionByName(spark.read.schema(batch.schema).parquet(path).withColumn("_v", F.lit(0)))
-        _save(keep_last(new, ["symbol", "open_time_ms"], "_v").drop("_v"), path)
+        dated = batch.withColumn("date", F.date_format(F.timestamp_millis("open_time_ms"), "yyyy-MM-dd"))
+        upsert(dated, path, key=["symbol", "open_time_ms"], parts=["date"])
 
     return bars.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
