@@ -1,24 +1,24 @@
 """Thin commands over the library: ``python -m barforge.cli COMMAND --help``.
 
-Commands that fetch take ``--transport module:function``; the function gets (kind, **what) and
-returns payloads. None is built in.
+Commands that fetch take functions as ``module:function``: ``--transport`` for pages, ``--archives``
+for daily archives, ``--connect`` for streams (see sources.transport). None is built in.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Callable
 from datetime import UTC, date, datetime
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.functions.timeframes import interval_ms, source_interval
 from barforge.operators import backtest, features, signals, strength
-from barforge.schema import STATE
 from barforge.sources import ingest, lake, presets
-from barforge.sources.transport import CandlePages
+from barforge.sources.sync import Fetching, Tables, read_state, sync_missing, sync_recent
+from barforge.sources.transport import CandleMessages
 
 
 def session() -> SparkSession:
@@ -32,12 +32,8 @@ def session() -> SparkSession:
     )
 
 
-def _named(path: str) -> Callable:
-    module, _, name = path.partition(":")
-    return getattr(import_module(module), name)
-
-
 def _hot(spark: SparkSession, path: str | None, interval: str) -> DataFrame | None:
+    """Streamed candles that wait for their way into the lake (see streaming.buffered)."""
     return lake.scan(spark, path, interval) if path and lake.exists(spark, path) else None
 
 
@@ -52,36 +48,30 @@ def refresh_symbols(spark, a):
     ingest.active(universe).show(20)
 
 
-def _state(spark, path: str) -> DataFrame:
-    return spark.read.schema(STATE).parquet(path) if lake.exists(spark, path) else spark.createDataFrame([], STATE)
+def _tables(a: argparse.Namespace) -> Tables:
+    return Tables(a.raw, a.silver, a.quarantine, a.gaps, a.state)
+
+
+def _fetching(a: argparse.Namespace) -> Fetching:
+    return Fetching(a.transport, a.archives, a.archive_cache, a.limit, a.concurrency, a.max_weight_per_minute, a.archive_threshold_days)
+
+
+def _universe(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    universe = spark.read.schema("symbol string").json(a.current)
+    return universe.filter(F.col("symbol").isin(a.symbol)) if a.symbol else universe
 
 
 def sync(spark, a):
     """Fetch what each symbol lacks and clean it; ``--dry-run`` shows the plan alone."""
-    universe = spark.read.schema("symbol string").json(a.current)
-    if a.symbol:
-        universe = universe.filter(F.col("symbol").isin(a.symbol))
-    now, step = datetime.now(tz=UTC), interval_ms(a.interval)
-    state = ingest.mark_inactive(_state(spark, a.state), universe, a.interval) if not a.symbol else _state(spark, a.state)
-    plan = ingest.sync_plan(universe, state, a.interval, a.bootstrap_days, a.limit, now, a.archives is not None, a.archive_threshold_days)
+    universe = _universe(spark, a)
     if a.dry_run:
+        state = read_state(spark, a.state, a.legacy_state, a.interval)
+        plan = ingest.sync_plan(universe, state, a.interval, a.bootstrap_days, a.limit, datetime.now(tz=UTC), a.archives is not None, a.archive_threshold_days)
         plan.agg(F.count("*").alias("symbols"), F.sum(F.col("archive_days") + F.col("rest_batches")).alias("batches")).show()
-        return
-    spark.dataSource.register(CandlePages)
-    end = int(now.timestamp() * 1000)
-    parts = [lake.scan(spark, a.raw).limit(0)]
-    if a.archives:
-        parts.append(ingest.read_archives(spark, a.archives))
-    for start, names in plan.groupBy("start_ms").agg(F.concat_ws(",", F.collect_list("symbol"))).toLocalIterator():
-        pages = spark.read.format("candle_pages").options(fetch=a.transport, symbols=names, interval=a.interval, step_ms=step, start_ms=start, end_ms=end, limit=a.limit).load()
-        parts.append(ingest.closed_only(ingest.parse_rows(pages), end))
-    rows = parts[0]
-    for more in parts[1:]:
-        rows = rows.unionByName(more.select(*rows.columns))
-    counts = lake.write_cleaned(rows.withColumn("seq", F.monotonically_increasing_id()), step, a.raw, a.silver, a.quarantine, a.gaps)
-    marks = lake.scan(spark, a.silver, a.interval).groupBy("symbol", "interval").agg(F.max("open_time_ms").alias("last_open_time_ms")).withColumn("status", F.lit("active"))
-    lake.write_table(ingest.merge_state(state, marks), a.state)
-    print(counts)
+    elif a.recent:
+        sync_recent(spark, universe, a.interval, _tables(a), _fetching(a), progress=print)
+    else:
+        sync_missing(spark, universe, a.interval, _tables(a), _fetching(a), a.bootstrap_days, whole_universe=not a.symbol, legacy=a.legacy_state, progress=print)
 
 
 def normalize(spark, a):
@@ -146,10 +136,22 @@ def show_strength(spark, a):
 
 
 def stream(spark, a):
-    from barforge.streaming.pipelines import candle_sink, ingest as start
+    """Store a stream of candles; gaps are filled at the start and after each disconnection."""
+    from barforge.streaming.pipelines import buffered, candle_sink, flush, ingest as start, resilient
 
+    universe = _universe(spark, a)
     sink = candle_sink(a.silver, interval_ms(a.interval), a.raw, a.quarantine, a.gaps, a.open_candles, a.state)
-    start(_named(a.transport)(spark), sink, a.checkpoint).awaitTermination()
+    to = buffered(sink, a.hot, a.flush_size) if a.hot else sink
+    spark.dataSource.register(CandleMessages)
+    symbols = [r.symbol for r in universe.orderBy("symbol").collect()]
+    what = {"connect": a.connect, "symbols": json.dumps(symbols), "interval": a.interval, "per_connection": a.streams_per_connection, "batch_messages": a.hot_flush_size, "batch_seconds": a.hot_flush_interval_seconds}
+    begin = lambda: start(spark.readStream.format("candle_messages").options(**what).load(), to, a.checkpoint, {"processingTime": f"{a.hot_flush_interval_seconds} seconds"})
+    fill = (lambda: sync_missing(spark, universe, a.interval, _tables(a), _fetching(a), a.bootstrap_days, progress=print)) if a.transport else None
+    try:
+        resilient(begin, fill, not a.no_startup_gap_fill, a.once, a.reconnect_delay_seconds, progress=print)
+    finally:
+        if a.hot:
+            flush(spark, sink, a.hot)
 
 
 ROOT = "data"
@@ -159,6 +161,9 @@ OPTIONS: dict[str, dict] = {
     "features": {"default": f"{ROOT}/features"}, "signals": {"default": f"{ROOT}/signals"}, "equity": {"default": f"{ROOT}/equity"}, "boards": {"default": f"{ROOT}/boards"},
     "state": {"default": f"{ROOT}/state"}, "history": {"default": f"{ROOT}/symbols/history"}, "current": {"default": f"{ROOT}/symbols/current"}, "checkpoint": {"default": f"{ROOT}/checkpoint"},
     "open-candles": {"default": None}, "hot": {"default": None}, "config": {"default": None}, "exchange-info": {"required": True}, "transport": {"default": None}, "archives": {"default": None},
+    "archive-cache": {"default": None}, "legacy-state": {"default": None}, "concurrency": {"type": int, "default": 8}, "max-weight-per-minute": {"type": int, "default": 900}, "recent": {"action": "store_true"},
+    "connect": {"default": None}, "streams-per-connection": {"type": int, "default": 200}, "flush-size": {"type": int, "default": 1000}, "hot-flush-size": {"type": int, "default": 100},
+    "hot-flush-interval-seconds": {"type": float, "default": 0.5}, "reconnect-delay-seconds": {"type": float, "default": 5.0}, "once": {"action": "store_true"}, "no-startup-gap-fill": {"action": "store_true"},
     "symbol": {"action": "append"}, "interval": {"default": "1m"}, "base-interval": {"default": "1m"}, "feature-interval": {"default": "1h"}, "start-date": {"default": None}, "end-date": {"default": None},
     "overwrite": {"action": "store_true"}, "dry-run": {"action": "store_true"}, "all": {"action": "store_true"}, "use-preset": {"action": "store_true"}, "include-overheated": {"action": "store_true"},
     "bootstrap-days": {"type": int, "default": 30}, "limit": {"type": int, "default": 499}, "archive-threshold-days": {"type": int, "default": 2}, "top-n": {"type": int, "default": 10},
@@ -167,7 +172,8 @@ OPTIONS: dict[str, dict] = {
     "liquidity-top-n": {"type": int, "default": None}, "liquidity-lookback-bars": {"type": int, "default": 20}, "preset": {"default": "intraday"}, "side": {"default": "strong"}, "rank-pct": {"type": float, "default": 0.2},
 }
 BOARD = "silver hot symbol boards benchmark config"
-SYNC = "current raw silver quarantine gaps state interval symbol bootstrap-days limit archives archive-threshold-days transport dry-run"
+FETCH = "current raw silver quarantine gaps state interval symbol bootstrap-days limit archives archive-cache archive-threshold-days transport concurrency max-weight-per-minute"
+SYNC = f"{FETCH} legacy-state recent dry-run"
 COMMANDS: dict[str, tuple[Callable, str]] = {
     "refresh-symbols": (refresh_symbols, "exchange-info history current"),
     "sync-klines": (sync, SYNC),
@@ -181,7 +187,7 @@ COMMANDS: dict[str, tuple[Callable, str]] = {
     "build-relative-strength": (build_strength, f"{BOARD} tf use-preset max-abs-gap-atr max-ret tail-bars warmup-bars liquidity-top-n liquidity-lookback-bars"),
     "build-relative-strength-presets": (build_presets, f"{BOARD} preset dry-run"),
     "show-relative-strength": (show_strength, "boards tf side top-n rank-pct include-overheated all limit"),
-    "stream-klines": (stream, "silver raw quarantine gaps open-candles state interval transport checkpoint"),
+    "stream-klines": (stream, f"{FETCH} open-candles hot connect checkpoint streams-per-connection flush-size hot-flush-size hot-flush-interval-seconds reconnect-delay-seconds once no-startup-gap-fill"),
 }
 
 

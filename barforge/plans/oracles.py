@@ -103,11 +103,11 @@ WHERE dr <= (SELECT greatest(1, floor(count(*) * {share})) FROM v1) ORDER BY dr,
 
 
 K13 = "(open_time_ms // 3600000 + length(symbol)) % 13"
-BROKEN = f"""{HOURS}, x AS (SELECT symbol, interval, CASE WHEN {K13} = 1 THEN open_time_ms + 1000 ELSE open_time_ms END AS open_time_ms, open,
+BROKEN = f"""{HOURS}, x AS (SELECT symbol, interval, CASE WHEN {K13} = 1 THEN open_time_ms + 1000 ELSE open_time_ms END AS open_time_ms, CASE WHEN {K13} <> 6 THEN open END AS open,
   CASE WHEN {K13} = 2 THEN low - 1 ELSE high END AS high, low, close, CASE WHEN {K13} = 3 THEN -1 ELSE volume END AS volume,
-  CASE WHEN {K13} = 0 THEN close_time_ms + 1 WHEN {K13} = 1 THEN close_time_ms + 1000 ELSE close_time_ms END AS close_time_ms, quote_volume,
+  CASE WHEN {K13} = 0 THEN close_time_ms + 1 WHEN {K13} = 1 THEN close_time_ms + 1000 ELSE close_time_ms END AS close_time_ms, CASE WHEN {K13} <> 7 THEN quote_volume END AS quote_volume,
   CASE WHEN {K13} = 4 THEN -1 ELSE trade_count END AS trade_count, taker_buy_base_volume, CASE WHEN {K13} = 5 THEN -1 ELSE taker_buy_quote_volume END AS taker_buy_quote_volume FROM h)"""
-REASON = """CASE WHEN close_time_ms <> open_time_ms + 3599999 THEN 'invalid_close_time' WHEN open_time_ms % 3600000 <> 0 THEN 'misaligned_open_time'
+REASON = """CASE WHEN open IS NULL OR quote_volume IS NULL THEN 'missing_value' WHEN close_time_ms <> open_time_ms + 3599999 THEN 'invalid_close_time' WHEN open_time_ms % 3600000 <> 0 THEN 'misaligned_open_time'
   WHEN high < open OR high < close OR high < low OR low > open OR low > close THEN 'invalid_ohlc' WHEN volume < 0 OR quote_volume < 0 THEN 'negative_volume'
   WHEN trade_count < 0 THEN 'negative_trade_count' WHEN taker_buy_base_volume < 0 OR taker_buy_quote_volume < 0 THEN 'negative_taker_buy_volume' ELSE 'valid' END"""
 CLEAN = f"""{BROKEN}, y AS (SELECT *, 1 AS seq FROM x UNION ALL SELECT *, 2 FROM x WHERE open_time_ms // 3600000 % 5 = 0
@@ -185,6 +185,10 @@ v3 AS (SELECT *, CASE WHEN archive_days > 0 THEN (start_ms // 86400000 + archive
 SELECT symbol, start_ms, archive_days, CASE WHEN start_ms <= {END} AND rest <= {END} THEN (({END} - rest) // 60000 + 1 + 498) // 499 ELSE 0 END::BIGINT AS rest_batches FROM v3""",
     "inactive_checkpoints": f"WITH {STATES} SELECT symbol, interval, last_open_time_ms, CASE WHEN interval = '1m' AND c_custkey % 3 = 0 THEN 'inactive' ELSE status END AS status FROM st",
     "checkpoint_merge": f"""WITH {STATES} SELECT symbol, interval, CASE WHEN interval = '1m' AND length(symbol) % 2 = 0 THEN last_open_time_ms + 60000 ELSE last_open_time_ms END AS last_open_time_ms, status FROM st""",
+    "checkpoint_advance": f"""WITH {CLEAN}, due AS (SELECT symbol, min(open_time_ms) + 3600000 * (length(symbol) % 3) + length(symbol) % 2 AS d FROM ok WHERE symbol > 'C' GROUP BY symbol),
+own AS (SELECT ok.symbol, interval, open_time_ms, coalesce(ceil(d / 3600000.0)::BIGINT * 3600000, min(open_time_ms) OVER (PARTITION BY ok.symbol)) AS a FROM ok LEFT JOIN due ON ok.symbol = due.symbol WHERE d IS NULL OR open_time_ms >= d),
+run AS (SELECT *, a + 3600000 * (row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms) - 1) AS e FROM own)
+SELECT symbol, interval, max(open_time_ms) AS last_open_time_ms FROM run WHERE open_time_ms = e GROUP BY ALL""",
     "stream_bars_hourly": f"WITH {HOURS} SELECT symbol, open_time_ms, {r8('open', 'high', 'low', 'close', 'volume')}, trade_count FROM h",
     "stream_upsert": f"WITH {HOURS} SELECT {CANDLE} FROM h WHERE open_time_ms // 3600000 % 11 <> 0 AND open_time_ms // 3600000 % 4 <> 3",
     "lake_gap_delete": f"""WITH {CLEAN} SELECT * FROM gaps WHERE NOT (symbol < 'L' AND right(strftime(make_timestamp(missing_open_time_ms * 1000), '%Y-%m-%d'), 1)::INT % 2 = 0)""",

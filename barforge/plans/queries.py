@@ -24,6 +24,13 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.round(c, 8).alias(c) if isinstance(df.schema[c].dataType, T.DoubleType) else F.col(c) for c in names))
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once and read by all that follows, as the commands do between each other."""
+    path = lake.scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hours(spark, sf_dir):
     return events_market(spark, sf_dir)
 
@@ -42,9 +49,14 @@ def picks(spark, sf_dir):
 
 def curve(spark, sf_dir):
     """Equity on damped prices: the events' values are noise, on which equity would run off."""
-    own = table(spark, sf_dir)
+    own = kept(table(spark, sf_dir))
     calm = own.withColumn("close", 100 + F.col("close") / 100)
-    return backtest.equity_curve(signals.top_n(own, 2), calm, 0.0004, 0.0002)
+    return backtest.equity_curve(kept(signals.top_n(own, 2)), calm, 0.0004, 0.0002)
+
+
+def day_picks(spark, sf_dir):
+    """The flagship: top signals of daily bars, which even the smallest tables have enough of."""
+    return rounded(signals.top_n(features.feature_frame(days(spark, sf_dir), "1d", "1d"), 3))
 
 
 def weeks(spark, sf_dir):
@@ -76,6 +88,8 @@ def corrupted(spark, sf_dir):
             "volume": put(3, "volume", F.lit(-1.0)),
             "trade_count": put(4, "trade_count", F.lit(-1).cast("long")),
             "taker_buy_quote_volume": put(5, "taker_buy_quote_volume", F.lit(-1.0)),
+            "open": put(6, "open", F.lit(None)),
+            "quote_volume": put(7, "quote_volume", F.lit(None)),
         }
     )
 
@@ -189,8 +203,8 @@ def dense_weights(spark, sf_dir):
 
 
 def turnover(spark, sf_dir):
-    own = table(spark, sf_dir)
-    return rounded(backtest.turnover(signals.top_n(own, 2), backtest.next_returns(own)))
+    own = kept(table(spark, sf_dir))
+    return rounded(backtest.turnover(kept(signals.top_n(own, 2)), backtest.next_returns(own)))
 
 
 def equity_curve(spark, sf_dir):
@@ -308,6 +322,13 @@ def checkpoint_merge(spark, sf_dir):
     return ingest.merge_state(state, state.filter("interval = '1m'").withColumn("last_open_time_ms", moved))
 
 
+def checkpoint_advance(spark, sf_dir):
+    """How far each series' mark may move, from a due candle that some have and others lack."""
+    ok = cleaned(spark, sf_dir).accepted
+    due = ok.groupBy("symbol", "interval").agg((F.min("open_time_ms") + HOUR * (F.length("symbol") % 3) + F.length("symbol") % 2).alias("start_ms")).filter("symbol > 'C'")
+    return quality.contiguous_from(ok, due, HOUR)
+
+
 def stream_bars_hourly(spark, sf_dir):
     """Bars of a file stream, merged window by window; equal to the batch."""
     path = f"{sf_dir}/events.parquet"
@@ -319,7 +340,7 @@ def stream_bars_hourly(spark, sf_dir):
     out = lake.scratch(spark)
     bars_ = windowed_bars(ticks, "1 hour", "40 days")
     store_bars(bars_, out, lake.scratch(spark)).awaitTermination()
-    return rounded(spark.read.schema(bars_.schema).parquet(out))
+    return rounded(spark.read.schema(bars_.schema).parquet(out), *bars_.columns)
 
 
 def stream_upsert(spark, sf_dir):
@@ -348,6 +369,6 @@ QUERIES = {
         bars_hourly, bars_weekly, bars_rs, validate_reject_reasons, dedupe_conflicts, accepted_rows, clean_counters, gap_report, contiguous_mark, contiguous_mark_strict, hot_overlay, upsert_keep_last,
         returns_multi_lag, rolling_windows, cross_section_ranks, feature_table, top_n_signals, latest_signals, next_bar_returns, dense_weights, turnover, equity_curve, equity_summary, ema20,
         true_range_atr, symbol_factors, benchmark_join, overheat_flag, strength_scores, strength_board, liquidity_universe, source_tail, target_tail, show_strong, show_weak, active_universe,
-        parse_stream_message, parse_rest_rows, sync_plan, inactive_checkpoints, checkpoint_merge, stream_bars_hourly, stream_upsert, lake_gap_delete,
+        parse_stream_message, parse_rest_rows, sync_plan, inactive_checkpoints, checkpoint_merge, checkpoint_advance, stream_bars_hourly, stream_upsert, lake_gap_delete,
     )
 }

@@ -15,4 +15,7 @@ def test_names():
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
 def test_flagship(spark):
-    assert __spark_entry__.entry(spark).columns == ["feature_available_time_ms", "symbol", "score", "rank", "target_weight"]
+    got = __spark_entry__.entry(spark)
+    assert got.columns == ["feature_available_time_ms", "symbol", "score", "rank", "target_weight"]
+    rows = got.collect()
+    assert len(rows) > 1000 and all(1 <= r.rank <= 3 and r.target_weight > 0 for r in rows)
