@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import similarity_classes
-from .shared import stash, with_keys
-from .substring_dedup import fetch_parts, marked_parts, repeated_parts
-from .words import ODD, MinHash, list_column, mixed
+from .linking import Signer, sign, similarity_classes
+from .shared import discard, stash, with_keys
+from .substring_dedup import all_lines, lines_of, repeated_parts
+from .words import BLOCK, ODD, MinHash, mixed, mixed_32
 
 #: Characters a shingle: as many as tell lines apart that only share common words.
 WIDTH = 8
@@ -20,50 +19,70 @@ WIDTH = 8
 BANDS, ROWS = 8, 3
 
 
+def window_hashes(lines: pa.Array, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of every ``WIDTH`` characters of all lines in a row, begin, length of each line).
+
+    kind: np.uint64, or np.uint32, which is quicker and does for minima.
+    """
+    borders = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset : lines.offset + len(lines) + 1].astype(np.int64)
+    raw = memoryview(lines.buffers()[2] or b"")[borders[0] : borders[-1]]
+    # characters are code points; WIDTH of padding so that a window may reach beyond
+    text = str(raw, "utf-8", "surrogatepass") + "\0" * WIDTH
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(c) - WIDTH == len(raw):
+        ends = borders[1:] - borders[0]
+    else:
+        starts = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
+        ends = starts[borders[1:] - borders[0]]
+    out = np.empty(len(c) - WIDTH + 1, kind)
+    one, finish = (ODD, mixed) if kind is np.uint64 else (ODD.astype(np.uint32), mixed_32)
+    with np.errstate(over="ignore"):
+        for at in range(0, len(out), BLOCK):
+            x = c[at : at + BLOCK + WIDTH - 1].astype(kind, copy=False)
+            two = x[:-1] * one + x[1:]
+            four = two[:-2] * (one * one) + two[2:]
+            out[at : at + BLOCK] = finish(four[:-4] * (one * one * one * one) + four[4:])
+    return out, np.concatenate((np.zeros(min(1, len(ends)), np.int64), ends[:-1])), np.diff(ends, prepend=0)
+
+
+def short_hash(line: str) -> np.uint64:
+    """What stands for the whole of a line of fewer than ``WIDTH`` characters."""
+    value = np.uint64(len(line))
+    with np.errstate(over="ignore"):
+        for c in line:
+            value = mixed((value + ODD) ^ np.uint64(ord(c)))
+    return value
+
+
 def char_shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every ``WIDTH`` characters of every line, flat, and the lines' offsets.
 
     A line with fewer characters has one shingle, the whole line; an empty line none.
     """
     lines = lines.combine_chunks() if isinstance(lines, pa.ChunkedArray) else lines
-    lengths = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(lengths)
-    made = np.where(lengths >= WIDTH, lengths - WIDTH + 1, np.minimum(lengths, 1))
+    windows, begin, length = window_hashes(lines)
+    made = np.where(length >= WIDTH, length - WIDTH + 1, np.minimum(length, 1))
     out = np.concatenate(([0], np.cumsum(made)))
-    if not out[-1]:
-        return np.zeros(0, np.uint64), out
-    # lines are a buffer of code points; WIDTH of padding so that a window may reach beyond
-    text = "".join(lines.to_pylist())
-    c = np.frombuffer((text + "\0" * WIDTH).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    with np.errstate(over="ignore"):
-        two = c[:-1] * ODD + c[1:]
-        four = two[:-2] * (ODD * ODD) + two[2:]
-        eight = mixed(four[:-4] * (ODD * ODD * ODD * ODD) + four[4:])
-    first = np.repeat(ends - lengths - out[:-1], made) + np.arange(out[-1])
-    values = eight[first]
-    for i in np.flatnonzero((lengths > 0) & (lengths < WIDTH)).tolist():
-        own = c[ends[i] - lengths[i] : ends[i]]
-        value = np.uint64(len(own))
-        with np.errstate(over="ignore"):
-            for x in own:
-                value = mixed((value + ODD) ^ x)
-        values[out[i]] = value
+    values = windows[np.repeat(begin - out[:-1], made) + np.arange(out[-1])]
+    for i in np.flatnonzero((length > 0) & (length < WIDTH)).tolist():
+        values[out[i]] = short_hash(lines[i].as_py())
     return values, out
 
 
-def marked_lines(docs: DataFrame) -> DataFrame:
-    family = MinHash(BANDS, ROWS, seed=9)
-
-    def worded(lines: pa.Array) -> np.ndarray:
-        return pc.not_equal(pc.ascii_trim_whitespace(lines), "").to_numpy(zero_copy_only=False)
+def line_signer(family: MinHash) -> Signer:
+    """Signs lines, none empty, by their character shingles."""
 
-    def sign(lines: pa.Array) -> list[pa.Array]:
-        values, offsets = char_shingles(lines)
-        minima = family.minima(values, offsets)
-        sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BANDS * ROWS), len(lines), [None, pa.py_buffer((minima & 0xFF).astype(np.uint8).tobytes())])
-        return [pa.array(family.sketch(minima)), pa.array(np.diff(offsets)), sig.cast(pa.binary()), list_column(family.keys(minima), np.ones(len(lines), bool))]
+    def signed(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        windows, begin, length = window_hashes(lines, np.uint32)
+        minima = np.empty((len(lines), family.bands * family.rows), np.uint32)
+        whole = length >= WIDTH
+        minima[whole] = family.span_minima(windows, begin[whole], begin[whole] + length[whole] - WIDTH + 1)
+        short = np.flatnonzero(~whole)
+        hashes = np.array([short_hash(lines[i].as_py()) for i in short.tolist()], np.uint64)
+        minima[short] = family.span_minima(hashes, np.arange(len(short)), np.arange(1, len(short) + 1))
+        return np.maximum(length - WIDTH + 1, 1), minima
 
-    return marked_parts(docs, worded, sign, "lines", 2 << 20)
+    return signed
 
 
 def line_dedup(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
@@ -80,9 +99,12 @@ def line_dedup(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     after all others; a row that repeats with its doc_id repeats its lines, of which the kept
     ones are then marked in each copy. An empty table gives no rows.
     """
-    marked = marked_lines(docs)
-    classes = stash(similarity_classes(marked, fetch_parts(docs), char_shingles, num, den), "linked")
-    found = repeated_parts(docs, marked, classes)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    family = MinHash(BANDS, ROWS, seed=9)
+    signed = sign(docs, lines_of(1), line_signer(family), family, "lines")
+    met, named = similarity_classes(signed, all_lines(docs), char_shingles, num, den)
+    discard(signed)
+    found = repeated_parts(met, named)
     return found.select("doc_id", F.col("place").alias("line"), F.col("first_doc").alias("component_doc"), F.col("first_place").alias("component_line"), F.col("n").alias("occurrences"), "kept")
 
 

@@ -1,11 +1,13 @@
 """Exact similarity classes from locality-sensitive buckets, without all pairs of a group.
 
-``similarity_classes`` gets nodes (distinct texts, known by a 128-bit id) with bucket keys
-and returns the connected components of the graph that links two nodes of a group whose
-Jaccard similarity, on full sets, reaches the threshold. Groups are nodes joined by common
-buckets; the pairs of a bucket are never written down, only each member with one other.
-
-A group of at most MOST_NODES nodes and MOST_SHINGLES shingles is settled by one task in
+``sign`` writes a row for each occurrence of a text (a document, a line) and, packed, one
+record (key, text, sketch) for each band of each text that is new in its slice.
+``similarity_classes`` then finds the connected components of the graph that links two texts
+of a group whose Jaccard similarity, on full sets, reaches the threshold. Groups are texts
+joined by common buckets; the pairs of a bucket are never written down, only each member
+with one other.
+
+A group of at most MOST_NODES texts and MOST_SHINGLES shingles is settled by one task in
 memory, by counts of common shingles. In a larger group let H be its frequent shingles,
 those in more than RARE members. A pair x, y at the threshold t either
 
@@ -21,75 +23,124 @@ edited copies of one text is nearly settled by the first step, whatever its size
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import discard, respread, stash
+from .packed import FIELDS, Packer, bucket_count, dealt, whole_buckets
+from .shared import discard, respread, sieved, stash
+from .words import MinHash, slices
 
 #: texts -> (flat shingle hashes, offsets)
 Shingler = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+#: slice of rows -> (place of each text's row in the slice, the text's place in that row, the texts)
+Cutter = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.Array]]
+#: distinct texts -> (shingles of each, minima of those that have any)
+Signer = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+
+MOST_NODES, MOST_SHINGLES, RARE = 8192, 1 << 22, 64
+#: Columns of a 0-1 matrix, and pairs, that are in memory at once.
+COLUMNS, PAIRS = 1024, 1 << 21
+
+#: A row for each occurrence of a text; in other rows only the first two columns, blobs of
+#: records in BAND, or, in bucket LINKS, of pairs of short ids.
+SIGNED = f"{FIELDS}, doc_id long, place int, id binary, h long, n_shingles long, sig binary"
+NAMES = [c.split()[0] for c in SIGNED.split(", ")]
+BAND = np.dtype([("key", "<u8"), ("h", "<i8"), ("sketch", "<u8")])
+LINKS = -1
+#: Links that a task holds before it writes them.
+HELD_LINKS = 1 << 20
+
+
+def components_in_memory(n: int, linked: Callable[[int, int], np.ndarray], step: int = 512) -> np.ndarray:
+    """For each of ``n`` nodes the first of its component.
+
+    linked(low, high): 0-1 rows of the nodes from low to high against all from low on. Only
+    that much of the matrix is in memory at a time.
+    """
+    root = np.arange(n)
+    for low in range(0, n, step):
+        rows = linked(low, min(n, low + step))
+        rows[np.arange(len(rows)), np.arange(len(rows))] = True
+        several = np.flatnonzero(rows.sum(axis=1) > 1)
+        for i in several.tolist():
+            met = np.unique(root[low:][rows[i]])
+            if len(met) > 1:
+                into = np.arange(n)
+                into[met] = met[0]
+                root = into[root]
+    return root
 
-MOST_NODES, MOST_SHINGLES, RARE = 2048, 1 << 22, 64
-COLUMNS = 2048
-
-
-def _reaches(met: np.ndarray, union: np.ndarray, num: int, den: int) -> np.ndarray:
-    return (met > 0) & (den * met >= num * union)
 
+def roots_in_memory(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """For each set the first set of its component, by exact counts of common elements.
 
-def common_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """How many elements each two of the sets share, as products of blocks of a 0-1 matrix."""
-    values = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, place, counts = np.unique(values, return_inverse=True, return_counts=True)
-    shared = counts > 1
-    column = np.cumsum(shared) - 1
-    keep = shared[place]
-    owner, place = owner[keep], column[place[keep]]
+    Elements that more than a tenth of the sets have are counted as products of 0-1 matrices,
+    the rarer ones by their pairs, whichever is less work.
+    """
+    n = len(sets)
+    size = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(n), size)
+    _, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     order = np.argsort(place, kind="stable")
     owner, place = owner[order], place[order]
-    met = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers, exact below 2**24
-    total = int(shared.sum())
-    for low in range(0, total, COLUMNS):
-        a, b = np.searchsorted(place, (low, low + COLUMNS))
-        block = np.zeros((len(sets), min(COLUMNS, total - low)), np.float32)
-        block[owner[a:b], place[a:b] - low] = 1
-        met += block @ block.T
-    return met.astype(np.int32)
-
-
-def roots_in_memory(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """For each set the first set of its component."""
-    size = np.array([len(s) for s in sets], np.int64)
-    met = common_counts(sets)
-    linked = np.empty(met.shape, bool)
-    for i, row in enumerate(met):
-        linked[i] = _reaches(row.astype(np.int64), size[i] + size - row, num, den)
-    return spanned(linked)
-
-
-def signatures_meet(sigs: np.ndarray, t: float) -> np.ndarray:
-    """Which signatures agree with another one in as many places as linked texts do.
+    dense = counts > max(8, n // 10)
+    column = np.cumsum(dense) - 1
+    often = dense[place]
+    often_owner, often_column = owner[often], column[place[often]]
+    total = int(dense.sum())
+    rarely = ~often & (counts[place] > 1)
+    owner, place = owner[rarely], place[rarely]
+    begins = np.flatnonzero(np.concatenate((np.ones(min(1, len(place)), bool), place[1:] != place[:-1])))
+    lengths = np.diff(np.append(begins, len(place)))
+    begin, length = np.repeat(begins, lengths), np.repeat(lengths, lengths)  # of each entry's element
+
+    def linked(low: int, high: int) -> np.ndarray:
+        met = np.zeros((high - low, n - low), np.float32)  # whole numbers, exact below 2**24
+        for first in range(0, total, COLUMNS):
+            a, b = np.searchsorted(often_column, (first, first + COLUMNS))
+            block = np.zeros((n - low, min(COLUMNS, total - first)), np.float32)
+            own = often_owner[a:b] >= low
+            block[often_owner[a:b][own] - low, often_column[a:b][own] - first] = 1
+            met += block[: high - low] @ block.T
+        entries = np.flatnonzero((owner >= low) & (owner < high))
+        flat = met.reshape(-1)
+        while len(entries):
+            upto = np.cumsum(length[entries])
+            k = max(1, int(np.searchsorted(upto, PAIRS)))
+            own, entries = entries[:k], entries[k:]
+            x = np.repeat(owner[own] - low, length[own])
+            y = owner[np.repeat(begin[own] - (upto[:k] - length[own]), length[own]) + np.arange(len(x))] - low
+            real = y >= 0
+            flat += np.bincount(x[real] * (n - low) + y[real], minlength=len(flat)).astype(np.float32)
+        either = size[low:high, None] + size[None, low:]
+        return (met > 0) & ((den + num) * met.astype(np.int64) >= num * either)
+
+    return components_in_memory(n, linked, max(16, min(512, (1 << 21) // n)))
+
+
+def roots_by_signature(sigs: np.ndarray, t: float) -> np.ndarray:
+    """For each signature the first of those joined by agreement in as many places as linked texts have.
 
     A linked pair falls six standard deviations short of its expectation less than once in
     some hundred million, and only when it is near the threshold.
     """
     n, width = sigs.shape
-    least = t * width - 6 * (t * (1 - t) * width) ** 0.5
-    agree = np.zeros((n, n), np.uint8 if width < 256 else np.uint16)
-    for column in sigs.T:
-        agree += column[:, None] == column[None, :]
-    np.fill_diagonal(agree, 0)
-    return (agree >= max(least, 0)).any(axis=1) if n > 1 else np.zeros(n, bool)
+    least = max(t * width - 6 * (t * (1 - t) * width) ** 0.5, 1)
 
+    def linked(low: int, high: int) -> np.ndarray:
+        agree = np.zeros((high - low, n - low), np.uint8 if width < 256 else np.uint16)
+        for column in sigs.T:
+            agree += column[low:high, None] == column[None, low:]
+        return agree >= least
 
-#: What ``marked`` tables hold: a row for each occurrence of a text.
-MARKED = "doc_id long, place int, id binary, h long, sketch long, n_shingles long, sig binary, keys array<long>"
+    return components_in_memory(n, linked, max(16, min(512, (1 << 23) // n)))
 
 
 #: Sketches of linked texts agree in fewer of their 16 places less than twice in 100,000 times
@@ -101,155 +152,225 @@ STRETCH = 2048
 
 def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether two sketches agree in at least AGREE of their 16 places of four bits."""
-    x = (a ^ b).view(np.uint64)
+    x = a ^ b
     x = (x | (x >> np.uint64(1)) | (x >> np.uint64(2)) | (x >> np.uint64(3))) & np.uint64(0x1111111111111111)
     return 16 - np.bitwise_count(x) >= AGREE
 
 
-def stars(key: np.ndarray, h: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links between rows of equal key, sorted, that join what agrees by sketch in each key."""
-    begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    lengths = np.diff(np.append(begins, len(key)))
-    pairs = begins[lengths == 2]
-    pairs = pairs[agreeing(sketch[pairs], sketch[pairs + 1])]
-    a, b = [h[pairs]], [h[pairs + 1]]
-    for i, n in zip(begins[lengths > 2].tolist(), lengths[lengths > 2].tolist(), strict=True):
-        own = sketch[i : i + n]
-        close = agreeing(own[:, None], own[None, :])
-        root = spanned(close)
-        a.append(h[i : i + n])
-        b.append(h[i + root])
-    a, b = np.concatenate(a), np.concatenate(b)
-    real = a != b
-    return a[real], b[real]
-
-
 def spanned(linked: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric 0-1 matrix the first row of its component."""
-    n = len(linked)
-    root = np.arange(n, dtype=np.int32)
+    """For each row of symmetric 0-1 matrices the first row of its component."""
+    n = linked.shape[-1]
+    root = np.broadcast_to(np.arange(n, dtype=np.int32), linked.shape[:-1]).copy()
     while True:
-        new = np.minimum(root, np.where(linked, root[None, :], np.int32(n)).min(axis=1))
-        new = new[new]
+        new = np.minimum(root, np.where(linked, root[..., None, :], np.int32(n)).min(axis=-1))
+        new = np.take_along_axis(new, new.astype(np.intp), axis=-1)
         if (new == root).all():
             return root
         root = new
 
 
-def bucket_links(marked: DataFrame) -> DataFrame:
+def stars(key: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """For rows sorted by key the first row that each is joined to by agreement with others of its key."""
+    root = np.arange(len(key))
+    begins = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
+    lengths = np.diff(np.append(begins, len(key)))
+    for n in np.unique(lengths[lengths > 1]).tolist():
+        own = begins[lengths == n]
+        if n > STRETCH:
+            for i in own.tolist():
+                root[i : i + n] = i
+            continue
+        step = max(1, (1 << 20) // (n * n))
+        for at in range(0, len(own), step):
+            rows = own[at : at + step, None] + np.arange(n)
+            x = sketch[rows]
+            root[rows] = own[at : at + step, None] + spanned(agreeing(x[:, :, None], x[:, None, :]))
+    return root
+
+
+def meet(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(links, records left): pairs of short ids that share a key and agree, and one of each such set.
+
+    A pair of equal ids says that the text occurs again. Of the records that are tied to
+    another only that one is left, so a hot key shrinks to what does not agree.
+    """
+    order = np.argsort(records["key"])
+    key = records["key"][order]
+    same = key[1:] == key[:-1]
+    several = np.zeros(len(key), bool)
+    several[1:] |= same
+    several[:-1] |= same
+    lone, rows = order[~several], records[order[several]]
+    rows = rows[np.lexsort((rows["h"], rows["key"]))]
+    again = np.zeros(len(rows), bool)
+    again[1:] = (rows["key"][1:] == rows["key"][:-1]) & (rows["h"][1:] == rows["h"][:-1])
+    loops = rows["h"][again & (rows["key"] & np.uint64(15) == 0)]  # the first band's will do
+    rows = rows[~again]
+    root = stars(rows["key"], rows["sketch"])
+    tied = root != np.arange(len(root))
+    links = np.stack((rows["h"][tied], rows["h"][root[tied]]), axis=1)
+    return np.concatenate((links, np.stack((loops, loops), axis=1))), np.concatenate((records[lone], rows[~tied]))
+
+
+def unique_links(parts: list[np.ndarray]) -> np.ndarray:
+    links = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
+    return np.unique(links.view([("a", "<i8"), ("b", "<i8")])).view(np.int64).reshape(-1, 2)
+
+
+def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: str, most_bytes: int = 2 << 20) -> DataFrame:
+    """SIGNED rows of the texts that ``cut`` finds in each row's ``text``, written to the shared folder."""
+    buckets = bucket_count(docs.sparkSession)
+
+    def occurrences(doc: pa.Array, texts: pa.Array) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+        row, place, found = cut(texts)
+        coded = found.dictionary_encode()
+        distinct, code = coded.dictionary, coded.indices
+        known = distinct.cast(pa.binary()).to_pylist()
+        ids = pa.array([hashlib.md5(x, usedforsecurity=False).digest() for x in known], pa.binary())
+        h = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in known), np.uint64, len(known)).astype(np.int64)  # as F.xxhash64
+        counts, minima = signer(distinct)
+        width = family.bands * family.rows
+        sig = np.zeros((len(known), width), np.uint8)
+        sig[counts > 0] = minima & 0xFF
+        sig = pa.Array.from_buffers(pa.binary(width), len(known), [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
+        columns = [doc.take(pa.array(row)), pa.array(place, pa.int32()), *(x.take(code) for x in (ids, pa.array(h), pa.array(counts), sig))]
+        n = len(found)
+        out = pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *columns], names=NAMES)
+        records = np.empty((len(minima), family.bands), BAND)
+        records["key"], records["h"], records["sketch"] = family.keys(minima), h[counts > 0, None], family.sketch(minima).view(np.uint64)[:, None]
+        again = h[(np.bincount(code.to_numpy(), minlength=len(known)) > 1) & (counts > 0)]
+        return out, records.reshape(-1), np.stack((again, again), axis=1)
+
+    def blob_rows(bucket: pa.Array, blob: pa.Array) -> pa.RecordBatch:
+        rest = (pa.nulls(len(bucket), t) for t in (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()))
+        return pa.RecordBatch.from_arrays([bucket, blob, *rest], names=NAMES)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links: list[np.ndarray] = []
+
+        def thinned(records: np.ndarray) -> np.ndarray:
+            found, left = meet(records)
+            links.append(found)
+            return left
+
+        packer = Packer("key", buckets, thinned)
+
+        def given_out() -> Iterator[pa.RecordBatch]:
+            if out := packer.out():
+                yield blob_rows(*out)
+                yield blob_rows(pa.array([LINKS], pa.int32()), pa.array([unique_links(links).tobytes()], pa.binary()))
+                links.clear()
+
+        for whole in batches:
+            for low, high in slices(whole["text"], most_bytes):
+                batch = whole.slice(low, high - low)
+                rows, records, again = occurrences(batch["doc_id"], batch["text"])
+                yield rows
+                links.append(again)
+                if packer.add(records):
+                    yield from given_out()
+        yield from given_out()
+
+    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter(F.col("text").isNotNull())
+    return stash(rows.mapInArrow(made, SIGNED), label)
+
+
+def bucket_links(signed: DataFrame) -> DataFrame:
     """(a, b): short ids that share a bucket and agree by sketch, or are joined by such that do.
 
-    Rows (key, short id, sketch) are dealt out by ranges of key and id, so a key with any
-    number of rows is spread over as many partitions as it fills and is never gathered. Of
-    the rows of a key those that agree are joined, which keeps chance collisions from chaining
-    groups together. In a stretch of more than STRETCH rows, and in one that may go on in
-    another partition, all are joined to the first; those of one key to each other.
+    Of the texts of a key those that agree are joined, which keeps chance collisions from
+    chaining groups together; where more than STRETCH that do not agree share a key, all are
+    joined to the first. Texts that agree are reduced to one for each task before they are
+    dealt out, and again whenever a bucket grows, so that a hot key does not gather. A pair
+    (a, a) is a text that occurs more than once.
     """
 
-    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(key: list, a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
-            n = len(a)
-            return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()) if key else pa.nulls(n, pa.int64()), pa.array(a, pa.int64()), pa.nulls(n, pa.int64()) if b is None else pa.array(b, pa.int64())], names=["key", "a", "b"])
+    def out(links: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def thinned(records: np.ndarray) -> np.ndarray:
+            found, left = meet(records)
+            held.append(found)
+            return left
 
-        def whole(run: list[np.ndarray]) -> pa.RecordBatch:
-            return made([], run[1][1:], np.full(len(run[1]) - 1, run[1][0]))
+        for records in whole_buckets(batches, BAND, thinned):
+            thinned(records)
+            if sum(map(len, held)) > HELD_LINKS:
+                yield out(unique_links(held))
+                held.clear()
+        yield out(unique_links(held))
 
-        # the run of equal keys that may go on; open: rows of it are, or may be, elsewhere
-        held, open_run = None, True
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [batch[c].to_numpy() for c in ("key", "h", "sketch")]
-            if not len(rows[0]):
-                continue
-            if held is None:
-                yield made([rows[0][0]], rows[1][:1], None)
-            else:
-                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-            new = np.ones(len(rows[0]), bool)
-            new[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
-            rows = [x[new] for x in rows]
-            last = int(np.searchsorted(rows[0], rows[0][-1]))
-            if last:
-                done = 0
-                if open_run:
-                    done = int(np.searchsorted(rows[0], rows[0][0], side="right"))
-                    yield whole([x[:done] for x in rows])
-                if done < last:
-                    yield made([], *stars(*(x[done:last] for x in rows)))
-                open_run = False
-            held = [x[last:] for x in rows]
-            if len(held[0]) > STRETCH:
-                yield whole(held)
-                held, open_run = [x[:1] for x in held], True
-        if held is not None:
-            yield whole(held)
-            yield made([held[0][0]], held[1][:1], None)
-
-    rows = marked.select(F.explode("keys").alias("key"), "h", "sketch")
-    sorted_rows = rows.repartitionByRange("key", "h").sortWithinPartitions("key", "h")
-    found = stash(sorted_rows.mapInArrow(stretches, "key long, a long, b long"), "stretches")
-    # a key that fills several partitions is at the end of one and the start of the next
-    ends = found.filter("key is not null").select("key", "a")
-    least = ends.groupBy(*respread("key")).agg(F.min("a").alias("b")).select("key", "b")
-    across = ends.join(least, "key").filter("a <> b").select("a", "b")
-    out = found.filter("key is null").select("a", "b").union(across).distinct()
-    out._barforge_path = found._barforge_path
-    return out
-
-
-def similarity_classes(marked: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingler: Shingler, num: int, den: int = 100) -> DataFrame:
-    """(node, root) for texts that collide with another; a text is its own root if it is alone.
-
-    marked: a stashed table with MARKED's columns, where equal ids are equal texts, h is a
-    part of the id and texts without shingles have no keys. fetch: a table
-    (doc_id, place, id, ...) -> the same with ``text``, for each of its rows. Linked:
-    ``den * |x & y| >= num * |x | y|`` on the sets that ``shingler`` makes, with at least one
-    element in common. Two texts with the same h only share a group. An empty table gives
-    no rows.
+            for blob in batch.column(0).to_pylist():
+                yield out(np.frombuffer(blob, np.int64).reshape(-1, 2))
+
+    met = dealt(signed.filter(f"bucket <> {LINKS}")).mapInArrow(linked, "a long, b long")
+    early = signed.filter(f"bucket = {LINKS}").select("blob").mapInArrow(unpacked, "a long, b long")
+    return met.union(early)
+
+
+def similarity_classes(signed: DataFrame, texts: DataFrame, shingler: Shingler, num: int, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Texts that occur again or share a bucket, and the components that they are in.
+
+    signed: what ``sign`` returned. texts: (h, text), all the texts again, equal ones too.
+    Linked: ``den * |x & y| >= num * |x | y|`` on the sets that ``shingler`` makes, with at
+    least one element in common. Returns two stashed tables: the occurrences (doc_id, place,
+    id, ...) of these texts, and for each text (id) n, the occurrences of all texts of its
+    component, repeated rows included, with first_doc and first_place, those of the least
+    doc_id, nulls last, then least place. Texts without shingles and those alone in their
+    buckets have no rows. An empty table gives none.
     """
-    links = bucket_links(marked)
+    links = stash(bucket_links(signed), "links")
     joined = components(links, "a", "b")
-    discard(links)
-    groups = stash(joined.select(F.col("node").alias("h"), F.col("root").alias("g")), "groups")
+    # a component's root is its least node, so a text that only occurs again can be its own
+    again = links.filter("a = b").select(F.col("a").alias("h"), F.col("a").alias("g"))
+    groups = stash(joined.select(F.col("node").alias("h"), F.col("root").alias("g")).union(again).groupBy("h").agg(F.min("g").alias("g")), "groups")
     discard(joined)
-    one = F.min(F.struct("doc_id", "place", "n_shingles", "sig")).alias("v")
-    slim = marked.filter("size(keys) > 0").select("id", "h", "doc_id", "place", "n_shingles", "sig")
-    known = slim.join(groups, "h").groupBy("id", "g").agg(one).select("g", "id", "v.*")
-    known = stash(known, "known")
+    discard(links)
+    rows = signed.filter("n_shingles > 0").select("doc_id", "place", "id", "h", "n_shingles", "sig")
+    met = stash(sieved(rows, groups, "h").join(groups, "h"), "met")
     discard(groups)
-    sums = known.groupBy(*respread("g")).agg(F.count("*").alias("n"), F.sum("n_shingles").alias("m"))
-    sums = sums.filter("n > 1").select("g", F.expr(f"n <= {MOST_NODES} and m <= {MOST_SHINGLES}").alias("small"))
-    texts = stash(fetch(known.join(sums, "g")), "texts")
-    discard(known)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("first")
+    same = (F.min(c).alias(c) for c in ("g", "h", "n_shingles", "sig"))
+    known = stash(met.groupBy("id").agg(F.count("*").alias("n"), first, *same), "known")
+    sums = known.groupBy(*respread("g")).agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_m"))
+    sums = sums.filter("_n > 1").select("g", F.expr(f"_n <= {MOST_NODES} and _m <= {MOST_SHINGLES}").alias("small"))
+    wanted = stash(known.join(sums, "g").select("g", "id", "h", "sig", "small"), "wanted")
+    # a hot text is reduced to one for each task before the shuffle
+    own = sieved(texts, wanted, "h").select(F.unhex(F.md5("text")).alias("id"), "text").groupBy("id").agg(F.first("text").alias("text"))
+    found = stash(wanted.drop("h").join(own, "id"), "texts")
+    discard(wanted)
 
     def settled(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
         sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        close = np.flatnonzero(signatures_meet(sigs, num / den))
         root = np.arange(table.num_rows)
-        if len(close):
-            values, offsets = shingler(table["text"].take(pa.array(close)))
-            sets = [np.unique(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            root[close] = close[roots_in_memory(sets, num, den)]
+        near = roots_by_signature(sigs, num / den)
+        order = np.argsort(near, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(near[order])) + 1):
+            if len(own) > 1:
+                values, offsets = shingler(table["text"].take(pa.array(own)))
+                sets = [np.unique(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                root[own] = own[roots_in_memory(sets, num, den)]
         return pa.table({"node": table["id"], "root": table["id"].take(pa.array(root))})
 
-    small = texts.filter("small").select("g", "id", "text", "sig").groupBy("g").applyInArrow(settled, "node binary, root binary")
-    large = texts.filter("not small")
-    if large.isEmpty():
-        return small
-    return small.union(_large(large, shingler, num, den))
-
-
-def placed_classes(marked: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, n, first doc_id, first place) of the component of each text in a class.
-
-    classes: what similarity_classes returned, stashed. n counts occurrences, repeated rows
-    included; the first occurrence is that of least doc_id, nulls last, then least place.
-    """
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("first")
-    known = marked.filter("size(keys) > 0").groupBy("id").agg(F.count("*").alias("n"), first)
+    classes = found.filter("small").select("g", "id", "text", "sig").groupBy("g").applyInArrow(settled, "node binary, root binary")
+    large = found.filter("not small")
+    if not large.isEmpty():
+        classes = classes.union(_large(large, shingler, num, den))
+    classes = classes.filter("node <> root")
     rooted = stash(known.join(classes, F.col("id") == F.col("node"), "left").select("id", "n", "first", F.coalesce("root", "id").alias("root")), "roots")
-    whole = rooted.groupBy(*respread("root")).agg(F.sum("n").alias("total"), F.min("first").alias("least")).select("root", "total", "least")
-    return rooted.select("id", "root").join(whole, "root").select("id", F.col("total").alias("n"), F.col("least.doc_id").alias("first_doc"), F.col("least.place").alias("first_place"))
+    discard(found)
+    discard(known)
+    whole = rooted.groupBy(*respread("root")).agg(F.sum("n").alias("n"), F.min("first").alias("least")).select("root", "n", "least")
+    named = rooted.select("id", "root").join(whole, "root").select("id", "n", F.col("least.doc_id").alias("first_doc"), F.col("least.place").alias("first_place"))
+    named = stash(named, "named")
+    discard(rooted)
+    return met, named
 
 
 def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFrame:

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import MARKED, placed_classes, similarity_classes
-from .shared import stash
-from .words import MinHash, distinct_counts, list_column, shingles, slices, word_hashes
+from .linking import Signer, sign, similarity_classes
+from .shared import discard
+from .words import MinHash, distinct_counts, shingles, word_hashes
 
 WIDTH = 5
 #: 16 bands of 4 minima: a pair at similarity 0.85 is missed by all bands seven times in a
@@ -24,13 +22,19 @@ def word_shingler(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return shingles(*word_hashes(texts), WIDTH)
 
 
-def signed(texts: pa.Array, family: MinHash) -> list[pa.Array]:
-    """The columns sketch, n_shingles, sig (a byte of each minimum) and keys of whole texts."""
-    values, offsets = word_shingler(texts)
-    minima, has = family.minima(values, offsets), np.diff(offsets) > 0
-    width = minima.shape[1]
-    sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(texts), [None, pa.py_buffer((minima & 0xFF).astype(np.uint8).tobytes())])
-    return [pa.array(family.sketch(minima)), pa.array(distinct_counts(values, offsets)), sig.cast(pa.binary()), list_column(family.keys(minima), has)]
+def word_signer(family: MinHash) -> Signer:
+    """Signs texts by their distinct 5-word shingles."""
+
+    def signed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        values, offsets = word_shingler(texts)
+        full = np.diff(offsets) > 0
+        return distinct_counts(values, offsets), family.minima(values, offsets)[full]
+
+    return signed
+
+
+def whole_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    return np.arange(len(texts)), np.zeros(len(texts), np.int32), texts
 
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
@@ -49,27 +53,11 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     gets the least non-null doc_id of its component, or null, and is not kept. An empty table
     gives no rows.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("place"), F.md5(text).alias("hex"), F.col("text"))
-    rows = rows.select("doc_id", "place", F.unhex("hex").alias("id"), F.conv(F.substring("hex", 2, 15), 16, 10).cast("long").alias("h"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     family = MinHash(BANDS, ROWS)
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low, high in slices(whole["text"]):
-                batch = whole.slice(low, high - low)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], *signed(batch["text"], family)], names=[c.split()[0] for c in MARKED.split(", ")])
-
-    marked = stash(rows.mapInArrow(made, MARKED), "minhash")
-
-    def fetch(wanted: DataFrame) -> DataFrame:
-        texts = rows.select(F.col("doc_id").alias("_doc"), F.col("id").alias("_id"), "text")
-        found = wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("id") == F.col("_id")))
-        return found.drop("_doc", "_id").dropDuplicates(["id"])
-
-    classes = stash(similarity_classes(marked, fetch, word_shingler, num, den), "linked")
-    named = stash(placed_classes(marked, classes).select("id", F.col("first_doc").alias("component_id")), "named")
-    out = marked.select("doc_id", "n_shingles", "id")
-    full = out.filter("n_shingles > 0").join(named, "id").select("doc_id", "n_shingles", "component_id")
-    empty = out.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.union(empty).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    signed = sign(docs, whole_texts, word_signer(family), family, "minhash")
+    met, named = similarity_classes(signed, docs.select(F.xxhash64("text").alias("h"), "text"), word_shingler, num, den)
+    discard(met)
+    rows = signed.filter("bucket is null").select("doc_id", "n_shingles", "id").join(named, "id", "left")
+    rows = rows.select("doc_id", "n_shingles", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first_doc")).alias("component_id"))
+    return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

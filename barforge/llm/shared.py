@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -13,14 +12,16 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which driver and executors see alike.
 
-    Only where nothing is set (tests on one machine) a temporary folder is chosen and
-    recorded in the session, so that later calls agree.
+    Only where nothing is set and all runs on this machine (tests) a temporary folder is
+    chosen and recorded in the session, so that later calls agree.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     known = spark.conf.get("spark.barforge.shared", None)
     if known is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="barforge-")
         spark.conf.set("spark.barforge.shared", known)
     return known
@@ -30,34 +31,55 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/barforge-{label}-{uuid.uuid4().hex}"
 
 
+#: Has Spark delete the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once into the shared folder and return a reader of it.
 
     This cuts lineage with files that survive lost executors: a later failure re-reads
-    the table instead of recomputing what led to it.
+    the table instead of recomputing what led to it. The shuffles that made it go.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table._barforge_path = path
     return table
 
 
 def discard(df: DataFrame | None) -> None:
-    """Delete a stashed table that nothing will read again, and let go of finished shuffles.
-
-    Spark keeps the shuffle files of a finished query until the driver's JVM collects the
-    query's objects, which on a quiet driver may be never; iterations would pile them up.
-    """
+    """Delete a stashed table that nothing will read again."""
     path = getattr(df, "_barforge_path", None)
     if path is None:
         return
     spark = df.sparkSession
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    gc.collect()
-    spark._jvm.System.gc()
+
+
+#: Bits of a sieve. However many keys there are, no more than SIEVE / 64 rows are broadcast.
+SIEVE = 1 << 24
+
+
+def sieved(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Those of ``rows`` whose ``column`` may be among that of ``keys``: all that are, and few others.
+
+    The column has to be a hash. Keys set bits of a map of fixed size, which is broadcast as
+    64-bit words; a join on the column behind it then shuffles little that finds no partner.
+    With far more than SIEVE keys everything passes, and only that saving is lost.
+    """
+    slot = F.col(column).bitwiseAND(F.lit(SIEVE - 1))
+    bit = F.expr(f"cast(`{column}` & 63 as int)")
+    words = keys.select(F.shiftright(slot, 6).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    met = rows.withColumn("_bit", bit).join(F.broadcast(words), F.shiftright(slot, 6) == F.col("_word"))
+    return met.filter("(shiftrightunsigned(_bits, _bit) & 1L) = 1").select(*rows.columns)
 
 
 def respread(*keys: str):

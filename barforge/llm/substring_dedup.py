@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import MARKED, placed_classes, similarity_classes
-from .near_dedup import signed, word_shingler
+from .linking import Cutter, sign, similarity_classes
+from .near_dedup import word_shingler, word_signer
 from .passages import repeated_passages
-from .shared import stash
-from .words import MinHash, slices
+from .shared import discard
+from .words import MinHash, word_counts
 
 #: 12 bands of 3 minima: a pair at similarity 0.8 is missed by all bands twice in ten thousand.
 BANDS, ROWS = 12, 3
@@ -35,47 +32,29 @@ def parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return split.flatten(), row, np.arange(offsets[-1]) - np.repeat(offsets[:-1], counts)
 
 
-def marked_parts(docs: DataFrame, choose: Callable[[pa.Array], np.ndarray], sign: Callable[[pa.Array], list[pa.Array]], label: str, most_bytes: int) -> DataFrame:
-    """A row (MARKED) for each chosen line of each document, written to the shared folder."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low, high in slices(whole["text"], most_bytes):
-                batch = whole.slice(low, high - low)
-                lines, row, place = parts(batch["text"])
-                real = choose(lines)
-                lines = lines.filter(pa.array(real))
-                ids = [hashlib.md5(x, usedforsecurity=False).digest() for x in lines.cast(pa.binary()).to_pylist()]
-                h = np.frombuffer(b"".join(ids), "<i8")[::2] if ids else np.zeros(0, np.int64)
-                columns = [batch["doc_id"].take(pa.array(row[real])), pa.array(place[real], pa.int32()), pa.array(ids, pa.binary()), pa.array(h, pa.int64()), *sign(lines)]
-                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in MARKED.split(", ")])
-
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter(F.col("text").isNotNull())
-    return stash(rows.mapInArrow(made, MARKED), label)
+def lines_of(least_words: int) -> Cutter:
+    """Cuts texts into their lines of at least so many words."""
 
+    def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        lines, row, place = parts(texts)
+        if least_words > 1:
+            real = word_counts(lines) >= least_words
+        else:
+            real = pc.not_equal(pc.ascii_trim_whitespace(lines), "").to_numpy(zero_copy_only=False)
+        return row[real], place[real], lines.filter(pa.array(real))
 
-def fetch_parts(docs: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """From (doc_id, place, id) to the line at that place, if it is the text with that id."""
+    return cut
 
-    def fetch(wanted: DataFrame) -> DataFrame:
-        # a document is joined and split once for all its lines
-        rest = [c for c in wanted.columns if c != "doc_id"]
-        lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*rest)).alias("_all"))
-        whole = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"))
-        found = lists.join(whole, F.col("doc_id").eqNullSafe(F.col("_doc")))
-        lines = F.array(F.split("_text", "\n", -1))
-        # bound by a lambda, the lines are not split again for each wanted one
-        each = F.element_at(F.transform(lines, lambda ls: F.transform("_all", lambda x: F.struct(x.alias("x"), F.get(ls, x["place"]).alias("text")))), 1)
-        found = found.select("doc_id", F.explode(each).alias("e")).select("doc_id", "e.x.*", "e.text")
-        return found.filter(F.unhex(F.md5("text")) == F.col("id")).dropDuplicates(["id"])
 
-    return fetch
+def all_lines(docs: DataFrame) -> DataFrame:
+    """(h, text) of every line of every document."""
+    lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("text"))
+    return lines.select(F.xxhash64("text").alias("h"), "text")
 
 
-def repeated_parts(docs: DataFrame, marked: DataFrame, classes: DataFrame) -> DataFrame:
+def repeated_parts(met: DataFrame, named: DataFrame) -> DataFrame:
     """(doc_id, place, first_doc, first_place, n, kept) of each occurrence in a class of several."""
-    named = stash(placed_classes(marked, classes).filter("n > 1"), "named")
-    out = marked.filter("size(keys) > 0").select("doc_id", "place", "id").join(named, "id")
+    out = met.select("doc_id", "place", "id").join(named.filter("n > 1"), "id")
     kept = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("place") == F.col("first_place"))
     return out.select("doc_id", "place", "first_doc", "first_place", "n", kept.alias("kept"))
 
@@ -84,29 +63,29 @@ def substring_dedup(docs: DataFrame, num: int = 80, den: int = 100, least_words:
     """Paragraphs that occur more than once, exactly or nearly, and passages, word for word.
 
     docs: doc_id, text; other columns are ignored. A paragraph is what stands between
-    newlines and has at least ``least_words`` words. Two are linked if the Jaccard similarity of their 5-word shingle sets is at
-    least num / den, after banding and exact verification; a component's first occurrence,
-    by doc_id and place, is kept and the others are to be removed.
+    newlines and has at least ``least_words`` words. Two are linked if the Jaccard similarity
+    of their 5-word shingle sets is at least num / den, after banding and exact verification;
+    a component's first occurrence, by doc_id and place, is kept and the others are to be
+    removed.
 
     Returns a row for each occurrence in a component with several: doc_id, paragraph (place
     among the text's paragraphs, from 0), component_doc, component_paragraph (the kept
     occurrence), occurrences, kept; word, words and component_word are null there. Passages
     of ``least_passage`` words or more have rows of their own (see repeated_passages), with
-    the first word's place among the text's words and their number: they may begin in the
-    middle of a line or go over several, short ones too. What only occurs in equal paragraphs
-    has no such row. Null and empty texts have no paragraphs; a null doc_id
-    stands after all others; a row that repeats with its doc_id repeats its paragraphs, of
-    which the kept ones are then marked in each copy. An empty table gives no rows.
+    the first word's place among the text's words and their number; component_paragraph and
+    occurrences are null there. They may begin in the middle of a line or go over several,
+    short ones too. Null and empty texts have no paragraphs; a null doc_id stands after all
+    others; a row that repeats with its doc_id repeats its paragraphs and passages, of which
+    the kept ones are then marked in each copy. An empty table gives no rows.
     """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     family = MinHash(BANDS, ROWS, seed=4)
-
-    def long_enough(lines: pa.Array) -> np.ndarray:
-        words = pc.list_value_length(pc.ascii_split_whitespace(pc.ascii_trim_whitespace(lines)))
-        return words.to_numpy(zero_copy_only=False) >= least_words
-
-    marked = marked_parts(docs, long_enough, lambda lines: signed(lines, family), "paragraphs", 8 << 20)
-    classes = stash(similarity_classes(marked, fetch_parts(docs), word_shingler, num, den), "linked")
-    found = repeated_parts(docs, marked, classes)
+    signed = sign(docs, lines_of(least_words), word_signer(family), family, "paragraphs")
+    met, named = similarity_classes(signed, all_lines(docs), word_shingler, num, den)
+    discard(signed)
+    found = repeated_parts(met, named)
     none = (F.lit(None).cast("int").alias(c) for c in ("word", "words", "component_word"))
     whole = found.select("doc_id", F.col("place").alias("paragraph"), F.col("first_doc").alias("component_doc"), F.col("first_place").alias("component_paragraph"), F.col("n").alias("occurrences"), "kept", *none)
-    return whole.union(repeated_passages(docs, least_passage, least_words))
+    passages = repeated_passages(docs, least_passage)
+    none = F.lit(None).cast("int").alias("component_paragraph"), F.lit(None).cast("long").alias("occurrences")
+    return whole.union(passages.select("doc_id", "paragraph", "component_doc", *none, "kept", "word", "words", "component_word"))

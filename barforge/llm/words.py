@@ -14,8 +14,10 @@ import pyarrow.compute as pc
 import xxhash
 
 MIX_1, MIX_2, ODD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+#: Bytes that are no white space.
+SOLID = np.array([x != 0x20 and not 0x09 <= x <= 0x0D for x in range(256)])
 #: Elements hashed at once, so that one block of minima is found in the processor's cache.
-BLOCK = 1 << 16
+BLOCK = 1 << 15
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -25,6 +27,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def mixed_32(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 32-bit values (the finisher of MurmurHash3)."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    x = (x ^ (x >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return x ^ (x >> np.uint32(16))
+
+
 def slices(texts: pa.Array, most_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most_bytes`` of text each; a longer text is a range by itself."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -50,6 +59,19 @@ def word_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat, offsets
 
 
+def word_counts(texts: pa.Array) -> np.ndarray:
+    """Words of each text: bytes that are no white space and follow white space or the text's start."""
+    borders = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[borders[0] : borders[-1]]
+    borders = borders - borders[0]
+    solid = SOLID[raw]
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    inner = borders[:-1][np.diff(borders) > 0]
+    begins[inner] = solid[inner]
+    return np.diff(np.concatenate(([0], np.cumsum(begins)))[borders])
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     flat, offsets = word_lists(texts)
     coded = flat.dictionary_encode()
@@ -102,18 +124,36 @@ class MinHash:
 
     def minima(self, values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """One row of minima for each text; texts without shingles get the largest value."""
-        n = len(offsets) - 1
-        out = np.full((n, len(self.a)), np.uint32(0xFFFFFFFF), np.uint32)
-        x = (values >> np.uint64(32)).astype(np.uint32)
         full = np.flatnonzero(np.diff(offsets))
+        out = np.full((len(offsets) - 1, len(self.a)), np.uint32(0xFFFFFFFF), np.uint32)
+        out[full] = self.span_minima(values, offsets[full], offsets[full + 1])
+        return out
+
+    def span_minima(self, values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Minima of values[begin:end], none empty, in rising order; what lies between is passed over."""
+        n = len(begin)
+        out = np.empty((n, len(self.a)), np.uint32)
+        if not n:
+            return out
+        apart = bool((begin[1:] != end[:-1]).any())
+        buffer = np.empty(max(2 * BLOCK, int((end - begin).max())), np.uint32)
         i = 0
-        while i < len(full):
-            k = max(i + 1, int(np.searchsorted(offsets[full], offsets[full[i]] + BLOCK)))
-            rows = full[i:k]
-            low, high = offsets[rows[0]], offsets[rows[-1] + 1]
-            block, starts = x[low:high], offsets[rows] - low
+        while i < n:
+            k = max(i + 1, int(np.searchsorted(begin, begin[i] + BLOCK)))
+            low, high = int(begin[i]), int(end[k - 1])
+            if high - low > len(buffer):
+                buffer = np.empty(high - low, np.uint32)
+            x, hashed = values[low:high], buffer[: high - low]
+            if x.dtype == np.uint64:
+                x = (x >> np.uint64(32)).astype(np.uint32)
+            borders = begin[i:k] - low
+            if apart:
+                borders = np.column_stack((borders, end[i:k] - low)).reshape(-1)[:-1]
             for j in range(len(self.a)):
-                out[rows, j] = np.minimum.reduceat(block * self.a[j] + self.b[j], starts)
+                np.multiply(x, self.a[j], out=hashed)
+                np.add(hashed, self.b[j], out=hashed)
+                least = np.minimum.reduceat(hashed, borders)
+                out[i:k, j] = least[::2] if apart else least
             i = k
         return out
 
@@ -123,17 +163,11 @@ class MinHash:
         return ((chosen & np.uint32(15)).astype(np.uint64) << (np.arange(chosen.shape[1], dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).astype(np.int64)
 
     def keys(self, minima: np.ndarray) -> np.ndarray:
-        """A 64-bit key for each text and band."""
+        """A 64-bit key for each text and band; its lowest four bits are the band's number."""
         n = len(minima)
         wide = minima.astype(np.uint64).reshape(n, self.bands, self.rows)
         acc = np.broadcast_to(mixed(np.arange(1, self.bands + 1, dtype=np.uint64) * ODD), (n, self.bands)).copy()
         with np.errstate(over="ignore"):
             for r in range(self.rows):
                 acc = mixed((acc + ODD) ^ wide[:, :, r])
-        return acc.astype(np.int64)
-
-
-def list_column(values: np.ndarray, keep: np.ndarray) -> pa.Array:
-    """Rows of a matrix as lists; rows not kept are empty."""
-    lengths = np.where(keep, values.shape[1], 0)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), pa.array(values[keep].reshape(-1)))
+        return (acc & ~np.uint64(15)) | (np.arange(self.bands, dtype=np.uint64) & np.uint64(15))
