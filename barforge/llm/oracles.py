@@ -28,7 +28,7 @@ failures AS (
 hosts AS (SELECT source, rule, count(*) AS n, sum(failed::INT)::DOUBLE AS f FROM failures GROUP BY source, rule),
 moments AS (SELECT rule, sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS q FROM hosts GROUP BY rule),
 priors AS (SELECT rule, m, CASE WHEN q - m * m > 1e-12 THEN least(greatest(m * (1 - m) / (q - m * m) - 1, 1), 1000) ELSE 1000 END AS s FROM moments),
-bad AS (SELECT DISTINCT h.source FROM hosts h JOIN priors p ON h.rule = p.rule WHERE (h.f + p.s * p.m) / (h.n + p.s) > 0.9),
+bad AS (SELECT DISTINCT h.source FROM hosts h JOIN priors p ON h.rule = p.rule WHERE (h.f + p.s * p.m) / (h.n + p.s) > 0.5),
 judged AS (SELECT c.*, NOT base_failed AND b.source IS NOT NULL AS host_rejected FROM ruled c LEFT JOIN bad b ON c.source = b.source)
 """
 

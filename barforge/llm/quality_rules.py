@@ -1,8 +1,9 @@
 """Host-level quality rules: rule failures by host, shrunk by an empirical beta prior.
 
 Everything is DataFrame functions. A document's counts are array functions within its row,
-so that no word is shuffled; hosts are aggregated with partial sums; only counts, never
-texts, are written between the two passes.
+so that no word is shuffled; hosts are aggregated with partial sums. Between the two passes
+the counts are written, and by ``keep_good`` the rows that it returns, as counting them anew
+would cost more than reading them back.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
-#: A host is rejected if one of its rules' shrunk failure rates exceeds this.
-HOST_RATE = 0.9
+#: A host is rejected if one of its rules' shrunk failure rates exceeds this: if most of what it
+#: has fails. Hosts whose rates differ by chance alone stay near the prior's mean, far below.
+HOST_RATE = 0.5
 #: Hosts with at least this share of all rows are broadcast: there are at most 1/HEAVY.
 HEAVY = 0.001
 
@@ -110,14 +112,20 @@ def host_verdicts(counted: DataFrame, host: str, host_rate: float = HOST_RATE) -
 
 
 def with_verdicts(counted: DataFrame, host: str, verdicts: DataFrame) -> DataFrame:
-    """``counted`` with ``kept``; hot hosts, at most 1/HEAVY of them, do not go through a shuffle."""
-    bad = verdicts.filter("rejected").select(F.col("host").alias("_host"), "heavy")
-    heavy, light = (bad.filter(x).select("_host", F.lit(True).alias(n)) for x, n in (("heavy", "_heavy"), ("not heavy", "_light")))
+    """``counted`` with ``kept``. Rows of hot hosts and of none do not go through a shuffle.
+
+    The verdicts of hot hosts, at most 1/HEAVY of them, are broadcast, and settle their rows.
+    Only if a light host is rejected are the other rows, those of light hosts, joined by host.
+    """
+    heavy = verdicts.filter("heavy").select(F.col("host").alias("_host"), F.col("rejected").alias("_heavy"))
+    light = verdicts.filter("rejected and not heavy").select(F.col("host").alias("_host"), F.lit(True).alias("_light"))
     out = counted.join(F.broadcast(heavy), F.col(host) == F.col("_host"), "left").drop("_host")
-    if not light.isEmpty():
-        out = out.join(light, F.col(host) == F.col("_host"), "left").drop("_host")
+    if light.isEmpty():
+        out = out.withColumn("_light", F.lit(False))
     else:
-        out = out.withColumn("_light", F.lit(None).cast("boolean"))
+        settled = F.col(host).isNull() | F.col("_heavy").isNotNull()
+        rest = out.filter(~settled).join(light, F.col(host) == F.col("_host"), "left").drop("_host")
+        out = out.filter(settled).withColumn("_light", F.lit(False)).unionByName(rest)
     kept = ~(F.col("base_failed") | F.coalesce("_heavy", "_light", F.lit(False)))
     return out.withColumn("kept", kept).drop("_heavy", "_light")
 
