@@ -8,10 +8,13 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Wordings of public license notices.
+from .words import slices
+
+# Wordings of public license notices and texts, without names and years.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "CC-BY-4.0": "Licensed under CC BY 4.0",
@@ -19,9 +22,23 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "MIT": "Released under the MIT License",
-    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "Apache-2.0-text": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "GPL-3.0-text": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0-text": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1-text": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0-text": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-text": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "CC0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty.",
 }
 
 COVERAGE = 0.8
@@ -98,38 +115,47 @@ def needed_words(template: list[str], coverage: float) -> set[str]:
     return chosen
 
 
-def notices(text: str, templates: dict[str, tuple[list[str], set[str]]], coverage: float) -> list[tuple[str, float, int, int, int]]:
-    """(license, coverage, matched words, first word, end word) of each template in ``text``.
+class Template:
+    """A template's words, those of them that no notice can lack entirely, and their places."""
 
-    Around each run of a template's needed words a window of twice the template to either
-    side is aligned; the window with the best coverage counts, the first of equal ones.
-    """
+    def __init__(self, words: list[str], coverage: float) -> None:
+        self.words, self.least = words, coverage * len(words) - 1e-9
+        self.slack = max(2, len(words) // 5)
+        self.places: dict[str, list[int]] = {w: [] for w in needed_words(words, coverage)}
+        for j, w in enumerate(words):
+            if w in self.places:
+                self.places[w].append(j)
+
+    def best(self, words: list[str], places: dict[str, list[int]]) -> tuple[int, int, int] | None:
+        """(matched words, first word, end word) of the best alignment, the first of equal ones.
+
+        A needed word says where the notice would begin if nothing was edited before it. From
+        there windows of the template's size are aligned, with and without some words more to
+        either side; a notice next to another like it is not unique in the wider one.
+        """
+        n, best, last = len(self.words), None, None
+        for s in sorted({i - j for w, own in self.places.items() for i in places.get(w, ()) for j in own}):
+            if last is not None and s - last <= self.slack // 2:
+                continue
+            last = s
+            for more in (0, self.slack + self.slack // 2):
+                low, high = max(0, s - more), min(len(words), s + n + more)
+                pairs = patience(words[low:high], self.words) if low < high else []
+                if len(pairs) >= self.least:
+                    got = len(pairs), -(low + pairs[0][0]), low + pairs[-1][0] + 1
+                    best = max(best, got) if best else got
+        return (best[0], -best[1], best[2]) if best else None
+
+
+def notices(text: str, templates: dict[str, Template]) -> list[tuple[str, float, int, int, int]]:
+    """(license, coverage, matched words, first word, end word) of each template in ``text``."""
     words, out = words_of(text), []
     places: dict[str, list[int]] = {}
     for i, w in enumerate(words):
         places.setdefault(w, []).append(i)
-    for name, (template, needed) in templates.items():
-        n, best = len(template), None
-        spots = sorted(i for w in needed for i in places.get(w, ()))
-        last = -1
-        for s in spots:
-            if s <= last:
-                continue
-            low, high = max(0, s - n - n // 4), min(len(words), s + 2 * n)
-            last = s + n // 2
-            pairs = patience(words[low:high], template)
-            if not pairs:
-                continue
-            # a notice is compact: the best run of pairs that spans at most half as much again
-            k0 = 0
-            for k in range(len(pairs)):
-                while pairs[k][0] - pairs[k0][0] + 1 > n + max(2, n // 2):
-                    k0 += 1
-                got = (k - k0 + 1, -(low + pairs[k0][0]), low + pairs[k][0] + 1)
-                if best is None or got > best:
-                    best = got
-        if best and best[0] >= coverage * n - 1e-9:
-            out.append((name, round(best[0] / n, 6), best[0], -best[1], best[2]))
+    for name, template in templates.items():
+        if found := template.best(words, places):
+            out.append((name, round(found[0] / len(template.words), 6), *found))
     # of notices that overlap, the one with more words counts: "CC BY-NC 4.0" is no "CC BY 4.0"
     out.sort(key=lambda x: (-x[2], -x[1], x[0]))
     kept: list[tuple[str, float, int, int, int]] = []
@@ -148,17 +174,20 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, cover
     lower-casing). Null, empty and other texts without a notice give no rows, nor does an
     empty table; repeated rows give repeated rows.
     """
-    chosen = {k: (w, needed_words(w, coverage)) for k, w in ((k, words_of(t)) for k, t in (templates or TEMPLATES).items()) if w}
+    chosen = {k: Template(w, coverage) for k, w in ((k, words_of(t)) for k, t in (templates or TEMPLATES).items()) if w}
     # no text without any of these words reaches the coverage of any template
-    any_word = "|".join(sorted({w for _, needed in chosen.values() for w in needed}))
+    any_word = "|".join(sorted({w for t in chosen.values() for w in t.places}))
+    pattern = f"(?:^|[^A-Za-z0-9])(?:{any_word})(?:[^A-Za-z0-9]|$)"
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(doc, *x) for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) for x in notices(text, chosen, coverage)]
-            if rows:
-                kinds = pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32()
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "license", "coverage", "matched", "first_word", "end_word"])
+        for whole in batches:
+            for low, high in slices(whole["text"]):
+                batch = whole.slice(low, high - low)
+                batch = batch.filter(pc.match_substring_regex(batch["text"], pattern, ignore_case=True))
+                rows = [(doc, *x) for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) for x in notices(text, chosen)]
+                if rows:
+                    kinds = pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32()
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "license", "coverage", "matched", "first_word", "end_word"])
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter(F.col("text").isNotNull())
-    rows = rows.filter(F.col("text").rlike(f"(?i)(?<![a-z0-9])(?:{any_word})(?![a-z0-9])"))
     return rows.mapInArrow(scanned, "doc_id long, license string, coverage double, matched int, first_word int, end_word int")
