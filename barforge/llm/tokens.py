@@ -13,15 +13,18 @@ index. What a worker remembers is bounded by MOST_CHUNKS and forgotten beyond.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 1_000_000
+MOST_CHUNKS = 250_000
 #: White space beyond single spaces and newlines, as a pattern over whole texts.
 ODD_SPACE = (
     r"[\t\r\f\v\x00\x1c-\x1f]|[ \n][ \n]|\A[ \n]|[ \n]\z|"
@@ -33,6 +36,10 @@ ODD_SPACE = (
 PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
+# Fixed value: how this kind of vocabulary cuts a text into pre-tokens.
+PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
 def byte_letters() -> dict[int, str]:
     """Byte-level vocabularies spell printable bytes as themselves, the others from U+0100 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -52,6 +59,9 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.bytes_kind = (shape.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
         self.model = self.tokenizer.model
+        self.shape = shape["model"]
+        self.merges: PrefixMerges | None = None
+        self.tables: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -171,6 +181,108 @@ class ChunkEncoder:
         upto = np.concatenate(([0], np.cumsum(self.count[places])))
         return upto[1:] - np.repeat(upto[offsets[:-1]], np.diff(offsets)), offsets, flat
 
+    def prefix_table(self, chunk: str) -> list[int]:
+        """Tokens of each prefix of a chunk, the empty one first; made once and remembered."""
+        table = self.tables.get(chunk)
+        if table is None:
+            table = self._prefix_table(chunk)
+            if len(self.tables) * 16 >= MOST_CHUNKS:
+                self.tables.clear()
+            self.tables[chunk] = table
+        return table
+
+    def _prefix_table(self, chunk: str) -> list[int]:
+        whole = len(self.library(chunk))
+        lower = [c.lower() for c in chunk]
+        # each character has to be spelled by itself, and none to be special
+        if unicodedata.is_normalized("NFC", chunk) and "<|" not in chunk and not any(c.isspace() for c in chunk):
+            self.merges = self.merges or PrefixMerges(self.shape)
+            ends = list(itertools.accumulate(map(len, lower), initial=0))
+            text, at, out = "".join(lower), 0, [0] * (len(chunk) + 1)
+            before = {0: 0}
+            for m in PRE_TOKEN.finditer(text):
+                own = self._piece_counts(m[0])
+                if m.start() not in before:
+                    break
+                before[m.end()] = before[m.start()] + own[-1]
+                while at < len(ends) and ends[at] <= m.end():
+                    if ends[at] > m.start():
+                        out[at] = before[m.start()] + own[ends[at] - m.start()]
+                    at += 1
+            if at == len(ends) and out[-1] == whole:
+                return out
+        return [0] + [len(self.library(chunk[:i])) for i in range(1, len(chunk))] + [whole] * bool(chunk)
+
+    def _piece_counts(self, piece: str) -> list[int]:
+        """Tokens of each prefix, in characters, of a pre-token; a contraction's are pre-tokens of their own."""
+        if piece[0] == "'" and piece[-1].isalpha():
+            return [0] + [sum(self._piece_counts(x)[-1] for x in (["'", piece[1:i]] if i > 1 else ["'"])) for i in range(1, len(piece))] + [len(self._word(piece))]
+        raw = [len(c.encode()) for c in piece]
+        counts = self.merges.counts(piece.encode().decode("latin-1").translate(LETTERS))
+        return [counts[i] for i in itertools.accumulate(raw, initial=0)]
+
+
+class PrefixMerges:
+    """Token counts at every prefix of a pre-token by dynamic programming, without encoding prefixes.
+
+    The last token of a prefix's encoding, taken off, leaves the encoding of the shorter
+    prefix; and a token may follow that one's last token exactly if the merges turn the two
+    side by side into the two again. So one pass from left to right finds for each prefix the
+    only token that can end it, and its count is one more than that of the prefix before it.
+    """
+
+    def __init__(self, model: dict) -> None:
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+        self.rank = {(a, b): i for i, (a, b) in enumerate(pairs)}
+        self.end = model.get("end_of_word_suffix") or ""
+        made = {a + b for a, b in self.rank}
+        self.tokens = {t for t in model["vocab"] if t in made or len(t.removesuffix(self.end) or t) == 1}
+        self.longest = max(map(len, self.tokens))
+        self.follows: dict[tuple[str, str], bool] = {}
+
+    def symbols(self, token: str) -> list[str]:
+        if self.end and token.endswith(self.end):
+            body = token.removesuffix(self.end)
+            return [*body[:-1], body[-1] + self.end]
+        return list(token)
+
+    def merged(self, parts: list[str]) -> list[str]:
+        """The merges of one pre-token: again and again the pair of least rank, the leftmost first."""
+        while len(parts) > 1:
+            rank, i = min((self.rank.get((a, b), len(self.rank)), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == len(self.rank):
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts
+
+    def may_follow(self, before: str, token: str) -> bool:
+        known = self.follows.get((before, token))
+        if known is None:
+            want = [before, token] if before else [token]
+            known = self.merged(self.symbols(before) + self.symbols(token)) == want
+            if len(self.follows) >= MOST_CHUNKS:
+                self.follows.clear()
+            self.follows[before, token] = known
+        return known
+
+    def counts(self, word: str) -> list[int]:
+        """Tokens of each prefix of ``word``, in the letters of the vocabulary, the empty one first."""
+        last, count, out = [""], [0], [0]  # of prefixes that go on; tokens of prefixes that end there
+        for i in range(1, len(word) + 1):
+            for table, suffix in ((None, self.end), (last, "")):
+                for j in range(max(0, i - self.longest), i):
+                    token = word[j:i] + suffix
+                    if token in self.tokens and self.may_follow(last[j], token):
+                        if table is None:
+                            out.append(count[j] + 1)
+                        else:
+                            last.append(token)
+                            count.append(count[j] + 1)
+                        break
+                else:
+                    raise ValueError(f"{word!r} has letters that the vocabulary lacks")
+        return out
+
 
 _encoders: dict[str, ChunkEncoder] = {}
 
