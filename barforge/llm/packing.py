@@ -92,9 +92,10 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY,
 
     docs: doc_id, text; other columns are ignored; a null text is empty and packs as its end
     id. Sequences also hold at most ``most_docs`` pieces and ``most_attention`` squared
-    lengths; the defaults are what full sequences of any pieces stay within. Pieces of full
-    length are sequences by themselves; the others are dealt out in turn to groups of about
-    GROUP pieces, which are packed one by one in memory. Repeated rows are packed as often
+    lengths; the defaults are what full sequences of any pieces stay within, so by default
+    only tokens bind, which gives the fewest sequences. Pieces of full length are sequences
+    by themselves; the others are dealt out at random to groups of about GROUP pieces, which
+    are packed one by one in memory. Repeated rows are packed as often
     as they occur; an empty table gives no rows.
 
     Returns a row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
@@ -114,7 +115,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY,
 
     out = "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     small = (
-        part.withColumn("place", F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
+        # hashed, as row numbers begin at a multiple of 2**33 in each partition
+        part.withColumn("place", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
         .groupBy("place")
         .applyInPandas(packed, f"{PIECES}, sequence_id long, offset long")
     )
