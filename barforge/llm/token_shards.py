@@ -168,18 +168,18 @@ class ShardReader:
         return None
 
 
-def write_shards(docs: DataFrame, path: str, end_id: int = 0, shard_bytes: int = 64 << 20) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, end_id: int = 0, shard_bytes: int = 32 << 20) -> DataFrame:
     """Encode whole texts and write them as shards in doc_id order; returns the manifest.
 
-    Shards are ranges of doc_id of about ``shard_bytes`` of text, each written by one task
-    that streams its sorted rows. A task that runs again writes another file; the manifest,
+    Shards are ranges of doc_id, and of a hash of the text where a doc_id repeats, of about
+    ``shard_bytes`` of text, each written by one task that streams its sorted rows. A task that runs again writes another file; the manifest,
     itself a written table, names those that count.
     """
     spark = docs.sparkSession
     folder = fresh_path(spark, "shards")
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(8, -(-total // shard_bytes))
+    parts = max(1, -(-total // shard_bytes))
     end = np.array([end_id], np.uint32)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,13 +200,14 @@ def write_shards(docs: DataFrame, path: str, end_id: int = 0, shard_bytes: int =
                 names=[c.split()[0] for c in MANIFEST.split(", ")],
             )
 
-    ranged = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.crc32(F.col("text").cast("binary")))
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return stash(ranged.mapInArrow(written, MANIFEST), "manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files of ``manifest``."""
-    # a row for each file, whose number is that of 64 MB pieces of the corpus
+    # a row for each file, whose number is that of shard_bytes pieces of the corpus
     before = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = manifest.withColumn("base", before.cast("long"))
     files = files.repartition(F.col("shard"))
