@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
@@ -12,7 +13,8 @@ from tokenizers import Tokenizer
 
 from barforge.llm.decontamination import infix_distance, leaks, without_leaks
 from barforge.llm.kd_sharding import kd_shards
-from barforge.llm.license_scan import license_scan, longest_increasing, patience
+from barforge.llm.license_scan import TEMPLATES, Template, license_scan, longest_increasing, notices, patience, words_of
+from barforge.llm.oracles import QUALITY
 from barforge.llm.packing import best_fit, pack
 from barforge.llm.quality_rules import keep_good, quality_rules
 from barforge.llm.token_counts import PrefixCounts, token_counts
@@ -111,7 +113,7 @@ def test_leaks(spark):
             continue
         planted.add((i, k))
     texts += [None, "", "no id"]
-    bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate(items)] + [(90, None, "x"), (91, "", "x"), (None, "abc", "x")], "item_id long, text string, doc_id string")
+    bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate(items)] + [(90, None, "x"), (91, "", "x"), (None, "nothing of the kind stands anywhere here", "x")], "item_id long, text string, doc_id string")
     found = leaks(docs(spark, texts), bench).collect()
     assert {(r.doc_id, r.item_id) for r in found} == planted
     assert all(r.distance == 0 for r in found if r.doc_id < 40)
@@ -201,10 +203,29 @@ def test_token_counts_and_prefixes(spark):
     for t in ("Hello, wörld! unbelievable\n\tthings  ", *odd_texts(20, 9)):
         table = PrefixCounts(t, WORD)
         assert [table.count(i) for i in range(len(t) + 1)] == [count(t[:i]) for i in range(len(t) + 1)]
-        assert table.total() == count(t) and count(table.truncate(3)) <= 3
+        assert table.total() == count(t)
+        for budget in (0, 1, 3):
+            assert table.truncate(budget) == t[: max(i for i in range(len(t) + 1) if count(t[:i]) <= budget)]
+    odd = "lower" * 500
+    got = token_counts(docs(spark, [f"a {odd} b"]), WORD, 10).collect()[0]
+    cut = 2 + got.chars_over
+    assert got.words_in_limit == 1 and count(f"a {odd}"[:cut]) <= 10 < count(f"a {odd}"[: cut + 1])
     assert token_counts(docs(spark, texts).limit(0), WORD).collect() == []
 
 
+def test_counts_at_prefixes_of_chunks():
+    rng = random.Random(7)
+    own, whole = ChunkEncoder(WORD), Tokenizer.from_file(WORD)
+    known = ["internationalization", "don't", "they'll've", "'re", "''re", "x" * 70, "日本語のテキスト", "ΣΑΣ", "İstanbul", "<|endoftext|>x", "e\u0301a", "🙂🙂a", "QWxhZGRpbjpvcGVuIHNlc2FtZQ==", "rock'n'roll's"]
+    known += ["".join(rng.choice("thereingatonsé'1.") for _ in range(rng.randint(1, 25))) for _ in range(300)]
+    want = [[len(whole.encode(w[:i], add_special_tokens=False).ids) for i in range(len(w) + 1)] for w in known]
+    plain = own.library
+    calls = []
+    own.library = lambda text: calls.append(text) or plain(text)
+    assert [own.prefix_table(w) for w in known] == want
+    assert len(calls) < 1.2 * len(known)  # one for each word, more only for odd spellings
+
+
 def test_patience():
     rng = random.Random(4)
     for _ in range(200):
@@ -228,6 +249,51 @@ def test_licenses(spark):
     assert license_scan(docs(spark, texts).limit(0)).collect() == []
 
 
+def test_notices_next_to_each_other():
+    rng = random.Random(9)
+    table = {k: Template(words_of(t), 0.8) for k, t in TEMPLATES.items()}
+    for _ in range(150):
+        name = rng.choice(list(TEMPLATES))
+        base, copies = words_of(TEMPLATES[name]), []
+        for _ in range(rng.choice([1, 2, 3, 5])):
+            copy = list(base)
+            copy[rng.randrange(len(copy))] = "edited"
+            copies.append(copy)
+        text = ["before"] * 3 + [w for c in copies for w in c] + ["after"] * 3
+        # against all windows of the template's size, by longest common subsequences
+        best = {k: max(lcs(text[i : i + len(t.words)], t.words) for i in range(len(text))) for k, t in table.items() if abs(len(t.words) - len(base)) < 3}
+        got = {k: n for k, _, n, _, _ in notices(" ".join(text), table)}
+        top = max(best.values())
+        if top >= 0.8 * len(base):
+            assert max(got.values(), default=0) >= top, (name, got, best)
+    assert notices("nothing here", table) == []
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(new[-1], row[j + 1]))
+        row = new
+    return row[-1]
+
+
+def test_hosts_light_and_hot_by_sql(spark, monkeypatch):
+    monkeypatch.setattr("barforge.llm.quality_rules.HEAVY", 0.1)
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(good, "hot")] * 300 + [("bad", "hot")] * 20 + [(good, None)] * 100 + [("bad", None)] * 90
+    rows += [("bad", "foul")] * 60 + [(good, "foul")] * 2 + [(good, "fine")] * 40 + [("bad", "one")] + [(good + " # $ & # $ & # $", "signs")] * 50
+    rows = [(i, t, s) for i, (t, s) in enumerate(rows)]
+    got = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    con = duckdb.connect()
+    con.register("documents", pa.table({n: list(c) for n, c in zip(("doc_id", "text", "source"), zip(*rows, strict=True), strict=True)}))
+    want = con.sql(f"SELECT doc_id, base_failed, host_rejected, kept FROM ({QUALITY})").fetchall()
+    assert sorted((r.doc_id, r.base_failed, r.host_rejected, r.kept) for r in got) == sorted(want)
+    verdicts = Counter((rows[r.doc_id][2], r.host_rejected) for r in got)
+    assert verdicts["foul", True] == 2 and verdicts["signs", True] == 50 and verdicts["hot", True] == verdicts[None, True] == verdicts["one", True] == 0
+
+
 def test_shards_by_bytes(spark):
     rng = random.Random(3)
     texts = ["x" * rng.choice([1, 10, 100, 400]) for _ in range(3000)] + ["same"] * 1500 + [None, "", "no id", "é" * 50]
