@@ -28,22 +28,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return met.select("e.hi", "e.lo").filter("hi > lo").distinct()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
     """(node, root) for every node of ``edges``; root is the least node that it reaches.
 
     The two star operations alternate until the edges are stars around the roots, which
     takes a number of rounds logarithmic in the size of a component. Edges with a null
     end and loops are ignored; no edges give no rows. Nothing but two numbers a round
     reaches the driver; each round's edges are written to the shared folder, and the last
-    ones go when the result is discarded.
+    ones go when the result is discarded. rows: about how many edges there are, if known.
     """
     proper = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    table = stash(proper.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
+    table = stash(proper.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges", rows, light=True)
     before = _signature(table)
     while before[0]:
-        larger = stash(_large_star(table), "stars")
+        larger = stash(_large_star(table), "stars", before[0], light=True)
         discard(table)
-        table = stash(_small_star(larger), "stars")
+        table = stash(_small_star(larger), "stars", before[0], light=True)
         discard(larger)
         now = _signature(table)
         if now == before:

@@ -33,19 +33,22 @@ def _small(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= MOST_BROADCAST else table
 
 
-def kd_leaves(points: DataFrame, depth: int) -> DataFrame:
-    """``points`` (tie long, weight long, x0.. in [0, 1]) with ``leaf`` in [0, 2**depth)."""
+def kd_leaves(points: DataFrame, depth: int, rows: int | None = None) -> DataFrame:
+    """``points`` (tie long, weight long, x0.. in [0, 1]) with ``leaf`` in [0, 2**depth).
+
+    rows: how many points there are, if known.
+    """
     axes = [c for c in points.columns if c.startswith("x")]
-    table = stash(points.withColumn("leaf", F.lit(0).cast("long")), "kd")
+    table = stash(points.withColumn("leaf", F.lit(0).cast("long")), "kd", rows)
     for level in range(depth):
         nodes = 1 << level
         spread = table.groupBy("leaf").agg(*(F.max(a).alias(f"hi_{a}") for a in axes), *(F.min(a).alias(f"lo_{a}") for a in axes), F.sum("weight").alias("total"))
         # the widest axis; of equal ones the first
         widest = F.array_max(F.array(*(F.struct((F.col(f"hi_{a}") - F.col(f"lo_{a}")).alias("w"), F.lit(-i).alias("i")) for i, a in enumerate(axes))))
-        plan = stash(spread.select("leaf", "total", (-widest["i"]).alias("axis")), "axes")
+        plan = stash(spread.select("leaf", "total", (-widest["i"]).alias("axis")), "axes", nodes, light=True)
         coordinate = F.element_at(F.array(*axes), (F.col("axis") + 1).cast("int"))
         place = F.shiftleft((coordinate * float((1 << 28) - 1)).cast("long"), 32) + F.col("tie")
-        placed = stash(table.join(_small(plan.select("leaf", "axis"), nodes), "leaf").withColumn("place", place).drop("axis"), "kd")
+        placed = stash(table.join(_small(plan.select("leaf", "axis"), nodes), "leaf").withColumn("place", place).drop("axis"), "kd", rows)
         discard(table)
         # narrow the bucket that holds the median: (leaf, prefix of its place, weight before it)
         at = plan.select("leaf", "total", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"))
@@ -59,11 +62,11 @@ def kd_leaves(points: DataFrame, depth: int) -> DataFrame:
             up = F.col("before") + F.sum("w").over(run)
             summed = weights.withColumn("up", up).filter(2 * F.col("up") >= F.col("total"))
             least = summed.groupBy("leaf", "total").agg(F.min(F.struct("prefix", "up", "w")).alias("m"))
-            new = stash(least.select("leaf", "total", F.col("m.prefix").alias("prefix"), (F.col("m.up") - F.col("m.w")).alias("before")), "medians")
+            new = stash(least.select("leaf", "total", F.col("m.prefix").alias("prefix"), (F.col("m.up") - F.col("m.w")).alias("before")), "medians", nodes, light=True)
             at = new
         cut = at.select("leaf", F.col("prefix").alias("cut"))
         right = (F.shiftright("place", 60 - BITS * PASSES) > F.col("cut")).cast("long")
-        table = stash(placed.join(_small(cut, nodes), "leaf").withColumn("leaf", 2 * F.col("leaf") + right).drop("cut", "place"), "kd")
+        table = stash(placed.join(_small(cut, nodes), "leaf").withColumn("leaf", 2 * F.col("leaf") + right).drop("cut", "place"), "kd", rows)
         discard(placed)
     return table
 
@@ -108,7 +111,7 @@ def kd_shards(docs: DataFrame, shards: int | None = 16, target_bytes: int | None
         F.coalesce(_unit(F.col("doc_id").cast("double"), F.col("d0"), F.col("d1")), F.lit(0.0)).alias("x1"),
         "x2", "x3",
     )
-    leaves = kd_leaves(points, depth)
+    leaves = kd_leaves(points, depth, count)
     discard(digest)
     # slots: runs of a shard are numbered by themselves and moved by the rows before them
     runs = max(8, math.ceil(4 * count / ROWS_A_RUN / (1 << depth)))
