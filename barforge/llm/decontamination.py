@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import ODD, slices
+from .words import ODD, freeing, slices
 
 #: An item's anchors: the ANCHORS runs of GRAM bytes that are least likely by the benchmark's own
 #: letters, begun at least APART bytes from each other. Items too short for three such runs have
@@ -341,7 +341,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOST_EDITS)
                     if found:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["doc_id", "item_id", "distance"])
 
-        more = rows.mapInArrow(scanned, "doc_id long, item_id long, distance int")
+        more = rows.mapInArrow(freeing(scanned), "doc_id long, item_id long, distance int")
         out = more if out is None else out.union(more)
     if out is None:
         return rows.selectExpr("doc_id", "cast(0 as long) item_id", "cast(0 as int) distance").limit(0)
@@ -358,5 +358,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, most_edits: float = MOS
                     batch = whole.slice(low, high - low)
                     yield batch.filter(pa.array([not x for x in block.scan(batch["text"])], pa.bool_()))
 
-        docs = docs.mapInArrow(kept, docs.schema)
+        docs = docs.mapInArrow(freeing(kept), docs.schema)
     return docs

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import slices
+from .words import freeing, slices
 
 # Wordings of public license notices and texts, without names and years.
 TEMPLATES = {
@@ -190,4 +190,4 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, cover
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "license", "coverage", "matched", "first_word", "end_word"])
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter(F.col("text").isNotNull())
-    return rows.mapInArrow(scanned, "doc_id long, license string, coverage double, matched int, first_word int, end_word int")
+    return rows.mapInArrow(freeing(scanned), "doc_id long, license string, coverage double, matched int, first_word int, end_word int")

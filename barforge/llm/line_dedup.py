@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import Signer, sign, similarity_classes
-from .shared import discard, stash, with_keys
+from .shared import discard, parted, stash, with_keys
 from .substring_dedup import all_lines, lines_of, repeated_parts
 from .words import BLOCK, ODD, MinHash, mixed, mixed_32
 
@@ -116,15 +116,16 @@ def without_repeated_lines(docs: DataFrame, num: int = 80, den: int = 100) -> Da
     one that repeats, are documents of their own.
     """
     keyed = with_keys(docs)
-    gone = line_dedup(keyed.select(F.col("_key").alias("doc_id"), "text"), num, den).filter("not kept").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("_gone"))
-    gone = stash(gone, "gone")
+    found = line_dedup(keyed.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text")), num, den)
+    lost = found.filter("not kept").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("_gone"))
+    lost = stash(lost.withColumn("_h", F.xxhash64("_doc")), "gone", docs.count())
+    maybe, same = parted(keyed.withColumn("_h", F.xxhash64("_key")), lost, "_h")
+    both = maybe.join(lost.select("_doc", "_gone"), F.col("_key") == F.col("_doc"), "left").select("_row", "_gone")
     # bound by a lambda, the text is split once for a row
-    lines = F.array(F.split("text", "\n", -1))
+    lines = F.array(F.split("_row.text", "\n", -1))
     left = F.element_at(F.transform(lines, lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_gone")), lambda i: F.get(ls, i))), 1)
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    both = keyed.select(row, "_key", "text").join(gone, F.col("_key") == F.col("_doc"), "left")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    both = both.select("_row", F.col("_gone").isNull().alias("_same"), text.alias("_text"))
+    both = both.select("_row", F.col("_gone").isNull().alias("_same"), F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(F.array_join(left, "\n")).alias("_text"))
     both = both.filter(F.col("_same") | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("_text"), "n_chars": F.when(F.col("_same"), F.col("_row.n_chars")).otherwise(F.char_length("_text")) if "n_chars" in docs.columns else None}
-    return both.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(f"_row.`{c}`") for c in docs.columns))
+    both = both.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(f"_row.`{c}`") for c in docs.columns))
+    return same.select("_row.*").union(both)

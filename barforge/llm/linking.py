@@ -24,6 +24,7 @@ edited copies of one text is nearly settled by the first step, whatever its size
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .packed import FIELDS, Packer, bucket_count, dealt, whole_buckets
 from .shared import discard, respread, sieved, stash
-from .words import MinHash, slices
+from .words import MinHash, freeing, slices
 
 #: texts -> (flat shingle hashes, offsets)
 Shingler = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
@@ -47,6 +48,8 @@ Signer = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 MOST_NODES, MOST_SHINGLES, RARE = 8192, 1 << 22, 64
 #: Columns of a 0-1 matrix, and pairs, that are in memory at once.
 COLUMNS, PAIRS = 1024, 1 << 21
+#: Texts of small groups that are cut into shingles at once.
+SHINGLED = 1024
 
 #: A row for each occurrence of a text; in other rows only the first two columns, blobs of
 #: records in BAND, or, in bucket LINKS, of pairs of short ids.
@@ -125,14 +128,18 @@ def roots_in_memory(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     return components_in_memory(n, linked, max(16, min(512, (1 << 21) // n)))
 
 
-def roots_by_signature(sigs: np.ndarray, t: float) -> np.ndarray:
-    """For each signature the first of those joined by agreement in as many places as linked texts have.
+def least_agreement(width: int, t: float) -> int:
+    """In how many places the signatures of linked texts agree, at the least.
 
     A linked pair falls six standard deviations short of its expectation less than once in
     some hundred million, and only when it is near the threshold.
     """
+    return max(1, math.ceil(t * width - 6 * (t * (1 - t) * width) ** 0.5))
+
+
+def roots_by_signature(sigs: np.ndarray, least: int) -> np.ndarray:
+    """For each signature the first of those joined by agreement in at least ``least`` places."""
     n, width = sigs.shape
-    least = max(t * width - 6 * (t * (1 - t) * width) ** 0.5, 1)
 
     def linked(low: int, high: int) -> np.ndarray:
         agree = np.zeros((high - low, n - low), np.uint8 if width < 256 else np.uint16)
@@ -272,7 +279,7 @@ def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: s
         yield from given_out()
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter(F.col("text").isNotNull())
-    return stash(rows.mapInArrow(made, SIGNED), label)
+    return stash(rows.mapInArrow(freeing(made), SIGNED), label)
 
 
 def bucket_links(signed: DataFrame) -> DataFrame:
@@ -308,11 +315,71 @@ def bucket_links(signed: DataFrame) -> DataFrame:
             for blob in batch.column(0).to_pylist():
                 yield out(np.frombuffer(blob, np.int64).reshape(-1, 2))
 
-    met = dealt(signed.filter(f"bucket <> {LINKS}")).mapInArrow(linked, "a long, b long")
-    early = signed.filter(f"bucket = {LINKS}").select("blob").mapInArrow(unpacked, "a long, b long")
+    met = dealt(signed.filter(f"bucket <> {LINKS}")).mapInArrow(freeing(linked), "a long, b long")
+    early = signed.filter(f"bucket = {LINKS}").select("blob").mapInArrow(freeing(unpacked), "a long, b long")
     return met.union(early)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by g, in tables that hold all rows of each of their groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        g = batch["g"].to_numpy()
+        if not len(g):
+            continue
+        last = int(np.searchsorted(g, g[-1]))
+        if held and (last or held[-1]["g"][-1].as_py() != g[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        elif last:
+            yield pa.Table.from_batches([batch.slice(0, last)])
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def roots_of_groups(table: pa.Table, shingler: Shingler, num: int, den: int) -> np.ndarray:
+    """For each row of whole groups the first row of its component: by signatures, then by full sets."""
+    n = table.num_rows
+    sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(n, -1)
+    least = least_agreement(sigs.shape[1], num / den)
+    g = table["g"].to_numpy()
+    begins = np.flatnonzero(np.concatenate((np.ones(min(1, n), bool), g[1:] != g[:-1])))
+    lengths = np.diff(np.append(begins, n))
+    near = np.arange(n)
+    for size in np.unique(lengths[lengths > 1]).tolist():
+        own = begins[lengths == size]
+        if size > 16:
+            for i in own.tolist():
+                near[i : i + size] = i + roots_by_signature(sigs[i : i + size], least)
+            continue
+        for at in range(0, len(own), 1024):
+            rows = own[at : at + 1024, None] + np.arange(size)
+            x = sigs[rows]
+            agree = (x[:, :, None] == x[:, None]).sum(axis=-1) >= least
+            near[rows] = own[at : at + 1024, None] + spanned(agree)
+    root = np.arange(n)
+    order = np.argsort(near, kind="stable")
+    parts = [x for x in np.split(order, np.flatnonzero(np.diff(near[order])) + 1) if len(x) > 1]
+    while parts:
+        # as many components as SHINGLED texts are in, at least one
+        k = max(1, int(np.searchsorted(np.cumsum([len(x) for x in parts]), SHINGLED)))
+        now, parts = parts[:k], parts[k:]
+        values, offsets = shingler(table["text"].take(pa.array(np.concatenate(now))))
+        sets = [np.unique(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        done = 0
+        for x in now:
+            own = sets[done : done + len(x)]
+            done += len(x)
+            if len(x) == 2:
+                met = len(np.intersect1d(*own, assume_unique=True))
+                if met and den * met >= num * (len(own[0]) + len(own[1]) - met):
+                    root[x] = x[0]
+            else:
+                root[x] = x[roots_in_memory(own, num, den)]
+    return root
+
+
 def similarity_classes(signed: DataFrame, texts: DataFrame, shingler: Shingler, num: int, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Texts that occur again or share a bucket, and the components that they are in.
 
@@ -324,56 +391,54 @@ def similarity_classes(signed: DataFrame, texts: DataFrame, shingler: Shingler,
     doc_id, nulls last, then least place. Texts without shingles and those alone in their
     buckets have no rows. An empty table gives none.
     """
-    links = stash(bucket_links(signed), "links")
-    joined = components(links, "a", "b")
+    occurrences = signed.count()
+    links = stash(bucket_links(signed), "links", occurrences)
+    size = links.count()  # texts in groups are twice as many at most
+    joined = components(links, "a", "b", size)
     # a component's root is its least node, so a text that only occurs again can be its own
     again = links.filter("a = b").select(F.col("a").alias("h"), F.col("a").alias("g"))
-    groups = stash(joined.select(F.col("node").alias("h"), F.col("root").alias("g")).union(again).groupBy("h").agg(F.min("g").alias("g")), "groups")
+    groups = stash(joined.select(F.col("node").alias("h"), F.col("root").alias("g")).union(again).groupBy("h").agg(F.min("g").alias("g")), "groups", size, light=True)
     discard(joined)
     discard(links)
     rows = signed.filter("n_shingles > 0").select("doc_id", "place", "id", "h", "n_shingles", "sig")
-    met = stash(sieved(rows, groups, "h").join(groups, "h"), "met")
+    met = stash(sieved(rows, groups, "h").join(groups, "h"), "met", occurrences)
     discard(groups)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("first")
     same = (F.min(c).alias(c) for c in ("g", "h", "n_shingles", "sig"))
-    known = stash(met.groupBy("id").agg(F.count("*").alias("n"), first, *same), "known")
+    known = stash(met.groupBy("id").agg(F.count("*").alias("n"), first, *same), "known", size, light=True)
     sums = known.groupBy(*respread("g")).agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_m"))
     sums = sums.filter("_n > 1").select("g", F.expr(f"_n <= {MOST_NODES} and _m <= {MOST_SHINGLES}").alias("small"))
-    wanted = stash(known.join(sums, "g").select("g", "id", "h", "sig", "small"), "wanted")
+    wanted = stash(known.join(sums, "g").select("g", "id", "h", "sig", "small"), "wanted", size, light=True)
     # a hot text is reduced to one for each task before the shuffle
     own = sieved(texts, wanted, "h").select(F.unhex(F.md5("text")).alias("id"), "text").groupBy("id").agg(F.first("text").alias("text"))
-    found = stash(wanted.drop("h").join(own, "id"), "texts")
+    found = stash(wanted.drop("h").join(own, "id"), "texts", size)
     discard(wanted)
 
-    def settled(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
-        sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        root = np.arange(table.num_rows)
-        near = roots_by_signature(sigs, num / den)
-        order = np.argsort(near, kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(near[order])) + 1):
-            if len(own) > 1:
-                values, offsets = shingler(table["text"].take(pa.array(own)))
-                sets = [np.unique(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                root[own] = own[roots_in_memory(sets, num, den)]
-        return pa.table({"node": table["id"], "root": table["id"].take(pa.array(root))})
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            ids, root = table["id"], roots_of_groups(table, shingler, num, den)
+            tied = np.flatnonzero(root != np.arange(len(root)))
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(tied)).combine_chunks(), ids.take(pa.array(root[tied])).combine_chunks()], names=["node", "root"])
 
-    classes = found.filter("small").select("g", "id", "text", "sig").groupBy("g").applyInArrow(settled, "node binary, root binary")
+    # the groups of a task are settled many at once
+    small = found.filter("small").select("g", "id", "sig", "text").repartition("g").sortWithinPartitions("g", "id")
+    classes = small.mapInArrow(freeing(settled), "node binary, root binary")
     large = found.filter("not small")
     if not large.isEmpty():
-        classes = classes.union(_large(large, shingler, num, den))
-    classes = classes.filter("node <> root")
-    rooted = stash(known.join(classes, F.col("id") == F.col("node"), "left").select("id", "n", "first", F.coalesce("root", "id").alias("root")), "roots")
+        classes = classes.union(_large(large, shingler, num, den).filter("node <> root"))
+    rooted = stash(known.join(classes, F.col("id") == F.col("node"), "left").select("id", "n", "first", F.coalesce("root", "id").alias("root")), "roots", size)
     discard(found)
     discard(known)
     whole = rooted.groupBy(*respread("root")).agg(F.sum("n").alias("n"), F.min("first").alias("least")).select("root", "n", "least")
     named = rooted.select("id", "root").join(whole, "root").select("id", "n", F.col("least.doc_id").alias("first_doc"), F.col("least.place").alias("first_place"))
-    named = stash(named, "named")
+    named = stash(named, "named", size, light=True)
     discard(rooted)
     return met, named
 
 
 def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFrame:
+    """(node, root) of groups that one task does not hold; see the module's text."""
+
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
@@ -384,7 +449,7 @@ def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFram
                 flat = np.concatenate(sets).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([batch["g"], batch["id"], pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(flat))], names=["g", "id", "items"])
 
-    members = stash(texts.select("g", "id", "text").mapInArrow(shingled, "g long, id binary, items array<long>"), "members")
+    members = stash(texts.select("g", "id", "text").mapInArrow(freeing(shingled), "g long, id binary, items array<long>"), "members")
     items = members.select("g", "id", F.explode("items").alias("s"))
     often = items.groupBy(*respread("g", "s")).agg(F.count("*").alias("n")).filter("n > 1").select("g", "s", "n")
     often = stash(often, "often")
@@ -407,7 +472,7 @@ def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFram
         nonlocal found, edges
         left, right = (members.select(F.col("id").alias(f"id_{e}"), F.col("items").alias(f"items_{e}")) for e in "ab")
         rows = pairs.join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b")).select("a", "b", "items_a", "items_b")
-        more = stash(rows.mapInArrow(verify, "a binary, b binary"), "links")
+        more = stash(rows.mapInArrow(freeing(verify), "a binary, b binary"), "links")
         if more.isEmpty():
             return
         edges = more if edges is None else edges.union(more)
@@ -436,10 +501,16 @@ def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFram
     met = x.join(y, ["g", "bin"]).filter("ca <> cb and sb <= ra and sa <= rb and sb <= sa and a <> b")
     grown(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
-    # (a) by a shingle that at most RARE members have
+    # (a) by shingles that at most RARE members have; with these a pair has m + min(inside) in
+    # common at most, which dismisses most pairs before their sets are looked at
+    own = counts.select(F.col("id").alias("_id"), "size", "inside")
     rare = placed(items.join(often.filter(F.col("n") <= RARE), ["g", "s"]).select("g", "s", "id"))
     several = rare.groupBy(*respread("g", "s")).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 <> c2").select("g", "s")
-    rare = stash(rare.join(several, ["g", "s"]), "rare")
-    x, y = (rare.select("g", "s", F.col("id").alias(i), F.col("comp").alias(c)) for i, c in (("a", "ca"), ("b", "cb")))
-    grown(x.join(y, ["g", "s"]).filter("a < b and ca <> cb").select("a", "b").distinct())
+    rare = rare.join(several, ["g", "s"]).join(own, F.col("id") == F.col("_id")).drop("_id")
+    rare = stash(rare, "rare")
+    x, y = (rare.select("g", "s", F.col("id").alias(i), F.col("comp").alias(f"c{i}"), F.struct("size", "inside").alias(f"n{i}")) for i in "ab")
+    met = x.join(y, ["g", "s"]).filter("a < b and ca <> cb").groupBy("a", "b").agg(F.count("*").alias("m"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    grown(met.filter(f"(m + least(na.inside, nb.inside)) * {den + num} >= {num} * (na.size + nb.size)").select("a", "b"))
+    for table in (members, often, counts, sized, rare):
+        discard(table)
     return placed(texts.select("id")).select(F.col("id").alias("node"), F.col("comp").alias("root"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import Signer, sign, similarity_classes
-from .shared import discard
+from .shared import discard, parted, stash, with_keys
 from .words import MinHash, distinct_counts, shingles, word_hashes
 
 WIDTH = 5
@@ -61,3 +61,18 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     rows = signed.filter("bucket is null").select("doc_id", "n_shingles", "id").join(named, "id", "left")
     rows = rows.select("doc_id", "n_shingles", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first_doc")).alias("component_id"))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def without_near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
+    """One row of each component of near_duplicates, with all columns of ``docs``.
+
+    Rows with a null doc_id, or with one that repeats, are documents of their own; of equal
+    rows one stays. Texts without words stay, each of them. Rows that the sieve clears do not
+    go through a shuffle.
+    """
+    keyed = with_keys(docs)
+    found = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text")), num, den)
+    gone = stash(found.filter("not kept").select(F.col("doc_id").alias("_gone"), F.xxhash64("doc_id").alias("_h")), "gone", docs.count())
+    maybe, kept = parted(keyed.withColumn("_h", F.xxhash64("_key")), gone, "_h")
+    left = maybe.join(gone.select("_gone"), F.col("_key") == F.col("_gone"), "left_anti")
+    return kept.union(left).select("_row.*")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .shared import stash
 from .tokens import encoder
-from .words import slices
+from .words import freeing, slices
 
 CAPACITY = 4096
 #: Pieces that one task packs together. A group ends with hardly more than one open sequence
@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(freeing(cut), PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int, most_docs: int, most_attention: int, weights: tuple = WEIGHTS) -> tuple[np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .packed import FIELDS, Packer, bucket_count, dealt, whole_buckets
 from .shared import discard, sieved, stash
-from .words import mixed, slices, word_hashes
+from .words import freeing, mixed, slices, word_hashes
 
 BASE, OTHER = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 PRINT = np.dtype([("f", "<u8"), ("h", "<i8"), ("p", "<i4")])
@@ -207,7 +207,7 @@ def repeated_passages(docs: DataFrame, least: int) -> DataFrame:
                     yield from given_out()
         yield from given_out()
 
-    prints = stash(own.select("h", "text").mapInArrow(printed, FIELDS), "prints")
+    prints = stash(own.select("h", "text").mapInArrow(freeing(printed), FIELDS), "prints")
 
     def listed(records: np.ndarray) -> pa.RecordBatch:
         """(text, places) of prints."""
@@ -237,17 +237,18 @@ def repeated_passages(docs: DataFrame, least: int) -> DataFrame:
             for blob in batch.column(0).to_pylist():
                 yield listed(np.frombuffer(blob, PRINT))
 
-    lists = dealt(prints.filter("bucket >= 0")).mapInArrow(met_prints, "h long, places array<int>")
-    lists = lists.union(prints.filter("bucket < 0").select("blob").mapInArrow(early_prints, "h long, places array<int>"))
+    lists = dealt(prints.filter("bucket >= 0")).mapInArrow(freeing(met_prints), "h long, places array<int>")
+    lists = lists.union(prints.filter("bucket < 0").select("blob").mapInArrow(freeing(early_prints), "h long, places array<int>"))
     picked = lists.groupBy("h").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("one")
     known = own.groupBy("h").agg(one, F.count("*").alias("n"))
     known = known.join(picked, "h", "left").filter("n > 1 or places is not null").select(F.col("one.none").alias("none"), F.col("one.doc_id").alias("first"), "h", "n", "places")
     # t numbers the texts in the order of their first documents
-    chosen = stash(known.orderBy("none", "first", "h").select(F.monotonically_increasing_id().alias("t"), "first", "h", "n", "places"), "numbered")
+    chosen = stash(known.orderBy("none", "first", "h").select(F.monotonically_increasing_id().alias("t"), "first", "h", "n", "places"), "numbered", docs.count())
     discard(prints)
+    size = 50 * chosen.count()  # stretches, roughly
     texts = sieved(own, chosen, "h").groupBy("h").agg(F.first("text").alias("text"))
-    texts = stash(chosen.select("t", "h", "places", "n").join(texts, "h"), "texts")
+    texts = stash(chosen.select("t", "h", "places", "n").join(texts, "h"), "texts", size)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         early = Packer("t", buckets)
@@ -272,7 +273,7 @@ def repeated_passages(docs: DataFrame, least: int) -> DataFrame:
                     yield from given_out()
         yield from given_out()
 
-    found = stash(texts.filter("places is not null").select("t", "places", "text").mapInArrow(compared, f"{FIELDS}, kind string"), "stretches")
+    found = stash(texts.filter("places is not null").select("t", "places", "text").mapInArrow(freeing(compared), f"{FIELDS}, kind string"), "stretches", size)
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer("t", buckets)
@@ -282,14 +283,14 @@ def repeated_passages(docs: DataFrame, least: int) -> DataFrame:
         if out := packer.out():
             yield pa.RecordBatch.from_arrays(out, names=["bucket", "blob"])
 
-    rows = stash(dealt(found.filter("kind = 'w'")).mapInArrow(met, FIELDS), "placed")
+    rows = stash(dealt(found.filter("kind = 'w'")).mapInArrow(freeing(met), FIELDS), "placed", size)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for records in whole_buckets(batches, PLACED):
             yield joined(records, least)
 
     passages = rows.union(found.filter("kind = 't'").select("bucket", "blob"))
-    passages = stash(dealt(passages).mapInArrow(runs, "t long, s int, line int, ft long, fs int, words int"), "passages")
+    passages = stash(dealt(passages).mapInArrow(freeing(runs), "t long, s int, line int, ft long, fs int, words int"), "passages", size)
     discard(found)
     discard(rows)
     # what a task placed on the first of its own goes on to where that one is placed

@@ -35,13 +35,24 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
+#: Rows that one task writes, at the least, of a table whose size is known; tasks for each core
+#: where writing is little beside what makes the rows.
+TASK_ROWS, TASKS_A_CORE = 100_000, 3
+
+
+def stash(df: DataFrame, label: str, rows: int | None = None, light: bool = False) -> DataFrame:
     """Write ``df`` once into the shared folder and return a reader of it.
 
     This cuts lineage with files that survive lost executors: a later failure re-reads
-    the table instead of recomputing what led to it. The shuffles that made it go.
+    the table instead of recomputing what led to it. The shuffles that made it go. With
+    ``rows``, about how many it has at most, no more tasks write it than that asks for, or,
+    unless the rows are ``light`` to make, than keep the cores busy: many small files cost
+    more than they hold.
     """
     spark = df.sparkSession
+    if rows is not None:
+        busy = 1 if light else TASKS_A_CORE * spark.sparkContext.defaultParallelism
+        df = df.coalesce(max(busy, 1 + rows // TASK_ROWS))
     path = fresh_path(spark, label)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -68,6 +79,15 @@ def discard(df: DataFrame | None) -> None:
 SIEVE = 1 << 24
 
 
+def _marked(rows: DataFrame, keys: DataFrame, column: str, how: str) -> DataFrame:
+    """``rows`` with _maybe: whether the bits of ``column`` are set by one of ``keys``."""
+    slot = F.col(column).bitwiseAND(F.lit(SIEVE - 1))
+    bit = F.expr(f"cast(`{column}` & 63 as int)")
+    words = keys.select(F.shiftright(slot, 6).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    met = rows.withColumn("_bit", bit).join(F.broadcast(words), F.shiftright(slot, 6) == F.col("_word"), how)
+    return met.withColumn("_maybe", F.expr("coalesce(shiftrightunsigned(_bits, _bit) & 1L, 0L) = 1")).select(*rows.columns, "_maybe")
+
+
 def sieved(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Those of ``rows`` whose ``column`` may be among that of ``keys``: all that are, and few others.
 
@@ -75,11 +95,13 @@ def sieved(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     64-bit words; a join on the column behind it then shuffles little that finds no partner.
     With far more than SIEVE keys everything passes, and only that saving is lost.
     """
-    slot = F.col(column).bitwiseAND(F.lit(SIEVE - 1))
-    bit = F.expr(f"cast(`{column}` & 63 as int)")
-    words = keys.select(F.shiftright(slot, 6).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
-    met = rows.withColumn("_bit", bit).join(F.broadcast(words), F.shiftright(slot, 6) == F.col("_word"))
-    return met.filter("(shiftrightunsigned(_bits, _bit) & 1L) = 1").select(*rows.columns)
+    return _marked(rows, keys, column, "inner").filter("_maybe").drop("_maybe")
+
+
+def parted(rows: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that ``sieved`` would pass, all the others)."""
+    marked = _marked(rows, keys, column, "left")
+    return marked.filter("_maybe").drop("_maybe"), marked.filter("not _maybe").drop("_maybe")
 
 
 def respread(*keys: str):
@@ -93,16 +115,18 @@ def respread(*keys: str):
 
 
 def with_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column _key that is null in no row and the same in no two.
+    """(_key, _row): each row of ``docs`` as a struct, with a key that is null in none and the same in no two.
 
     It is the doc_id where that is so already. Else rows are numbered in the order of doc_id,
-    nulls last, and written once, so that every reader sees the same numbers.
+    nulls last, and written once, so that every reader sees the same numbers. The struct
+    keeps the names of docs' columns apart from those that joins add.
     """
-    key = F.col("doc_id").cast("long")
-    if docs.select(key.alias("k")).groupBy("k").count().filter("k is null or count > 1").isEmpty():
-        return docs.withColumn("_key", key)
-    order = key.asc_nulls_last(), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
-    return stash(docs.orderBy(*order).withColumn("_key", F.monotonically_increasing_id()), "keys")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    key = F.col("_row.doc_id").cast("long")
+    if rows.select(key.alias("k")).groupBy("k").count().filter("k is null or count > 1").isEmpty():
+        return rows.select(key.alias("_key"), "_row")
+    order = key.asc_nulls_last(), F.xxhash64("_row")
+    return stash(rows.orderBy(*order).select(F.monotonically_increasing_id().alias("_key"), "_row"), "keys")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

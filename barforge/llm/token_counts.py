@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .tokens import encoder
-from .words import slices
+from .words import freeing, slices
 
 
 class PrefixCounts:
@@ -91,4 +91,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
                 )
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    return rows.mapInArrow(counted, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, n_words long, words_in_limit long, chars_over long")
+    return rows.mapInArrow(freeing(counted), "doc_id long, n_bytes long, n_tokens long, over_limit boolean, n_words long, words_in_limit long, chars_over long")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .shared import fresh_path, stash
 from .tokens import encoder
-from .words import slices
+from .words import freeing, slices
 
 MAGIC = b"BFSST001"
 #: offsets of index and bloom, their lengths, blocks, documents, ids, bytes an id, magic
@@ -202,7 +202,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int = 0, shard_bytes: int =
 
     order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()
     ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return stash(ranged.mapInArrow(written, MANIFEST), "manifest")
+    return stash(ranged.mapInArrow(freeing(written), MANIFEST), "manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield made(rows)
 
-    return files.select("path", "base").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.select("path", "base").mapInArrow(freeing(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_shards(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:

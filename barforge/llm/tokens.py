@@ -59,7 +59,7 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.bytes_kind = (shape.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
         self.model = self.tokenizer.model
-        self.shape = shape["model"]
+        self.path = path
         self.merges: PrefixMerges | None = None
         self.tables: dict[str, list[int]] = {}
         self.forget()
@@ -196,7 +196,9 @@ class ChunkEncoder:
         lower = [c.lower() for c in chunk]
         # each character has to be spelled by itself, and none to be special
         if unicodedata.is_normalized("NFC", chunk) and "<|" not in chunk and not any(c.isspace() for c in chunk):
-            self.merges = self.merges or PrefixMerges(self.shape)
+            if self.merges is None:
+                with open(self.path, encoding="utf-8") as f:
+                    self.merges = PrefixMerges(json.load(f)["model"])
             ends = list(itertools.accumulate(map(len, lower), initial=0))
             text, at, out = "".join(lower), 0, [0] * (len(chunk) + 1)
             before = {0: 0}

@@ -6,7 +6,8 @@ Everything is flat: one array of word hashes for a batch, with the offsets of it
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,25 @@ def mixed_32(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(16))
 
 
-def slices(texts: pa.Array, most_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def freeing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` on a task's batches, after which its worker gives back the memory it does not use.
+
+    Workers are kept for later tasks; what their allocators hold would add to those of the
+    stages that follow, which may need none of it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return run
+
+
+def slices(texts: pa.Array, most_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most_bytes`` of text each; a longer text is a range by itself."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     start, held = 0, 0

@@ -21,3 +21,17 @@ def test_null_and_repeated_ids(spark, tmp_path):
     got = corpus_pipeline.near_copies(spark, docs, str(tmp_path)).collect()
     assert len(got) == 5 and {(r.doc_id, r.text) for r in got if r.doc_id} == {(3, c), (3, d), (5, None)}
     assert sum(r.doc_id is None and (r.text or "").startswith(a) for r in got) == 1
+
+
+def test_columns_with_the_names_that_joins_add(spark, tmp_path):
+    names = ["_gone", "_key", "_row", "_h", "_doc", "_text", "_same", "_maybe", "_word", "_bits", "_bit", "bucket", "blob", "id", "h", "n", "kept"]
+    rng = random.Random(33)
+    make = lambda: " ".join("".join(rng.choice("abcdefghijk") for _ in range(6)) for _ in range(14))
+    a, b, c = make(), make(), make()
+    rows = [(1, f"{a}\n{b}"), (2, f"{a}\n{b}"), (3, f"{c}\n{a}")]
+    docs = spark.createDataFrame([(i, t, *(x + str(i) for x in names)) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{x} string" for x in names))
+    left = without_repeated_lines(docs).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text, r["_gone"], r["id"]) for r in left] == [(1, f"{a}\n{b}", "_gone1", "id1"), (3, c, "_gone3", "id3")]
+    kept = corpus_pipeline.near_copies(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and sorted((r.doc_id, r["_key"]) for r in kept.collect()) == [(1, "_key1"), (3, "_key3")]
+    assert without_repeated_lines(docs.limit(0)).collect() == [] and corpus_pipeline.near_copies(spark, docs.limit(0), str(tmp_path)).collect() == []
