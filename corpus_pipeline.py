@@ -10,14 +10,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from barforge.llm.decontamination import without_leaks
 from barforge.llm.line_dedup import without_repeated_lines
-from barforge.llm.near_dedup import near_duplicates
+from barforge.llm.near_dedup import without_near_duplicates
 from barforge.llm.packing import pack
 from barforge.llm.quality_rules import keep_good
-from barforge.llm.shared import stash, with_keys
+from barforge.llm.shared import stash
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,9 +33,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies at a similarity of 0.8 or more."""
-    keyed = with_keys(docs)
-    gone = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), 80, 100).filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return keyed.join(gone, F.col("_key") == F.col("_gone"), "left_anti").drop("_key")
+    return without_near_duplicates(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
