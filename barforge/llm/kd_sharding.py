@@ -52,6 +52,7 @@ def kd_leaves(points: DataFrame, depth: int, rows: int | None = None) -> DataFra
         discard(table)
         # narrow the bucket that holds the median: (leaf, prefix of its place, weight before it)
         at = plan.select("leaf", "total", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"))
+        over = [plan, placed]
         for p in range(PASSES):
             shift = 60 - BITS * (p + 1)
             inside = placed.join(_small(at, nodes), "leaf")
@@ -64,10 +65,12 @@ def kd_leaves(points: DataFrame, depth: int, rows: int | None = None) -> DataFra
             least = summed.groupBy("leaf", "total").agg(F.min(F.struct("prefix", "up", "w")).alias("m"))
             new = stash(least.select("leaf", "total", F.col("m.prefix").alias("prefix"), (F.col("m.up") - F.col("m.w")).alias("before")), "medians", nodes, light=True)
             at = new
+            over.append(new)
         cut = at.select("leaf", F.col("prefix").alias("cut"))
         right = (F.shiftright("place", 60 - BITS * PASSES) > F.col("cut")).cast("long")
         table = stash(placed.join(_small(cut, nodes), "leaf").withColumn("leaf", 2 * F.col("leaf") + right).drop("cut", "place"), "kd", rows)
-        discard(placed)
+        for done in over:
+            discard(done)
     return table
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .linking import Signer, sign, similarity_classes
-from .shared import discard, parted, stash, with_keys
+from .shared import broadcast_if_small, discard, parted, stash, with_keys
 from .substring_dedup import all_lines, lines_of, repeated_parts
 from .words import BLOCK, ODD, MinHash, mixed, mixed_32
 
@@ -118,9 +118,12 @@ def without_repeated_lines(docs: DataFrame, num: int = 80, den: int = 100) -> Da
     keyed = with_keys(docs)
     found = line_dedup(keyed.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text")), num, den)
     lost = found.filter("not kept").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("_gone"))
-    lost = stash(lost.withColumn("_h", F.xxhash64("_doc")), "gone", docs.count())
-    maybe, same = parted(keyed.withColumn("_h", F.xxhash64("_key")), lost, "_h")
-    both = maybe.join(lost.select("_doc", "_gone"), F.col("_key") == F.col("_doc"), "left").select("_row", "_gone")
+    lost = stash(lost, "gone", docs.count())
+    if (few := broadcast_if_small(lost, 64 + 4 * F.size("_gone"))) is not None:
+        both, same = keyed.join(few, F.col("_key") == F.col("_doc"), "left"), None
+    else:  # only rows that may lose a line are shuffled
+        maybe, same = parted(keyed.withColumn("_h", F.xxhash64("_key")), lost.withColumn("_h", F.xxhash64("_doc")), "_h")
+        both = maybe.join(lost, F.col("_key") == F.col("_doc"), "left")
     # bound by a lambda, the text is split once for a row
     lines = F.array(F.split("_row.text", "\n", -1))
     left = F.element_at(F.transform(lines, lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_gone")), lambda i: F.get(ls, i))), 1)
@@ -128,4 +131,4 @@ def without_repeated_lines(docs: DataFrame, num: int = 80, den: int = 100) -> Da
     both = both.filter(F.col("_same") | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("_text"), "n_chars": F.when(F.col("_same"), F.col("_row.n_chars")).otherwise(F.char_length("_text")) if "n_chars" in docs.columns else None}
     both = both.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(f"_row.`{c}`") for c in docs.columns))
-    return same.select("_row.*").union(both)
+    return both if same is None else same.select("_row.*").union(both)

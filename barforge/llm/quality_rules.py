@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import respread, stash
+from .shared import discard, stash
 
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -108,7 +108,9 @@ def host_verdicts(counted: DataFrame, host: str, host_rate: float = HOST_RATE) -
         strength = F.when(v > 1e-12, F.least(F.greatest(m * (1 - m) / v - 1, F.lit(1.0)), F.lit(1000.0))).otherwise(1000.0)
         rejected = rejected | ((F.col(f"f_{k}") + strength * m) / (F.col("n") + strength) > host_rate)
     # one row of moments beside every host
-    return stash(hosts.crossJoin(F.broadcast(prior)).select("host", "n", (F.col("n") >= HEAVY * F.col("_rows")).alias("heavy"), rejected.alias("rejected")), "verdicts")
+    out = stash(hosts.crossJoin(F.broadcast(prior)).select("host", "n", (F.col("n") >= HEAVY * F.col("_rows")).alias("heavy"), rejected.alias("rejected")), "verdicts")
+    discard(hosts)
+    return out
 
 
 def with_verdicts(counted: DataFrame, host: str, verdicts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -51,7 +51,7 @@ def stash(df: DataFrame, label: str, rows: int | None = None, light: bool = Fals
     """
     spark = df.sparkSession
     if rows is not None:
-        busy = 1 if light else TASKS_A_CORE * spark.sparkContext.defaultParallelism
+        busy = 1 if light else max(TASKS_A_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
         df = df.coalesce(max(busy, 1 + rows // TASK_ROWS))
     path = fresh_path(spark, label)
     before = spark.conf.get(CLEANUP, "false")
@@ -104,6 +104,16 @@ def parted(rows: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, Da
     return marked.filter("_maybe").drop("_maybe"), marked.filter("not _maybe").drop("_maybe")
 
 
+#: Bytes of a table that is broadcast after they have been counted.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(table: DataFrame, size: Column) -> DataFrame | None:
+    """A stashed table to be broadcast if its rows, of ``size`` bytes each, are few enough; else None."""
+    total = table.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(table) if total <= BROADCAST_BYTES else None
+
+
 def respread(*keys: str):
     """Grouping columns for an aggregate that is joined on ``keys`` afterwards.
 

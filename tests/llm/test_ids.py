@@ -3,10 +3,13 @@
 import random
 
 import corpus_pipeline
+import pytest
 from barforge.llm.line_dedup import without_repeated_lines
 
 
-def test_null_and_repeated_ids(spark, tmp_path):
+@pytest.mark.parametrize("most", [1 << 20, -1])
+def test_null_and_repeated_ids(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr("barforge.llm.shared.BROADCAST_BYTES", most)
     rng = random.Random(31)
     make = lambda: " ".join("".join(rng.choice("abcdefghijk") for _ in range(6)) for _ in range(14))
     shared, a, b, c, d, e = (make() for _ in range(6))
@@ -35,3 +38,22 @@ def test_columns_with_the_names_that_joins_add(spark, tmp_path):
     kept = corpus_pipeline.near_copies(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and sorted((r.doc_id, r["_key"]) for r in kept.collect()) == [(1, "_key1"), (3, "_key3")]
     assert without_repeated_lines(docs.limit(0)).collect() == [] and corpus_pipeline.near_copies(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_repeated_rows_and_null_ids_in_the_other_stages(spark, tmp_path):
+    rng = random.Random(35)
+    make = lambda n: " ".join("".join(rng.choice("abcdefghijk") for _ in range(6)) for _ in range(n))
+    good, item = make(70), make(25)
+    rows = [(1, good), (1, good), (1, "short"), (None, good), (None, None), (2, f"{good} {item}"), (2, f"{good} {item}"), (None, f"{item} {good}")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(0, item), (None, make(30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.quality(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns and sorted(str(r.doc_id) for r in left.collect()) == ["1", "1", "2", "2", "None", "None"]
+    clean = corpus_pipeline.benchmark_free(spark, left, str(tmp_path))
+    assert clean.columns == docs.columns and sorted(str(r.doc_id) for r in clean.collect()) == ["1", "1", "None"]
+    packed = corpus_pipeline.packed(spark, clean, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in packed) == ["1", "1", "None"] and len({(r.sequence_id, r.offset) for r in packed}) == 3
+    spark.createDataFrame([(0, item)], "item_id long, text string").limit(0).write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert corpus_pipeline.benchmark_free(spark, docs, f"{tmp_path}/none").count() == len(rows)
+    for stage in (corpus_pipeline.quality, corpus_pipeline.benchmark_free, corpus_pipeline.packed):
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []

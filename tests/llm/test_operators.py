@@ -150,6 +150,18 @@ def test_packing(spark):
     assert pack(docs(spark, texts).limit(0), WORD).collect() == []
 
 
+def test_every_capacity_binds_through_pack(spark):
+    rng = random.Random(16)
+    rows = docs(spark, [" ".join("word" for _ in range(rng.choice([1, 3, 9, 30]))) for _ in range(200)])
+    for most_docs, most_attention in ((3, None), (None, 64 * 64), (4, 64 * 70)):
+        got = {}
+        for r in pack(rows, WORD, capacity=64, most_docs=most_docs, most_attention=most_attention).collect():
+            got.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for own in got.values():
+            assert sorted(o for o, _ in own) == [sum(n for _, n in sorted(own)[:k]) for k in range(len(own))]
+            assert sum(n for _, n in own) <= 64 and len(own) <= (most_docs or 64) and sum(n * n for _, n in own) <= (most_attention or 64 * 64)
+
+
 def test_every_capacity_binds():
     lengths = np.array([10] * 30 + [50] * 6)
     for docs_, attention in ((4, 10_000), (100, 10_000), (100, 3000)):
