@@ -17,34 +17,34 @@ class Preset:
     max_ret: float
 
 
-# Timeframe, then the fields of Preset in order.
-DEFAULTS = """
-1 240 80 100 240 1.2 0.03
-2 220 80 100 200 1.3 0.04
-3 200 80 100 160 1.4 0.05
-4 180 80 100 140 1.5 0.055
-5 160 80 100 120 1.5 0.06
-8 140 80 100 110 1.6 0.07
-10 130 80 100 100 1.7 0.075
-15 120 80 100 96 1.8 0.08
-20 110 70 100 72 1.9 0.10
-30 100 60 100 48 2.0 0.12
-45 100 60 100 48 2.1 0.15
-60 100 60 100 48 2.2 0.18
-90 100 60 100 40 2.4 0.22
-120 100 60 100 36 2.5 0.25
-180 100 60 100 32 2.8 0.30
-240 100 60 100 30 3.0 0.35
-360 100 50 100 20 3.0 0.40
-480 100 50 100 18 3.2 0.50
-720 100 50 100 14 3.5 0.60
-D 120 80 100 30 4.0 1.00
-"""
+# The presets of each timeframe, and the groups of timeframes.
+DEFAULTS = [
+    Preset("1", 240, 80, 100, 240, 1.2, 0.03),
+    Preset("2", 220, 80, 100, 200, 1.3, 0.04),
+    Preset("3", 200, 80, 100, 160, 1.4, 0.05),
+    Preset("4", 180, 80, 100, 140, 1.5, 0.055),
+    Preset("5", 160, 80, 100, 120, 1.5, 0.06),
+    Preset("8", 140, 80, 100, 110, 1.6, 0.07),
+    Preset("10", 130, 80, 100, 100, 1.7, 0.075),
+    Preset("15", 120, 80, 100, 96, 1.8, 0.08),
+    Preset("20", 110, 70, 100, 72, 1.9, 0.10),
+    Preset("30", 100, 60, 100, 48, 2.0, 0.12),
+    Preset("45", 100, 60, 100, 48, 2.1, 0.15),
+    Preset("60", 100, 60, 100, 48, 2.2, 0.18),
+    Preset("90", 100, 60, 100, 40, 2.4, 0.22),
+    Preset("120", 100, 60, 100, 36, 2.5, 0.25),
+    Preset("180", 100, 60, 100, 32, 2.8, 0.30),
+    Preset("240", 100, 60, 100, 30, 3.0, 0.35),
+    Preset("360", 100, 50, 100, 20, 3.0, 0.40),
+    Preset("480", 100, 50, 100, 18, 3.2, 0.50),
+    Preset("720", 100, 50, 100, 14, 3.5, 0.60),
+    Preset("D", 120, 80, 100, 30, 4.0, 1.00),
+]
 GROUPS = {
-    "scalp": "1 3 5 15",
-    "intraday": "15 30 60 120 240 360",
-    "swing": "240 360 720 D",
-    "all": "1 2 3 4 5 8 10 15 20 30 45 60 90 120 180 240 360 480 720 D",
+    "scalp": ["1", "3", "5", "15"],
+    "intraday": ["15", "30", "60", "120", "240", "360"],
+    "swing": ["240", "360", "720", "D"],
+    "all": ["1", "2", "3", "4", "5", "8", "10", "15", "20", "30", "45", "60", "90", "120", "180", "240", "360", "480", "720", "D"],
 }
 
 
@@ -55,15 +55,9 @@ def _preset(tf: str, values: dict) -> Preset:
     return Preset(tf, **{name: kind(values[name]) for name, kind in kinds.items()})
 
 
-def _defaults() -> dict[str, Preset]:
-    names = [f.name for f in fields(Preset)]
-    rows = (dict(zip(names, line.split(), strict=True)) for line in DEFAULTS.strip().splitlines())
-    return {row["tf"]: _preset(row["tf"], row) for row in rows}
-
-
 def load(path: str | None = None) -> tuple[dict[str, list[str]], dict[str, Preset]]:
     """Groups (names in lower case) and presets (timeframes in upper case), a file's first."""
-    groups, presets = {k: v.split() for k, v in GROUPS.items()}, _defaults()
+    groups, presets = dict(GROUPS), {p.tf: p for p in DEFAULTS}
     if path is not None:
         with open(path, "rb") as f:
             config = tomllib.load(f)

@@ -154,3 +154,22 @@ def test_share_of_the_board(spark):
     assert [r.symbol for r in strength.shown(board, rank_pct=0.2).collect()] == [f"S{i:03}" for i in range(10)]
     assert len(strength.shown(board, rank_pct=0.05).collect()) == 5
     assert strength.shown(board, "weak").collect() == []
+
+
+def test_orders_of_features_and_boards(spark):
+    rows = [(1, "B", 0.5), (1, "A", 0.5), (1, "C", None), (0, "Z", 0.1), (1, "D", 0.9)]
+    got = features.in_order(spark.createDataFrame(rows, "ts_ms long, symbol string, score double")).collect()
+    assert [r.symbol for r in got] == ["Z", "D", "A", "B", "C"]
+    rows = [(1, "A", None, 1), (1, "B", 2, 2), (1, "C", 1, 3), (0, "D", 9, 9), (1, "E", 2, 1), (1, "F", None, None)]
+    got = strength.in_order(spark.createDataFrame(rows, "ts_ms long, symbol string, strong_rank long, weak_rank long")).collect()
+    assert [r.symbol for r in got] == ["D", "C", "E", "B", "A", "F"]
+
+
+def test_turnover_is_that_of_the_grid(spark):
+    rng = random.Random(12)
+    rows = [(t, s, rng.choice([0.25, 0.5, 1.0])) for t in range(0, 50, 5) for s in "ABCDE" if rng.random() < 0.5 and t != 20]
+    held = spark.createDataFrame(rows, f"{backtest.AT} long, symbol string, target_weight double")
+    returns = held.select(backtest.AT).distinct().withColumns({"return_time_ms": F.col(backtest.AT) + 5, "next_return": F.lit(0.0)})
+    grid = backtest.dense_weights(held).groupBy(backtest.AT).agg(F.sum(F.abs(F.col("target_weight") - F.col("previous_weight"))).alias("x")).collect()
+    got = {r.time_ms: r.turnover for r in backtest.turnover(held, returns).collect()}
+    assert got.keys() == {r[0] + 5 for r in grid} and all(abs(got[r[0] + 5] - r.x) < 1e-9 for r in grid)
