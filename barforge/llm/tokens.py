@@ -22,9 +22,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 250_000
+MOST_CHUNKS = 1_000_000
+#: A chunk by a digest, which takes a sixth of the room of its text in a dictionary.
+DIGEST = np.dtype([("a", "<u8"), ("b", "<u8"), ("place", "<i4")])
 #: White space beyond single spaces and newlines, as a pattern over whole texts.
 ODD_SPACE = (
     r"[\t\r\f\v\x00\x1c-\x1f]|[ \n][ \n]|\A[ \n]|[ \n]\z|"
@@ -65,10 +68,46 @@ class ChunkEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
         self.marks: dict[str, list[int]] = {}
-        self.first, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        #: Where the ids of each chunk begin, and how many there are, by the chunk's place.
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.pool, self.filled = np.zeros(1 << 14, np.uint32), 0
+        #: Digests of chunks in order, with the chunks' places: most of them, and the latest.
+        self.table, self.latest = np.zeros(0, DIGEST), np.zeros(0, DIGEST)
+        self._store(np.zeros((1, 2), np.uint64), np.zeros(0, np.uint32), np.zeros(1, np.int64))  # the empty chunk
+
+    @staticmethod
+    def digests(chunks: pa.Array) -> np.ndarray:
+        """128 bits for each chunk; none for the empty one."""
+        raw = b"".join([xxhash.xxh3_128_digest(c) if c else bytes(16) for c in chunks.cast(pa.binary()).to_pylist()])
+        return np.frombuffer(raw, np.uint64).reshape(-1, 2)
+
+    def find(self, digests: np.ndarray) -> np.ndarray:
+        """The place of each chunk, -1 if it is not known."""
+        out = np.full(len(digests), -1, np.int64)
+        for table in (self.table, self.latest):
+            if len(table):
+                at = np.minimum(np.searchsorted(table["a"], digests[:, 0]), len(table) - 1)
+                same = (table["a"][at] == digests[:, 0]) & (table["b"][at] == digests[:, 1])
+                out[same] = table["place"][at[same]]
+        return out
+
+    def _store(self, digests: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Remember the ids of new chunks."""
+        n = len(self.first)
+        while self.filled + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        self.pool[self.filled : self.filled + len(ids)] = ids
+        self.first = np.concatenate((self.first, self.filled + np.cumsum(counts) - counts))
+        self.count = np.concatenate((self.count, counts.astype(np.int32)))
+        self.filled += len(ids)
+        new = np.empty(len(digests), DIGEST)
+        new["a"], new["b"], new["place"] = digests[:, 0], digests[:, 1], np.arange(n, n + len(digests))
+        latest = np.concatenate((self.latest, new))
+        if 4 * len(latest) > len(self.table):
+            self.table, latest = np.concatenate((self.table, latest)), latest[:0]
+            self.table = self.table[np.argsort(self.table["a"])]
+        self.latest = latest[np.argsort(latest["a"])]
 
     def library(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -77,57 +116,43 @@ class ChunkEncoder:
         """The library's merges of one pre-token."""
         return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(LETTERS))]
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode chunks: plain words by the library's model, others by the whole library.
+    def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks in a row, how many each has): plain words by the library's model, others by the whole library.
 
         The latter are encoded as one text, and each gets the tokens that start in it.
         """
-        plain, ids, counts, others = [], [], [], []
-        for c in new:
+        own: list[list[int]] = [[]] * len(new)
+        others = []
+        for i, c in enumerate(new):
             m = PLAIN.fullmatch(c)
             if m is None or (m[1] and not self.bytes_kind):
-                others.append(c)
+                others.append(i)
                 continue
-            own = self._word(m[1] + m[2]) if self.bytes_kind else self._word(m[2].lower())
+            ids = self._word(m[1] + m[2]) if self.bytes_kind else self._word(m[2].lower())
             if m[3]:
                 if m[3] not in self.marks:
                     self.marks[m[3]] = self._word(m[3])
-                own += self.marks[m[3]]
-            plain.append(c)
-            ids += own
-            counts.append(len(own))
-        self._store(plain, np.array(ids, np.uint32), np.array(counts, np.int64))
-        new = others
-        for at in range(0, len(new), 4000):
-            part = new[at : at + 4000]
-            lone = [c for c in part if c == "\n"]
-            rest = [c for c in part if c != "\n"]
-            pieces = [c if self.bytes_kind and c[0] == " " else ("\n" if self.bytes_kind else " ") + c for c in rest]
+                ids += self.marks[m[3]]
+            own[i] = ids
+        for at in range(0, len(others), 4000):
+            part = others[at : at + 4000]
+            rest = [i for i in part if new[i] != "\n"]
+            pieces = [c if self.bytes_kind and c[0] == " " else ("\n" if self.bytes_kind else " ") + c for c in (new[i] for i in rest)]
             ends = np.cumsum([len(p) for p in pieces])
-            starts = ends - [len(c) for c in rest]
+            starts = ends - [len(new[i]) for i in rest]
             done = self.tokenizer.encode("".join(pieces), add_special_tokens=False)
             ids = np.array(done.ids, np.uint32)
             begins = np.array([o[0] for o in done.offsets], np.int64)
             owner = np.searchsorted(starts, begins, side="right") - 1
-            real = (owner >= 0) & (begins < ends[np.maximum(owner, 0)]) if len(rest) else np.zeros(0, bool)
+            real = (owner >= 0) & (begins < ends[np.maximum(owner, 0)]) if rest else np.zeros(0, bool)
             ids, owner = ids[real], owner[real]
-            counts = np.bincount(owner, minlength=len(rest)) if len(rest) else np.zeros(0, np.int64)
-            for c in lone:
-                own = self.library(c)
-                ids, counts, rest = np.concatenate((ids, own)), np.append(counts, len(own)), [*rest, c]
-            self._store(rest, ids, counts)
-
-    def _store(self, chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        n = len(self.known)
-        while n + len(chunks) > len(self.first):
-            self.first, self.count = (np.concatenate((x, np.zeros_like(x))) for x in (self.first, self.count))
-        while self.filled + len(ids) > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-        self.pool[self.filled : self.filled + len(ids)] = ids
-        self.first[n : n + len(chunks)] = self.filled + np.cumsum(counts) - counts
-        self.count[n : n + len(chunks)] = counts
-        self.known.update(zip(chunks, range(n, n + len(chunks)), strict=True))
-        self.filled += len(ids)
+            borders = np.searchsorted(owner, np.arange(len(rest) + 1)).tolist()
+            for k, i in enumerate(rest):
+                own[i] = ids[borders[k] : borders[k + 1]].tolist()
+            for i in set(part) - set(rest):
+                own[i] = self.library(new[i]).tolist()
+        counts = np.fromiter(map(len, own), np.int64, len(own))
+        return np.fromiter(itertools.chain.from_iterable(own), np.uint32, counts.sum()), counts
 
     def chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """(place of each chunk among those known, offsets of the texts' chunks, the chunks)."""
@@ -139,15 +164,18 @@ class ChunkEncoder:
         flat, offsets = split.flatten(), split.offsets.to_numpy().astype(np.int64)
         offsets = offsets - offsets[0]
         coded = flat.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > MOST_CHUNKS:
+        distinct = coded.dictionary
+        if len(self.first) + len(distinct) > MOST_CHUNKS:
             self.forget()
-        places = [self.known.get(c) for c in distinct]
-        if None in places:
-            self._learn([c for c, p in zip(distinct, places, strict=True) if p is None])
-            places = [self.known[c] for c in distinct]
+        digests = self.digests(distinct)
+        places = self.find(digests)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            ids, counts = self._learn(distinct.take(pa.array(new)).to_pylist())
+            places[new] = len(self.first) + np.arange(len(new))
+            self._store(digests[new], ids, counts)
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        return (np.array(places, np.int64)[codes] if len(codes) else np.zeros(0, np.int64)), offsets, flat
+        return (places[codes] if len(codes) else np.zeros(0, np.int64)), offsets, flat
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null counts as empty."""
@@ -161,7 +189,7 @@ class ChunkEncoder:
             plain = np.flatnonzero(~odd)
             texts = texts.take(pa.array(plain))
         places, offsets, _ = self.chunks(texts)
-        counts = self.count[places]
+        counts = self.count[places].astype(np.int64)
         upto = np.concatenate(([0], np.cumsum(counts)))
         ids = self.pool[np.repeat(self.first[places] - upto[:-1], counts) + np.arange(upto[-1])]
         borders = upto[offsets].tolist()
