@@ -139,5 +139,17 @@ def with_keys(docs: DataFrame) -> DataFrame:
     return stash(rows.orderBy(*order).select(F.monotonically_increasing_id().alias("_key"), "_row"), "keys")
 
 
+#: Rows of an Arrow batch: whole documents are long, and a batch of Spark's default of 10,000 is
+#: held several times over, in each task of the JVM and in its worker.
+ARROW_ROWS, ARROW_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have the session hand documents to workers in batches of ARROW_ROWS, if it has larger ones."""
+    if int(spark.conf.get(ARROW_SETTING)) > ARROW_ROWS:
+        spark.conf.set(ARROW_SETTING, str(ARROW_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

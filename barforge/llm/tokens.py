@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 import regex
 import xxhash
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 MOST_CHUNKS = 1_000_000
 #: A chunk by a digest, which takes a sixth of the room of its text in a dictionary.
@@ -55,12 +56,10 @@ LETTERS = byte_letters()
 
 class ChunkEncoder:
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
-            shape = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.bytes_kind = (shape.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+        self.bytes_kind = isinstance(self.tokenizer.pre_tokenizer, ByteLevel)
         self.model = self.tokenizer.model
         self.path = path
         self.merges: PrefixMerges | None = None
@@ -114,7 +113,8 @@ class ChunkEncoder:
 
     def _word(self, word: str) -> list[int]:
         """The library's merges of one pre-token."""
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(LETTERS))]
+        spelled = word.replace(" ", LETTERS[32]) if word.isascii() else word.encode().decode("latin-1").translate(LETTERS)
+        return [t.id for t in self.model.tokenize(spelled)]
 
     def _learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks in a row, how many each has): plain words by the library's model, others by the whole library.
