@@ -16,7 +16,7 @@ from barforge.llm.line_dedup import without_repeated_lines
 from barforge.llm.near_dedup import without_near_duplicates
 from barforge.llm.packing import pack
 from barforge.llm.quality_rules import keep_good
-from barforge.llm.shared import stash
+from barforge.llm.shared import bounded_batches, stash
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -46,12 +46,22 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def bounded(stage: Stage) -> Stage:
+    """``stage`` in a session whose Arrow batches are small enough for whole documents."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", quality),
-    ("line_dedup", lines),
-    ("near_dedup", near_copies),
-    ("decontamination", benchmark_free),
-    ("packing", packed),
+    ("quality_rules", bounded(quality)),
+    ("line_dedup", bounded(lines)),
+    ("near_dedup", bounded(near_copies)),
+    ("decontamination", bounded(benchmark_free)),
+    ("packing", bounded(packed)),
 ]
 
 #: No SQL: it has neither the tokenizer nor the packer. The tests hold the stages against
