@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .words import mixed
 
 #: Buckets for each shuffle partition; a bucket is the most that a task holds at once.
-SHARE = 16
+SHARE = 4
 #: Bytes of records that wait for each other in a task.
 HELD_BYTES = 8 << 20
 FIELDS = "bucket int, blob binary"

@@ -7,6 +7,7 @@ Everything is flat: one array of word hashes for a batch, with the offsets of it
 from __future__ import annotations
 
 import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,6 +43,7 @@ def freeing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     stages that follow, which may need none of it.
     """
 
+    @functools.wraps(work)  # plans show its name
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(batches)
         pa.default_memory_pool().release_unused()
