@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import Signer, sign, similarity_classes
+from .linking import Signer, keyer, sign, similarity_classes
 from .shared import broadcast_if_small, discard, parted, stash, with_keys
 from .substring_dedup import all_lines, lines_of, repeated_parts
 from .words import BLOCK, ODD, MinHash, mixed, mixed_32
@@ -101,8 +101,9 @@ def line_dedup(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     family = MinHash(BANDS, ROWS, seed=9)
-    signed = sign(docs, lines_of(1), line_signer(family), family, "lines")
-    met, named = similarity_classes(signed, all_lines(docs), char_shingles, num, den)
+    signer = line_signer(family)
+    signed, blobs = sign(docs, lines_of(1), signer, family, "lines")
+    met, named = similarity_classes(signed, blobs, all_lines(docs), char_shingles, keyer(signer, family), num, den)
     discard(signed)
     found = repeated_parts(met, named)
     return found.select("doc_id", F.col("place").alias("line"), F.col("first_doc").alias("component_doc"), F.col("first_place").alias("component_line"), F.col("n").alias("occurrences"), "kept")

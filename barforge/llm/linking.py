@@ -8,7 +8,7 @@ joined by common buckets; the pairs of a bucket are never written down, only eac
 with one other.
 
 A group of at most MOST_NODES texts and MOST_SHINGLES shingles is settled by one task in
-memory, by counts of common shingles. In a larger group let H be its frequent shingles,
+memory, by counts of common shingles. In a larger bucket's group let H be its frequent shingles,
 those in more than RARE members. A pair x, y at the threshold t either
 
 (a) shares a shingle that is not in H, so it is met there among at most RARE members; or
@@ -16,6 +16,10 @@ those in more than RARE members. A pair x, y at the threshold t either
     |x & y| >= t / (1 + t) (|x| + |y|) this bounds |y| by room(x) = (1 + t) / t |x & H| - |x|
     and |x| by room(y): such pairs are met by size.
 
+Groups are larger mostly because chance collisions chain them together. So each of their
+buckets is settled by itself first, all its texts against each other; only the texts of
+buckets beyond the same limits go the way described above, which writes down every shingle.
+
 Beforehand each member is verified against the member that has most of H; of (a) and (b)
 only pairs whose ends are in different components by then are verified. A large group of
 edited copies of one text is nearly settled by the first step, whatever its size.
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .packed import FIELDS, Packer, bucket_count, dealt, whole_buckets
-from .shared import discard, respread, sieved, stash
+from .shared import discard, respread, sieved, stash, stash_apart
 from .words import MinHash, freeing, slices
 
 #: texts -> (flat shingle hashes, offsets)
@@ -44,6 +48,8 @@ Shingler = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 Cutter = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.Array]]
 #: distinct texts -> (shingles of each, minima of those that have any)
 Signer = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+#: texts that have shingles -> a row of band keys for each
+Keyer = Callable[[pa.Array], np.ndarray]
 
 MOST_NODES, MOST_SHINGLES, RARE = 8192, 1 << 22, 64
 #: Columns of a 0-1 matrix, and pairs, that are in memory at once.
@@ -224,8 +230,11 @@ def unique_links(parts: list[np.ndarray]) -> np.ndarray:
     return np.unique(links.view([("a", "<i8"), ("b", "<i8")])).view(np.int64).reshape(-1, 2)
 
 
-def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: str, most_bytes: int = 2 << 20) -> DataFrame:
-    """SIGNED rows of the texts that ``cut`` finds in each row's ``text``, written to the shared folder."""
+def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: str, most_bytes: int = 2 << 20) -> tuple[DataFrame, DataFrame]:
+    """SIGNED rows of the texts that ``cut`` finds in each row's ``text``, written to the shared folder.
+
+    The occurrences and the blobs are two tables, as the blobs, most of the bytes, go first.
+    """
     buckets = bucket_count(docs.sparkSession)
 
     def occurrences(doc: pa.Array, texts: pa.Array) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
@@ -279,10 +288,15 @@ def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: s
         yield from given_out()
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter(F.col("text").isNotNull())
-    return stash(rows.mapInArrow(freeing(made), SIGNED), label)
+    return stash_apart(rows.mapInArrow(freeing(made), SIGNED), label, "bucket")
 
 
-def bucket_links(signed: DataFrame) -> DataFrame:
+def keyer(signer: Signer, family: MinHash) -> Keyer:
+    """The band keys by which ``sign`` deals out texts."""
+    return lambda texts: family.keys(signer(texts)[1])
+
+
+def bucket_links(blobs: DataFrame) -> DataFrame:
     """(a, b): short ids that share a bucket and agree by sketch, or are joined by such that do.
 
     Of the texts of a key those that agree are joined, which keeps chance collisions from
@@ -315,8 +329,8 @@ def bucket_links(signed: DataFrame) -> DataFrame:
             for blob in batch.column(0).to_pylist():
                 yield out(np.frombuffer(blob, np.int64).reshape(-1, 2))
 
-    met = dealt(signed.filter(f"bucket <> {LINKS}")).mapInArrow(freeing(linked), "a long, b long")
-    early = signed.filter(f"bucket = {LINKS}").select("blob").mapInArrow(freeing(unpacked), "a long, b long")
+    met = dealt(blobs.filter(f"bucket <> {LINKS}")).mapInArrow(freeing(linked), "a long, b long")
+    early = blobs.filter(f"bucket = {LINKS}").select("blob").mapInArrow(freeing(unpacked), "a long, b long")
     return met.union(early)
 
 
@@ -380,10 +394,11 @@ def roots_of_groups(table: pa.Table, shingler: Shingler, num: int, den: int) ->
     return root
 
 
-def similarity_classes(signed: DataFrame, texts: DataFrame, shingler: Shingler, num: int, den: int = 100) -> tuple[DataFrame, DataFrame]:
+def similarity_classes(signed: DataFrame, blobs: DataFrame, texts: DataFrame, shingler: Shingler, keys: Keyer, num: int, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Texts that occur again or share a bucket, and the components that they are in.
 
-    signed: what ``sign`` returned. texts: (h, text), all the texts again, equal ones too.
+    signed, blobs: what ``sign`` returned; the blobs are discarded. texts: (h, text), all the
+    texts again, equal ones too. keys: the ``keyer`` of what signed them.
     Linked: ``den * |x & y| >= num * |x | y|`` on the sets that ``shingler`` makes, with at
     least one element in common. Returns two stashed tables: the occurrences (doc_id, place,
     id, ...) of these texts, and for each text (id) n, the occurrences of all texts of its
@@ -392,7 +407,8 @@ def similarity_classes(signed: DataFrame, texts: DataFrame, shingler: Shingler,
     buckets have no rows. An empty table gives none.
     """
     occurrences = signed.count()
-    links = stash(bucket_links(signed), "links", occurrences)
+    links = stash(bucket_links(blobs), "links", occurrences)
+    discard(blobs)
     size = links.count()  # texts in groups are twice as many at most
     joined = components(links, "a", "b", size)
     # a component's root is its least node, so a text that only occurs again can be its own
@@ -408,7 +424,7 @@ def similarity_classes(signed: DataFrame, texts: DataFrame, shingler: Shingler,
     known = stash(met.groupBy("id").agg(F.count("*").alias("n"), first, *same), "known", size, light=True)
     sums = known.groupBy(*respread("g")).agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_m"))
     sums = sums.filter("_n > 1").select("g", F.expr(f"_n <= {MOST_NODES} and _m <= {MOST_SHINGLES}").alias("small"))
-    wanted = stash(known.join(sums, "g").select("g", "id", "h", "sig", "small"), "wanted", size, light=True)
+    wanted = stash(known.join(sums, "g").select("g", "id", "h", "n_shingles", "sig", "small"), "wanted", size, light=True)
     # a hot text is reduced to one for each task before the shuffle
     own = sieved(texts, wanted, "h").select(F.unhex(F.md5("text")).alias("id"), "text").groupBy("id").agg(F.first("text").alias("text"))
     found = stash(wanted.drop("h").join(own, "id"), "texts", size)
@@ -417,15 +433,18 @@ def similarity_classes(signed: DataFrame, texts: DataFrame, shingler: Shingler,
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
             ids, root = table["id"], roots_of_groups(table, shingler, num, den)
-            tied = np.flatnonzero(root != np.arange(len(root)))
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(tied)).combine_chunks(), ids.take(pa.array(root[tied])).combine_chunks()], names=["node", "root"])
+            joined = np.flatnonzero(root != np.arange(len(root)))
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(joined)).combine_chunks(), ids.take(pa.array(root[joined])).combine_chunks()], names=["node", "root"])
+
+    def tied(rows: DataFrame) -> DataFrame:
+        """The groups of a task are settled many at once."""
+        rows = rows.select("g", "id", "sig", "text").repartition("g").sortWithinPartitions("g", "id")
+        return rows.mapInArrow(freeing(settled), "node binary, root binary")
 
-    # the groups of a task are settled many at once
-    small = found.filter("small").select("g", "id", "sig", "text").repartition("g").sortWithinPartitions("g", "id")
-    classes = small.mapInArrow(freeing(settled), "node binary, root binary")
+    classes = tied(found.filter("small"))
     large = found.filter("not small")
     if not large.isEmpty():
-        classes = classes.union(_large(large, shingler, num, den).filter("node <> root"))
+        classes = classes.union(_by_bucket(large, keys, tied, shingler, num, den))
     rooted = stash(known.join(classes, F.col("id") == F.col("node"), "left").select("id", "n", "first", F.coalesce("root", "id").alias("root")), "roots", size)
     discard(found)
     discard(known)
@@ -436,8 +455,35 @@ def similarity_classes(signed: DataFrame, texts: DataFrame, shingler: Shingler,
     return met, named
 
 
+def _by_bucket(texts: DataFrame, keys: Keyer, tied: Callable[[DataFrame], DataFrame], shingler: Shingler, num: int, den: int) -> DataFrame:
+    """(node, root) of groups that one task does not hold, by their buckets; see the module's text."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, SHINGLED):
+                batch = whole.slice(at, SHINGLED)
+                own = keys(batch["text"]).view(np.int64)
+                row = pa.array(np.repeat(np.arange(len(own)), own.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(own.reshape(-1)), batch["id"].take(row), batch["n_shingles"].take(row)], names=["g", "id", "n_shingles"])
+
+    placed = stash(texts.select("id", "n_shingles", "text").mapInArrow(freeing(keyed), "g long, id binary, n_shingles long"), "placed")
+    sums = placed.groupBy(*respread("g")).agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_m")).filter("_n > 1")
+    sums = sums.select("g", F.expr(f"_n <= {MOST_NODES} and _m <= {MOST_SHINGLES}").alias("small"))
+    shared = stash(placed.join(sums, "g").select("g", "id", "small"), "shared")
+    discard(placed)
+    edges = ties = stash(tied(shared.filter("small").join(texts.select("id", "sig", "text"), "id")), "ties")
+    hot = shared.filter("not small").select("id").distinct()
+    if not hot.isEmpty():
+        edges = edges.union(_large(texts.join(hot, "id"), shingler, num, den).filter("node <> root").select("node", "root"))
+    joined = components(edges, "node", "root")
+    classes = stash(joined.filter("node <> root"), "classes")
+    for table in (shared, ties, joined):
+        discard(table)
+    return classes
+
+
 def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFrame:
-    """(node, root) of groups that one task does not hold; see the module's text."""
+    """(node, root) of the texts of buckets that one task does not hold; see the module's text."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

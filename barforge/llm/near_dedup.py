@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import Signer, sign, similarity_classes
+from .linking import Signer, keyer, sign, similarity_classes
 from .shared import discard, parted, stash, with_keys
 from .words import MinHash, distinct_counts, shingles, word_hashes
 
@@ -55,10 +55,11 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     family = MinHash(BANDS, ROWS)
-    signed = sign(docs, whole_texts, word_signer(family), family, "minhash")
-    met, named = similarity_classes(signed, docs.select(F.xxhash64("text").alias("h"), "text"), word_shingler, num, den)
+    signer = word_signer(family)
+    signed, blobs = sign(docs, whole_texts, signer, family, "minhash")
+    met, named = similarity_classes(signed, blobs, docs.select(F.xxhash64("text").alias("h"), "text"), word_shingler, keyer(signer, family), num, den)
     discard(met)
-    rows = signed.filter("bucket is null").select("doc_id", "n_shingles", "id").join(named, "id", "left")
+    rows = signed.select("doc_id", "n_shingles", "id").join(named, "id", "left")
     rows = rows.select("doc_id", "n_shingles", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first_doc")).alias("component_id"))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 

@@ -65,6 +65,34 @@ def stash(df: DataFrame, label: str, rows: int | None = None, light: bool = Fals
     return table
 
 
+#: How many files a task may hold open; beyond that Spark sorts its rows by folder first.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def stash_apart(df: DataFrame, label: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """(rows in which ``column`` is null, the others) of ``df``, written in one pass and discarded each by itself."""
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    before = {c: spark.conf.get(c, v) for c, v in ((CLEANUP, "false"), (WRITERS, "0"))}
+    spark.conf.set(CLEANUP, "true")
+    spark.conf.set(WRITERS, "2")
+    try:
+        df.withColumn("_apart", F.col(column).isNotNull()).write.partitionBy("_apart").parquet(path)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    out = []
+    for kind in ("false", "true"):
+        own = f"{path}/_apart={kind}"
+        where = spark._jvm.org.apache.hadoop.fs.Path(own)
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(where)  # no row of this kind, no folder
+        table = spark.read.schema(df.schema).parquet(own)
+        table._barforge_path = own
+        out.append(table)
+    return out[0], out[1]
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete a stashed table that nothing will read again."""
     path = getattr(df, "_barforge_path", None)
