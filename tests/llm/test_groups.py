@@ -6,6 +6,7 @@ import random
 from test_near_dedup import brute
 
 from barforge.llm import linking
+from barforge.llm.line_dedup import without_repeated_lines
 from barforge.llm.near_dedup import near_duplicates
 from barforge.llm.shared import discard, stash_apart
 
@@ -43,3 +44,15 @@ def test_either_part_goes_by_itself(spark):
     assert without.count() == 66 and without.columns == rows.columns
     none, all_of_them = stash_apart(rows.filter("own is not null"), "parts", "own")
     assert none.isEmpty() and all_of_them.count() == 34
+
+
+def test_the_stage_of_lines_takes_chained_groups(spark, monkeypatch):
+    monkeypatch.setattr(linking, "MOST_NODES", 30)
+    monkeypatch.setattr(linking, "_large", lambda *_: (_ for _ in ()).throw(AssertionError("shingles written down")))
+    rng = random.Random(6)
+    run = "".join(rng.choice("abcdefghij ") for _ in range(3000))
+    lines = [run[i : i + 200].replace(" ", "k") for i in range(0, 2700, 30)]  # neighbours at 0.73
+    copy = lines[7][:100] + "X" + lines[7][101:]
+    docs = spark.createDataFrame([(0, "\n".join(lines)), (1, f"{copy}\nown line")], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in without_repeated_lines(docs).collect()}
+    assert left == {0: "\n".join(lines), 1: "own line"}
