@@ -99,6 +99,11 @@ def line_dedup(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     after all others; a row that repeats with its doc_id repeats its lines, of which the kept
     ones are then marked in each copy. An empty table gives no rows.
     """
+    return _repeated_lines(docs, num, den)[0]
+
+
+def _repeated_lines(docs: DataFrame, num: int, den: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(line_dedup's rows, the stashed tables that they are made from)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     family = MinHash(BANDS, ROWS, seed=9)
     signer = line_signer(family)
@@ -106,7 +111,8 @@ def line_dedup(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     met, named = similarity_classes(signed, blobs, all_lines(docs), char_shingles, keyer(signer, family), num, den)
     discard(signed)
     found = repeated_parts(met, named)
-    return found.select("doc_id", F.col("place").alias("line"), F.col("first_doc").alias("component_doc"), F.col("first_place").alias("component_line"), F.col("n").alias("occurrences"), "kept")
+    found = found.select("doc_id", F.col("place").alias("line"), F.col("first_doc").alias("component_doc"), F.col("first_place").alias("component_line"), F.col("n").alias("occurrences"), "kept")
+    return found, [met, named]
 
 
 def without_repeated_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
@@ -117,9 +123,11 @@ def without_repeated_lines(docs: DataFrame, num: int = 80, den: int = 100) -> Da
     one that repeats, are documents of their own.
     """
     keyed = with_keys(docs)
-    found = line_dedup(keyed.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text")), num, den)
+    found, made_from = _repeated_lines(keyed.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text")), num, den)
     lost = found.filter("not kept").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("_gone"))
     lost = stash(lost, "gone", docs.count())
+    for table in made_from:
+        discard(table)
     if (few := broadcast_if_small(lost, 64 + 4 * F.size("_gone"))) is not None:
         both, same = keyed.join(few, F.col("_key") == F.col("_doc"), "left"), None
     else:  # only rows that may lose a line are shuffled

@@ -17,8 +17,9 @@ those in more than RARE members. A pair x, y at the threshold t either
     and |x| by room(y): such pairs are met by size.
 
 Groups are larger mostly because chance collisions chain them together. So each of their
-buckets is settled by itself first, all its texts against each other; only the texts of
-buckets beyond the same limits go the way described above, which writes down every shingle.
+buckets is settled by itself first, all its texts against each other, in blocks of which two
+are in memory at once where the limits ask for it; only the texts of buckets beyond LARGER
+times the limits go the way described above, which writes down every shingle.
 
 Beforehand each member is verified against the member that has most of H; of (a) and (b)
 only pairs whose ends are in different components by then are verified. A large group of
@@ -27,18 +28,21 @@ edited copies of one text is nearly settled by the first step, whatever its size
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .packed import FIELDS, Packer, bucket_count, dealt, whole_buckets
+from .packed import FIELDS, Packer, bucket_count, dealt, passes, whole_buckets
 from .shared import discard, respread, sieved, stash, stash_apart
 from .words import MinHash, freeing, slices
 
@@ -52,6 +56,8 @@ Signer = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 Keyer = Callable[[pa.Array], np.ndarray]
 
 MOST_NODES, MOST_SHINGLES, RARE = 8192, 1 << 22, 64
+#: Times these limits that a bucket may have which one task settles, two blocks at a time.
+LARGER = 4
 #: Columns of a 0-1 matrix, and pairs, that are in memory at once.
 COLUMNS, PAIRS = 1024, 1 << 21
 #: Texts of small groups that are cut into shingles at once.
@@ -134,6 +140,33 @@ def roots_in_memory(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     return components_in_memory(n, linked, max(16, min(512, (1 << 21) // n)))
 
 
+def roots_by_blocks(texts: pa.ChunkedArray, shingler: Shingler, num: int, den: int) -> np.ndarray:
+    """What roots_in_memory says of the sets of ``texts``, of which no more than the limits allow are in memory at once.
+
+    Each pair of blocks of half the limits is settled, unless its texts are one component by then.
+    """
+    n = len(texts)
+    counts = np.concatenate([np.diff(shingler(texts.slice(at, SHINGLED))[1]) for at in range(0, n, SHINGLED)])
+    blocks, start, held = [], 0, 0
+    for i, count in enumerate(counts.tolist()):
+        if i > start and (i - start >= MOST_NODES // 2 or held + count > MOST_SHINGLES // 2):
+            blocks.append(np.arange(start, i))
+            start, held = i, 0
+        held += count
+    blocks.append(np.arange(start, n))
+    root = np.arange(n)
+    for a, b in itertools.combinations(blocks, 2) if len(blocks) > 1 else [(blocks[0], blocks[0][:0])]:
+        own = np.concatenate((a, b))
+        if (root[own] == root[own[0]]).all():
+            continue
+        values, offsets = shingler(texts.take(pa.array(own)))
+        met = own[roots_in_memory([np.unique(values[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)], num, den)]
+        for i, j in zip(own.tolist(), met.tolist(), strict=True):
+            if root[i] != root[j]:
+                root[root == max(root[i], root[j])] = min(root[i], root[j])
+    return root
+
+
 def least_agreement(width: int, t: float) -> int:
     """In how many places the signatures of linked texts agree, at the least.
 
@@ -230,10 +263,11 @@ def unique_links(parts: list[np.ndarray]) -> np.ndarray:
     return np.unique(links.view([("a", "<i8"), ("b", "<i8")])).view(np.int64).reshape(-1, 2)
 
 
-def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: str, most_bytes: int = 2 << 20) -> tuple[DataFrame, DataFrame]:
+def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: str, most_bytes: int = 2 << 20) -> tuple[DataFrame, list[DataFrame]]:
     """SIGNED rows of the texts that ``cut`` finds in each row's ``text``, written to the shared folder.
 
-    The occurrences and the blobs are two tables, as the blobs, most of the bytes, go first.
+    The occurrences and the blobs are tables of their own, as the blobs, most of the bytes, go
+    first; those in as many parts as they are dealt out in turn, each of whole buckets.
     """
     buckets = bucket_count(docs.sparkSession)
 
@@ -288,7 +322,8 @@ def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: s
         yield from given_out()
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter(F.col("text").isNotNull())
-    return stash_apart(rows.mapInArrow(freeing(made), SIGNED), label, "bucket")
+    signed, *blobs = stash_apart(rows.mapInArrow(freeing(made), SIGNED), label, "bucket", passes(docs.sparkSession))
+    return signed, blobs
 
 
 def keyer(signer: Signer, family: MinHash) -> Keyer:
@@ -375,6 +410,11 @@ def roots_of_groups(table: pa.Table, shingler: Shingler, num: int, den: int) ->
     root = np.arange(n)
     order = np.argsort(near, kind="stable")
     parts = [x for x in np.split(order, np.flatnonzero(np.diff(near[order])) + 1) if len(x) > 1]
+    length = pc.binary_length(table["text"]).to_numpy()
+    large = [len(x) > MOST_NODES or len(x) > 2 and length[x].sum() > MOST_SHINGLES for x in parts]
+    for x in (x for x, more in zip(parts, large, strict=True) if more):
+        root[x] = x[roots_by_blocks(table["text"].take(pa.array(x)), shingler, num, den)]
+    parts = [x for x, more in zip(parts, large, strict=True) if not more]
     while parts:
         # as many components as SHINGLED texts are in, at least one
         k = max(1, int(np.searchsorted(np.cumsum([len(x) for x in parts]), SHINGLED)))
@@ -394,10 +434,11 @@ def roots_of_groups(table: pa.Table, shingler: Shingler, num: int, den: int) ->
     return root
 
 
-def similarity_classes(signed: DataFrame, blobs: DataFrame, texts: DataFrame, shingler: Shingler, keys: Keyer, num: int, den: int = 100) -> tuple[DataFrame, DataFrame]:
+def similarity_classes(signed: DataFrame, blobs: list[DataFrame], texts: DataFrame, shingler: Shingler, keys: Keyer, num: int, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Texts that occur again or share a bucket, and the components that they are in.
 
-    signed, blobs: what ``sign`` returned; the blobs are discarded. texts: (h, text), all the
+    signed, blobs: what ``sign`` returned; the blobs are discarded, each part before the next
+    one goes through the shuffle. texts: (h, text), all the
     texts again, equal ones too. keys: the ``keyer`` of what signed them.
     Linked: ``den * |x & y| >= num * |x | y|`` on the sets that ``shingler`` makes, with at
     least one element in common. Returns two stashed tables: the occurrences (doc_id, place,
@@ -407,15 +448,18 @@ def similarity_classes(signed: DataFrame, blobs: DataFrame, texts: DataFrame, sh
     buckets have no rows. An empty table gives none.
     """
     occurrences = signed.count()
-    links = stash(bucket_links(blobs), "links", occurrences)
-    discard(blobs)
+    found = []
+    for part in blobs:
+        found.append(stash(bucket_links(part), "links", occurrences // len(blobs)))
+        discard(part)
+    links = functools.reduce(DataFrame.union, found)
     size = links.count()  # texts in groups are twice as many at most
     joined = components(links, "a", "b", size)
     # a component's root is its least node, so a text that only occurs again can be its own
     again = links.filter("a = b").select(F.col("a").alias("h"), F.col("a").alias("g"))
     groups = stash(joined.select(F.col("node").alias("h"), F.col("root").alias("g")).union(again).groupBy("h").agg(F.min("g").alias("g")), "groups", size, light=True)
-    discard(joined)
-    discard(links)
+    for table in (joined, *found):
+        discard(table)
     rows = signed.filter("n_shingles > 0").select("doc_id", "place", "id", "h", "n_shingles", "sig")
     met = stash(sieved(rows, groups, "h").join(groups, "h"), "met", occurrences)
     discard(groups)
@@ -468,7 +512,7 @@ def _by_bucket(texts: DataFrame, keys: Keyer, tied: Callable[[DataFrame], DataFr
 
     placed = stash(texts.select("id", "n_shingles", "text").mapInArrow(freeing(keyed), "g long, id binary, n_shingles long"), "placed")
     sums = placed.groupBy(*respread("g")).agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_m")).filter("_n > 1")
-    sums = sums.select("g", F.expr(f"_n <= {MOST_NODES} and _m <= {MOST_SHINGLES}").alias("small"))
+    sums = sums.select("g", F.expr(f"_n <= {LARGER * MOST_NODES} and _m <= {LARGER * MOST_SHINGLES}").alias("small"))
     shared = stash(placed.join(sums, "g").select("g", "id", "small"), "shared")
     discard(placed)
     edges = ties = stash(tied(shared.filter("small").join(texts.select("id", "sig", "text"), "id")), "ties")

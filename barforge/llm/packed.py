@@ -23,12 +23,19 @@ SHARE = 4
 #: Bytes of records that wait for each other in a task.
 HELD_BYTES = 8 << 20
 FIELDS = "bucket int, blob binary"
+#: Parts in which blobs that are on disk are dealt out one after the other, so that no more than
+#: one part is there twice, as blobs and in the shuffle; shuffle partitions that each asks for.
+PASSES, PASS_PARTITIONS = 4, 12
 
 
 def bucket_count(spark: SparkSession) -> int:
     return max(1024, SHARE * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def passes(spark: SparkSession) -> int:
+    return max(1, min(PASSES, int(spark.conf.get("spark.sql.shuffle.partitions")) // PASS_PARTITIONS))
+
+
 def blobs(records: np.ndarray, key: str, buckets: int) -> list[pa.Array]:
     """The columns bucket and blob of structured ``records``."""
     owner = (mixed(records[key].astype(np.uint64, copy=False)) % np.uint64(buckets)).astype(np.int32)

@@ -69,20 +69,25 @@ def stash(df: DataFrame, label: str, rows: int | None = None, light: bool = Fals
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
-def stash_apart(df: DataFrame, label: str, column: str) -> tuple[DataFrame, DataFrame]:
-    """(rows in which ``column`` is null, the others) of ``df``, written in one pass and discarded each by itself."""
+def stash_apart(df: DataFrame, label: str, column: str, parts: int = 1) -> tuple[DataFrame, ...]:
+    """(rows in which ``column`` is null, the others) of ``df``, written in one pass and discarded each by itself.
+
+    The others are as many tables as ``parts``, by the remainder of the column, a whole number
+    then.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     before = {c: spark.conf.get(c, v) for c, v in ((CLEANUP, "false"), (WRITERS, "0"))}
     spark.conf.set(CLEANUP, "true")
-    spark.conf.set(WRITERS, "2")
+    spark.conf.set(WRITERS, str(1 + parts))
+    part = F.lit(0) if parts == 1 else F.pmod(F.col(column), F.lit(parts)).cast("int")
     try:
-        df.withColumn("_apart", F.col(column).isNotNull()).write.partitionBy("_apart").parquet(path)
+        df.withColumn("_apart", F.when(F.col(column).isNull(), -1).otherwise(part)).write.partitionBy("_apart").parquet(path)
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
     out = []
-    for kind in ("false", "true"):
+    for kind in range(-1, parts):
         own = f"{path}/_apart={kind}"
         where = spark._jvm.org.apache.hadoop.fs.Path(own)
         files = where.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -90,7 +95,7 @@ def stash_apart(df: DataFrame, label: str, column: str) -> tuple[DataFrame, Data
         table = spark.read.schema(df.schema).parquet(own)
         table._barforge_path = own
         out.append(table)
-    return out[0], out[1]
+    return tuple(out)
 
 
 def discard(df: DataFrame | None) -> None:
