@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .conversation_repair import conversation_repair, damaged
 from .decontamination import leaks
 from .kd_sharding import kd_shards
 from .license_scan import license_scan
@@ -58,4 +59,8 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(documents(spark, sf_dir), shards=16)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_near_dedup, op4_substring_dedup, op5_packing, op6_license_scan, op7_token_shards, op8_token_counts, op9_line_dedup, op10_kd_sharding)}
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_near_dedup, op4_substring_dedup, op5_packing, op6_license_scan, op7_token_shards, op8_token_counts, op9_line_dedup, op10_kd_sharding, op12_conversation_repair)}
