@@ -50,4 +50,37 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id))
        doc_id = least(doc_id, coalesce(b, doc_id)) AS kept
 FROM sets LEFT JOIN least_of ON doc_id = a"""
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op3_near_dedup": NEAR}
+
+
+def _codes(rounds: int = 6) -> str:
+    """Codebooks round by round, a pair of tables for each."""
+    gap = "list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    nearest = f"SELECT r, p, min((g, e)) AS m FROM (SELECT a.r, a.p, b.e, {gap} AS g FROM parts a JOIN book{{k}} b ON a.p = b.p) GROUP BY r, p"
+    steps = [
+        f"""near{k} AS MATERIALIZED ({nearest.format(k=k)}),
+means{k} AS (SELECT p, e, i, sum(x[i])::BIGINT AS s, count(*) AS c FROM (SELECT a.p, n.m[2] AS e, a.x, unnest(range(1, len(a.x) + 1)) AS i FROM near{k} n JOIN parts a ON a.r = n.r AND a.p = n.p) GROUP BY p, e, i),
+book{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN
+  (SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY i) AS x FROM means{k} GROUP BY p, e) m ON b.p = m.p AND b.e = m.e)"""
+        for k in range(rounds)
+    ]
+    return f"""WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS x FROM kept, range(8) t(p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM parts WHERE r <= 16),
+{",\n".join(steps)},
+final AS MATERIALIZED ({nearest.format(k=rounds)}),
+coded AS (SELECT r, string_agg(printf('%02x', m[2]::INT), '' ORDER BY p) AS code, sum(m[1])::BIGINT AS error FROM final GROUP BY r)
+SELECT vec_id, label, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept ON coded.r = kept.r"""
+
+
+#: Squares are added from the first component on.
+NEAREST = """WITH kept AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS score
+  FROM kept q JOIN kept c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": QUALITY, "op3_near_dedup": NEAR, "op11_vp_search": NEAREST, "op13_vector_codes": _codes()}

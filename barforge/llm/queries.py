@@ -17,6 +17,8 @@ from .shared import documents
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 from .token_shards import token_shards
+from .vector_codes import vector_codes
+from .vp_search import nearest
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +61,16 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(documents(spark, sf_dir), shards=16)
 
 
+def op11_vp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=100, k=10)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_near_dedup, op4_substring_dedup, op5_packing, op6_license_scan, op7_token_shards, op8_token_counts, op9_line_dedup, op10_kd_sharding, op12_conversation_repair)}
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_near_dedup, op4_substring_dedup, op5_packing, op6_license_scan, op7_token_shards, op8_token_counts, op9_line_dedup, op10_kd_sharding, op11_vp_search, op12_conversation_repair, op13_vector_codes)}
