@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
-from datetime import date
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barforge.functions.timeframes import DAY
 from barforge.operators.quality import clean, find_gaps
@@ -56,7 +59,7 @@ def scan(spark: SparkSession, root: str, interval: str | None = None, symbols: l
     """Rows of the table at ``root``; the filters prune partitions. A missing table is empty."""
     if not exists(spark, root):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(root)
+    rows = spark.read.schema(schema).option("basePath", root).parquet(*_folders(spark, root, interval, symbols, start, end))
     if interval is not None:
         rows = rows.filter(F.col("interval") == interval)
     if symbols is not None:
@@ -68,6 +71,23 @@ def scan(spark: SparkSession, root: str, interval: str | None = None, symbols: l
     return rows
 
 
+def _folders(spark: SparkSession, root: str, interval: str | None, symbols: list[str] | None, start: date | None, end: date | None) -> list[str]:
+    """The folders that hold what is asked for, as far as it names few: no other is listed.
+
+    Where no folder of the interval is there, as in a table without partitions, it is the root.
+    """
+    top = _folder(spark, root, {"interval": interval}) if interval is not None else None
+    if top is None or not _there(spark, [top]):
+        return [root]
+    if not symbols or len(symbols) > MOST_NAMED:
+        return [top]
+    places = [{"interval": interval, "symbol": x} for x in symbols]
+    days = (end - start).days + 1 if start is not None and end is not None else 0
+    if 0 < days * len(symbols) <= MOST_NAMED:
+        places = [p | {"date": (start + timedelta(days=k)).isoformat()} for p in places for k in range(days)]
+    return _there(spark, [_folder(spark, root, p) for p in places]) or [top]
+
+
 def keep_last(rows: DataFrame, key: list[str], version: str | list[str]) -> DataFrame:
     """One row for each key, that of greatest version; partial aggregates go before the shuffle."""
     order = F.struct(*([version] if isinstance(version, str) else version))
@@ -84,61 +104,126 @@ def overlay(silver: DataFrame, hot: DataFrame | None, key: list[str] = KEY) -> D
     return keep_last(both, key, "_version").drop("_version")
 
 
-def _rewrite(rows: DataFrame, root: str, parts: list[str]) -> None:
-    """Replace exactly the partitions that ``rows`` has; a staging copy lets it read them too."""
-    spark = rows.sparkSession
-    staged = scratch(spark)
-    rows.write.parquet(staged)
-    by = spark.read.schema(rows.schema).parquet(staged).repartition(*parts)
-    by.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root)
-    remove(spark, staged)
+#: Partitions that a merge names one by one, and opens without a look at any other.
+MOST_NAMED = 4096
+#: One writer at a time within this driver: a merge reads partitions and puts others in their place.
+WRITING = threading.RLock()
+
+
+def _folder(spark: SparkSession, root: str, values: dict) -> str:
+    """Where the partition of ``values`` (by column, in order) is, spelled as Spark spells it."""
+    spell = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join((root.rstrip("/"), *(spell(c, None if v is None else str(v)) for c, v in values.items())))
+
+
+def _there(spark: SparkSession, folders: list[str]) -> list[str]:
+    """Those of ``folders`` that exist, asked for side by side."""
+    with ThreadPoolExecutor(16) as pool:
+        found = pool.map(lambda f: _path(spark, f)[0].exists(_path(spark, f)[1]), folders)
+        return [f for f, here in zip(folders, found, strict=True) if here]
+
+
+def named(places: DataFrame, parts: list[str]) -> list[dict] | None:
+    """The partitions that ``places`` fall into, or None if they are more than MOST_NAMED."""
+    rows = places.select(*parts).distinct().limit(MOST_NAMED + 1).collect()
+    return [r.asDict() for r in rows] if len(rows) <= MOST_NAMED else None
+
+
+def _schema(root: str, folder: str, places: DataFrame, parts: list[str]) -> T.StructType:
+    """That of the table, by one of its folders; partition columns are as in ``places``."""
+    found = places.sparkSession.read.option("basePath", root).parquet(folder).schema
+    return T.StructType([f if f.name not in parts else places.schema[f.name] for f in found])
+
+
+def stored_in(root: str, places: DataFrame, parts: list[str], schema=None) -> tuple[DataFrame, list[dict] | None]:
+    """(rows of the table at ``root`` in the partitions that ``places`` touch, those partitions).
+
+    Up to MOST_NAMED partitions are opened by name: no other is listed or read, however many
+    the table has. A batch that touches more is a load of the table itself; it reads what the
+    ranges of its partition values leave, and the partitions are None.
+    """
+    spark = places.sparkSession
+    touched = named(places, parts)
+    if touched is None:
+        ends = places.agg(*(f(c).alias(f"{n}_{c}") for c in parts for n, f in (("low", F.min), ("high", F.max)))).first()
+        rows = spark.read.schema(schema or _schema(root, root, places, parts)).parquet(root)
+        for c in parts:
+            rows = rows.filter(F.col(c).between(ends[f"low_{c}"], ends[f"high_{c}"]))
+        return rows.join(places.select(*parts).distinct(), parts, "left_semi"), None
+    folders = {_folder(spark, root, p): p for p in touched}
+    there = _there(spark, list(folders))
+    if not there:
+        return spark.createDataFrame([], schema or places.select(*parts).schema), []
+    rows = spark.read.schema(schema or _schema(root, there[0], places, parts)).option("basePath", root).parquet(*there)
+    return rows, [folders[f] for f in there]
+
+
+def _write(rows: DataFrame, root: str, parts: list[str]) -> None:
+    """Put ``rows``, which may come from the same partitions, in the place of exactly those they fall into."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(root)
 
 
 def upsert(rows: DataFrame, root: str, sequence: str | None = None, key: list[str] = KEY, parts: list[str] = PARTS) -> None:
     """Merge ``rows`` into the table: incoming rows win, among them the last by ``sequence``.
 
-    Only partitions that incoming rows fall into are read and rewritten. A run that is
-    repeated gives the same table.
+    Only partitions that incoming rows fall into are opened and rewritten, after one shuffle
+    by partition that serves the merge and the writing. A run that is repeated gives the same
+    table.
     """
     spark = rows.sparkSession
     order = F.col(sequence) if sequence else F.lit(0).cast("long")
-    new = keep_last(rows.withColumn("_v", order.cast("long")), key, "_v").withColumn("_v", F.lit(1).cast("long"))
-    if sequence:
-        new = new.drop(sequence)
-    if exists(spark, root):
-        old = spark.read.schema(new.drop("_v").schema).parquet(root)
-        touched = new.select(*parts).distinct()
-        old = old.join(touched, parts, "left_semi").withColumn("_v", F.lit(0).cast("long"))
-        new = keep_last(new.unionByName(old), key, "_v")
-    _rewrite(new.drop("_v"), root, parts)
+    new = keep_last(rows.withColumn("_v", order.cast("long")), key, "_v").drop("_v", *([sequence] if sequence else []))
+    staged = scratch(spark)
+    new.write.parquet(staged)
+    new = spark.read.schema(new.schema).parquet(staged)
+    with WRITING:
+        if not new.isEmpty():
+            both = new.withColumn("_v", F.lit(1))
+            if exists(spark, root):
+                both = both.unionByName(stored_in(root, new, parts, new.schema)[0].withColumn("_v", F.lit(0)))
+            both = both.repartition(*parts)
+            _write(keep_last(both, [*parts, *(k for k in key if k not in parts)], "_v").drop("_v"), root, parts)
+    remove(spark, staged)
 
 
-def delete_keys(root: str, keys: DataFrame, key: list[str] = KEY, parts: list[str] = PARTS) -> None:
-    """Remove rows by key. A partition of which nothing is left keeps no files.
+def changed(root: str, places: DataFrame, parts: list[str], schema: str | None, change: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace the partitions that ``places`` touch by what ``change`` leaves of their rows.
 
     Partitions with rows left are overwritten first, the others dropped then: a run that ends
     in between has removed less, and nothing else, and can be repeated.
     """
+    spark = places.sparkSession
+    with WRITING:
+        old, touched = stored_in(root, places, parts, schema)
+        if touched == []:
+            return
+        left = change(old)
+        full = {tuple(r) for r in left.select(*parts).distinct().collect()}  # partitions, not rows
+        before = touched if touched is not None else [r.asDict() for r in old.select(*parts).distinct().collect()]
+        if full:
+            _write(left.repartition(*parts), root, parts)
+        emptied = [p for p in before if tuple(p[c] for c in parts) not in full]
+        if emptied:
+            drop_partitions(root, spark.createDataFrame([tuple(p[c] for c in parts) for p in emptied], places.select(*parts).schema))
+
+
+def delete_keys(root: str, keys: DataFrame, key: list[str] = KEY, parts: list[str] = PARTS) -> None:
+    """Remove rows by key. Only partitions that keys fall into are opened; one of which nothing
+    is left keeps no files."""
     spark = keys.sparkSession
     if not exists(spark, root):
         return
-    old = spark.read.parquet(root)
-    staged = scratch(spark)
-    old.join(keys, key, "left_semi").select(*parts).distinct().write.parquet(staged)
-    touched = spark.read.schema(old.select(*parts).schema).parquet(staged)
-    left = old.join(touched, parts, "left_semi").join(keys, key, "left_anti")
-    emptied = touched.join(left.select(*parts).distinct(), parts, "left_anti").collect()  # partitions, not rows
-    _rewrite(left, root, parts)
-    if emptied:
-        drop_partitions(root, spark.createDataFrame(emptied, touched.schema))
-    remove(spark, staged)
+    if "date" in parts and "date" not in keys.columns:
+        keys = keys.withColumn("date", F.date_format(F.timestamp_millis("open_time_ms"), "yyyy-MM-dd"))
+    places = keys.select(*dict.fromkeys([*parts, *key])).distinct()
+    changed(root, places, parts, None, lambda old: old.join(places.select(*key), key, "left_anti"))
 
 
 def drop_partitions(root: str, parts: DataFrame) -> None:
     """Delete the partition folders listed in ``parts`` (as many as a rebuild covers)."""
     spark = parts.sparkSession
     for row in parts.toLocalIterator():
-        remove(spark, root + "".join(f"/{c}={row[c]}" for c in parts.columns))
+        remove(spark, _folder(spark, root, row.asDict()))
 
 
 def merge_gaps(gaps: DataFrame, path: str) -> None:
@@ -218,7 +303,7 @@ def renormalize(
             for path in (silver, quarantine):
                 drop_partitions(path, days)
             if exists(spark, gap_report):
-                replace(without_days(spark.read.schema(GAP).parquet(gap_report), days), gap_report, GAP_PARTS)
+                changed(gap_report, days, GAP_PARTS, GAP, lambda gaps: without_days(gaps, days))
     staged = scratch(spark)
     # the interval carries the day, so that gaps are those within a day, as ingestion has them
     daily = rows.withColumn("open_time", F.timestamp_millis("open_time_ms")).withColumn("seq", F.monotonically_increasing_id())
@@ -246,7 +331,7 @@ def renormalize(
 def write_features(features: DataFrame, root: str, interval: str) -> None:
     """One partition for each UTC day of the bars."""
     dated = features.withColumns({"interval": F.lit(interval), "date": F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd")})
-    _rewrite(dated, root, ["interval", "date"])
+    _write(dated.repartition("interval", "date"), root, ["interval", "date"])
 
 
 def write_table(rows: DataFrame, path: str) -> int:
