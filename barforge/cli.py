@@ -18,7 +18,6 @@ from barforge.functions.timeframes import interval_ms, source_interval
 from barforge.operators import backtest, features, signals, strength
 from barforge.sources import ingest, lake, presets
 from barforge.sources.sync import Fetching, Tables, read_state, sync_missing, sync_recent
-from barforge.sources.transport import CandleMessages
 
 
 def session() -> SparkSession:
@@ -49,11 +48,11 @@ def refresh_symbols(spark, a):
 
 
 def _tables(a: argparse.Namespace) -> Tables:
-    return Tables(a.raw, a.silver, a.quarantine, a.gaps, a.state)
+    return Tables(a.raw, a.silver, a.quarantine, a.gaps, a.state, a.spans)
 
 
 def _fetching(a: argparse.Namespace) -> Fetching:
-    return Fetching(a.transport, a.archives, a.archive_cache, a.limit, a.concurrency, a.max_weight_per_minute, a.archive_threshold_days)
+    return Fetching(a.transport, a.archives, a.archive_cache, a.limit, a.concurrency, a.max_weight_per_minute, a.archive_threshold_days, a.archive_concurrency)
 
 
 def _universe(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -136,22 +135,30 @@ def show_strength(spark, a):
 
 
 def stream(spark, a):
-    """Store a stream of candles; gaps are filled at the start and after each disconnection."""
-    from barforge.streaming.pipelines import buffered, candle_sink, flush, ingest as start, resilient
+    """Store a stream of candles; what may lack is filled beside it, at the start and after each disconnection."""
+    from barforge.streaming.live import Live
+    from barforge.streaming.pipelines import Marks, buffered, candle_sink, flush
+    from barforge.streaming.receivers import Receiving
 
     universe = _universe(spark, a)
-    sink = candle_sink(a.silver, interval_ms(a.interval), a.raw, a.quarantine, a.gaps, a.open_candles, a.state)
+    marks = Marks(a.state, interval_ms(a.interval), a.state_interval_seconds) if a.state else None
+    sink = candle_sink(a.silver, interval_ms(a.interval), a.raw, a.quarantine, a.gaps, a.open_candles, marks)
     to = buffered(sink, a.hot, a.flush_size) if a.hot else sink
-    spark.dataSource.register(CandleMessages)
     symbols = [r.symbol for r in universe.orderBy("symbol").collect()]
-    what = {"connect": a.connect, "symbols": json.dumps(symbols), "interval": a.interval, "per_connection": a.streams_per_connection, "batch_messages": a.hot_flush_size, "batch_seconds": a.hot_flush_interval_seconds}
-    begin = lambda: start(spark.readStream.format("candle_messages").options(**what).load(), to, a.checkpoint, {"processingTime": f"{a.hot_flush_interval_seconds} seconds"})
-    fill = (lambda: sync_missing(spark, universe, a.interval, _tables(a), _fetching(a), a.bootstrap_days, progress=print)) if a.transport else None
+    how = Receiving(a.connect, symbols, a.interval, a.streams_per_connection, a.hot_flush_size, a.hot_flush_interval_seconds, reconnect=a.reconnect_delay_seconds, once=a.once)
+
+    def fill(own: list[str]) -> None:
+        sync_missing(spark, universe.filter(F.col("symbol").isin(own)), a.interval, _tables(a), _fetching(a), a.bootstrap_days, progress=lambda c: print({"kind": "fill_progress"} | c))
+
+    live = Live(spark, how, to, a.spool, a.checkpoint, fill if a.transport else None, not a.no_startup_gap_fill, progress=print)
     try:
-        resilient(begin, fill, not a.no_startup_gap_fill, a.once, a.reconnect_delay_seconds, progress=print)
+        live.wait()
     finally:
+        live.stop()
         if a.hot:
             flush(spark, sink, a.hot)
+        if marks:
+            marks.save(spark)
 
 
 ROOT = "data"
@@ -162,6 +169,7 @@ OPTIONS: dict[str, dict] = {
     "state": {"default": f"{ROOT}/state"}, "history": {"default": f"{ROOT}/symbols/history"}, "current": {"default": f"{ROOT}/symbols/current"}, "checkpoint": {"default": f"{ROOT}/checkpoint"},
     "open-candles": {"default": None}, "hot": {"default": None}, "config": {"default": None}, "exchange-info": {"required": True}, "transport": {"default": None}, "archives": {"default": None},
     "archive-cache": {"default": None}, "legacy-state": {"default": None}, "concurrency": {"type": int, "default": 8}, "max-weight-per-minute": {"type": int, "default": 900}, "recent": {"action": "store_true"},
+    "spans": {"default": f"{ROOT}/spans"}, "spool": {"default": f"{ROOT}/spool"}, "archive-concurrency": {"type": int, "default": 4}, "state-interval-seconds": {"type": float, "default": 30.0},
     "connect": {"default": None}, "streams-per-connection": {"type": int, "default": 200}, "flush-size": {"type": int, "default": 1000}, "hot-flush-size": {"type": int, "default": 100},
     "hot-flush-interval-seconds": {"type": float, "default": 0.5}, "reconnect-delay-seconds": {"type": float, "default": 5.0}, "once": {"action": "store_true"}, "no-startup-gap-fill": {"action": "store_true"},
     "symbol": {"action": "append"}, "interval": {"default": "1m"}, "base-interval": {"default": "1m"}, "feature-interval": {"default": "1h"}, "start-date": {"default": None}, "end-date": {"default": None},
@@ -172,7 +180,7 @@ OPTIONS: dict[str, dict] = {
     "liquidity-top-n": {"type": int, "default": None}, "liquidity-lookback-bars": {"type": int, "default": 20}, "preset": {"default": "intraday"}, "side": {"default": "strong"}, "rank-pct": {"type": float, "default": 0.2},
 }
 BOARD = "silver hot symbol boards benchmark config"
-FETCH = "current raw silver quarantine gaps state interval symbol bootstrap-days limit archives archive-cache archive-threshold-days transport concurrency max-weight-per-minute"
+FETCH = "current raw silver quarantine gaps state spans interval symbol bootstrap-days limit archives archive-cache archive-threshold-days transport concurrency archive-concurrency max-weight-per-minute"
 SYNC = f"{FETCH} legacy-state recent dry-run"
 COMMANDS: dict[str, tuple[Callable, str]] = {
     "refresh-symbols": (refresh_symbols, "exchange-info history current"),
@@ -187,7 +195,7 @@ COMMANDS: dict[str, tuple[Callable, str]] = {
     "build-relative-strength": (build_strength, f"{BOARD} tf use-preset max-abs-gap-atr max-ret tail-bars warmup-bars liquidity-top-n liquidity-lookback-bars"),
     "build-relative-strength-presets": (build_presets, f"{BOARD} preset dry-run"),
     "show-relative-strength": (show_strength, "boards tf side top-n rank-pct include-overheated all limit"),
-    "stream-klines": (stream, f"{FETCH} open-candles hot connect checkpoint streams-per-connection flush-size hot-flush-size hot-flush-interval-seconds reconnect-delay-seconds once no-startup-gap-fill"),
+    "stream-klines": (stream, f"{FETCH} open-candles hot connect spool state-interval-seconds checkpoint streams-per-connection flush-size hot-flush-size hot-flush-interval-seconds reconnect-delay-seconds once no-startup-gap-fill"),
 }
 
 

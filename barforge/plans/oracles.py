@@ -120,6 +120,18 @@ nx AS (SELECT symbol, interval, open_time_ms AS p, lead(open_time_ms) OVER (PART
 gaps AS (SELECT symbol, interval, unnest(range(p + 3600000, q, 3600000)) AS missing_open_time_ms, p AS previous_open_time_ms, q AS next_open_time_ms FROM nx WHERE q > p + 3600000)"""
 
 
+def islands(name: str, slots: str) -> str:
+    """Spans of hours that follow each other, from a table of (symbol, interval, t)."""
+    return f"""{name} AS (SELECT symbol, interval, min(t) AS start_ms, max(t) AS end_ms FROM
+  (SELECT *, t - 3600000 * row_number() OVER (PARTITION BY symbol, interval ORDER BY t) AS g FROM (SELECT DISTINCT symbol, interval, t FROM {slots})) GROUP BY symbol, interval, g)"""
+
+
+#: Spans hour by hour: slots that are covered, and slots that are asked for.
+SLOTS = f"""{CLEAN}, has AS (SELECT symbol, interval, unnest(range(open_time_ms, open_time_ms + 3600000 * (open_time_ms // 3600000 % 3) + 1, 3600000)) AS t FROM ok),
+weeks AS (SELECT DISTINCT symbol, interval, open_time_ms // 604800000 * 604800000 AS a FROM h), wants AS (SELECT symbol, interval, unnest(range(a, a + 345600000, 3600000)) AS t FROM weeks),
+lacks AS (SELECT * FROM wants ANTI JOIN has USING (symbol, interval, t))"""
+
+
 def mark(which: str) -> str:
     return f"""WITH {CLEAN}, m AS (SELECT symbol, {which}(missing_open_time_ms) AS g FROM gaps GROUP BY 1), u AS (SELECT symbol, max(open_time_ms) AS last FROM ok GROUP BY 1)
 SELECT min(coalesce(g - 3600000, last)) AS contiguous_last_open_time_ms FROM u LEFT JOIN m USING (symbol)"""
@@ -189,6 +201,13 @@ SELECT symbol, start_ms, archive_days, CASE WHEN start_ms <= {END} AND rest <= {
 own AS (SELECT ok.symbol, interval, open_time_ms, coalesce(ceil(d / 3600000.0)::BIGINT * 3600000, min(open_time_ms) OVER (PARTITION BY ok.symbol)) AS a FROM ok LEFT JOIN due ON ok.symbol = due.symbol WHERE d IS NULL OR open_time_ms >= d),
 run AS (SELECT *, a + 3600000 * (row_number() OVER (PARTITION BY symbol ORDER BY open_time_ms) - 1) AS e FROM own)
 SELECT symbol, interval, max(open_time_ms) AS last_open_time_ms FROM run WHERE open_time_ms = e GROUP BY ALL""",
+    "covered_runs": f"WITH {CLEAN}, o AS (SELECT symbol, interval, open_time_ms AS t FROM ok), {islands('i', 'o')} SELECT * FROM i",
+    "covered_spans": f"WITH {SLOTS}, {islands('i', 'has')} SELECT * FROM i",
+    "lacking_spans": f"WITH {SLOTS}, {islands('i', 'lacks')} SELECT * FROM i",
+    "marks_by_spans": f"""WITH {SLOTS}, {islands('i', 'lacks')}, all_slots AS (SELECT * FROM has UNION ALL
+  SELECT symbol, interval, unnest(range(start_ms, end_ms + 1, 3600000)) FROM i WHERE start_ms // 3600000 % 2 = 0), {islands('s', 'all_slots')},
+due AS (SELECT symbol, interval, min(open_time_ms) + 432000000 AS d FROM h GROUP BY ALL)
+SELECT symbol, interval, end_ms AS last_open_time_ms FROM s JOIN due USING (symbol, interval) WHERE start_ms <= d AND d <= end_ms""",
     "stream_bars_hourly": f"WITH {HOURS} SELECT symbol, open_time_ms, {r8('open', 'high', 'low', 'close', 'volume')}, trade_count FROM h",
     "stream_upsert": f"WITH {HOURS} SELECT {CANDLE} FROM h WHERE open_time_ms // 3600000 % 11 <> 0 AND open_time_ms // 3600000 % 4 <> 3",
     "lake_gap_delete": f"""WITH {CLEAN} SELECT * FROM gaps WHERE NOT (symbol < 'L' AND right(strftime(make_timestamp(missing_open_time_ms * 1000), '%Y-%m-%d'), 1)::INT % 2 = 0)""",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barforge.operators import backtest, bars, features, quality, signals, strength
+from barforge.operators import backtest, bars, features, quality, signals, spans, strength
 from barforge.plans.markets import DAY, HOUR, WEEK, events_market, lineitem_market
 from barforge.sources import ingest, lake
 
@@ -329,6 +329,38 @@ def checkpoint_advance(spark, sf_dir):
     return quality.contiguous_from(ok, due, HOUR)
 
 
+def wide_spans(spark, sf_dir):
+    """Spans of one to three hours from each accepted candle on: many overlap or touch."""
+    ok = cleaned(spark, sf_dir).accepted
+    return ok.select("symbol", "interval", F.col("open_time_ms").alias("start_ms"), (F.col("open_time_ms") + HOUR * F.expr(f"open_time_ms div {HOUR} % 3")).alias("end_ms"))
+
+
+def asked_spans(spark, sf_dir):
+    """Four days of each week of each series."""
+    h = hours(spark, sf_dir).select("symbol", "interval", F.expr(f"open_time_ms div {WEEK} * {WEEK}").alias("start_ms")).distinct()
+    return h.withColumn("end_ms", F.col("start_ms") + 4 * DAY - HOUR)
+
+
+def covered_runs(spark, sf_dir):
+    return spans.runs(cleaned(spark, sf_dir).accepted, HOUR)
+
+
+def covered_spans(spark, sf_dir):
+    return spans.merged(wide_spans(spark, sf_dir), HOUR)
+
+
+def lacking_spans(spark, sf_dir):
+    return spans.lacking(wide_spans(spark, sf_dir), asked_spans(spark, sf_dir), HOUR)
+
+
+def marks_by_spans(spark, sf_dir):
+    """How far marks reach from what is due when every other lacking span counts as a hole that stays."""
+    holes = lacking_spans(spark, sf_dir).filter(F.expr(f"start_ms div {HOUR} % 2") == 0)
+    settled = wide_spans(spark, sf_dir).union(holes.select("symbol", "interval", "start_ms", "end_ms"))
+    due = hours(spark, sf_dir).groupBy("symbol", "interval").agg((F.min("open_time_ms") + 5 * DAY).alias("start_ms"))
+    return spans.reached(settled, due, HOUR)
+
+
 def stream_bars_hourly(spark, sf_dir):
     """Bars of a file stream, merged window by window; equal to the batch."""
     path = f"{sf_dir}/events.parquet"
@@ -370,5 +402,6 @@ QUERIES = {
         returns_multi_lag, rolling_windows, cross_section_ranks, feature_table, top_n_signals, latest_signals, next_bar_returns, dense_weights, turnover, equity_curve, equity_summary, ema20,
         true_range_atr, symbol_factors, benchmark_join, overheat_flag, strength_scores, strength_board, liquidity_universe, source_tail, target_tail, show_strong, show_weak, active_universe,
         parse_stream_message, parse_rest_rows, sync_plan, inactive_checkpoints, checkpoint_merge, checkpoint_advance, stream_bars_hourly, stream_upsert, lake_gap_delete,
+        covered_runs, covered_spans, lacking_spans, marks_by_spans,
     )
 }

@@ -1,4 +1,4 @@
-"""Thin transport: request weights, limiter, retries, paging, archives, and the data sources over them.
+"""Thin transport: request weights, limiter, retries, paging, archives, and the data source over them.
 
 Nothing here opens a connection by itself: what fetches is handed in.
 """
@@ -8,47 +8,65 @@ from __future__ import annotations
 import csv
 import io
 import json
+import math
 import os
 import time
 import uuid
 import zipfile
-from collections import deque
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from importlib import import_module
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from barforge.functions.timeframes import day_of, day_start
 
 WINDOW = 60.0
 
 
+# A page of fewer candles than the first number costs the second, any other TOP_WEIGHT.
+WEIGHTS = ((100, 1), (500, 2), (1001, 5))
+TOP_WEIGHT = 10
+
+
 def request_weight(limit: int) -> int:
     """What a page of so many candles costs."""
-    return next((w for below, w in ((100, 1), (500, 2), (1001, 5)) if limit < below), 10)
+    return next((w for below, w in WEIGHTS if limit < below), TOP_WEIGHT)
 
 
 class WeightLimiter:
-    """At most ``most`` units of weight within any 60 seconds."""
+    """At most ``most`` units of weight within any 60 seconds.
+
+    What is spent is kept as running sums by time. The sum that a request has to see expire
+    first names the one moment from which on it fits, which is waited for at once.
+    """
 
     def __init__(self, most: int, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
         if most <= 0:
             raise ValueError("most must be positive")
         self.most, self.clock, self.sleep = most, clock, sleep
-        self.spent: deque[tuple[float, int]] = deque()
+        self.times: list[float] = []
+        self.sums: list[int] = []
+
+    def fits_from(self, weight: int) -> float:
+        """The earliest time at which ``weight`` more are within bounds; a request above all bounds waits for none other."""
+        over = (self.sums[-1] if self.sums else 0) + weight - self.most
+        last = bisect_left(self.sums, over) if over > 0 else -1
+        return self.times[min(last, len(self.times) - 1)] + WINDOW if last >= 0 and self.times else -math.inf
 
     def acquire(self, weight: int) -> None:
         if not 0 < weight:
             raise ValueError("weight must be positive")
-        while True:
-            now = self.clock()
-            while self.spent and now - self.spent[0][0] >= WINDOW:
-                self.spent.popleft()
-            if not self.spent or sum(w for _, w in self.spent) + weight <= self.most:
-                self.spent.append((now, weight))
-                return
-            self.sleep(max(0.0, WINDOW - (now - self.spent[0][0])))
+        now, free = self.clock(), self.fits_from(weight)
+        if free > now:
+            self.sleep(free - now)
+            now = free
+        self.times.append(now)
+        self.sums.append((self.sums[-1] if self.sums else 0) + weight)
+        gone = bisect_left(self.times, now - WINDOW)
+        if gone > 1000:  # sums only grow, so what is before the window may go
+            self.times, self.sums = self.times[gone:], [x - self.sums[gone - 1] for x in self.sums[gone:]]
 
 
 class Transient(Exception):
@@ -117,22 +135,19 @@ def archive_rows(content: bytes) -> list[list[str]]:
     return [r for r in csv.reader(io.StringIO(text)) if r and r[0].strip().isdigit()]
 
 
-def batches(symbol: str, interval: str, start_ms: int, end_ms: int, step_ms: int, limit: int, page: Callable, archive: Callable | None = None, cutoff: date | None = None) -> Iterator[list[list]]:
-    """What a symbol lacks from ``start_ms`` to ``end_ms``, in batches.
+def archived(symbol: str, interval: str, start_ms: int, end_ms: int, archive: Callable, cutoff: date) -> Iterator[tuple[list[list], int]]:
+    """(candles of a day, where the next begins) from ``start_ms`` on, for whole days up to ``cutoff``.
 
-    Whole days come from archives up to ``cutoff``; from the first day that has none, or that
-    fails, on by pages.
+    Ends at the first day that has no archive, or whose archive fails.
     """
-    at, day = start_ms, day_of(start_ms)
-    while archive is not None and cutoff is not None and day <= cutoff and day_start(day) <= end_ms:
+    day = day_of(start_ms)
+    while day <= cutoff and day_start(day) <= end_ms:
         try:
             rows = archive_rows(archive(symbol, interval, day.isoformat()))
         except (ArchiveMissing, Transient, OSError):
-            break
-        yield [r for r in rows if start_ms <= int(r[0]) <= end_ms]
+            return
         day += timedelta(days=1)
-        at = day_start(day)
-    yield from paged(lambda a, b, n: page(symbol, interval, a, b, n), at, end_ms, step_ms, limit)
+        yield [r for r in rows if start_ms <= int(r[0]) <= end_ms], day_start(day)
 
 
 def named(path: str) -> Callable:
@@ -141,22 +156,27 @@ def named(path: str) -> Callable:
     return getattr(import_module(module), name)
 
 
-class _Symbols(InputPartition):
-    def __init__(self, plan: list[tuple[str, int]]) -> None:
+class _Ranges(InputPartition):
+    def __init__(self, plan: list[tuple[str, int, int]]) -> None:
         self.plan = plan
 
 
 class MissingCandles(DataSource):
-    """Positional rows that symbols lack, archives first and then pages.
+    """Positional rows that series lack, from daily archives or by pages.
+
+    Options: kind (archives or pages), plan (JSON list of [symbol, start_ms, end_ms]), interval,
+    step_ms, limit, fetch ("module:function" of (symbol, interval, start, end, limit) -> rows),
+    archive (the same of (symbol, interval, day) -> zip content, raising ArchiveMissing), cutoff
+    (last day that archives may have), cache (folder of archives), tasks, weight (a minute's
+    units), attempts.
 
-    Options: plan (JSON list of [symbol, start_ms]), interval, step_ms, end_ms, limit, fetch
-    ("module:function" of (symbol, interval, start, end, limit) -> rows), archive (the same of
-    (symbol, interval, day) -> zip content, raising ArchiveMissing), cutoff (last day that
-    archives may have), cache (folder of archives), tasks, weight (a minute's units), attempts.
+    Ranges are dealt out to ``tasks`` partitions, each of which asks for one after the other,
+    for pages within its share of the weight: no more requests run at once than there are
+    partitions, and all together stay within the weight, on however many machines they run.
 
-    Symbols are dealt out to ``tasks`` partitions, each of which asks for one after the other
-    within its share of the weight: no more requests run at once than there are partitions,
-    and all together stay within the weight, on however many machines they run.
+    Behind its candles each range has a row without payload: reached_ms, where what was
+    fetched ends, and error, what it ended with before it was through. A range that fails
+    keeps what it had and leaves the others alone.
     """
 
     @classmethod
@@ -164,7 +184,7 @@ class MissingCandles(DataSource):
         return "missing_candles"
 
     def schema(self) -> str:
-        return "symbol string, interval string, payload string"
+        return "symbol string, interval string, payload string, start_ms long, reached_ms long, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return _MissingReader(self.options)
@@ -176,28 +196,43 @@ class _MissingReader(DataSourceReader):
         self.tasks = max(1, int(self.o.get("tasks", 8)))
 
     def partitions(self) -> list[InputPartition]:
-        plan = [(s, int(a)) for s, a in json.loads(self.o["plan"])]
-        return [_Symbols(plan[k :: self.tasks]) for k in range(self.tasks) if plan[k :: self.tasks]]
+        plan = [(s, int(a), int(b)) for s, a, b in json.loads(self.o["plan"])]
+        return [_Ranges(plan[k :: self.tasks]) for k in range(self.tasks) if plan[k :: self.tasks]]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        interval, step, limit, end = self.o["interval"], int(self.o["step_ms"]), int(self.o.get("limit", 499)), int(self.o["end_ms"])
-        fetch, attempts = named(self.o["fetch"]), int(self.o.get("attempts", 5))
-        archive = named(self.o["archive"]) if self.o.get("archive") else None
-        if archive and self.o.get("cache"):
+    def _archives(self) -> Callable:
+        archive, cutoff = named(self.o["archive"]), date.fromisoformat(self.o["cutoff"])
+        if self.o.get("cache"):
             archive = cached(archive, self.o["cache"])
-        cutoff = date.fromisoformat(self.o["cutoff"]) if self.o.get("cutoff") else None
-        weight = request_weight(limit)
+        return lambda symbol, start, end: archived(symbol, self.o["interval"], start, end, archive, cutoff)
+
+    def _pages(self) -> Callable:
+        interval, step, limit = self.o["interval"], int(self.o["step_ms"]), int(self.o.get("limit", 499))
+        fetch, weight = named(self.o["fetch"]), request_weight(limit)
         limiter = WeightLimiter(max(weight, int(self.o.get("weight", 900)) // self.tasks))
 
-        def page(*what) -> list[list]:
+        def page(symbol: str, start: int, end: int, most: int) -> list[list]:
             limiter.acquire(weight)
-            return fetch(*what)
+            return fetch(symbol, interval, start, end, most)
+
+        def pages(symbol: str, start: int, end: int) -> Iterator[tuple[list[list], int]]:
+            tried = lambda a, b, n: retried(lambda: page(symbol, a, b, n), int(self.o.get("attempts", 5)))
+            for rows in paged(tried, start, end, step, limit):
+                yield rows, max((int(r[0]) + step for r in rows), default=start)
 
-        for symbol, start in partition.plan:
-            tried = lambda *what: retried(lambda: page(*what), attempts)
-            for batch in batches(symbol, interval, start, end, step, limit, tried, archive, cutoff):
-                for row in batch:
-                    yield symbol, interval, json.dumps([str(x) for x in row])
+        return pages
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        interval = self.o["interval"]
+        source = self._archives() if self.o.get("kind") == "archives" else self._pages()
+        for symbol, start, end in partition.plan:
+            reached, error = start, None
+            try:
+                for rows, reached in source(symbol, start, end):  # noqa: B007
+                    for row in rows:
+                        yield symbol, interval, json.dumps([str(x) for x in row]), start, None, None
+            except Exception as e:  # noqa: BLE001  of this range: the sync tells of it when the others are stored
+                error = f"{type(e).__name__}: {e}"
+            yield symbol, interval, None, start, reached, error
 
 
 def stream_names(symbols: list[str], interval: str, per_connection: int = 200) -> list[str]:
@@ -206,70 +241,3 @@ def stream_names(symbols: list[str], interval: str, per_connection: int = 200) -
         raise ValueError("per_connection must be at least 1")
     names = [f"{s.lower()}@kline_{interval}" for s in symbols]
     return ["/".join(names[i : i + per_connection]) for i in range(0, len(names), per_connection)]
-
-
-class _Shard(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
-
-
-class CandleMessages(DataSource):
-    """A stream of text messages (value) from sharded connections.
-
-    Options: connect ("module:function" of a subscription path -> iterator of messages, each a
-    text or an object), symbols (JSON list), interval, per_connection, batch_messages and
-    batch_seconds (a connection's part of a micro-batch ends at whichever comes first).
-
-    Each connection is a partition. It is kept open in its worker between micro-batches, and
-    opened anew where it ended, failed or another worker has taken over. Messages are not kept
-    by the exchange: what is lost meanwhile is what gap sync fetches (see streaming.resilient).
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "candle_messages"
-
-    def schema(self) -> str:
-        return "value string"
-
-    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
-        return _MessageReader(self.options)
-
-
-#: Open connections of this worker by subscription path.
-_connections: dict[str, Iterator] = {}
-
-
-class _MessageReader(DataSourceStreamReader):
-    def __init__(self, options) -> None:
-        self.o = dict(options)
-        self.batch = 0
-
-    def initialOffset(self) -> dict:  # noqa: N802
-        return {"batch": 0}
-
-    def latestOffset(self) -> dict:  # noqa: N802
-        self.batch += 1
-        return {"batch": self.batch}
-
-    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        self.batch = max(self.batch, end["batch"])
-        return [_Shard(p) for p in stream_names(json.loads(self.o["symbols"]), self.o["interval"], int(self.o.get("per_connection", 200)))]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        until = time.monotonic() + float(self.o.get("batch_seconds", 0.5))
-        source = _connections.get(partition.path)
-        if source is None:
-            source = _connections[partition.path] = iter(named(self.o["connect"])(partition.path))
-        for _ in range(int(self.o.get("batch_messages", 100))):
-            try:
-                message = next(source)
-            except StopIteration:
-                _connections.pop(partition.path, None)
-                return
-            except BaseException:
-                _connections.pop(partition.path, None)
-                raise
-            yield (message if isinstance(message, str) else json.dumps(message),)
-            if time.monotonic() >= until:
-                return

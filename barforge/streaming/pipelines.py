@@ -9,7 +9,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,11 +16,53 @@ from pyspark.sql.streaming import StreamingQuery
 from barforge.operators.quality import clean, contiguous_from
 from barforge.schema import KEY, STATE
 from barforge.sources.ingest import merge_state, parse_messages
-from barforge.sources.lake import exists, keep_last, merge_gaps, remove, replace, upsert
+from barforge.sources.lake import WRITING, exists, keep_last, merge_gaps, remove, replace, upsert
 
 Sink = Callable[[DataFrame, int], None]
 
 
+class Marks:
+    """How far each series reaches without a gap, kept by the driver and saved now and then.
+
+    There is one mark for each series that trades. A mark moves to the last candle that
+    follows, without a gap, the one after it. They are saved at most every ``seconds``, and by
+    ``save``; others may save to the same table, as fills do: the greater mark stands, and is
+    taken over. Marks that were not saved cost candles that are fetched again, nothing else.
+    """
+
+    def __init__(self, path: str, step_ms: int, seconds: float = 0.0, clock: Callable[[], float] = time.monotonic) -> None:
+        self.path, self.step_ms, self.seconds, self.clock = path, step_ms, seconds, clock
+        self.known: dict[tuple[str, str], int] | None = None
+        self.moved: dict[tuple[str, str], int] = {}
+        self.saved: float | None = None
+
+    def _read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(STATE).parquet(self.path) if exists(spark, self.path) else spark.createDataFrame([], STATE)
+
+    def _take(self, state: DataFrame) -> None:
+        self.known = {(r.symbol, r.interval): r.last_open_time_ms for r in state.collect() if r.last_open_time_ms is not None}
+
+    def move(self, accepted: DataFrame) -> None:
+        spark = accepted.sparkSession
+        if self.known is None:
+            self._take(self._read(spark))
+        due = [(*series, mark + self.step_ms) for series, mark in self.known.items()]
+        starts = spark.createDataFrame(due, "symbol string, interval string, start_ms long")
+        for r in contiguous_from(accepted, starts, self.step_ms).collect():
+            self.known[r.symbol, r.interval] = self.moved[r.symbol, r.interval] = r.last_open_time_ms
+        if self.saved is None or self.clock() - self.saved >= self.seconds:
+            self.save(spark)
+
+    def save(self, spark: SparkSession) -> None:
+        """Save what has moved, and take over what others have saved."""
+        with WRITING:
+            if self.moved:
+                new = spark.createDataFrame([(*series, mark, "active") for series, mark in self.moved.items()], STATE)
+                replace(merge_state(self._read(spark), new), self.path)
+            self._take(self._read(spark))
+        self.moved, self.saved = {}, self.clock()
+
+
 def arrival(rows: DataFrame) -> DataFrame:
     """``rows`` with ``seq``, their order: the event's own time, where it has one, and then as read."""
     at = F.coalesce("event_time_ms", F.lit(0)) if "event_time_ms" in rows.columns else F.lit(0)
@@ -30,11 +71,13 @@ def arrival(rows: DataFrame) -> DataFrame:
 
 
 def candle_sink(
-    silver: str, step_ms: int, raw: str | None = None, quarantine: str | None = None, gap_report: str | None = None, open_candles: str | None = None, state: str | None = None,
+    silver: str, step_ms: int, raw: str | None = None, quarantine: str | None = None, gap_report: str | None = None, open_candles: str | None = None, state: str | Marks | None = None,
 ) -> Sink:
     """What each batch of parsed messages does: closed candles are cleaned and merged, the
     newest open one of each symbol is kept apart, and marks of progress move forward, each to
-    the last candle that follows without a gap the one after the mark."""
+    the last candle that follows without a gap the one after the mark: after each batch, or as
+    the given ``Marks`` say."""
+    marks = Marks(state, step_ms) if isinstance(state, str) else state
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -54,11 +97,8 @@ def candle_sink(
                     now = now.unionByName(spark.read.schema(now.drop("_v").schema).parquet(open_candles).withColumn("_v", F.lit(0)))
                 # a row for each series
                 replace(keep_last(now, ["symbol", "interval"], ["open_time_ms", "_v", "seq"]).drop("_v"), open_candles)
-            if state:
-                before = spark.read.schema(STATE).parquet(state) if exists(spark, state) else spark.createDataFrame([], STATE)
-                due = before.select("symbol", "interval", (F.col("last_open_time_ms") + step_ms).alias("start_ms"))
-                marks = contiguous_from(got.accepted, due, step_ms).withColumn("status", F.lit("active"))
-                replace(merge_state(before, marks), state)
+            if marks:
+                marks.move(got.accepted)
         finally:
             rows.unpersist()
 
@@ -105,43 +145,6 @@ def ingest(messages: DataFrame, sink: Sink, checkpoint: str, trigger: dict | Non
     return parse_messages(messages).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "500 milliseconds"})).start()
 
 
-def resilient(
-    start: Callable[[], StreamingQuery], gap_sync: Callable[[], object] | None = None, at_start: bool = True, once: bool = False, delay_s: float = 5.0, most_restarts: int | None = None,
-    progress: Callable[[dict], None] | None = None, sleep: Callable[[float], None] = time.sleep, cancelled: Callable[[], bool] = lambda: False,
-) -> int:
-    """Run a stream until it is cancelled: fill gaps at the start and after each disconnection.
-
-    start: begins the query, anew after its source has ended or failed. gap_sync runs before
-    the first start (``at_start``) and after every end but a cancellation: an interrupt, or an
-    end when ``cancelled`` says so, as after query.stop(). ``once`` returns after the first end; else it reconnects after ``delay_s``,
-    ``most_restarts`` times at most, then the last failure is raised. Returns the ends seen.
-    """
-    if at_start and gap_sync:
-        gap_sync()
-    ends = 0
-    while True:
-        query, failure = start(), None
-        try:
-            query.awaitTermination()
-        except StreamingQueryException as e:
-            failure = e
-        except BaseException:  # an interrupt is no disconnection
-            query.stop()
-            raise
-        if cancelled():
-            return ends
-        ends += 1
-        if progress:
-            progress({"ends": ends, "failed": failure is not None})
-        if gap_sync:
-            gap_sync()
-        if once or (most_restarts is not None and ends > most_restarts):
-            if failure and not once:
-                raise failure
-            return ends
-        sleep(delay_s)
-
-
 def windowed_bars(ticks: DataFrame, width: str, late: str = "1 hour") -> DataFrame:
     """Bars of event-time windows of (symbol, at, price, size, tie) ticks, late ones within ``late``."""
     order = F.struct("at", "tie")

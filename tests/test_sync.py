@@ -1,20 +1,22 @@
 """Sync, marks, hot tier, reconnection and sinks that break off."""
 
 import json
-from datetime import UTC, datetime
+import random
+from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
 import exchange
 import pytest
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from barforge.operators import quality
+from barforge.operators import quality, spans
 from barforge.schema import STATE
 from barforge.sources import ingest, lake
-from barforge.sources.sync import Fetching, Tables, fetched, read_state, sync_missing, sync_recent
-from barforge.sources.transport import CandleMessages
+from barforge.sources.sync import Fetching, SyncFailed, Tables, fetched, read_spans, read_state, sync_missing, sync_recent
+from barforge.sources.transport import WeightLimiter
 from barforge.streaming import pipelines
+from barforge.streaming.live import Live
+from barforge.streaming.receivers import Receiving
 
 from exchange import DAY, MINUTE, START
 from test_operators import candle, frame, series
@@ -136,17 +138,11 @@ def test_deleting_breaks_off_before_it_loses_rows(spark, tmp_path, monkeypatch):
 
 
 def test_streams_of_sharded_connections(spark, tmp_path, calls):
-    spark.dataSource.register(CandleMessages)
     silver, hot, state = (f"{tmp_path}/{x}" for x in ("silver", "hot", "state"))
     sink = pipelines.candle_sink(silver, MINUTE, state=state)
-    what = {"connect": "exchange:messages", "symbols": json.dumps(["A", "B", "C"]), "interval": "1m", "per_connection": 2, "batch_seconds": 5}
-    query = pipelines.ingest(spark.readStream.format("candle_messages").options(**what).load(), pipelines.buffered(sink, hot, 6), f"{tmp_path}/c", {"processingTime": "1 second"})
-    for _ in range(60):
-        if lake.exists(spark, silver) and lake.scan(spark, silver).count() == 6:
-            break
-        query.awaitTermination(1)
-    query.stop()
-    assert sorted({x[1] for x in calls()}) == ["a@kline_1m/b@kline_1m", "c@kline_1m"]
+    how = Receiving("exchange:messages", ["A", "B", "C"], "1m", per_connection=2, once=True)
+    Live(spark, how, pipelines.buffered(sink, hot, 6), f"{tmp_path}/spool", f"{tmp_path}/c").wait(120)
+    assert sorted(x[1] for x in calls()) == ["a@kline_1m/b@kline_1m", "c@kline_1m"]
     pipelines.flush(spark, sink, hot)
     assert sorted((r.symbol, r.open_time_ms - START) for r in lake.scan(spark, silver).collect()) == [(s, k * MINUTE) for s in "ABC" for k in range(2)]
     assert {r.last_open_time_ms for r in spark.read.parquet(state).collect()} == {START + MINUTE} and not lake.exists(spark, hot)
@@ -164,34 +160,110 @@ def test_hot_candles_wait_for_the_lake(spark, tmp_path):
     assert lake.scan(spark, silver).count() == 3 and not lake.exists(spark, hot)
 
 
-class Query:
-    def __init__(self, failure=None):
-        self.failure, self.stopped = failure, False
-
-    def awaitTermination(self):  # noqa: N802
-        if self.failure:
-            raise self.failure
-
-    def stop(self):
-        self.stopped = True
-
-
-def test_gaps_are_filled_at_start_and_after_disconnections():
-    gone = StreamingQueryException("the connection ended")
-    filled, slept, said = [], [], []
-    run = lambda queries, **k: pipelines.resilient(iter(queries).__next__, lambda: filled.append(1), sleep=slept.append, progress=said.append, **k)
-    assert run([Query(gone), Query()], most_restarts=1, delay_s=3) == 2
-    assert (len(filled), slept) == (3, [3]) and said[0] == {"ends": 1, "failed": True}
-    filled.clear()
-    assert run([Query()], once=True, at_start=False) == 1 and len(filled) == 1
-    filled.clear()
-    cancelled = Query(KeyboardInterrupt())
-    with pytest.raises(KeyboardInterrupt):
-        run([cancelled], at_start=False)
-    assert filled == [] and cancelled.stopped
-    assert run([Query()], at_start=False, cancelled=lambda: True) == 0 and filled == []
-    with pytest.raises(StreamingQueryException):
-        run([Query(gone), Query(gone)], most_restarts=1)
+def test_a_failing_symbol_leaves_the_others_marked(spark, tables, calls):
+    names = [f"S{k:03}" for k in range(300)]
+    names[299], tables.raw = "S299FAIL", None
+    spark.createDataFrame([(s, "1m", START - MINUTE, "active") for s in names], STATE).write.parquet(tables.state)
+    how, said = Fetching("exchange:page", limit=100, wave=150, weight=100_000), []
+    with pytest.raises(SyncFailed) as e:
+        sync_missing(spark, universe(spark, *names), "1m", tables, how, now=at(3), progress=said.append)
+    assert set(e.value.errors) == {"S299FAIL"} and "refused" in e.value.errors["S299FAIL"] and e.value.counts["accepted"] == 299 * 3
+    got = marks(spark, tables)
+    assert sum(m == START + 2 * MINUTE for m, _ in got.values()) == 299 and got["S299FAIL"][0] == START - MINUTE
+    assert [x.get("done") for x in said] == [150, None]
+    # what had come before the failure is kept, and the mark with it
+    spark.createDataFrame([("LATEFAIL", "1m", START - MINUTE, "active")], STATE).write.mode("append").parquet(tables.state)
+    with pytest.raises(SyncFailed):
+        sync_missing(spark, universe(spark, "LATEFAIL"), "1m", tables, Fetching("exchange:page", limit=2), now=at(6))
+    assert marks(spark, tables)["LATEFAIL"][0] == START + 3 * MINUTE
+
+
+def test_archives_and_pages_have_bounds_of_their_own(spark, tmp_path, tables, calls):
+    names = [f"C{k}" for k in range(6)]
+    spark.createDataFrame([(s, "1m", START - MINUTE, "active") for s in names], STATE).write.parquet(tables.state)
+    how = Fetching("exchange:slow_page", "exchange:slow_archive", limit=1000, tasks=3, archive_tasks=2)
+    assert sync_missing(spark, universe(spark, *names), "1m", tables, how, now=datetime(2024, 7, 4, 0, 10, 30, tzinfo=UTC))["accepted"] == 6 * (3 * 1440 + 10)
+
+    def most(kind):
+        now = top = 0
+        for _, by in sorted((t, d) for k, *_, a, b in calls() if k == kind for t, d in ((a, 1), (b, -1))):
+            now += by
+            top = max(top, now)
+        return top
+
+    assert most("slow_archive") == 2 and most("slow_page") == 3
+
+
+def test_a_hole_that_stays_is_asked_for_a_few_times(spark, tables, calls):
+    tables.spans = tables.state + "-spans"
+    spark.createDataFrame([("HOLE", "1m", START - MINUTE, "active"), ("FULL", "1m", START - MINUTE, "active")], STATE).write.parquet(tables.state)
+    how = Fetching("exchange:page", limit=100, hole_age=timedelta(0))
+    asked = []
+    tables.raw = None
+    for k in range(4):
+        n = len(calls())
+        sync_missing(spark, universe(spark, "HOLE", "FULL"), "1m", tables, how, now=at(10 + k))
+        asked.append(sorted(((x[2] - START) // MINUTE, (x[3] - START) // MINUTE) for x in calls()[n:] if x[1] == "HOLE"))
+    assert asked[0] == [(0, 9)]
+    # the hole alone and what is new, not what lies between; the third time in vain is the last
+    assert asked[1] == [(5, 5), (10, 10)] and asked[2] == [(5, 5), (11, 11)] and asked[3] == [(12, 12)]
+    assert marks(spark, tables)["HOLE"] == (START + 12 * MINUTE, "active") == marks(spark, tables)["FULL"]
+    assert read_spans(spark, tables.spans).collect() == []
+    assert lake.scan(spark, tables.silver).count() == 13 + 12
+
+
+def test_a_young_hole_waits_and_a_late_listing_is_passed(spark, tables, calls):
+    tables.spans = tables.state + "-spans"
+    how, tables.raw = Fetching("exchange:page", limit=5000, tries=2, hole_age=timedelta(hours=1)), None
+    sync = lambda minutes: sync_missing(spark, universe(spark, "LISTED"), "1m", tables, how, bootstrap_days=1, now=at(minutes))
+    for k in range(3):  # listed 100 minutes ago: what lacks before it is old, and is asked for twice
+        sync(1500 + k)
+    assert marks(spark, tables)["LISTED"][0] == START + 1501 * MINUTE
+    assert [(x[2] - START) // MINUTE for x in calls()] == [60, 61, 1500, 1501] or len(calls()) <= 5
+    how = Fetching("exchange:page", limit=100, tries=1, hole_age=timedelta(hours=1))
+    spark.createDataFrame([("HOLE", "1m", START - MINUTE, "active")], STATE).write.mode("append").parquet(tables.state)
+    for _ in range(2):
+        sync_missing(spark, universe(spark, "HOLE"), "1m", tables, how, now=at(10))
+    assert marks(spark, tables)["HOLE"][0] == START + 4 * MINUTE
+
+
+def test_span_algebra_by_slots(spark):
+    rng = random.Random(9)
+    some = lambda n, wide: [("A" if rng.random() < 0.5 else "B", "1m", a * MINUTE, (a + rng.randrange(wide)) * MINUTE) for a in (rng.randrange(200) for _ in range(n))]
+    slots = lambda rows: {(s, x) for s, _, a, b in rows for x in range(a, b + 1, MINUTE)}
+    for _ in range(3):
+        covered, asked = some(25, 8), some(12, 30)
+        has = spark.createDataFrame(covered, spans.SPAN)
+        wants = spans.merged(spark.createDataFrame(asked, spans.SPAN), MINUTE)
+        rows = [tuple(r) for r in spans.lacking(has, wants, MINUTE).collect()]
+        assert slots(rows) == slots(asked) - slots(covered) and sum((b - a) // MINUTE + 1 for _, _, a, b in rows) == len(slots(rows))
+        assert all((s, a - MINUTE) not in slots(rows) for s, _, a, b in rows)
+        assert slots(tuple(r) for r in spans.merged(has, MINUTE).collect()) == slots(covered)
+    old = spark.createDataFrame([("A", "1m", 10, 20, 2), ("A", "1m", 40, 50, 1), ("B", "1m", 0, 9, 5)], spans.SPANS)
+    new = spark.createDataFrame([("A", "1m", 12, 15), ("A", "1m", 21, 45), ("A", "1m", 60, 70), ("B", "1m", 5, 20)], spans.SPAN)
+    assert sorted((r.symbol, r.start_ms, r.tries) for r in spans.tried(new, old).collect()) == [("A", 12, 3), ("A", 21, 2), ("A", 60, 1), ("B", 5, 6)]
+
+
+def test_limiter_waits_once(monkeypatch):
+    rng, clock, spent = random.Random(4), [0.0], []
+
+    def sleep(s):
+        assert s > 0
+        clock[0] += s
+
+    limiter = WeightLimiter(10, lambda: clock[0], sleep)
+    for _ in range(4000):
+        clock[0] += rng.random() * 4
+        w = rng.randrange(1, 11)
+        before = clock[0]
+        limiter.acquire(w)
+        spent.append((clock[0], w))
+        assert sum(x for t, x in spent[-50:] if t > clock[0] - 60 + 1e-6) <= 10
+        if clock[0] > before:  # a moment earlier it would not have fitted
+            assert sum(x for t, x in spent[-50:-1] if t > clock[0] - 60 - 1e-6) + w > 10
+    assert len(limiter.times) < 2000
+    limiter.acquire(50)  # more than all: it waits until nothing else is there
+    assert clock[0] >= spent[-1][0] + 60 - 1e-6
 
 
 def test_marks_of_a_stream_do_not_jump_gaps(spark, tmp_path):
