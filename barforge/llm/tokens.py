@@ -13,6 +13,7 @@ index. What a worker remembers is bounded by MOST_CHUNKS and forgotten beyond.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import re
@@ -40,8 +41,11 @@ ODD_SPACE = (
 PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
-# Fixed value: how this kind of vocabulary cuts a text into pre-tokens.
-PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# This kind of vocabulary cuts a text into these endings behind an apostrophe, runs of
+# letters, single digits, and runs of anything else but white space.
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+#: White space and what lies between it, as the tokenizers see it.
+PIECE = regex.compile(r"(\p{White_Space}+)|\P{White_Space}+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -64,6 +68,8 @@ class ChunkEncoder:
         self.path = path
         self.merges: PrefixMerges | None = None
         self.tables: dict[str, list[int]] = {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not t.normalized]
+        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         self.forget()
 
     def forget(self) -> None:
@@ -220,36 +226,140 @@ class ChunkEncoder:
         return table
 
     def _prefix_table(self, chunk: str) -> list[int]:
-        whole = len(self.library(chunk))
-        lower = [c.lower() for c in chunk]
-        # each character has to be spelled by itself, and none to be special
-        if unicodedata.is_normalized("NFC", chunk) and "<|" not in chunk and not any(c.isspace() for c in chunk):
-            if self.merges is None:
-                with open(self.path, encoding="utf-8") as f:
-                    self.merges = PrefixMerges(json.load(f)["model"])
-            ends = list(itertools.accumulate(map(len, lower), initial=0))
-            text, at, out = "".join(lower), 0, [0] * (len(chunk) + 1)
-            before = {0: 0}
-            for m in PRE_TOKEN.finditer(text):
-                own = self._piece_counts(m[0])
-                if m.start() not in before:
-                    break
-                before[m.end()] = before[m.start()] + own[-1]
-                while at < len(ends) and ends[at] <= m.end():
-                    if ends[at] > m.start():
-                        out[at] = before[m.start()] + own[ends[at] - m.start()]
-                    at += 1
-            if at == len(ends) and out[-1] == whole:
+        """Special strings are tokens by themselves; what lies between them is read piece by piece."""
+        out, base, at = [0], 0, 0
+        for m in [*self.special.finditer(chunk), None]:
+            # prefixes that end inside a special string have its characters as ordinary ones
+            end, upto = (m.start(), m.end() - 1) if m else (len(chunk), len(chunk))
+            own = self._plain_table(chunk[at:upto])
+            out += [base + n for n in own[1:]]
+            if m:
+                base += own[end - at] + 1
+                out.append(base)
+                at = m.end()
+        return out
+
+    def _plain_table(self, text: str) -> list[int]:
+        out, base = [0], 0
+        for m in PIECE.finditer(text):
+            own = [0] * (len(m[0]) + 1) if m[1] else self._piece_table(m[0])
+            out += [base + n for n in own[1:]]
+            base += own[-1]
+        return out
+
+    def _piece_table(self, piece: str) -> list[int]:
+        """Tokens of each prefix of a text without white space and special strings.
+
+        Should the program not come to the library's count, the library counts the prefixes
+        of this piece, one by one; none is known for which that is so.
+        """
+        if self.merges is None:
+            with open(self.path, encoding="utf-8") as f:
+                self.merges = PrefixMerges(json.load(f)["model"])
+        whole = len(self.library(piece))
+        try:
+            out = PieceCounts(self).table(piece)
+            if out[-1] == whole:
                 return out
-        return [0] + [len(self.library(chunk[:i])) for i in range(1, len(chunk))] + [whole] * bool(chunk)
+        except ValueError:  # a letter that the vocabulary lacks
+            pass
+        return [0] + [len(self.library(piece[:i])) for i in range(1, len(piece))] + [whole]
+
+
+@functools.cache
+def joins_before() -> frozenset[str]:
+    """Characters that are no combining marks and yet compose with what comes before them."""
+    out = {chr(c) for c in [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]}  # vowels and finals of syllable blocks
+    for c in range(0x110000):
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and not parts[0].startswith("<") and not unicodedata.combining(chr(int(parts[1], 16))):
+            out.add(chr(int(parts[1], 16)))
+    return frozenset(out)
 
-    def _piece_counts(self, piece: str) -> list[int]:
-        """Tokens of each prefix, in characters, of a pre-token; a contraction's are pre-tokens of their own."""
-        if piece[0] == "'" and piece[-1].isalpha():
-            return [0] + [sum(self._piece_counts(x)[-1] for x in (["'", piece[1:i]] if i > 1 else ["'"])) for i in range(1, len(piece))] + [len(self._word(piece))]
-        raw = [len(c.encode()) for c in piece]
-        counts = self.merges.counts(piece.encode().decode("latin-1").translate(LETTERS))
-        return [counts[i] for i in itertools.accumulate(raw, initial=0)]
+
+class PieceCounts:
+    """The pre-tokens of a piece while its characters come one after the other.
+
+    Characters that normalisation may turn into others together form a cluster; a prefix that
+    ends inside one has its characters so far normalised by themselves, which is tried on
+    top of what came before and taken back. What came before is never read again, but for an
+    apostrophe and one letter that the next letter may make an ending of.
+    """
+
+    def __init__(self, encoder: ChunkEncoder) -> None:
+        self.encoder, self.merges = encoder, encoder.merges
+        self.done, self.kind, self.walk = 0, "", None  # tokens of closed pre-tokens; kind and walk of the open one
+        self.text, self.before = "", None  # the open one's first two characters; tokens before an apostrophe that may begin an ending
+
+    def state(self) -> tuple:
+        return self.done, self.kind, self.walk, len(self.walk.last) if self.walk else 0, self.text, self.before
+
+    def back(self, state: tuple) -> None:
+        self.done, self.kind, self.walk, n, self.text, self.before = state
+        if self.walk:
+            self.walk.cut(n)
+
+    def count(self) -> int:
+        return self.done + (self.walk.ends() if self.walk else 0)
+
+    def _close(self) -> None:
+        self.done, self.kind, self.walk, self.text = self.count(), "", None, ""
+
+    def add(self, c: str) -> None:
+        kind = {"L": "L", "N": "N"}.get(unicodedata.category(c)[0], "S")
+        if kind == "L" and self.before is not None and self.kind == "L" and len(self.text) == 1 and self.text + c in ENDINGS:
+            self.done = self.before + len(self.encoder._word("'" + self.text + c))
+            self.kind, self.walk, self.text, self.before = "", None, "", None
+            return
+        if kind == "L" and self.kind == "S" and self.text == "'":
+            before = self.done
+            if c in ENDINGS:
+                self.done = before + len(self.encoder._word("'" + c))
+                self.kind, self.walk, self.text, self.before = "", None, "", None
+                return
+            self._close()
+            self.before = before
+        elif kind != "L" or self.kind != "L" or len(self.text) > 1:
+            self.before = None
+        if kind != self.kind or kind == "N":
+            self._close()
+            self.kind, self.walk = kind, PrefixWalk(self.merges)
+        if len(self.text) < 2:
+            self.text += c
+        for b in c.encode():
+            self.walk.push(LETTERS[b])
+
+    def feed(self, cluster: str) -> None:
+        for c in unicodedata.normalize("NFC", cluster):
+            for x in c.lower():
+                self.add(x)
+
+    def table(self, piece: str) -> list[int]:
+        out, joins, n = [0], joins_before(), len(piece)
+        at = run = same = 0
+        while at < n:
+            if at >= run:  # marks up to run belong to this character, those from same on are of one class
+                run = at + 1
+                while run < n and (unicodedata.combining(piece[run]) or piece[run] in joins):
+                    run += 1
+                same = run - 1
+                while same > at and unicodedata.combining(piece[same - 1]) == unicodedata.combining(piece[run - 1]) > 0:
+                    same -= 1
+            end = run
+            for i in range(max(same, at) + 1, run):
+                # behind a mark that stays as it is, others of its class can change nothing
+                if unicodedata.combining(piece[i - 1]) and unicodedata.normalize("NFC", piece[at:i])[-1] == piece[i - 1]:
+                    end = i
+                    break
+            before = self.state()
+            for i in range(at + 1, end):
+                self.feed(piece[at:i])
+                out.append(self.count())
+                self.back(before)
+            self.feed(piece[at:end])
+            out.append(self.count())
+            at = end
+        return out
 
 
 class PrefixMerges:
@@ -267,7 +377,12 @@ class PrefixMerges:
         self.end = model.get("end_of_word_suffix") or ""
         made = {a + b for a, b in self.rank}
         self.tokens = {t for t in model["vocab"] if t in made or len(t.removesuffix(self.end) or t) == 1}
-        self.longest = max(map(len, self.tokens))
+        #: The letters of the longest token that ends with a letter, or with a letter and the end mark.
+        self.reach: dict[str, int] = {}
+        for t in self.tokens:
+            body = t.removesuffix(self.end) or t
+            last = body[-1] + t[len(body) :]
+            self.reach[last] = max(self.reach.get(last, 0), len(body))
         self.follows: dict[tuple[str, str], bool] = {}
 
     def symbols(self, token: str) -> list[str]:
@@ -295,23 +410,37 @@ class PrefixMerges:
             self.follows[before, token] = known
         return known
 
-    def counts(self, word: str) -> list[int]:
-        """Tokens of each prefix of ``word``, in the letters of the vocabulary, the empty one first."""
-        last, count, out = [""], [0], [0]  # of prefixes that go on; tokens of prefixes that end there
-        for i in range(1, len(word) + 1):
-            for table, suffix in ((None, self.end), (last, "")):
-                for j in range(max(0, i - self.longest), i):
-                    token = word[j:i] + suffix
-                    if token in self.tokens and self.may_follow(last[j], token):
-                        if table is None:
-                            out.append(count[j] + 1)
-                        else:
-                            last.append(token)
-                            count.append(count[j] + 1)
-                        break
-                else:
-                    raise ValueError(f"{word!r} has letters that the vocabulary lacks")
-        return out
+
+class PrefixWalk:
+    """The prefixes of one pre-token, letter by letter: which token ends each that goes on, and its count."""
+
+    def __init__(self, merges: PrefixMerges) -> None:
+        self.merges, self.letters, self.last, self.count = merges, [], [""], [0]
+
+    def _found(self, suffix: str) -> tuple[str, int]:
+        """(token, count) at the end of what has come, the token with ``suffix``."""
+        m, i = self.merges, len(self.letters)
+        low = max(0, i - m.reach.get(self.letters[-1] + suffix, 0))
+        tail = "".join(self.letters[low:])
+        for j in range(low, i):
+            token = tail[j - low :] + suffix
+            if token in m.tokens and m.may_follow(self.last[j], token):
+                return token, self.count[j] + 1
+        raise ValueError(f"{self.letters[-1]!r} is a letter that the vocabulary lacks")
+
+    def push(self, letter: str) -> None:
+        self.letters.append(letter)
+        token, count = self._found("")
+        self.last.append(token)
+        self.count.append(count)
+
+    def ends(self) -> int:
+        """Tokens if the pre-token ends here."""
+        return self._found(self.merges.end)[1] if self.letters else 0
+
+    def cut(self, n: int) -> None:
+        """Back to where ``last`` had ``n`` entries."""
+        del self.last[n:], self.count[n:], self.letters[n - 1 :]
 
 
 _encoders: dict[str, ChunkEncoder] = {}

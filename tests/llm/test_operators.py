@@ -1,6 +1,7 @@
 """The other training-data operators against brute force, round trips and edge cases."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -238,6 +239,31 @@ def test_counts_at_prefixes_of_chunks():
     assert len(calls) < 1.2 * len(known)  # one for each word, more only for odd spellings
 
 
+def test_prefixes_across_white_space_marks_and_special_strings():
+    """No prefix of a text is encoded again, whatever it is spelled with; long ones take no time to speak of."""
+    rng = random.Random(3)
+    own, whole = ChunkEncoder(WORD), Tokenizer.from_file(WORD)
+    count = lambda t: len(whole.encode(t, add_special_tokens=False).ids)
+    letters = [*"thereing'srvelmd's1.-<|", "e\u0301", "\u0301", "\u0327", "\u1ea1\u0307", "\u1100", "\u1161", "\u11a8", "\u3000", "\u00a0", "\u0085", "\x1c", "\u200b"]
+    letters += ["<|endoftext|>", "<|startoftext|>", "<|end", "日", "🙂", "İ", "Σ", "ß", "\u0bca", "ﬁ", "½", "Ω", "Å", "\u0323", "\u0315"]
+    plain, asked = own.library, []
+    own.library = lambda text: asked.append(text) or plain(text)
+    for _ in range(600):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 14)))
+        assert own.prefix_table(text) == [count(text[:i]) for i in range(len(text) + 1)], text
+    pieces = sum(map(len, asked))
+    assert pieces < 600 * 40
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    long = [han(20_000) + "\u3000" + han(20_000), "".join(rng.choice(["e\u0301", "a", "<|", "\u3000", "字", "x\u0323", "<|endoftext|>"]) for _ in range(20_000)), "a" + "\u0301" * 20_000]
+    for text in long:
+        asked.clear()
+        began = time.monotonic()
+        table = own.prefix_table(text)
+        assert time.monotonic() - began < 20 and sum(map(len, asked)) <= len(text)
+        for i in (0, 1, 57, len(text) // 3, len(text) // 2 + 1, len(text) - 1, len(text)):
+            assert table[i] == count(text[:i])
+
+
 def test_patience():
     rng = random.Random(4)
     for _ in range(200):
