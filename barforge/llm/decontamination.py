@@ -39,6 +39,9 @@ MOST_EDITS = 0.2
 BLOCK_BYTES = 4 << 20
 #: Anchors met that wait for each other, and windows walked at once, those of like reach together.
 HELD, WINDOWS = 1 << 15, 2048
+#: Reach up to which windows are laid out in memory; longer ones are walked in the text itself, and
+#: of what the walks write so many steps are held at once.
+LAID_OUT, STEPS_HELD = 2048, 1024
 #: Bytes of stretches that are compared with their items at once.
 GRID = 1 << 21
 EDGES = string.punctuation + string.whitespace + "«»“”„‘’…–—¿¡"
@@ -237,6 +240,35 @@ class Items:
             out[:, walk] = written[places[:, walk], row[:, None, None]]
         return out
 
+    def walked(self, data: np.ndarray, place: np.ndarray, target: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """As ``sampled`` of ``windows``, for windows of any reach: nothing of a window's size is held."""
+        n, row = len(place), np.arange(len(place))
+        back, reach = self.backward[target], self.reach[target]
+        start = np.where(back, place + self.size[target] - 1, place)
+        ahead = np.where(back, -1, 1)
+        most = np.minimum(reach, np.where(back, start - low + 1, high - start))
+        text, stop = np.append(data, np.uint8(0)), len(data)
+        places = (self.shares[None] * (2 * reach)[:, None, None, None]).astype(np.int32)
+        out = np.empty((n, WALKS, BANDS, SAMPLED), np.uint8)
+        moves, walk = self.moves.reshape(-1), (np.arange(WALKS) * STEPS * 256)[:, None]
+        gone = np.zeros((WALKS, n), np.int64)
+        written = np.empty((STEPS_HELD, WALKS, n), np.uint8)
+        steps = 2 * int(reach.max())
+        for first in range(0, steps, STEPS_HELD):
+            held = min(STEPS_HELD, steps - first)
+            for j in range(held):
+                c = text.take(np.where(gone < most, start + ahead * gone, stop), out=written[j])
+                gone += moves.take(walk + (((first + j) % STEPS) * 256 + c.astype(np.int64)))
+            now = np.nonzero((places >= first) & (places < first + held))
+            out[now] = written[places[now] - first, now[1], row[now[0]]]
+        return out
+
+    def marks(self, data: np.ndarray, place: np.ndarray, target: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """What the walks of windows from anchors at ``place`` have where their bands sample."""
+        if self.reach[target].max() > LAID_OUT:
+            return self.walked(data, place, target, low, high)
+        return self.sampled(self.windows(data, place, target, low, high), target)
+
     def candidates(self, data: np.ndarray, place: np.ndarray, target: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Which windows agree with their item's own in all sampled places of some band."""
         out = np.zeros(len(place), bool)
@@ -246,8 +278,8 @@ class Items:
             distinct, known = np.unique(target[own], return_inverse=True)
             items = self.item[distinct]
             there = self.begin[items] + self.offset[distinct]
-            want = self.sampled(self.windows(self.data, there, distinct, self.begin[items], self.begin[items + 1]), distinct)
-            found = self.sampled(self.windows(data, place[own], target[own], low[own], high[own]), target[own])
+            want = self.marks(self.data, there, distinct, self.begin[items], self.begin[items + 1])
+            found = self.marks(data, place[own], target[own], low[own], high[own])
             out[own] = (found == want[known]).all(axis=3).any(axis=(1, 2))
         return out
 
@@ -272,7 +304,13 @@ class Items:
 
     def verified(self, data: np.ndarray, found: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
         """(text, item, distance) of those stretches that hold their item."""
-        found = sorted(found, key=lambda x: x[3] - x[2])
+        rest = []
+        for d, k, a, b in found:
+            if data[a:b].tobytes().find(self.texts[k].encode()) >= 0:
+                yield d, k, 0
+            else:
+                rest.append((d, k, a, b))
+        found = sorted(rest, key=lambda x: x[3] - x[2])
         while found:
             # the longest is as long as the shortest and a quarter more, and all together not above GRID
             longest = 5 * (found[0][3] - found[0][2]) // 4 + 64
@@ -282,7 +320,7 @@ class Items:
             least = least_distances([self.texts[k] for _, k, _, _ in part], texts)
             for (d, k, _, _), text, n in zip(part, texts, least.tolist(), strict=True):
                 most = self.most_edits * len(self.texts[k])
-                if n <= most and (exact := 0 if self.texts[k] in text else infix_distance(self.texts[k], text)) <= most:
+                if n <= most and (exact := infix_distance(self.texts[k], text)) <= most:
                     yield d, k, exact
 
     def scan(self, texts: pa.Array) -> list[dict[int, int]]:
