@@ -20,6 +20,10 @@ TEMPLATES = {
     "CC-BY-4.0": "Licensed under CC BY 4.0",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "MIT": "Released under the MIT License",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
@@ -41,6 +45,30 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty.",
 }
 
+# Words that tell a license from others of like wording. Those before the bar have to
+# be matched, where the template first has them; those behind it may not stand in the notice.
+TELLING = {
+    "Apache-2.0": "apache 2 0 |",
+    "CC-BY-4.0": "cc by 4 0 | nc sa nd",
+    "CC-BY-NC-4.0": "cc by nc 4 0 | sa nd",
+    "CC-BY-SA-4.0": "cc by sa 4 0 | nc nd",
+    "CC-BY-ND-4.0": "cc by nd 4 0 | nc sa",
+    "CC-BY-NC-SA-4.0": "cc by nc sa 4 0 | nd",
+    "CC-BY-NC-ND-4.0": "cc by nc nd 4 0 | sa",
+    "GPL-2.0": "general public 2 | lesser library affero",
+    "GPL-3.0": "general public 3 | lesser library affero",
+    "MIT": "mit |",
+    "Apache-2.0-notice": "apache 2 0 |",
+    "GPL-2.0-text": "general public 2 | lesser affero",
+    "GPL-3.0-text": "general public 3 | lesser affero",
+    "LGPL-2.1-text": "lesser 2 1 | affero",
+    "LGPL-3.0-text": "lesser 3 | affero",
+    "AGPL-3.0-text": "affero 3 | lesser",
+    "MPL-2.0": "mozilla 2 0 |",
+    "EPL-2.0": "eclipse 2 0 |",
+    "BSL-1.0": "boost 1 0 |",
+}
+
 COVERAGE = 0.8
 #: ASCII alone, so that Python and the JVM's pattern agree on what a word is.
 TOKEN = re.compile(r"[A-Za-z0-9]+")
@@ -116,24 +144,26 @@ def needed_words(template: list[str], coverage: float) -> set[str]:
 
 
 class Template:
-    """A template's words, those of them that no notice can lack entirely, and their places."""
+    """A template's words, those that no notice can lack entirely with their places, and those that tell it from others."""
 
-    def __init__(self, words: list[str], coverage: float) -> None:
+    def __init__(self, words: list[str], coverage: float, telling: str = "|") -> None:
         self.words, self.least = words, coverage * len(words) - 1e-9
         self.slack = max(2, len(words) // 5)
         self.places: dict[str, list[int]] = {w: [] for w in needed_words(words, coverage)}
         for j, w in enumerate(words):
             if w in self.places:
                 self.places[w].append(j)
+        must, foreign = telling.split("|")
+        self.must, self.foreign = {words.index(w) for w in must.split()}, set(foreign.split())
 
-    def best(self, words: list[str], places: dict[str, list[int]]) -> tuple[int, int, int] | None:
-        """(matched words, first word, end word) of the best alignment, the first of equal ones.
+    def found(self, words: list[str], places: dict[str, list[int]]) -> set[tuple[int, int, int]]:
+        """(matched words, first word, end word) of every alignment that covers enough and is told from others.
 
         A needed word says where the notice would begin if nothing was edited before it. From
         there windows of the template's size are aligned, with and without some words more to
         either side; a notice next to another like it is not unique in the wider one.
         """
-        n, best, last = len(self.words), None, None
+        n, out, last = len(self.words), set(), None
         for s in sorted({i - j for w, own in self.places.items() for i in places.get(w, ()) for j in own}):
             if last is not None and s - last <= self.slack // 2:
                 continue
@@ -141,40 +171,60 @@ class Template:
             for more in (0, self.slack + self.slack // 2):
                 low, high = max(0, s - more), min(len(words), s + n + more)
                 pairs = patience(words[low:high], self.words) if low < high else []
-                if len(pairs) >= self.least:
-                    got = len(pairs), -(low + pairs[0][0]), low + pairs[-1][0] + 1
-                    best = max(best, got) if best else got
-        return (best[0], -best[1], best[2]) if best else None
+                if len(pairs) >= self.least and self.must <= {j for _, j in pairs}:
+                    first, end = low + pairs[0][0], low + pairs[-1][0] + 1
+                    if self.foreign.isdisjoint(words[first:end]):
+                        out.add((len(pairs), first, end))
+        return out
+
+
+Notice = tuple[str, float, int, int, int]
 
 
-def notices(text: str, templates: dict[str, Template]) -> list[tuple[str, float, int, int, int]]:
-    """(license, coverage, matched words, first word, end word) of each template in ``text``."""
-    words, out = words_of(text), []
+def settled(found: list[Notice]) -> list[Notice]:
+    """Of notices that overlap, that with more words: "CC BY-NC 4.0" is no "CC BY 4.0". Ties go to the
+    greater coverage, the shorter stretch, the first name, the first place."""
+    kept: list[Notice] = []
+    firsts: list[int] = []
+    for x in sorted(found, key=lambda x: (-x[2], -x[1], x[4] - x[3], x[0], x[3])):
+        k = bisect_left(firsts, x[4])  # those that begin before it ends
+        if k == 0 or kept[k - 1][4] <= x[3]:
+            firsts.insert(k, x[3])
+            kept.insert(k, x)
+    return kept
+
+
+def notices(text: str, templates: dict[str, Template]) -> list[Notice]:
+    """(license, coverage, matched words, first word, end word) of all notices in ``text``, in order."""
+    words = words_of(text)
     places: dict[str, list[int]] = {}
     for i, w in enumerate(words):
         places.setdefault(w, []).append(i)
-    for name, template in templates.items():
-        if found := template.best(words, places):
-            out.append((name, round(found[0] / len(template.words), 6), *found))
-    # of notices that overlap, the one with more words counts: "CC BY-NC 4.0" is no "CC BY 4.0"
-    out.sort(key=lambda x: (-x[2], -x[1], x[0]))
-    kept: list[tuple[str, float, int, int, int]] = []
-    for x in out:
-        if all(x[4] <= y[3] or y[4] <= x[3] for y in kept):
-            kept.append(x)
-    return sorted(kept, key=lambda x: x[3])
+    return settled([(name, round(x[0] / len(t.words), 6), *x) for name, t in templates.items() for x in t.found(words, places)])
+
+
+def by_license(found: list[Notice]) -> list[tuple]:
+    """The best notice of each license, the first of equal ones, with how many there are."""
+    best: dict[str, Notice] = {}
+    for x in found:
+        if x[0] not in best or x[2] > best[x[0]][2]:
+            best[x[0]] = x
+    count = Counter(x[0] for x in found)
+    return [(*x, count[x[0]]) for x in sorted(best.values(), key=lambda x: x[3])]
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """Templates that a document's text covers to at least ``coverage``.
 
-    docs: doc_id, text; other columns are ignored. Returns a row for each input row and
-    license found: doc_id, license, coverage (matched share of the template's words),
-    matched, first_word, end_word (of the text's words, runs of a-z and 0-9 after
-    lower-casing). Null, empty and other texts without a notice give no rows, nor does an
+    docs: doc_id, text; other columns are ignored. All places of all templates are settled
+    against each other where they overlap. Returns a row for each input row and license
+    found: doc_id, license, coverage (matched share of the template's words), matched,
+    first_word, end_word (of the text's words, runs of a-z and 0-9 after lower-casing) of its
+    best notice, and notices, how many there are. Versions and kinds have to match (TELLING);
+    a notice of a license that no template has gives no row rather than another's. Null, empty and other texts without a notice give no rows, nor does an
     empty table; repeated rows give repeated rows.
     """
-    chosen = {k: Template(w, coverage) for k, w in ((k, words_of(t)) for k, t in (templates or TEMPLATES).items()) if w}
+    chosen = {k: Template(w, coverage, "|" if templates else TELLING.get(k, "|")) for k, w in ((k, words_of(t)) for k, t in (templates or TEMPLATES).items()) if w}
     # no text without any of these words reaches the coverage of any template
     any_word = "|".join(sorted({w for t in chosen.values() for w in t.places}))
     pattern = f"(?:^|[^A-Za-z0-9])(?:{any_word})(?:[^A-Za-z0-9]|$)"
@@ -184,10 +234,10 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, cover
             for low, high in slices(whole["text"]):
                 batch = whole.slice(low, high - low)
                 batch = batch.filter(pc.match_substring_regex(batch["text"], pattern, ignore_case=True))
-                rows = [(doc, *x) for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) for x in notices(text, chosen)]
+                rows = [(doc, *x) for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) for x in by_license(notices(text, chosen))]
                 if rows:
-                    kinds = pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32()
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "license", "coverage", "matched", "first_word", "end_word"])
+                    kinds = pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "license", "coverage", "matched", "first_word", "end_word", "notices"])
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").filter(F.col("text").isNotNull())
-    return rows.mapInArrow(freeing(scanned), "doc_id long, license string, coverage double, matched int, first_word int, end_word int")
+    return rows.mapInArrow(freeing(scanned), "doc_id long, license string, coverage double, matched int, first_word int, end_word int, notices int")

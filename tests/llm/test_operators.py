@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from barforge.llm.decontamination import infix_distance, leaks, without_leaks
 from barforge.llm.kd_sharding import kd_shards
-from barforge.llm.license_scan import TEMPLATES, Template, license_scan, longest_increasing, notices, patience, words_of
+from barforge.llm.license_scan import TELLING, TEMPLATES, Template, by_license, license_scan, longest_increasing, notices, patience, words_of
 from barforge.llm.oracles import QUALITY
 from barforge.llm.packing import best_fit, pack
 from barforge.llm.quality_rules import keep_good, quality_rules
@@ -307,6 +307,41 @@ def test_notices_next_to_each_other():
     assert notices("nothing here", table) == []
 
 
+def test_licenses_that_are_told_apart():
+    table = {k: Template(words_of(t), 0.8, TELLING.get(k, "|")) for k, t in TEMPLATES.items()}
+    names = lambda text: [(x[0], x[5]) for x in by_license(notices(text, table))]
+    sa, by = "This is CC BY-SA 4.0 licensed work. Licensed under CC BY-SA 4.0.", "Other parts: Licensed under CC BY 4.0"
+    assert names(f"{sa} and then {by}") == [("CC-BY-SA-4.0", 1), ("CC-BY-4.0", 1)] and names(f"{by}. {sa}") == [("CC-BY-4.0", 1), ("CC-BY-SA-4.0", 1)]
+    assert names("Licensed under CC BY-ND 4.0") == [("CC-BY-ND-4.0", 1)]
+    for other in ("Licensed under CC BY-XX 3.0", "Released under the BSD License", "Licensed under CC BY 3.0", "Licensed under the Apache License, Version 1.1", "Licensed under CC BY-SA-ND 4.0"):
+        assert names(other) == [], other
+    assert names("This work is licensed under the GNU General Public License, version 2") == [("GPL-2.0", 1)]
+    assert names("This work is licensed under the GNU Lesser General Public License, version 3") == []
+    assert names("Licensed under CC BY 4.0. " * 3 + "Released under the MIT License") == [("CC-BY-4.0", 3), ("MIT", 1)]
+
+
+def test_notices_in_any_order_against_what_was_put_there():
+    rng = random.Random(19)
+    table = {k: Template(words_of(t), 0.8, TELLING.get(k, "|")) for k, t in TEMPLATES.items()}
+    for _ in range(120):
+        chosen, text = [rng.choice(list(TEMPLATES)) for _ in range(rng.randint(1, 5))], []
+        for name in chosen:
+            words = words_of(TEMPLATES[name])
+            loose = [i for i, w in enumerate(words) if w not in TELLING.get(name, "").split() and len(words) >= 8]
+            if loose and rng.random() < 0.5:
+                words[rng.choice(loose)] = "edited"
+            text += [*words, *["filler"] * rng.randint(0, 3)]
+        got = by_license(notices(" ".join(text), table))
+        assert {x[0]: x[5] for x in got} == Counter(chosen), (chosen, got)
+        # no other window of any template covers more than what is kept there
+        spans = [(x[3], x[4], x[2]) for x in notices(" ".join(text), table)]
+        for k, t in table.items():
+            for i in range(0, max(1, len(text) - len(t.words) + 1), 7):
+                n = lcs(text[i : i + len(t.words)], t.words)
+                if n >= t.least and n > max((m for a, b, m in spans if a < i + len(t.words) and i < b), default=0):
+                    assert not t.must <= {j for _, j in patience(text[i : i + len(t.words)], t.words)} or not t.foreign.isdisjoint(text[i : i + len(t.words)]), (k, i)
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
