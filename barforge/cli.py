@@ -33,7 +33,9 @@ def session() -> SparkSession:
 
 def _hot(spark: SparkSession, path: str | None, interval: str) -> DataFrame | None:
     """Streamed candles that wait for their way into the lake (see streaming.buffered)."""
-    return lake.scan(spark, path, interval) if path and lake.exists(spark, path) else None
+    from barforge.streaming.pipelines import hot_rows
+
+    return hot_rows(spark, path).filter(F.col("interval") == interval) if path and lake.exists(spark, path) else None
 
 
 def _source(spark: SparkSession, a: argparse.Namespace, interval: str) -> DataFrame:

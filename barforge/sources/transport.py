@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from importlib import import_module
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from barforge.functions.timeframes import day_of, day_start
 
@@ -235,6 +235,59 @@ class _MissingReader(DataSourceReader):
             yield symbol, interval, None, start, reached, error
 
 
+class ExchangeCandles(DataSource):
+    """Candles by pages, as a table: symbol, interval, open_time_ms, payload (the positional row).
+
+    Options: symbols (JSON list), interval, step_ms, start_ms, end_ms, limit, fetch, tasks, weight,
+    attempts, as for MissingCandles. With ``spark.sql.python.filterPushdown.enabled``, filters on
+    symbol and open_time_ms narrow down what is asked for: a read of three days of one symbol
+    asks for these. A range that cannot be fetched fails the read.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "exchange_candles"
+
+    def schema(self) -> str:
+        return "symbol string, interval string, open_time_ms long, payload string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _CandleReader(self.options)
+
+
+class _CandleReader(_MissingReader):
+    def __init__(self, options) -> None:
+        super().__init__(options)
+        self.symbols = json.loads(self.o["symbols"])
+        self.first, self.last = int(self.o["start_ms"]), int(self.o["end_ms"])
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        """Take what narrows symbols and open times; Spark applies the others, which are handed back."""
+        for f in filters:
+            at = getattr(f, "attribute", None)
+            if at == ("symbol",) and isinstance(f, EqualTo | In):
+                wanted = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.symbols = [s for s in self.symbols if s in wanted]
+            elif at == ("open_time_ms",) and isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual | LessThan | LessThanOrEqual):
+                if isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual):
+                    self.first = max(self.first, f.value + isinstance(f, GreaterThan))
+                if isinstance(f, EqualTo | LessThan | LessThanOrEqual):
+                    self.last = min(self.last, f.value - isinstance(f, LessThan))
+            else:
+                yield f
+
+    def partitions(self) -> list[InputPartition]:
+        plan = [(s, self.first, self.last) for s in self.symbols] if self.first <= self.last else []
+        return [_Ranges(plan[k :: self.tasks]) for k in range(min(self.tasks, len(plan)))] or [_Ranges([])]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        source = self._pages()
+        for symbol, start, end in partition.plan:
+            for rows, _ in source(symbol, start, end):
+                for row in rows:
+                    yield symbol, self.o["interval"], int(row[0]), json.dumps([str(x) for x in row])
+
+
 def stream_names(symbols: list[str], interval: str, per_connection: int = 200) -> list[str]:
     """Subscription paths, one for each connection."""
     if per_connection < 1:

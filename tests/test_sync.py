@@ -13,7 +13,7 @@ from barforge.operators import quality, spans
 from barforge.schema import STATE
 from barforge.sources import ingest, lake
 from barforge.sources.sync import Fetching, SyncFailed, Tables, fetched, read_spans, read_state, sync_missing, sync_recent
-from barforge.sources.transport import WeightLimiter
+from barforge.sources.transport import ExchangeCandles, WeightLimiter
 from barforge.streaming import pipelines
 from barforge.streaming.live import Live
 from barforge.streaming.receivers import Receiving
@@ -153,13 +153,56 @@ def test_hot_candles_wait_for_the_lake(spark, tmp_path):
     write = pipelines.buffered(pipelines.candle_sink(silver, MINUTE), hot, 3)
     batch = lambda *rows: ingest.stored(frame(spark, list(rows))).drop("seq").withColumns({"is_closed": F.lit(True), "event_time_ms": F.col("close_time_ms")})
     write(batch(candle("A", 0, 1.0), candle("A", 1, 1.0)), 0)
-    assert not lake.exists(spark, silver) and lake.scan(spark, hot, "1m").count() == 2
-    write(batch(candle("A", 1, 1.0)), 1)  # again: nothing new
-    assert lake.scan(spark, hot).count() == 2
+    assert not lake.exists(spark, silver) and pipelines.hot_rows(spark, hot).count() == 2
+    write(batch(candle("A", 1, 2.0)), 1)  # again: nothing new but its price
+    assert sorted(r.close for r in pipelines.hot_rows(spark, hot).collect()) == [1.0, 2.0]
+    # a batch has written its own row and no other
+    assert spark.read.parquet(f"{hot}/batch=1").count() == 1
     write(batch(candle("A", 2, 1.0)), 2)
     assert lake.scan(spark, silver).count() == 3 and not lake.exists(spark, hot)
 
 
+def test_hot_candles_of_another_run_go_first(spark, tmp_path):
+    silver, hot = f"{tmp_path}/silver", f"{tmp_path}/hot"
+    batch = lambda *rows: ingest.stored(frame(spark, list(rows))).drop("seq").withColumns({"is_closed": F.lit(True), "event_time_ms": F.col("close_time_ms")})
+    start = lambda: pipelines.buffered(pipelines.candle_sink(silver, MINUTE), hot, 100)
+    start()(batch(candle("A", 0, 1.0)), 0)
+    start()(batch(candle("A", 1, 1.0)), 0)  # a new run, whose numbers begin anew
+    assert [r.open_time_ms for r in lake.scan(spark, silver).collect()] == [START] and [r.open_time_ms for r in pipelines.hot_rows(spark, hot).collect()] == [START + MINUTE]
+
+
+def test_gaps_between_batches(spark, tmp_path):
+    silver, gaps = f"{tmp_path}/silver", f"{tmp_path}/gaps"
+    batch = lambda *rows: ingest.stored(frame(spark, list(rows))).drop("seq").withColumns({"is_closed": F.lit(True), "event_time_ms": F.col("close_time_ms")})
+    all_rows, sink = [], pipelines.candle_sink(silver, MINUTE, gap_report=gaps)
+    for n, rows in enumerate(([("A", 0), ("A", 2), ("B", 5)], [("A", 5), ("B", 6)], [("A", 6), ("B", 9), ("A", 3)], [("A", 1)])):
+        if n == 2:  # another run, which finds the last candles in the table
+            sink = pipelines.candle_sink(silver, MINUTE, gap_report=gaps)
+        own = [candle(s, k, 1.0) for s, k in rows]
+        all_rows += own
+        sink(batch(*own), n)
+        want = {(r.symbol, r.missing_open_time_ms) for r in quality.find_gaps(frame(spark, all_rows), MINUTE).collect()}
+        got = spark.read.schema("symbol string, missing_open_time_ms long").parquet(gaps).collect()
+        assert {(r.symbol, r.missing_open_time_ms) for r in got} == want and len(got) == len(want)
+
+
+def test_reads_ask_for_what_filters_leave(spark, calls):
+    spark.dataSource.register(ExchangeCandles)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        what = {"symbols": json.dumps(["A", "B", "C"]), "interval": "1m", "step_ms": MINUTE, "start_ms": START, "end_ms": START + 30 * DAY, "fetch": "exchange:page", "limit": 1000}
+        table = spark.read.format("exchange_candles").options(**what).load()
+        three = table.filter((F.col("symbol") == "B") & (F.col("open_time_ms") >= START + 2 * DAY) & (F.col("open_time_ms") < START + 5 * DAY))
+        assert three.count() == 3 * 1440
+        assert {x[1] for x in calls()} == {"B"} and min(x[2] for x in calls()) == START + 2 * DAY and {x[3] for x in calls()} == {START + 5 * DAY - 1}
+        n = len(calls())
+        some = table.filter(F.col("symbol").isin("A", "C", "Z") & (F.col("open_time_ms") == START + MINUTE) & F.col("payload").startswith("["))
+        assert sorted(r.symbol for r in ingest.parse_rows(some).collect()) == ["A", "C"] and len(calls()) == n + 2
+        assert table.filter("symbol = 'Z' or open_time_ms < 0").filter("open_time_ms > 5 and open_time_ms < 3").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
 def test_a_failing_symbol_leaves_the_others_marked(spark, tables, calls):
     names = [f"S{k:03}" for k in range(300)]
     names[299], tables.raw = "S299FAIL", None
