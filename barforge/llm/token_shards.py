@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -42,7 +43,10 @@ HEAD = struct.Struct("<II")
 BLOCK_BYTES = 256 << 10
 BITS_A_KEY, HASHES = 10, 7
 
-MANIFEST = "path string, shard int, first binary, docs long, ids long, bytes long"
+#: Ranges that documents are dealt out by, at the most: at 100 TB they hold five GB each.
+MOST_RANGES = 20_000
+
+MANIFEST = "path string, shard long, first binary, docs long, ids long, bytes long"
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -171,34 +175,45 @@ class ShardReader:
 def write_shards(docs: DataFrame, path: str, end_id: int = 0, shard_bytes: int = 32 << 20) -> DataFrame:
     """Encode whole texts and write them as shards in doc_id order; returns the manifest.
 
-    Shards are ranges of doc_id, and of a hash of the text where a doc_id repeats, of about
-    ``shard_bytes`` of text, each written by one task that streams its sorted rows. A task that runs again writes another file; the manifest,
-    itself a written table, names those that count.
+    Rows are dealt out by ranges of doc_id, and of a hash of the text where a doc_id repeats, of
+    about ``shard_bytes`` of text but no more than MOST_RANGES, as the bounds of ranges are known
+    to the driver and every task. A task streams its sorted rows and begins another shard
+    whenever one has met twice ``shard_bytes``. A task that runs again writes other files; the
+    manifest, itself a written table, names those that count.
     """
     spark = docs.sparkSession
     folder = fresh_path(spark, "shards")
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // shard_bytes))
+    parts = max(1, min(MOST_RANGES, -(-total // shard_bytes)))
     end = np.array([end_id], np.uint32)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, out, first, shard = encoder(path), None, None, TaskContext.get().partitionId()
-        width = 2 if table.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        name = f"{folder}/{shard:06d}-{uuid.uuid4().hex}.sst"
+        table, out, first, shard = encoder(path), None, None, TaskContext.get().partitionId() << 20
+        width, held, name = 2 if table.tokenizer.get_vocab_size() <= 1 << 16 else 4, 0, ""
+
+        def closed() -> pa.RecordBatch:
+            out.close()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([shard], pa.int64()), pa.array([first], pa.binary()), pa.array([len(out.keys)], pa.int64()), pa.array([out.ids], pa.int64()), pa.array([out.offset], pa.int64())],
+                names=[c.split()[0] for c in MANIFEST.split(", ")],
+            )
+
         for whole in batches:
             for low, high in slices(whole["text"], 2 << 20):
                 batch = whole.slice(low, high - low)
-                for doc, ids in zip(batch["doc_id"].to_pylist(), table.encode(batch["text"]), strict=True):
+                sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist()
+                for doc, size, ids in zip(batch["doc_id"].to_pylist(), sizes, table.encode(batch["text"]), strict=True):
+                    if out is not None and held >= 2 * shard_bytes:
+                        yield closed()
+                        out, shard = None, shard + 1
                     if out is None:
-                        out, first = ShardWriter(name, width), key_of(doc)
+                        name = f"{folder}/{shard:012d}-{uuid.uuid4().hex}.sst"
+                        out, first, held = ShardWriter(name, width), key_of(doc), 0
                     out.add(doc, np.concatenate((ids, end)))
+                    held += size
         if out is not None:
-            out.close()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([shard], pa.int32()), pa.array([first], pa.binary()), pa.array([len(out.keys)], pa.int64()), pa.array([out.ids], pa.int64()), pa.array([out.offset], pa.int64())],
-                names=[c.split()[0] for c in MANIFEST.split(", ")],
-            )
+            yield closed()
 
     order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()
     ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)

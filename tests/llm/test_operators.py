@@ -173,7 +173,7 @@ def test_every_capacity_binds():
             assert sorted(offsets[bins == b].tolist()) == sorted(set(offsets[bins == b].tolist()))
 
 
-def test_shards(spark, tmp_path):
+def test_shards(spark, tmp_path, monkeypatch):
     texts = [*odd_texts(200), "", None, "no id"]
     rows = docs(spark, texts).unionAll(docs(spark, ["repeated"]))
     whole = Tokenizer.from_file(BYTE)
@@ -190,6 +190,12 @@ def test_shards(spark, tmp_path):
             own = ids(texts[r.doc_id])
             assert (r.n_tokens, r.ids_crc32) == (len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
     assert read_shards(write_shards(rows.limit(0), BYTE, 0)).collect() == []
+    # few ranges of many shards each: the same rows in the same places
+    monkeypatch.setattr("barforge.llm.token_shards.MOST_RANGES", 2)
+    small = write_shards(rows, BYTE, 0, shard_bytes=500)
+    shards = sorted(small.collect(), key=lambda r: r.shard)
+    assert len(shards) > 6 and len({r.shard >> 20 for r in shards}) == 2 and [r.first for r in shards] == sorted(r.first for r in shards)
+    assert sorted(read_shards(small).collect(), key=lambda r: r.start) == got
     path = f"{tmp_path}/one.sst"
     out = ShardWriter(path)
     keys = [None, -(1 << 63), -5, 0, 7, 7, 300, 1 << 40]
