@@ -14,7 +14,7 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.functions.timeframes import interval_ms, source_interval
+from barforge.functions.timeframes import interval_ms, source_interval, timeframe_ms
 from barforge.operators import backtest, features, signals, strength
 from barforge.sources import ingest, lake, presets
 from barforge.sources.sync import Fetching, Tables, read_state, sync_missing, sync_recent
@@ -117,7 +117,10 @@ def _board(spark, a, p: presets.Preset | None, tf: str) -> None:
         rows = strength.source_tail(rows, tf, interval, tail, warmup)
     top, lookback = (p.liquidity_top_n, p.liquidity_lookback_bars) if p else (a.liquidity_top_n, a.liquidity_lookback_bars)
     gap, most = (p.max_abs_gap_atr, p.max_ret) if p else (a.max_abs_gap_atr, a.max_ret)
-    print(tf, lake.write_table(strength.strength_frame(rows, tf, a.benchmark, gap, most, interval, tail, top, lookback), f"{a.boards}/tf={tf}"))
+    at = lake.scratch(spark)
+    strength.resample(rows, timeframe_ms(tf), takers=False, counted="bar_count").write.parquet(at)
+    print(tf, lake.write_table(strength.board(spark.read.parquet(at), tf, a.benchmark, gap, most, interval, tail, top, lookback), f"{a.boards}/tf={tf}"))
+    lake.remove(spark, at)
 
 
 def build_strength(spark, a):

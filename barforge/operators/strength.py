@@ -133,8 +133,20 @@ def strength_frame(
     candles: DataFrame, tf: str, benchmark: str = "BTCUSDT", max_abs_gap_atr: float = 2.5, max_ret: float | None = None, source: str | None = None,
     tail_bars: int | None = None, liquidity_top: int | None = None, liquidity_lookback_bars: int = 20,
 ) -> DataFrame:
-    """The board of one timeframe: the universe is cut before factors, the tail after ranks."""
+    """The board of one timeframe, from its candles (see board)."""
     bars = resample(candles, timeframe_ms(tf), takers=False, counted="bar_count")
+    return board(bars, tf, benchmark, max_abs_gap_atr, max_ret, source, tail_bars, liquidity_top, liquidity_lookback_bars)
+
+
+def board(
+    bars: DataFrame, tf: str, benchmark: str = "BTCUSDT", max_abs_gap_atr: float = 2.5, max_ret: float | None = None, source: str | None = None,
+    tail_bars: int | None = None, liquidity_top: int | None = None, liquidity_lookback_bars: int = 20,
+) -> DataFrame:
+    """The board of one timeframe: the universe is cut before factors, the tail after ranks.
+
+    With a universe or a tail ``bars`` are read several times: a caller with many candles
+    stores them first.
+    """
     if liquidity_top is not None:
         bars = liquid_universe(bars, benchmark, liquidity_top, liquidity_lookback_bars)
     joined = against_benchmark(symbol_factors(bars), benchmark).withColumns({"tf": F.lit(tf), "source_interval": F.lit(source or source_interval(tf))})

@@ -242,11 +242,11 @@ def strength_scores(spark, sf_dir):
 
 def strength_board(spark, sf_dir):
     shown = "symbol", "ts_ms", "tf", "source_interval", "close", "bar_count", "rs_ret", "rs_gap", "rs_slope", "is_overheated", "strong_rank", "weak_rank"
-    return rounded(strength.strength_frame(days(spark, sf_dir), TF, BENCHMARK, GAP, 1.0, "1d", tail_bars=30, liquidity_top=8), *shown)
+    return rounded(strength.board(kept(weeks(spark, sf_dir)), TF, BENCHMARK, GAP, 1.0, "1d", tail_bars=30, liquidity_top=8), *shown)
 
 
 def liquidity_universe(spark, sf_dir):
-    return rounded(strength.liquid_universe(weeks(spark, sf_dir), BENCHMARK, 5, 20).drop("ts"))
+    return rounded(strength.liquid_universe(kept(weeks(spark, sf_dir)), BENCHMARK, 5, 20).drop("ts"))
 
 
 def source_tail(spark, sf_dir):

@@ -135,15 +135,16 @@ def _schema(root: str, folder: str, places: DataFrame, parts: list[str]) -> T.St
     return T.StructType([f if f.name not in parts else places.schema[f.name] for f in found])
 
 
-def stored_in(root: str, places: DataFrame, parts: list[str], schema=None) -> tuple[DataFrame, list[dict] | None]:
-    """(rows of the table at ``root`` in the partitions that ``places`` touch, those partitions).
+def stored_in(root: str, places: DataFrame, parts: list[str], touched: list[dict] | None, schema=None) -> tuple[DataFrame, list[dict] | None]:
+    """(rows of the table at ``root`` in the partitions that ``places`` touch, those that are there).
+
+    touched: what ``named`` says of ``places``.
 
     Up to MOST_NAMED partitions are opened by name: no other is listed or read, however many
     the table has. A batch that touches more is a load of the table itself; it reads what the
     ranges of its partition values leave, and the partitions are None.
     """
     spark = places.sparkSession
-    touched = named(places, parts)
     if touched is None:
         ends = places.agg(*(f(c).alias(f"{n}_{c}") for c in parts for n, f in (("low", F.min), ("high", F.max)))).first()
         rows = spark.read.schema(schema or _schema(root, root, places, parts)).parquet(root)
@@ -177,10 +178,11 @@ def upsert(rows: DataFrame, root: str, sequence: str | None = None, key: list[st
     new.write.parquet(staged)
     new = spark.read.schema(new.schema).parquet(staged)
     with WRITING:
-        if not new.isEmpty():
+        touched = named(new, parts)
+        if touched != []:
             both = new.withColumn("_v", F.lit(1))
             if exists(spark, root):
-                both = both.unionByName(stored_in(root, new, parts, new.schema)[0].withColumn("_v", F.lit(0)))
+                both = both.unionByName(stored_in(root, new, parts, touched, new.schema)[0].withColumn("_v", F.lit(0)))
             both = both.repartition(*parts)
             _write(keep_last(both, [*parts, *(k for k in key if k not in parts)], "_v").drop("_v"), root, parts)
     remove(spark, staged)
@@ -194,7 +196,7 @@ def changed(root: str, places: DataFrame, parts: list[str], schema: str | None,
     """
     spark = places.sparkSession
     with WRITING:
-        old, touched = stored_in(root, places, parts, schema)
+        old, touched = stored_in(root, places, parts, named(places, parts), schema)
         if touched == []:
             return
         left = change(old)

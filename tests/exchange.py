@@ -38,6 +38,8 @@ def page(symbol, interval, start, end, limit):
     rows = [row(x) for x in range(at, end + 1, MINUTE)][:limit]
     if symbol == "HOLE":  # lacks one in the middle
         rows = [r for r in rows if r[0] != START + 5 * MINUTE]
+    if symbol == "YOUNG":
+        rows = [r for r in rows if r[0] != START + 1495 * MINUTE]
     if symbol == "BAD":  # sends a candle whose high is below its low
         rows = [r if r[0] != START + 3 * MINUTE else [*r[:2], "1", *r[3:]] for r in rows]
     return rows
