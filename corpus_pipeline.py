@@ -16,7 +16,7 @@ from barforge.llm.line_dedup import without_repeated_lines
 from barforge.llm.near_dedup import without_near_duplicates
 from barforge.llm.packing import pack
 from barforge.llm.quality_rules import keep_good
-from barforge.llm.shared import bounded_batches, stash
+from barforge.llm.shared import bounded_batches, discard, stash
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -72,5 +72,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stash(stage(spark, docs, sf_dir), name)
+        docs, before = stash(stage(spark, docs, sf_dir), name), docs
+        discard(before)  # its only reader is stored
     return docs
