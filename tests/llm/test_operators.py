@@ -192,7 +192,7 @@ def test_shards(spark, tmp_path, monkeypatch):
     assert read_shards(write_shards(rows.limit(0), BYTE, 0)).collect() == []
     # few ranges of many shards each: the same rows in the same places
     monkeypatch.setattr("barforge.llm.token_shards.MOST_RANGES", 2)
-    small = write_shards(rows, BYTE, 0, shard_bytes=500)
+    small = write_shards(rows, BYTE, 0, shard_bytes=100)
     shards = sorted(small.collect(), key=lambda r: r.shard)
     assert len(shards) > 6 and len({r.shard >> 20 for r in shards}) == 2 and [r.first for r in shards] == sorted(r.first for r in shards)
     assert sorted(read_shards(small).collect(), key=lambda r: r.start) == got
