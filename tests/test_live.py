@@ -177,3 +177,15 @@ def test_marks_are_saved_now_and_then(spark, tmp_path):
     marks.move(accepted(6))
     marks.save(spark)
     assert stored()["A"] == START + 6 * MINUTE
+
+
+def test_the_command(spark, tmp_path, calls, capsys):
+    from barforge import cli
+
+    spark.createDataFrame([("A",), ("B",)], "symbol string").write.json(f"{tmp_path}/current")
+    places = [f"--{x}={tmp_path}/{x}" for x in ("current", "silver", "raw", "quarantine", "gaps", "state", "spans", "spool", "checkpoint", "hot", "open-candles")]
+    cli.main(["stream-klines", *places, "--connect=exchange:messages", "--once", "--streams-per-connection=1"], spark)
+    assert candles(spark, f"{tmp_path}/silver") == [("A", 0), ("A", 1), ("B", 0), ("B", 1)] and not lake.exists(spark, f"{tmp_path}/hot")
+    assert {(r.symbol, r.last_open_time_ms) for r in spark.read.parquet(f"{tmp_path}/state").collect()} == {("A", START + MINUTE), ("B", START + MINUTE)}
+    said = capsys.readouterr().out
+    assert said.count("'kind': 'end'") == 2 and "'status': 'complete'" in said
