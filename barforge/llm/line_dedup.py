@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import Signer, keyer, sign, similarity_classes
+from .linking import Signer, sign, similarity_classes
 from .shared import broadcast_if_small, discard, parted, stash, with_keys
 from .substring_dedup import all_lines, lines_of, repeated_parts
 from .words import BLOCK, ODD, MinHash, mixed, mixed_32
@@ -108,7 +108,7 @@ def _repeated_lines(docs: DataFrame, num: int, den: int) -> tuple[DataFrame, lis
     family = MinHash(BANDS, ROWS, seed=9)
     signer = line_signer(family)
     signed, blobs = sign(docs, lines_of(1), signer, family, "lines")
-    met, named = similarity_classes(signed, blobs, all_lines(docs), char_shingles, keyer(signer, family), num, den)
+    met, named = similarity_classes(signed, blobs, all_lines(docs), char_shingles, family.rows, num, den)
     discard(signed)
     found = repeated_parts(met, named)
     found = found.select("doc_id", F.col("place").alias("line"), F.col("first_doc").alias("component_doc"), F.col("first_place").alias("component_line"), F.col("n").alias("occurrences"), "kept")

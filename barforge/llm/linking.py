@@ -3,13 +3,14 @@
 ``sign`` writes a row for each occurrence of a text (a document, a line) and, packed, one
 record (key, text, sketch) for each band of each text that is new in its slice.
 ``similarity_classes`` then finds the connected components of the graph that links two texts
-of a group whose Jaccard similarity, on full sets, reaches the threshold. Groups are texts
-joined by common buckets; the pairs of a bucket are never written down, only each member
-with one other.
+of a group whose Jaccard similarity, on full sets, reaches the threshold and whose signatures
+agree in a whole band (``allowed``). Groups are texts joined by common buckets; the pairs of a
+bucket are never written down, only each member with one other.
 
-A group of at most MOST_NODES texts and MOST_SHINGLES shingles is settled by one task in
-memory, by counts of common shingles. In a larger bucket's group let H be its frequent shingles,
-those in more than RARE members. A pair x, y at the threshold t either
+One rule holds for pairs of a group, whatever its size: the limits below decide how its pairs
+are found, not which are. A group of at most MOST_NODES texts and MOST_SHINGLES shingles is
+settled by one task in memory, by counts of common shingles. In a larger bucket's group let H
+be its frequent shingles, those in more than RARE members. A pair x, y at the threshold t either
 
 (a) shares a shingle that is not in H, so it is met there among at most RARE members; or
 (b) has x & y inside H, so |x & y| <= min(|x & H|, |y & H|), and with
@@ -17,9 +18,9 @@ those in more than RARE members. A pair x, y at the threshold t either
     and |x| by room(y): such pairs are met by size.
 
 Groups are larger mostly because chance collisions chain them together. So each of their
-buckets is settled by itself first, all its texts against each other, in blocks of which two
-are in memory at once where the limits ask for it; only the texts of buckets beyond LARGER
-times the limits go the way described above, which writes down every shingle.
+buckets, texts whose signatures agree in one band, is settled by itself first, in blocks of
+which two are in memory at once where the limits ask for it; only the texts of buckets beyond
+LARGER times the limits go the way described above, which writes down every shingle.
 
 Beforehand each member is verified against the member that has most of H; of (a) and (b)
 only pairs whose ends are in different components by then are verified. A large group of
@@ -52,8 +53,8 @@ Shingler = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 Cutter = Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.Array]]
 #: distinct texts -> (shingles of each, minima of those that have any)
 Signer = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
-#: texts that have shingles -> a row of band keys for each
-Keyer = Callable[[pa.Array], np.ndarray]
+#: (low, high) -> 0-1 rows of the nodes from low to high against all from low on
+Rows = Callable[[int, int], np.ndarray]
 
 MOST_NODES, MOST_SHINGLES, RARE = 8192, 1 << 22, 64
 #: Times these limits that a bucket may have which one task settles, two blocks at a time.
@@ -73,12 +74,8 @@ LINKS = -1
 HELD_LINKS = 1 << 20
 
 
-def components_in_memory(n: int, linked: Callable[[int, int], np.ndarray], step: int = 512) -> np.ndarray:
-    """For each of ``n`` nodes the first of its component.
-
-    linked(low, high): 0-1 rows of the nodes from low to high against all from low on. Only
-    that much of the matrix is in memory at a time.
-    """
+def components_in_memory(n: int, linked: Rows, step: int = 512) -> np.ndarray:
+    """For each of ``n`` nodes the first of its component; only ``step`` rows are in memory at a time."""
     root = np.arange(n)
     for low in range(0, n, step):
         rows = linked(low, min(n, low + step))
@@ -93,10 +90,10 @@ def components_in_memory(n: int, linked: Callable[[int, int], np.ndarray], step:
     return root
 
 
-def roots_in_memory(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+def roots_in_memory(sets: list[np.ndarray], num: int, den: int, may: Rows | None = None) -> np.ndarray:
     """For each set the first set of its component, by exact counts of common elements.
 
-    Elements that more than a tenth of the sets have are counted as products of 0-1 matrices,
+    may: which pairs count; all, if it is not given. Elements that more than a tenth of the sets have are counted as products of 0-1 matrices,
     the rarer ones by their pairs, whichever is less work.
     """
     n = len(sets)
@@ -135,14 +132,17 @@ def roots_in_memory(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
             real = y >= 0
             flat += np.bincount(x[real] * (n - low) + y[real], minlength=len(flat)).astype(np.float32)
         either = size[low:high, None] + size[None, low:]
-        return (met > 0) & ((den + num) * met.astype(np.int64) >= num * either)
+        found = (met > 0) & ((den + num) * met.astype(np.int64) >= num * either)
+        return found if may is None else found & may(low, high)
 
     return components_in_memory(n, linked, max(16, min(512, (1 << 21) // n)))
 
 
-def roots_by_blocks(texts: pa.ChunkedArray, shingler: Shingler, num: int, den: int) -> np.ndarray:
+def roots_by_blocks(texts: pa.ChunkedArray, shingler: Shingler, num: int, den: int, rule: Callable[[np.ndarray], Rows] | None = None) -> np.ndarray:
     """What roots_in_memory says of the sets of ``texts``, of which no more than the limits allow are in memory at once.
 
+    rule: texts, by their places -> which of their pairs count.
+
     Each pair of blocks of half the limits is settled, unless its texts are one component by then.
     """
     n = len(texts)
@@ -160,7 +160,8 @@ def roots_by_blocks(texts: pa.ChunkedArray, shingler: Shingler, num: int, den: i
         if (root[own] == root[own[0]]).all():
             continue
         values, offsets = shingler(texts.take(pa.array(own)))
-        met = own[roots_in_memory([np.unique(values[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)], num, den)]
+        sets = [np.unique(values[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+        met = own[roots_in_memory(sets, num, den, rule and rule(own))]
         for i, j in zip(own.tolist(), met.tolist(), strict=True):
             if root[i] != root[j]:
                 root[root == max(root[i], root[j])] = min(root[i], root[j])
@@ -176,17 +177,36 @@ def least_agreement(width: int, t: float) -> int:
     return max(1, math.ceil(t * width - 6 * (t * (1 - t) * width) ** 0.5))
 
 
-def roots_by_signature(sigs: np.ndarray, least: int) -> np.ndarray:
-    """For each signature the first of those joined by agreement in at least ``least`` places."""
+def allowed(sigs: np.ndarray, rows: int, least: int) -> Rows:
+    """Which pairs of signatures agree in a whole band of ``rows`` places, and in at least ``least`` places in all.
+
+    This is asked of two signatures alone, so it does not matter what others they stand with.
+    """
     n, width = sigs.shape
+    bands = np.ascontiguousarray(sigs).reshape(n, width // rows, rows)
+    codes = [np.unique(np.ascontiguousarray(bands[:, i]).view(f"V{rows}"), return_inverse=True)[1].reshape(-1).astype(np.int32) for i in range(width // rows)]
+
+    def met(low: int, high: int) -> np.ndarray:
+        banded = np.zeros((high - low, n - low), bool)
+        for code in codes:
+            banded |= code[low:high, None] == code[None, low:]
+        if np.count_nonzero(banded) * 8 > banded.size:
+            agree = np.zeros(banded.shape, np.uint8 if width < 256 else np.uint16)
+            for column in sigs.T:
+                agree += column[low:high, None] == column[None, low:]
+            return banded & (agree >= least)
+        x, y = np.nonzero(banded)
+        for at in range(0, len(x), PAIRS // width):
+            i, j = x[at : at + PAIRS // width], y[at : at + PAIRS // width]
+            banded[i, j] = np.count_nonzero(sigs[low + i] == sigs[low + j], axis=1) >= least
+        return banded
+
+    return met
 
-    def linked(low: int, high: int) -> np.ndarray:
-        agree = np.zeros((high - low, n - low), np.uint8 if width < 256 else np.uint16)
-        for column in sigs.T:
-            agree += column[low:high, None] == column[None, low:]
-        return agree >= least
 
-    return components_in_memory(n, linked, max(16, min(512, (1 << 23) // n)))
+def roots_by_signature(sigs: np.ndarray, rows: int, least: int) -> np.ndarray:
+    """For each signature the first of those joined by pairs that are allowed."""
+    return components_in_memory(len(sigs), allowed(sigs, rows, least), max(16, min(512, (1 << 23) // len(sigs))))
 
 
 #: Sketches of linked texts agree in fewer of their 16 places less than twice in 100,000 times
@@ -326,11 +346,6 @@ def sign(docs: DataFrame, cut: Cutter, signer: Signer, family: MinHash, label: s
     return signed, blobs
 
 
-def keyer(signer: Signer, family: MinHash) -> Keyer:
-    """The band keys by which ``sign`` deals out texts."""
-    return lambda texts: family.keys(signer(texts)[1])
-
-
 def bucket_links(blobs: DataFrame) -> DataFrame:
     """(a, b): short ids that share a bucket and agree by sketch, or are joined by such that do.
 
@@ -387,11 +402,14 @@ def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def roots_of_groups(table: pa.Table, shingler: Shingler, num: int, den: int) -> np.ndarray:
-    """For each row of whole groups the first row of its component: by signatures, then by full sets."""
+def roots_of_groups(table: pa.Table, shingler: Shingler, num: int, den: int, rows: int = 1) -> np.ndarray:
+    """For each row of whole groups the first row of its component: by signatures in bands of ``rows``, then by full sets.
+
+    A pair is linked if its signatures allow it and its full sets are similar enough.
+    """
     n = table.num_rows
     sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(n, -1)
-    least = least_agreement(sigs.shape[1], num / den)
+    width, least = sigs.shape[1], least_agreement(sigs.shape[1], num / den)
     g = table["g"].to_numpy()
     begins = np.flatnonzero(np.concatenate((np.ones(min(1, n), bool), g[1:] != g[:-1])))
     lengths = np.diff(np.append(begins, n))
@@ -400,20 +418,22 @@ def roots_of_groups(table: pa.Table, shingler: Shingler, num: int, den: int) ->
         own = begins[lengths == size]
         if size > 16:
             for i in own.tolist():
-                near[i : i + size] = i + roots_by_signature(sigs[i : i + size], least)
+                near[i : i + size] = i + roots_by_signature(sigs[i : i + size], rows, least)
             continue
         for at in range(0, len(own), 1024):
-            rows = own[at : at + 1024, None] + np.arange(size)
-            x = sigs[rows]
-            agree = (x[:, :, None] == x[:, None]).sum(axis=-1) >= least
-            near[rows] = own[at : at + 1024, None] + spanned(agree)
+            members = own[at : at + 1024, None] + np.arange(size)
+            x = sigs[members]
+            same = x[:, :, None] == x[:, None]
+            banded = same.reshape(*same.shape[:-1], width // rows, rows).all(axis=-1).any(axis=-1)
+            near[members] = own[at : at + 1024, None] + spanned(banded & (same.sum(axis=-1) >= least))
     root = np.arange(n)
     order = np.argsort(near, kind="stable")
     parts = [x for x in np.split(order, np.flatnonzero(np.diff(near[order])) + 1) if len(x) > 1]
     length = pc.binary_length(table["text"]).to_numpy()
     large = [len(x) > MOST_NODES or len(x) > 2 and length[x].sum() > MOST_SHINGLES for x in parts]
     for x in (x for x, more in zip(parts, large, strict=True) if more):
-        root[x] = x[roots_by_blocks(table["text"].take(pa.array(x)), shingler, num, den)]
+        own = sigs[x]
+        root[x] = x[roots_by_blocks(table["text"].take(pa.array(x)), shingler, num, den, lambda places, own=own: allowed(own[places], rows, least))]
     parts = [x for x, more in zip(parts, large, strict=True) if not more]
     while parts:
         # as many components as SHINGLED texts are in, at least one
@@ -430,18 +450,18 @@ def roots_of_groups(table: pa.Table, shingler: Shingler, num: int, den: int) ->
                 if met and den * met >= num * (len(own[0]) + len(own[1]) - met):
                     root[x] = x[0]
             else:
-                root[x] = x[roots_in_memory(own, num, den)]
+                root[x] = x[roots_in_memory(own, num, den, allowed(sigs[x], rows, least))]
     return root
 
 
-def similarity_classes(signed: DataFrame, blobs: list[DataFrame], texts: DataFrame, shingler: Shingler, keys: Keyer, num: int, den: int = 100) -> tuple[DataFrame, DataFrame]:
+def similarity_classes(signed: DataFrame, blobs: list[DataFrame], texts: DataFrame, shingler: Shingler, band: int, num: int, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Texts that occur again or share a bucket, and the components that they are in.
 
     signed, blobs: what ``sign`` returned; the blobs are discarded, each part before the next
     one goes through the shuffle. texts: (h, text), all the
-    texts again, equal ones too. keys: the ``keyer`` of what signed them.
+    texts again, equal ones too. band: minima of a band of what signed them.
     Linked: ``den * |x & y| >= num * |x | y|`` on the sets that ``shingler`` makes, with at
-    least one element in common. Returns two stashed tables: the occurrences (doc_id, place,
+    least one element in common, and signatures that allow it. Returns two stashed tables: the occurrences (doc_id, place,
     id, ...) of these texts, and for each text (id) n, the occurrences of all texts of its
     component, repeated rows included, with first_doc and first_place, those of the least
     doc_id, nulls last, then least place. Texts without shingles and those alone in their
@@ -476,7 +496,7 @@ def similarity_classes(signed: DataFrame, blobs: list[DataFrame], texts: DataFra
 
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
-            ids, root = table["id"], roots_of_groups(table, shingler, num, den)
+            ids, root = table["id"], roots_of_groups(table, shingler, num, den, band)
             joined = np.flatnonzero(root != np.arange(len(root)))
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(joined)).combine_chunks(), ids.take(pa.array(root[joined])).combine_chunks()], names=["node", "root"])
 
@@ -488,7 +508,7 @@ def similarity_classes(signed: DataFrame, blobs: list[DataFrame], texts: DataFra
     classes = tied(found.filter("small"))
     large = found.filter("not small")
     if not large.isEmpty():
-        classes = classes.union(_by_bucket(large, keys, tied, shingler, num, den))
+        classes = classes.union(_by_bucket(large, band, tied, shingler, num, den))
     rooted = stash(known.join(classes, F.col("id") == F.col("node"), "left").select("id", "n", "first", F.coalesce("root", "id").alias("root")), "roots", size)
     discard(found)
     discard(known)
@@ -499,18 +519,16 @@ def similarity_classes(signed: DataFrame, blobs: list[DataFrame], texts: DataFra
     return met, named
 
 
-def _by_bucket(texts: DataFrame, keys: Keyer, tied: Callable[[DataFrame], DataFrame], shingler: Shingler, num: int, den: int) -> DataFrame:
-    """(node, root) of groups that one task does not hold, by their buckets; see the module's text."""
+def _by_bucket(texts: DataFrame, band: int, tied: Callable[[DataFrame], DataFrame], shingler: Shingler, num: int, den: int) -> DataFrame:
+    """(node, root) of groups that one task does not hold, by their buckets; see the module's text.
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, SHINGLED):
-                batch = whole.slice(at, SHINGLED)
-                own = keys(batch["text"]).view(np.int64)
-                row = pa.array(np.repeat(np.arange(len(own)), own.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(own.reshape(-1)), batch["id"].take(row), batch["n_shingles"].take(row)], names=["g", "id", "n_shingles"])
-
-    placed = stash(texts.select("id", "n_shingles", "text").mapInArrow(freeing(keyed), "g long, id binary, n_shingles long"), "placed")
+    Buckets are of signatures, not of texts: those that agree in one band, in one group.
+    """
+    own = F.transform(
+        F.sequence(F.lit(0), F.expr(f"cast(length(sig) div {band} as int)") - 1),
+        lambda i: F.xxhash64("g", i, F.substring("sig", i * band + 1, F.lit(band))),
+    )
+    placed = stash(texts.select(F.explode(own).alias("g"), "id", "n_shingles"), "placed")
     sums = placed.groupBy(*respread("g")).agg(F.count("*").alias("_n"), F.sum("n_shingles").alias("_m")).filter("_n > 1")
     sums = sums.select("g", F.expr(f"_n <= {LARGER * MOST_NODES} and _m <= {LARGER * MOST_SHINGLES}").alias("small"))
     shared = stash(placed.join(sums, "g").select("g", "id", "small"), "shared")
@@ -518,7 +536,7 @@ def _by_bucket(texts: DataFrame, keys: Keyer, tied: Callable[[DataFrame], DataFr
     edges = ties = stash(tied(shared.filter("small").join(texts.select("id", "sig", "text"), "id")), "ties")
     hot = shared.filter("not small").select("id").distinct()
     if not hot.isEmpty():
-        edges = edges.union(_large(texts.join(hot, "id"), shingler, num, den).filter("node <> root").select("node", "root"))
+        edges = edges.union(_large(texts.join(hot, "id"), band, shingler, num, den).filter("node <> root").select("node", "root"))
     joined = components(edges, "node", "root")
     classes = stash(joined.filter("node <> root"), "classes")
     for table in (shared, ties, joined):
@@ -526,7 +544,7 @@ def _by_bucket(texts: DataFrame, keys: Keyer, tied: Callable[[DataFrame], DataFr
     return classes
 
 
-def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFrame:
+def _large(texts: DataFrame, band: int, shingler: Shingler, num: int, den: int) -> DataFrame:
     """(node, root) of the texts of buckets that one task does not hold; see the module's text."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -537,9 +555,9 @@ def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFram
                 sets = [np.unique(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 borders = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
                 flat = np.concatenate(sets).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch["g"], batch["id"], pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(flat))], names=["g", "id", "items"])
+                yield pa.RecordBatch.from_arrays([batch["g"], batch["id"], batch["sig"], pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(flat))], names=["g", "id", "sig", "items"])
 
-    members = stash(texts.select("g", "id", "text").mapInArrow(freeing(shingled), "g long, id binary, items array<long>"), "members")
+    members = stash(texts.select("g", "id", "sig", "text").mapInArrow(freeing(shingled), "g long, id binary, sig binary, items array<long>"), "members")
     items = members.select("g", "id", F.explode("items").alias("s"))
     often = items.groupBy(*respread("g", "s")).agg(F.count("*").alias("n")).filter("n > 1").select("g", "s", "n")
     often = stash(often, "often")
@@ -551,8 +569,13 @@ def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFram
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch["items_a"], batch["items_b"]
+            sigs = [np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(batch.num_rows, -1, band) for c in ("sig_a", "sig_b")] if batch.num_rows else []
             keep = []
             for i in range(batch.num_rows):
+                same = sigs[0][i] == sigs[1][i]
+                if not same.all(axis=1).any() or np.count_nonzero(same) < least_agreement(same.size, num / den):
+                    keep.append(False)
+                    continue
                 p, q = x[i].values.to_numpy(), y[i].values.to_numpy()
                 met = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(met > 0 and den * met >= num * (len(p) + len(q) - met))
@@ -560,8 +583,8 @@ def _large(texts: DataFrame, shingler: Shingler, num: int, den: int) -> DataFram
 
     def grown(pairs: DataFrame) -> None:
         nonlocal found, edges
-        left, right = (members.select(F.col("id").alias(f"id_{e}"), F.col("items").alias(f"items_{e}")) for e in "ab")
-        rows = pairs.join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b")).select("a", "b", "items_a", "items_b")
+        left, right = (members.select(F.col("id").alias(f"id_{e}"), F.col("sig").alias(f"sig_{e}"), F.col("items").alias(f"items_{e}")) for e in "ab")
+        rows = pairs.join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b")).select("a", "b", "sig_a", "sig_b", "items_a", "items_b")
         more = stash(rows.mapInArrow(freeing(verify), "a binary, b binary"), "links")
         if more.isEmpty():
             return

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import Signer, keyer, sign, similarity_classes
+from .linking import Signer, sign, similarity_classes
 from .shared import discard, parted, stash, with_keys
 from .words import MinHash, distinct_counts, shingles, word_hashes
 
@@ -57,7 +57,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     family = MinHash(BANDS, ROWS)
     signer = word_signer(family)
     signed, blobs = sign(docs, whole_texts, signer, family, "minhash")
-    met, named = similarity_classes(signed, blobs, docs.select(F.xxhash64("text").alias("h"), "text"), word_shingler, keyer(signer, family), num, den)
+    met, named = similarity_classes(signed, blobs, docs.select(F.xxhash64("text").alias("h"), "text"), word_shingler, family.rows, num, den)
     discard(met)
     rows = signed.select("doc_id", "n_shingles", "id").join(named, "id", "left")
     rows = rows.select("doc_id", "n_shingles", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first_doc")).alias("component_id"))

@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import Cutter, keyer, sign, similarity_classes
+from .linking import Cutter, sign, similarity_classes
 from .near_dedup import word_shingler, word_signer
 from .passages import repeated_passages
 from .shared import discard
@@ -82,7 +82,7 @@ def substring_dedup(docs: DataFrame, num: int = 80, den: int = 100, least_words:
     family = MinHash(BANDS, ROWS, seed=4)
     signer = word_signer(family)
     signed, blobs = sign(docs, lines_of(least_words), signer, family, "paragraphs")
-    met, named = similarity_classes(signed, blobs, all_lines(docs), word_shingler, keyer(signer, family), num, den)
+    met, named = similarity_classes(signed, blobs, all_lines(docs), word_shingler, family.rows, num, den)
     discard(signed)
     found = repeated_parts(met, named)
     none = (F.lit(None).cast("int").alias(c) for c in ("word", "words", "component_word"))
